@@ -48,7 +48,8 @@ def difference(spark, con, build, sql, folder) -> str | None:
         return f"columns {sorted(frame.columns)} against {sorted(names)}"
     a, b = rows_of(frame.columns, mine), rows_of(names, theirs)
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:3]
-        only_b = [r for r in b if r not in set(a)][:3]
+        known_a, known_b = set(a), set(b)
+        only_a = [r for r in a if r not in known_b][:3]
+        only_b = [r for r in b if r not in known_a][:3]
         return f"{len(a)} against {len(b)} rows; only Spark {only_a}; only SQL {only_b}"
     return None

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 # A sentence ends at its mark or at a line break.
-SENTENCE_END = r"[.!?]+\s+|\n+"
+SENTENCE_END = r"[.!?]+[ \t\r\n]+|\n+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 

@@ -180,16 +180,12 @@ def flatten_nested(docs: DataFrame, comments: str = "comments", levels_per_pass:
     keys = [c for c in docs.columns if c != comments]
     frontier = docs.withColumnRenamed(comments, "__level")
     base, parts = 0, []
+    names = [f"__level_{i}" for i in range(levels_per_pass + 1)]
     while True:
-        unfolded = frontier
-        names = [f"__level_{i}" for i in range(levels_per_pass + 1)]
-        unfolded = unfolded.withColumnRenamed("__level", names[0])
+        unfolded = frontier.withColumnRenamed("__level", names[0])
         for above, below in zip(names, names[1:]):
             unfolded = unfolded.withColumn(below, _replies_of(F.col(above)))
-        tagged = [
-            F.transform(F.col(n), lambda c, d=base + i: F.struct(F.lit(d).alias("depth"), c.alias("comment")))
-            for i, n in enumerate(names[:-1])
-        ]
+        tagged = [_with_depth(F.col(n), base + i) for i, n in enumerate(names[:-1])]
         parts.append(unfolded.select(*keys, F.inline(F.concat(*tagged))))
         rest = unfolded.where(F.size(names[-1]) > 0).select(*keys, F.col(names[-1]).alias("__level"))
         rest = materialize(rest, "deeper")
@@ -202,6 +198,10 @@ def flatten_nested(docs: DataFrame, comments: str = "comments", levels_per_pass:
     return result
 
 
+def _with_depth(level: Column, depth: int) -> Column:
+    return F.transform(level, lambda c: F.struct(F.lit(depth).alias("depth"), c.alias("comment")))
+
+
 def _replies_of(level: Column) -> Column:
     replies = F.transform(
         level,
@@ -224,7 +224,7 @@ def thread_posts(submissions: DataFrame, comments: DataFrame, threads: DataFrame
         "score",
     )
     placed = threads.where("reached").select(F.col("id").alias("reddit_id"), (F.col("depth") + 1).alias("depth"))
-    replies = comments.join(placed, "reddit_id").select(
+    replies = comments.drop("depth").join(placed, "reddit_id").select(
         F.concat(F.lit("t1_"), "reddit_id").alias("post_id"),
         "parent_id",
         "depth",

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import reading  # noqa: F401
+from . import loading, reading, threads_words  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

@@ -289,6 +289,11 @@ STAT_COLS = """coalesce(total_comments, 0) AS total_comments, coalesce(high_scor
     coalesce(highest_score, 0) AS highest_score, coalesce(lowest_score, 0) AS lowest_score,
     round(coalesce(average_score, 0), 6) AS average_score"""
 
+STAT_NAMES = [
+    "total_comments", "high_score_comments", "medium_score_comments", "low_score_comments",
+    "highest_score", "lowest_score", "average_score",
+]
+
 
 @query("post_comment_stats", f"""SELECT s.reddit_id, {STAT_COLS} FROM submissions s
     LEFT JOIN {STATS} k ON s.reddit_id = k.submission_id""")
@@ -303,7 +308,7 @@ def post_comment_stats(t: Tables) -> DataFrame:
     LEFT JOIN {NESTED} c ON s.reddit_id = c.submission_id""")
 def full_post(t: Tables) -> DataFrame:
     pages = _as_text(stats.full_post(t.submissions, t.subreddits, t.comments, page_size=4))
-    numbers = [c for c in pages.columns if c.endswith("_comments") or c.endswith("_score")]
+    numbers = [c for c in pages.columns if c in STAT_NAMES]
     return pages.withColumn("average_score", F.round("average_score", 6)).select(
         "reddit_id", "title", "author", "subreddit", *numbers, "page", "comments"
     )

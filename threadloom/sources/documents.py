@@ -59,7 +59,9 @@ def submission_scrapes(spark: SparkSession, path: str, multi_line: bool = True)
 
 def corrupt_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
     """Rejects: files or lines that are no JSON of the expected shape."""
-    return read_json(spark, path, schema, multi_line).where("_corrupt_record IS NOT NULL").select("file", "_corrupt_record")
+    raw = read_json(spark, path, schema, multi_line)
+    # Spark refuses to read the reject column alone, so a schema column comes along.
+    return raw.where("_corrupt_record IS NOT NULL").select("file", "_corrupt_record", F.col(raw.columns[0]).isNull().alias("unread"))
 
 
 def comment_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
