@@ -9,7 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import duration_hms
 from ..functions.text import clean_word, raw_tokens
+from ..operators.ingest import new_rows
 from ..operators.words import only_records, record_text
+from ..sinks.writers import overwrite_batch
 
 
 def parquet_feed(spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int = 8) -> DataFrame:
@@ -63,10 +65,11 @@ def append_to(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def show(feed: DataFrame, checkpoint: str) -> StreamingQuery:
+def show(feed: DataFrame, checkpoint: str, rows: int = 20) -> StreamingQuery:
     """Display only."""
     return (
         feed.writeStream.format("console")
+        .option("numRows", rows)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -113,6 +116,23 @@ def current_counts(saved: DataFrame) -> DataFrame:
     return saved.groupBy("word").agg(F.max_by("frequency", "batch_id").alias("frequency"))
 
 
+def store_new_rows(path: str, order: list[Column], schema) -> Callable[[DataFrame, int], None]:
+    """A ``load`` for :func:`ingest_stream`: rows whose id no earlier batch stored.
+
+    Every batch has its own folder and looks at earlier folders only, so a
+    repeated batch finds the same rows new and replaces its own folder.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = spark.createDataFrame([], schema)
+        if batch_id > 0:
+            earlier = spark.read.schema("reddit_id STRING, batch INT").parquet(path).where(F.col("batch") < batch_id)
+        overwrite_batch(new_rows(batch, earlier, order), path, batch_id)
+
+    return load
+
+
 def ingest_stream(
     feed: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str, watermark: tuple[str, str] | None = None
 ) -> StreamingQuery:
