@@ -14,22 +14,20 @@ NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
 def sentences(posts: DataFrame, text: str = "body") -> DataFrame:
-    """One row per sentence with its neighbours' text, taken inside the row."""
-    parts = F.split(text, SENTENCE_END)
-    return posts.select("post_id", parts.alias("parts")).select(
-        "post_id", "parts", F.posexplode("parts").alias("sentence_no", "sentence")
-    )
+    """One row per sentence."""
+    return posts.select("post_id", F.posexplode(F.split(text, SENTENCE_END)).alias("sentence_no", "sentence"))
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, NOT_WORD), lambda w: w != "")
+    return F.array_remove(F.split(text, NOT_WORD), "")
 
 
-def _grams(words: Column, size: int) -> Column:
-    """All runs of ``size`` words, as written."""
-    starts = F.sequence(F.lit(1), F.size(words) - (size - 1))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
-    return F.when(F.size(words) >= size, runs).otherwise(F.array().cast("array<string>"))
+def _run(size: int) -> Column:
+    """``size`` words from ``word_no`` on, as written; null past the end."""
+    if size == 1:
+        return F.col("word")
+    fits = F.col("word_no") + size <= F.size("words")
+    return F.when(fits, F.array_join(F.slice("words", F.col("word_no") + 1, size), " "))
 
 
 def alias_table(aliases: DataFrame) -> DataFrame:
@@ -46,12 +44,14 @@ def mentions(posts: DataFrame, aliases: DataFrame, max_words: int = 4, text: str
     Word runs are looked up by equality, so the dictionary may have any size and
     no post meets an alias it does not contain. Equal forms in one sentence count once.
     """
-    spoken = sentences(posts, text).withColumn("words", _words(F.col("sentence")))
-    grams = F.flatten(F.array(*[_grams(F.col("words"), n) for n in range(1, max_words + 1)]))
-    forms = spoken.select("post_id", "sentence_no", F.explode(F.array_distinct(grams)).alias("form"))
+    spoken = sentences(posts, text).select("post_id", "sentence_no", _words(F.col("sentence")).alias("words"))
+    spelled = spoken.select("*", F.posexplode("words").alias("word_no", "word"))
+    runs = F.array(*[_run(n) for n in range(1, max_words + 1)])
+    forms = spelled.select("post_id", "sentence_no", F.explode(runs).alias("form")).where("form IS NOT NULL")
     keyed = forms.withColumn("alias_key", F.lower("form"))
     table = alias_table(aliases).where(F.col("alias_size") <= max_words)
-    return keyed.join(table, "alias_key").select("post_id", "sentence_no", "canonical", "form")
+    found = keyed.join(table, "alias_key").select("post_id", "sentence_no", "canonical", "form")
+    return found.distinct()
 
 
 def entity_mentions(posts: DataFrame, aliases: DataFrame, max_words: int = 4, text: str = "body") -> DataFrame:

@@ -10,15 +10,17 @@ from ..functions.text import clean_word, raw_tokens
 from .ranking import top_per_group
 
 
-def words(df: DataFrame, fields: Sequence[Column | str], by: Sequence[str] = ()) -> DataFrame:
-    """One row per word occurrence."""
-    pieces = df.select(*by, F.explode(raw_tokens(*fields)).alias("piece"))
-    return pieces.select(*by, clean_word("piece").alias("word")).where("word <> ''")
-
-
 def count_words(df: DataFrame, fields: Sequence[Column | str], by: Sequence[str] = ()) -> DataFrame:
-    """Frequencies per word (and per ``by``), combined on the map side."""
-    return words(df, fields, by).groupBy(*by, "word").agg(F.count("*").alias("frequency"))
+    """Frequencies per word (and per ``by``).
+
+    Equal pieces are counted first and cleaned once per distinct piece: the
+    per-occurrence work is a split and a map-side hash count, and what moves
+    between tasks is distinct pieces, however frequent a word is.
+    """
+    pieces = df.select(*by, F.explode(raw_tokens(*fields)).alias("piece")).where("piece <> ''")
+    counted = pieces.groupBy(*by, "piece").agg(F.count("*").alias("n"))
+    cleaned = counted.select(*by, clean_word("piece").alias("word"), "n").where("word <> ''")
+    return cleaned.groupBy(*by, "word").agg(F.sum("n").alias("frequency"))
 
 
 def submission_words(submissions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -71,11 +73,14 @@ def words_by_frequency(
         F.raise_error(F.lit("document positions of one group must stay below 2**32"))
     )
     pieces = df.select(*by, base.alias("base"), F.posexplode(raw_tokens(*fields)).alias("index", "piece"))
-    cleaned = pieces.select(
-        *by, (F.col("base") + F.col("index")).alias("at"), clean_word("piece").alias("word")
-    ).where("word <> ''")
-    counted = cleaned.groupBy(*by, "word").agg(
-        F.count("*").alias("frequency"), F.min("at").alias("first_at")
+    seen = pieces.where("piece <> ''").groupBy(*by, "piece").agg(
+        F.count("*").alias("n"), F.min(F.col("base") + F.col("index")).alias("at")
+    )
+    counted = (
+        seen.select(*by, clean_word("piece").alias("word"), "n", "at")
+        .where("word <> ''")
+        .groupBy(*by, "word")
+        .agg(F.sum("n").alias("frequency"), F.min("at").alias("first_at"))
     )
     return counted.orderBy(*by, F.desc("frequency"), F.asc("first_at"))
 

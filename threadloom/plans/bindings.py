@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import keep_first
+from ..session import spread
 from ..sources.tables import parquet_table
 
 SUBREDDITS = [
@@ -264,7 +265,8 @@ class Tables:
     @cached_property
     def comments(self) -> DataFrame:
         order = [F.asc(c) for c in FIRST_COPY]
-        return keep_first(self.stored("lineitem"), ["l_orderkey", "l_linenumber"], order).selectExpr(*COMMENTS)
+        lines = spread(self.stored("lineitem"), "l_orderkey", "l_partkey", "l_suppkey")
+        return keep_first(lines, ["l_orderkey", "l_linenumber"], order).selectExpr(*COMMENTS)
 
     @cached_property
     def placed_comments(self) -> DataFrame:
@@ -321,7 +323,7 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.stored("documents")
+        return spread(self.stored("documents"), "doc_id")
 
 
 def newest(table: DataFrame, time: str) -> Column:
