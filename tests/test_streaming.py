@@ -18,7 +18,7 @@ def land(folder, name, rows):
 def run(spark, tmp_path, landing):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     arriving = spark.readStream.schema(SHAPE).option("maxFilesPerTrigger", 1).json(str(landing))
-    load = feeds.store_new_rows(out, [F.asc("score")], arriving.schema)
+    load = feeds.store_new_rows(out, [F.asc("score")])
     feeds.ingest_stream(arriving, load, checkpoint).awaitTermination()
     return spark.read.schema(SHAPE).parquet(out)
 
@@ -37,7 +37,7 @@ def test_incremental_ingest_over_batches_and_restarts(spark, tmp_path):
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     out = str(tmp_path / "out")
     df = spark.createDataFrame([("a", 1), ("a", 2)], SHAPE)
-    load = feeds.store_new_rows(out, [F.asc("score")], df.schema)
+    load = feeds.store_new_rows(out, [F.asc("score")])
     load(df, 0)
     load(df, 1)
     load(df, 1)

@@ -22,7 +22,7 @@ def top_per_group(
     name = rank or "__rank"
     window = Window.partitionBy(*keys).orderBy(*order)
     top = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
-    return top if rank else top.drop(name)
+    return top.withColumn(name, F.col(name).cast("bigint")) if rank else top.drop(name)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

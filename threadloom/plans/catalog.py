@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import files_feeds, loading, reading, threads_words  # noqa: F401
+from . import expressions, files_feeds, loading, reading, threads_words  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

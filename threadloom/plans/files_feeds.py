@@ -616,7 +616,7 @@ def stream_incremental_ingest(t: Tables) -> DataFrame:
     schema = t.stored("lineitem").schema
     arriving = feeds.parquet_feed(t.spark, t.folder, "lineitem.parquet", schema).selectExpr(*COMMENTS, *FIRST_COPY)
     path, checkpoint = scratch_path(t.spark, "ingested"), scratch_path(t.spark, "ingested-checkpoint")
-    load = feeds.store_new_rows(path, [F.asc(c) for c in FIRST_COPY], arriving.schema)
+    load = feeds.store_new_rows(path, [F.asc(c) for c in FIRST_COPY])
     feeds.ingest_stream(arriving, load, checkpoint).awaitTermination()
     return t.spark.read.schema(arriving.schema).parquet(path).select("reddit_id", "author", "score")
 

@@ -278,7 +278,7 @@ def entity_mentions(t: Tables) -> DataFrame:
     perk_found AS (SELECT DISTINCT f.post_id, f.sentence_no, p.canonical FROM forms f JOIN perks p ON lower(f.form) = p.alias_key),
     near AS (SELECT DISTINCT post_id, sentence_no + d AS sentence_no, canonical AS benefit
       FROM perk_found, (VALUES (-1), (0), (1)) AS v(d))
-    SELECT DISTINCT f.post_id, f.sentence_no, f.canonical, n.benefit FROM found f
+    SELECT DISTINCT f.post_id, CAST(f.sentence_no AS INTEGER) AS sentence_no, f.canonical, n.benefit FROM found f
     JOIN near n ON f.post_id = n.post_id AND f.sentence_no = n.sentence_no""")
 def benefit_mentions(t: Tables) -> DataFrame:
     return enrich.benefit_mentions(_texts(t), aliases(t), perks(t), max_words=2)

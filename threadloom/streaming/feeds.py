@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import duration_hms
 from ..functions.text import clean_word, raw_tokens
-from ..operators.ingest import new_rows
+from ..operators.ranking import keep_first
 from ..operators.words import only_records, record_text
+from ..session import materialize
 from ..sinks.writers import overwrite_batch
 
 
@@ -116,7 +117,7 @@ def current_counts(saved: DataFrame) -> DataFrame:
     return saved.groupBy("word").agg(F.max_by("frequency", "batch_id").alias("frequency"))
 
 
-def store_new_rows(path: str, order: list[Column], schema) -> Callable[[DataFrame, int], None]:
+def store_new_rows(path: str, order: list[Column]) -> Callable[[DataFrame, int], None]:
     """A ``load`` for :func:`ingest_stream`: rows whose id no earlier batch stored.
 
     Every batch has its own folder and looks at earlier folders only, so a
@@ -125,10 +126,14 @@ def store_new_rows(path: str, order: list[Column], schema) -> Callable[[DataFram
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        earlier = spark.createDataFrame([], schema)
+        candidates = keep_first(batch, ["reddit_id"], order)
         if batch_id > 0:
-            earlier = spark.read.schema("reddit_id STRING, batch INT").parquet(path).where(F.col("batch") < batch_id)
-        overwrite_batch(new_rows(batch, earlier, order), path, batch_id)
+            candidates = materialize(candidates, "candidates")
+            stored = spark.read.schema("reddit_id STRING, batch INT").parquet(path).where(F.col("batch") < batch_id)
+            # The ids of a batch are few next to all stored ones: they filter the stored side in place.
+            seen = stored.select("reddit_id").join(candidates.select("reddit_id"), "reddit_id", "left_semi")
+            candidates = candidates.join(seen, "reddit_id", "left_anti")
+        overwrite_batch(candidates, path, batch_id)
 
     return load
 
