@@ -43,8 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has used yet, below the shared folder."""
-    return f"{shared_dir(spark)}/threadloom/{name}-{uuid.uuid4().hex}"
+    """A path nobody has used yet, below the shared folder.
+
+    Everything of one application lies in one folder, which can go when the
+    application has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/threadloom/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -143,9 +143,10 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Load arriving documents batch by batch.
 
-    Copies that arrive close together are dropped with bounded state when a
-    ``watermark`` (column, delay) is given; ``load`` does the exact dedupe
-    against stored rows and must be repeatable for a batch id.
+    ``load`` does the exact dedupe against stored rows and must be repeatable
+    for a batch id. With a ``watermark`` (column, delay), copies that arrive
+    close together are dropped before it, with bounded state; the column must
+    be the arrival time, which is never late, so that no other row is dropped.
     """
     if watermark:
         feed = feed.withWatermark(*watermark).dropDuplicatesWithinWatermark(["reddit_id"])
