@@ -16,7 +16,7 @@ needs_tables = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no stored t
 # Lazy queries: their plan is whole, nothing runs while they are built.
 LAZY = [
     "recent_submissions", "keyword_search", "title_search", "subreddit_stats", "post_comment_stats", "full_post",
-    "top5_comments_per_submission", "banded_comment_preview", "ingest_batch", "entity_mentions", "benefit_mentions",
+    "top5_comments_per_submission", "banded_comment_preview", "ingest_batch", "entity_mentions", "benefit_mentions", "mixed_type_filter",
     "naming_conflicts", "locate_comment_file", "queue_with_content", "session_log_to_state", "claim_item_if_pending",
 ]
 

@@ -46,6 +46,12 @@ def test_number_rows_without_keys(spark):
     assert {(r["v"], r["position"]) for r in numbered.collect()} == {(i, i + 1) for i in range(1000)}
 
 
+def test_null_keys_are_a_group(spark):
+    rows = [(None if i % 2 else "k", i) for i in range(400)]
+    numbered = number_rows(spark.createDataFrame(rows, "k string, id bigint"), ["k"], [F.asc("id")])
+    assert {(r["id"], r["position"]) for r in numbered.collect()} == {(i, i // 2 + 1) for i in range(400)}
+
+
 def test_pages_are_whole_ordered_and_bounded(spark):
     rows, df = skewed(spark)
     pages = in_pages(df, ["k"], [F.asc("id")], F.col("id"), "ids", page_size=100).collect()

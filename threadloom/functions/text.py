@@ -71,7 +71,7 @@ def like_pattern(term: str, literal: bool = False) -> str:
     """``%term%`` for ILIKE.
 
     ``%`` and ``_`` stay wildcards unless ``literal``. A backslash that escapes
-    nothing is dropped, as the reference's database ignores it while Spark raises.
+    nothing is dropped: PostgreSQL ignores it, where Spark raises.
     """
     if literal:
         escaped = "".join("\\" + ch if ch in "%_\\" else ch for ch in term)

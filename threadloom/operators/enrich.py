@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from ..session import materialize
+
 # A sentence ends at its mark or at a line break.
 SENTENCE_END = r"[.!?]+[ \t\r\n]+|\n+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -31,16 +33,18 @@ def _run(size: int) -> Column:
 
 
 def alias_table(aliases: DataFrame) -> DataFrame:
-    """``canonical, alias`` with the alias as lower-case words and their number."""
+    """The dictionary with every alias as lower-case words and their number."""
     words = _words(F.lower("alias"))
+    labels = [c for c in aliases.columns if c != "alias"]
     return aliases.select(
-        "canonical", F.array_join(words, " ").alias("alias_key"), F.size(words).alias("alias_size")
+        *labels, F.array_join(words, " ").alias("alias_key"), F.size(words).alias("alias_size")
     ).where("alias_size > 0").distinct()
 
 
 def mentions(posts: DataFrame, aliases: DataFrame, max_words: int = 4, text: str = "body") -> DataFrame:
     """Occurrences of aliases as whole words, case-insensitive, the surface form kept.
 
+    Dictionary: ``alias`` and any label columns, which come out as they are.
     Word runs are looked up by equality, so the dictionary may have any size and
     no post meets an alias it does not contain. Equal forms in one sentence count once.
     """
@@ -50,7 +54,8 @@ def mentions(posts: DataFrame, aliases: DataFrame, max_words: int = 4, text: str
     forms = spelled.select("post_id", "sentence_no", F.explode(runs).alias("form")).where("form IS NOT NULL")
     keyed = forms.withColumn("alias_key", F.lower("form"))
     table = alias_table(aliases).where(F.col("alias_size") <= max_words)
-    found = keyed.join(table, "alias_key").select("post_id", "sentence_no", "canonical", "form")
+    labels = [c for c in aliases.columns if c != "alias"]
+    found = keyed.join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
     return found.distinct()
 
 
@@ -65,17 +70,23 @@ def benefit_mentions(
 ) -> DataFrame:
     """Entities with a perk word in the same or a neighbouring sentence.
 
-    Every perk is listed under its own sentence and both neighbours, then one
-    equi-join on post and sentence finds the pairs. Perks: ``benefit, keyword``.
+    Perks: ``benefit, keyword``. The texts are searched once for both
+    dictionaries; the few mentions are stored and meet themselves. A perk is
+    listed under its own sentence and both neighbours, then one equi-join on
+    post and sentence finds the pairs.
     """
-    table = perks.select(F.col("benefit").alias("canonical"), F.col("keyword").alias("alias"))
+    both = aliases.select(F.lit("entity").alias("kind"), "canonical", "alias").unionByName(
+        perks.select(F.lit("perk").alias("kind"), F.col("benefit").alias("canonical"), F.col("keyword").alias("alias"))
+    )
+    found = mentions(posts, both, max_words, text).select("kind", "post_id", "sentence_no", "canonical").distinct()
+    found = materialize(found, "mentions")
+    around = F.array(*[F.col("sentence_no") + d for d in (-1, 0, 1)])
     near = (
-        mentions(posts, table, 1, text)
-        .select("post_id", F.col("canonical").alias("benefit"), F.explode(F.array(*[F.col("sentence_no") + d for d in (-1, 0, 1)])).alias("sentence_no"))
+        found.where("kind = 'perk'")
+        .select("post_id", F.col("canonical").alias("benefit"), F.explode(around).alias("sentence_no"))
         .distinct()
     )
-    entities = mentions(posts, aliases, max_words, text).select("post_id", "sentence_no", "canonical").distinct()
-    return entities.join(near, ["post_id", "sentence_no"])
+    return found.where("kind = 'entity'").drop("kind").join(near, ["post_id", "sentence_no"])
 
 
 def process_pending_with(

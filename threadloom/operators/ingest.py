@@ -1,7 +1,7 @@
 """Loads: dedupe, parent resolution, upserts, and the queue and session logs.
 
-The reference updates rows in place. Here every change is an event in an
-append-only log, and the current state is a fold over the log.
+Rows are never updated in place. Every change is an event in an append-only
+log, and the current state is a fold over the log.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def get_or_create_subreddits(known: DataFrame, requested: DataFrame) -> DataFram
     community is a hash of its name, so a replay gives the same id.
     """
     fields = ["display_name", "description", "subscribers"]
-    # Last non-null value per name in name order of the value: deterministic, map-combined.
+    # The largest non-null value per name: the same in every run, combined on the map side.
     wanted = requested.groupBy("name").agg(*[F.max(f).alias(f"new_{f}") for f in fields])
     joined = known.join(wanted, "name", "full_outer")
     created = F.col("id").isNull()

@@ -38,7 +38,7 @@ def number_rows(
     ``row_number`` would sort a whole group in one task. Here a range shuffle
     on keys and order splits a large group over many tasks; each task numbers
     its own slice, and the rows before a slice are added from the slice counts.
-    ``order`` must end in a unique column. Keys must not be null.
+    ``order`` must end in a unique column. A null key is a group of its own.
     """
     sort = [*[F.col(k) for k in keys], *order]
     sliced = (
@@ -58,12 +58,17 @@ def number_rows(
         sliced.groupBy(*keys, "__slice")
         .agg(F.min("__row").alias("__first"), F.count("*").alias("__n"))
         .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-        .select(*keys, "__slice", (F.col("__before") - F.col("__first") + 1).alias("__shift"))
+        .select(
+            *[F.col(k).alias(f"__key_{k}") for k in keys],
+            F.col("__slice").alias("__part"),
+            (F.col("__before") - F.col("__first") + 1).alias("__shift"),
+        )
     )
-    return (
-        sliced.join(starts, [*keys, "__slice"])
-        .withColumn(name, F.col("__row") + F.col("__shift"))
-        .drop("__slice", "__row", "__shift")
+    same = sliced["__slice"] == starts["__part"]
+    for k in keys:
+        same = same & sliced[k].eqNullSafe(starts[f"__key_{k}"])
+    return sliced.join(starts, same).select(
+        *[sliced[c] for c in df.columns], (F.col("__row") + F.col("__shift")).alias(name)
     )
 
 

@@ -605,10 +605,10 @@ def stream_word_counts(t: Tables) -> DataFrame:
     submission = F.struct(F.lit("submission").alias("type"), F.col("text").alias("selftext"), F.concat_ws(" ", "lang", "source").alias("title"))
     comment = F.struct(F.lit("comment").alias("type"), F.col("text").alias("body"))
     item = F.when(F.col("lang") == "en", F.to_json(submission)).when(F.col("lang") == "fr", F.to_json(comment)).otherwise(F.lit('"FORBIDDEN"'))
-    counts = feeds.feed_word_counts(texts.select(F.parse_json(item).alias("item")))
+    arriving = texts.select(F.parse_json(item).alias("item"))
     path, checkpoint = scratch_path(t.spark, "counts"), scratch_path(t.spark, "counts-checkpoint")
-    feeds.upsert_counts(counts, path, checkpoint).awaitTermination()
-    return feeds.current_counts(t.spark.read.schema("word STRING, frequency BIGINT, batch_id INT").parquet(path))
+    feeds.store_word_counts(arriving, path, checkpoint).awaitTermination()
+    return feeds.total_counts(t.spark.read.schema("word STRING, frequency BIGINT").parquet(path))
 
 
 @query("stream_incremental_ingest", "SELECT reddit_id, author, score FROM comments")

@@ -205,6 +205,7 @@ def process_pending_with(t: Tables) -> DataFrame:
 
 # --- checks ----------------------------------------------------------------
 
+# The characters a result count may not hold, and number shapes.
 BAD_TEXT = r"'[@_!#$%^&*()<>?/\\|}{~:+`=]'"
 NUMBER = r"'^\s*[+-]?[0-9]+(_[0-9]+)*\s*$'"
 ZERO = r"'^\s*[+-]?0+(_0+)*\s*$'"

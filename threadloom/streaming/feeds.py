@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.scalars import duration_hms
 from ..functions.text import clean_word, raw_tokens
 from ..operators.ranking import keep_first
-from ..operators.words import only_records, record_text
-from ..session import materialize
+from ..operators.words import mixed_words, only_records, record_text
+from ..session import materialize, spread
 from ..sinks.writers import overwrite_batch
 
 
@@ -87,7 +87,11 @@ def session_stats(items: DataFrame, keys: list[str], at: str = "seen_at") -> Dat
 
 
 def feed_word_counts(feed: DataFrame) -> DataFrame:
-    """Running word frequencies of a mixed feed of VARIANT records."""
+    """Running word frequencies of a mixed feed of VARIANT records, for display.
+
+    The state holds one row per word ever seen; see :func:`store_word_counts`
+    for a feed without end.
+    """
     record = F.col("item")
     fields = record_text(record, "submission") + record_text(record, "comment")
     pieces = only_records(feed).select(F.explode(raw_tokens(*fields)).alias("piece"))
@@ -95,6 +99,28 @@ def feed_word_counts(feed: DataFrame) -> DataFrame:
     return cleaned.groupBy("word").agg(F.count("*").alias("frequency"))
 
 
+def store_word_counts(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Word frequencies of every micro-batch under its own folder, without state.
+
+    The sum over the batches is the current total; a repeated batch replaces
+    its own share.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        overwrite_batch(mixed_words(spread(batch)), path, batch_id)
+
+    return (
+        feed.writeStream.foreachBatch(save)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def total_counts(stored: DataFrame) -> DataFrame:
+    return stored.groupBy("word").agg(F.sum("frequency").alias("frequency"))
+
+
 def upsert_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Changed totals per micro-batch, each batch under its own folder.
 
