@@ -53,7 +53,8 @@ class Sets:
         self.owner, self.value = sorted_distinct(owner, value)
         self.sizes = np.bincount(self.owner, minlength=len(texts.rows))
         self.firsts = np.concatenate([[0], np.cumsum(self.sizes)])
-        sums = np.concatenate([[0], np.cumsum(mix(self.value + np.uint64(1)), dtype=np.uint64)]).astype(np.uint64)
+        sums = np.zeros(len(self.value) + 1, np.uint64)
+        np.cumsum(mix(self.value + np.uint64(1)), out=sums[1:])
         # Equal sets have equal ids; 64 bits tell others apart.
         self.ids = mix(sums[self.firsts[1:]] - sums[self.firsts[:-1]] + self.sizes.astype(np.uint64)).view(np.int64)
 

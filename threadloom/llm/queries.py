@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import licenses, mixing, packing, quality, token_files
+from . import (
+    hidden_markov,
+    licenses,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    repeats,
+    token_files,
+    toxicity,
+    vector_links,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +68,32 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_license_digests", sql=licenses.sql())
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
+
+
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.classes(documents(spark, folder))
+
+
+@query("op7_hnsw_near_duplicates")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_links.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"), least=0.9)
+
+
+@query("op8_suffix_array_repeats")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove(documents(spark, folder)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op9_hidden_markov_scores")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return hidden_markov.score(documents(spark, folder))
+
+
+@query("op10_toxic_segments")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.learn(docs, labels.where(~held_out))
+    found = toxicity.passages(docs, model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", F.size("first").alias("n_passages"))

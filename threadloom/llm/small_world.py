@@ -84,25 +84,23 @@ class Graph:
         order = np.argsort(-sims, axis=1, kind="stable")[:, : 3 * width]
         rows = np.arange(len(nodes))
         candidates, sims = candidates[rows[:, None], order], np.take_along_axis(sims, order, axis=1)
-        chosen = np.full((len(nodes), width), -1, np.int64)
+        valid = candidates >= 0
+        most = int(valid.sum(axis=1).max(initial=0))
+        candidates, sims, valid = candidates[:, :most], sims[:, :most], valid[:, :most]
+        near = self.vectors[np.maximum(candidates, 0)]
+        between = near @ np.ascontiguousarray(near.transpose(0, 2, 1))
+        taken = np.zeros(candidates.shape, bool)
         count = np.zeros(len(nodes), np.int64)
-        spare = np.full(candidates.shape, False)
-        held = np.zeros((len(nodes), width, self.vectors.shape[1]), np.float32)
-        for j in range(candidates.shape[1]):
-            valid = candidates[:, j] >= 0
-            vector = self.vectors[np.maximum(candidates[:, j], 0)]
-            to_chosen = np.einsum("bd,bwd->bw", vector, held)
-            to_chosen[np.arange(width)[None, :] >= count[:, None]] = -3
-            good = valid & (count < width) & (to_chosen.max(axis=1) < sims[:, j])
-            spare[:, j] = valid & ~good
-            at = np.flatnonzero(good)
-            chosen[at, count[at]] = candidates[at, j]
-            held[at, count[at]] = vector[at]
-            count[at] += 1
-        for j in range(candidates.shape[1]):
-            at = np.flatnonzero(spare[:, j] & (count < width))
-            chosen[at, count[at]] = candidates[at, j]
-            count[at] += 1
+        for j in range(most):
+            hidden = (taken & (between[:, j] >= sims[:, j, None])).any(axis=1)
+            taken[:, j] = valid[:, j] & ~hidden & (count < width)
+            count += taken[:, j]
+        # Then the nearest of the rest: valid ones left, in order, up to the width.
+        spare = valid & ~taken
+        taken |= spare & (np.cumsum(spare, axis=1) <= (width - count)[:, None])
+        chosen = np.full((len(nodes), width), -1, np.int64)
+        row, column = np.nonzero(taken)
+        chosen[row, (np.cumsum(taken, axis=1) - 1)[row, column]] = candidates[row, column]
         return chosen
 
     def _link_back(self, nodes: np.ndarray, chosen: np.ndarray, level: int) -> None:
@@ -117,9 +115,12 @@ class Graph:
         extra = np.full((len(unique), int(count.max())), -1, np.int64)
         row = np.repeat(np.arange(len(unique)), count)
         extra[row, np.arange(len(target)) - np.repeat(start, count)] = source
+        # Those with the fewest new ones together, so that the tables stay narrow.
+        by_count = np.argsort(count, kind="stable")
         for a in range(0, len(unique), TOGETHER):
-            part = slice(a, a + TOGETHER)
-            links[unique[part]] = self._select(unique[part], np.concatenate([links[unique[part]], extra[part]], axis=1), links.shape[1])
+            part = by_count[a : a + TOGETHER]
+            new = extra[part, : count[part[-1]]]
+            links[unique[part]] = self._select(unique[part], np.concatenate([links[unique[part]], new], axis=1), links.shape[1])
 
     def search(self, queries: np.ndarray, beam: int, entry: np.ndarray, level: int, below: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``beam`` nearest nodes that a best-first walk on one level finds, best first, among nodes less than ``below``."""

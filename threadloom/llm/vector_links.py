@@ -167,8 +167,8 @@ def links(vectors: DataFrame, least: float = LEAST, recall: float = RECALL, vec_
     share = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
     one = index.select("shard", share.alias("share"), F.lit(0).alias("kind"), "place", "node", "copies", "vector", "links", "beam")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint")))
-    two = index.withColumn("__length", F.floor(F.col("shard") / shards)).select(
-        (F.col("__length") * shards + every).alias("shard"), F.pmod(F.xxhash64("node"), F.lit(SHARES)).cast("int").alias("share"),
+    two = index.withColumn("__first", F.floor(F.col("shard") / shards) * shards).withColumn("__k", every).select(
+        (F.col("__first") + F.col("__k")).alias("shard"), F.pmod(F.xxhash64("node"), F.lit(SHARES)).cast("int").alias("share"),
         F.lit(1).alias("kind"), "place", "node", "copies", "vector",
         F.lit(None).cast("array<binary>").alias("links"), F.lit(None).cast("int").alias("beam"),
     )
