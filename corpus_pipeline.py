@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadloom.llm import mixing, packing, quality
+from threadloom.llm import mixing, ngram_join, packing, quality, repeats
 from threadloom.session import materialize
 
 
@@ -13,6 +13,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep(docs, quality.STRICT)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones, that of the smallest id; of rows of one id, one."""
+    return ngram_join.representatives(docs)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 200 bytes that stand anywhere else too; characters stay whole."""
+    return repeats.strip(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; each source's last one in part."""
     return mixing.take(docs)
@@ -25,8 +35,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality_rules", keep_quality),
-    ("mixing", mix_sources),
-    ("packing", pack_sequences),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("suffix_array_repeats", drop_repeats),
+    ("pivotal_mixing", mix_sources),
+    ("harmonic_packing", pack_sequences),
 ]
 
 #: Pivotal draws and token ids are beyond SQL; tests/llm compares the stages with brute force.

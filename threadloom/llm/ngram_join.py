@@ -365,3 +365,33 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return joined.join(least, "__class", "left").select(
         "doc_id", "n_shingles", F.when(F.col("__class").isNull(), F.col("doc_id")).otherwise(F.col("__least")).alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each class: the one that names it, its smallest doc_id.
+
+    Rows without a shingle are no copies of each other and all stay. If rows of a class share its smallest id, one
+    stays; of classes without an id, one row does.
+    """
+    columns = docs.columns
+    flat = docs.toDF(*[f"__c{i}" for i in range(len(columns))])
+    name, body = f"__c{columns.index(doc_id)}", f"__c{columns.index(text)}"
+    sets, found = links(docs, doc_id, text)
+    labels = components(found)
+    joined = sets.join(labels, sets["set_id"] == labels["node"], "left")
+    joined = joined.where("n_shingles > 0").select("doc_id", "row_key", "set_id", F.coalesce("component", "set_id").alias("__class"))
+    # The first row of each class, a null id last; its set tells it from other rows of its id.
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key", "set_id"))
+    kept = joined.groupBy("__class").agg(first.alias("__k")).select("__k.row_key", "__k.set_id")
+    has_word = F.coalesce(F.col(body).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = flat.withColumn("row_key", F.coalesce(F.col(name).cast("bigint"), F.xxhash64(body)))
+
+    def with_sets(batches) -> Iterator:
+        for part in batches:
+            ids = [Sets(texts).ids for texts in texts_of(part[body])]
+            ids = pa.array(np.concatenate([np.zeros(0, np.int64), *ids]), pa.int64())
+            yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "set_id"])
+
+    full = rows.where(has_word).mapInArrow(with_sets, rows.schema.add("set_id", "bigint"))
+    full = full.join(kept, ["row_key", "set_id"]).dropDuplicates(["row_key", "set_id"]).select(*flat.columns)
+    return full.union(flat.where(~has_word)).toDF(*columns)
