@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import materialize
 from .frames import batch, chosen
@@ -20,6 +21,8 @@ PERCENT = 80
 RATIO = 1.5
 #: Blocks of a sketch against the differences that it has to stand, so that poor blocks can be left out.
 SLACK = 1.3
+#: Keys that a task holds before it sends them off.
+HELD = 500_000
 #: Members of a key that one task compares with each other at once.
 GROUP = 2048
 
@@ -132,6 +135,21 @@ def _set_rows(batches) -> Iterator:
 def _key_rows(buckets: int):
     """Keys leave a batch in one row per bucket, equal sets once."""
 
+    def grouped(parts: list[tuple]) -> pa.RecordBatch:
+        key, ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((ids, key))
+        key, ids, sizes = key[order], ids[order], sizes[order].astype("<u4")
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+        key, ids, sizes = key[new], ids[new], sizes[new]
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bucket, key, ids, sizes = bucket[order], key[order], ids[order], sizes[order]
+        firsts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+        ends = np.append(firsts[1:], len(bucket))
+        cut = lambda x: [x[a:b].tobytes() for a, b in zip(firsts, ends, strict=True)]
+        return batch(_KEYS, bucket[firsts], cut(key), cut(ids), cut(sizes))
+
     def run(batches) -> Iterator:
         for rows in batches:
             parts = []
@@ -139,21 +157,11 @@ def _key_rows(buckets: int):
                 sets = Sets(texts)
                 key, owner = sketch_keys(sets)
                 parts.append((key, sets.ids[owner], sets.sizes[owner]))
-            if not parts:
-                continue
-            key, ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((ids, key))
-            key, ids, sizes = key[order], ids[order], sizes[order].astype("<u4")
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-            key, ids, sizes = key[new], ids[new], sizes[new]
-            bucket = (key % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bucket, key, ids, sizes = bucket[order], key[order], ids[order], sizes[order]
-            firsts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-            ends = np.append(firsts[1:], len(bucket))
-            cut = lambda x: [x[a:b].tobytes() for a, b in zip(firsts, ends, strict=True)]  # noqa: B023, E731
-            yield batch(_KEYS, bucket[firsts], cut(key), cut(ids), cut(sizes))
+                if sum(len(p[0]) for p in parts) > HELD:
+                    yield grouped(parts)
+                    parts = []
+            if parts:
+                yield grouped(parts)
 
     return run
 
@@ -253,52 +261,75 @@ def _halved(sketch: np.ndarray, length: int) -> np.ndarray:
     return sketch
 
 
-def _near(batches) -> Iterator:
-    """Pairs of different labels in one key, whose sketches are near enough, of the blocks of members dealt here."""
+def _near(nearest: bool):
+    """Pairs of different labels in one key, whose sketches are near enough, of the blocks of members dealt here.
+
+    With ``nearest``, only the nearest partner of each member.
+    """
 
-    def pairs_of(group: list[tuple]) -> Iterator:
-        ids, sizes, labels, blocks = (np.array([g[i] for g in group]) for i in range(4))
-        one, other = group[0][5]
-        lengths = np.array([len(g[4]) for g in group])
-        by_length = {n: np.stack([np.frombuffer(g[4], np.uint8) for g in group if len(g[4]) == n]) for n in set(lengths.tolist())}
-        places = {n: np.flatnonzero(lengths == n) for n in by_length}
+    def pairs_of(group: list[dict], one: int, other: int) -> Iterator:
+        ids, sizes, labels, blocks = (np.array([g[k] for g in group]) for k in ("member", "size", "label", "block"))
+        lengths = np.array([len(g["sketch"]) for g in group])
+        kinds = []
+        for n in np.unique(lengths):
+            at = np.flatnonzero(lengths == n)
+            kinds.append((at, np.frombuffer(b"".join(group[i]["sketch"] for i in at), np.uint8).reshape(len(at), n)))
         a, b = [], []
         for i in range(len(group)):
-            for n, sketches in by_length.items():
-                at = places[n]
-                use = (labels[at] != labels[i]) & ((at > i) if one == other else (blocks[at] != blocks[i]) & (blocks[i] == one))
+            best = None
+            for at, sketches in kinds:
+                use = (labels[at] != labels[i]) & ((at != i) if one == other else (blocks[at] != blocks[i]))
+                if not nearest:
+                    use &= (at > i) if one == other else (blocks[i] == one)
                 low, high = np.minimum(sizes[at], sizes[i]), np.maximum(sizes[at], sizes[i])
                 use &= 100 * low >= PERCENT * high
                 if not use.any():
                     continue
-                mine = np.frombuffer(group[i][4], np.uint8)
-                length = min(n, len(mine))
-                apart = np.bitwise_count(_halved(sketches[use], length) ^ _halved(mine, length)).sum(axis=1)
-                near = at[use][apart <= _most_apart(sizes[at[use]], sizes[i])]
-                a += [min(ids[i], ids[j]) for j in near]
-                b += [max(ids[i], ids[j]) for j in near]
+                mine = np.frombuffer(group[i]["sketch"], np.uint8)
+                length = min(sketches.shape[1], len(mine))
+                apart = np.bitwise_count(_halved(sketches[use], length) ^ _halved(mine, length)).sum(axis=1, dtype=np.int64)
+                near = apart <= _most_apart(sizes[at[use]], sizes[i])
+                found, apart = at[use][near], apart[near]
+                if nearest and len(found):
+                    k = int(apart.argmin())
+                    best = min(best or (apart[k], found[k]), (apart[k], found[k]))
+                elif not nearest:
+                    a.append(np.minimum(ids[found], ids[i]))
+                    b.append(np.maximum(ids[found], ids[i]))
+            if best:
+                a.append(np.minimum(ids[best[1]], ids[i])[None])
+                b.append(np.maximum(ids[best[1]], ids[i])[None])
+            if sum(map(len, a[-64:])) > 50_000 or len(a) > 20_000:
+                yield batch(_PAIRS, np.concatenate(a), np.concatenate(b))
+                a, b = [], []
         if a:
-            yield batch(_PAIRS, a, b)
+            yield batch(_PAIRS, np.concatenate(a), np.concatenate(b))
 
-    at, group = None, []
-    for rows in batches:
-        for row in rows.to_pylist():
-            now = (row["key"], row["one"], row["other"])
-            if now != at:
-                if group:
-                    yield from pairs_of(group)
-                at, group = now, []
-            group.append((row["member"], row["size"], row["label"], row["block"], row["sketch"], now[1:]))
-    if group:
-        yield from pairs_of(group)
+    def run(batches) -> Iterator:
+        at, group = None, []
+        for rows in batches:
+            for start in range(0, rows.num_rows, 1000):
+                for row in rows.slice(start, 1000).to_pylist():
+                    now = (row["key"], row["one"], row["other"])
+                    if now != at:
+                        if group:
+                            yield from pairs_of(group, *at[1:])
+                        at, group = now, []
+                    group.append(row)
+        if group:
+            yield from pairs_of(group, *at[1:])
+
+    return run
 
 
-def _rest(members: DataFrame, labels: DataFrame, contents: DataFrame) -> DataFrame:
-    """Pairs that share a key, are neither connected yet nor a hub and its member, and are near by their sketches.
+def _rest(members: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs that share a key, are not connected yet, and are near by their sketches.
 
     Only keys whose members have different labels are left. Very large ones are
     cut into blocks of ``GROUP`` members, and each pair of blocks is a group of its own.
     """
+    hubs = members.select("key", F.col("hub").alias("member"), F.col("hub_size").alias("size")).distinct()
+    members = members.select("key", "member", "size").union(hubs)
     label = labels.select(F.col("node").alias("member"), F.col("component"))
     rows = members.join(label, "member", "left").withColumn("label", F.coalesce("component", "member"))
     mixed = rows.groupBy("key").agg(F.min("label").alias("__a"), F.max("label").alias("__b"), F.count("*").alias("__n"))
@@ -306,11 +337,9 @@ def _rest(members: DataFrame, labels: DataFrame, contents: DataFrame) -> DataFra
     rows = rows.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("member"), F.col("__blocks")).cast("int"))
     rows = rows.select("key", "member", "size", "label", "block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__o"))
     rows = rows.withColumns({"one": F.least("block", "__o"), "other": F.greatest("block", "__o")})
-    wanted = rows.select(F.col("member").alias("set_id")).distinct()
-    sketches = contents.join(wanted, "set_id", "left_semi").select("set_id", "size", "shingles").mapInArrow(_sketch_rows, "set_id bigint, sketch binary")
     rows = rows.join(sketches, rows["member"] == sketches["set_id"]).select("key", "one", "other", "block", "member", "size", "label", "sketch")
     rows = rows.repartition("key", "one", "other").sortWithinPartitions("key", "one", "other")
-    return rows.mapInArrow(_near, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(_near(nearest), "a bigint, b bigint").distinct()
 
 
 def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -318,8 +347,9 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
 
     Links are between sets, so copies cost nothing here. Sketch keys are joined in numpy, one shuffle
     partition at a time. A key's least set is its hub: hubs are verified against their members first. Then
-    each key's members that are still apart are compared by their sketches and verified: every pair of
-    unequal sets that shares a key has been verified, lies too far apart by its sketch, or was connected already.
+    members of a key that are still apart are compared by their sketches: the nearest are verified, round by round, until
+    they connect no more, and in the end all that are left. So every pair of unequal sets that shares a
+    key has been verified, lies too far apart by its sketch, or was connected already.
     """
     spark = docs.sparkSession
     rows = chosen(docs, doc_id=doc_id, text=text)
@@ -341,11 +371,22 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
 
     found = materialize(verify(pairs, contents), "ngram-links")
     labels = components(found)
-    more = _rest(members, labels, contents)
+    sketches = contents.select("set_id", "size", "shingles").mapInArrow(_sketch_rows, "set_id bigint, sketch binary")
+    sketches = materialize(sketches, "ngram-sketches")
     tested = pairs.select(F.least("hub", "member").alias("a"), F.greatest("hub", "member").alias("b"))
-    more = more.join(tested, ["a", "b"], "left_anti").select(F.col("a").alias("hub"), F.col("b").alias("member"))
-    more = materialize(verify(more, contents), "ngram-more-links")
-    return sets, found.union(more)
+    nearest = True
+    while True:
+        more = _rest(members, labels, sketches, nearest).join(tested, ["a", "b"], "left_anti")
+        more = materialize(more.select(F.col("a").alias("hub"), F.col("b").alias("member")), "ngram-pairs")
+        linked = materialize(verify(more, contents), "ngram-links")
+        found = found.union(linked)
+        if not nearest:
+            return sets, found
+        # While the nearest ones still connect something, few pairs do; then all that are left.
+        tested = tested.union(more.toDF("a", "b"))
+        nearest = linked.take(1) != []
+        if nearest:
+            labels = components(found)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -392,6 +433,6 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             ids = pa.array(np.concatenate([np.zeros(0, np.int64), *ids]), pa.int64())
             yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "set_id"])
 
-    full = rows.where(has_word).mapInArrow(with_sets, rows.schema.add("set_id", "bigint"))
+    full = rows.where(has_word).mapInArrow(with_sets, StructType([*rows.schema, StructField("set_id", LongType())]))
     full = full.join(kept, ["row_key", "set_id"]).dropDuplicates(["row_key", "set_id"]).select(*flat.columns)
     return full.union(flat.where(~has_word)).toDF(*columns)

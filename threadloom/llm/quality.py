@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from .frames import batch, chosen
 from .text import SpanHash, Texts, shingles_of, texts_of, words_of
@@ -155,7 +156,7 @@ def keep(docs: DataFrame, policy: Policy = STRICT, doc_id: str = "doc_id", text:
     names = [f"__c{i}" for i in range(len(docs.columns))]
     columns = docs.columns
     flat = docs.toDF(*names)
-    schema = flat.schema.add("__failed_measures", "array<bigint>")
+    schema = StructType([*flat.schema, StructField("__failed_measures", ArrayType(LongType()))])
     at_text = columns.index(text)
 
     def run(batches):

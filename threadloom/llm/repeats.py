@@ -233,7 +233,8 @@ def _expanded(batches) -> Iterator:
         keys = zip(rows["anchor"].to_pylist(), rows["one"].to_pylist(), rows["other"].to_pylist(), strict=True)
         segments, copies = rows["segment"].to_pylist(), rows["copies"].to_pylist()
         for k, key in enumerate(keys):
-            if key != at and size >= BLOCK:
+            # Two groups of one anchor may hold the same run, which is no repeat of itself.
+            if at is not None and key != at and (size >= BLOCK or key[0] == at[0]):
                 yield from done(held)
                 held, size = [], 0
             at = key
