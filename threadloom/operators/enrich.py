@@ -24,14 +24,6 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, NOT_WORD), "")
 
 
-def _run(size: int) -> Column:
-    """``size`` words from ``word_no`` on, as written; null past the end."""
-    if size == 1:
-        return F.col("word")
-    fits = F.col("word_no") + size <= F.size("words")
-    return F.when(fits, F.array_join(F.slice("words", F.col("word_no") + 1, size), " "))
-
-
 def alias_table(aliases: DataFrame) -> DataFrame:
     """The dictionary with every alias as lower-case words and their number."""
     words = _words(F.lower("alias"))
@@ -41,32 +33,37 @@ def alias_table(aliases: DataFrame) -> DataFrame:
     ).where("alias_size > 0").distinct()
 
 
-def mentions(posts: DataFrame, aliases: DataFrame, max_words: int = 4, text: str = "body") -> DataFrame:
+def mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
     """Occurrences of aliases as whole words, case-insensitive, the surface form kept.
 
     Dictionary: ``alias`` and any label columns, which come out as they are.
     Word runs are looked up by equality, so the dictionary may have any size and
-    no post meets an alias it does not contain. Equal forms in one sentence count once.
+    no post meets an alias it does not contain. Runs are built for the numbers of
+    words that aliases have, whatever the longest. Equal forms in one sentence count once.
     """
+    table = alias_table(aliases)
     spoken = sentences(posts, text).select("post_id", "sentence_no", _words(F.col("sentence")).alias("words"))
-    spelled = spoken.select("*", F.posexplode("words").alias("word_no", "word"))
-    runs = F.array(*[_run(n) for n in range(1, max_words + 1)])
-    forms = spelled.select("post_id", "sentence_no", F.explode(runs).alias("form")).where("form IS NOT NULL")
+    sizes = table.agg(F.sort_array(F.collect_set("alias_size")).alias("sizes")).scalar()
+    spelled = spoken.select("post_id", "sentence_no", "words", sizes.alias("sizes"), F.posexplode("words").alias("word_no", "word"))
+    fitting = F.filter("sizes", lambda n: F.col("word_no") + n <= F.size("words"))
+    runs = spelled.select("post_id", "sentence_no", "words", "word_no", F.explode(fitting).alias("n"))
+    form = F.array_join(F.slice("words", F.col("word_no") + 1, F.col("n")), " ")
+    # A form counts once per sentence, so repeats go before the lookup.
+    forms = runs.select("post_id", "sentence_no", form.alias("form")).distinct()
     keyed = forms.withColumn("alias_key", F.lower("form"))
-    table = alias_table(aliases).where(F.col("alias_size") <= max_words)
     labels = [c for c in aliases.columns if c != "alias"]
     found = keyed.join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
     return found.distinct()
 
 
-def entity_mentions(posts: DataFrame, aliases: DataFrame, max_words: int = 4, text: str = "body") -> DataFrame:
+def entity_mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
     """Distinct surface forms per entity and post: the evidence, one row each."""
-    found = mentions(posts, aliases, max_words, text)
+    found = mentions(posts, aliases, text)
     return found.groupBy("canonical", "form", "post_id").agg(F.count("*").alias("sentences"))
 
 
 def benefit_mentions(
-    posts: DataFrame, aliases: DataFrame, perks: DataFrame, max_words: int = 4, text: str = "body"
+    posts: DataFrame, aliases: DataFrame, perks: DataFrame, text: str = "body"
 ) -> DataFrame:
     """Entities with a perk word in the same or a neighbouring sentence.
 
@@ -78,7 +75,7 @@ def benefit_mentions(
     both = aliases.select(F.lit("entity").alias("kind"), "canonical", "alias").unionByName(
         perks.select(F.lit("perk").alias("kind"), F.col("benefit").alias("canonical"), F.col("keyword").alias("alias"))
     )
-    found = mentions(posts, both, max_words, text).select("kind", "post_id", "sentence_no", "canonical").distinct()
+    found = mentions(posts, both, text).select("kind", "post_id", "sentence_no", "canonical").distinct()
     found = materialize(found, "mentions")
     around = F.array(*[F.col("sentence_no") + d for d in (-1, 0, 1)])
     near = (

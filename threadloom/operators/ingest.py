@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import bare_id
+from ..session import materialize
 from .ranking import keep_first
 
 
@@ -41,12 +42,14 @@ def comments_without_submission(comments: DataFrame, submissions: DataFrame) ->
 def get_or_create_subreddits(known: DataFrame, requested: DataFrame) -> DataFrame:
     """Known communities plus one row per new name; new metadata fills known rows.
 
-    ``requested`` has ``name`` and optional metadata columns. The id of a new
+    ``requested`` has ``name``, metadata columns and ``seq``, the order of the
+    requests: the last value that is not null wins, field by field. The id of a new
     community is a hash of its name, so a replay gives the same id.
     """
     fields = ["display_name", "description", "subscribers"]
-    # The largest non-null value per name: the same in every run, combined on the map side.
-    wanted = requested.groupBy("name").agg(*[F.max(f).alias(f"new_{f}") for f in fields])
+    wanted = requested.groupBy("name").agg(
+        *[F.max_by(f, F.when(F.col(f).isNotNull(), F.col("seq"))).alias(f"new_{f}") for f in fields]
+    )
     joined = known.join(wanted, "name", "full_outer")
     created = F.col("id").isNull()
     values = {f: F.coalesce(F.col(f"new_{f}"), F.col(f)) for f in fields}
@@ -208,24 +211,43 @@ def ingest_batch(
     stored_comments: DataFrame,
     as_of: Column,
     order: Sequence[str] = ("created_utc",),
+    comment_order: Sequence[str] | None = None,
+    session_id: str = "load",
 ) -> dict[str, DataFrame]:
-    """A whole load: new submissions, their new comments, queue rows, rejects, totals.
+    """A whole load: new submissions, their new comments, queue rows, rejects, totals, session events.
 
     Inputs carry ``reddit_id, id`` and, for comments, ``link_id``; submissions
-    also ``subreddit_id``. Nothing is written here, so a caller can write every
+    also ``subreddit_id``. Each input is deduped and looked up once, into a table
+    that all parts read, so they hold the same copies: ties in ``order`` are broken by
+    the row's content. Nothing is stored here, so a caller can write every
     part under its own batch id and repeat it safely.
     """
-    by = [F.asc(c) for c in order]
-    submissions = new_rows(submission_docs, stored_submissions, by)
+    by = lambda df, columns: [*[F.asc(c) for c in columns], F.xxhash64(*df.columns)]
+    submissions = new_rows(submission_docs, stored_submissions, by(submission_docs, order))
+    submissions = materialize(submissions, "load-submissions")
     known = ["reddit_id", "id", "subreddit_id"]
     posts = stored_submissions.select(*known).unionByName(submissions.select(*known))
-    first = new_rows(comment_docs, stored_comments, by)
-    comments = comment_to_submission(first, posts)
-    rejected = comments_without_submission(first, posts)
+    posts = posts.select(F.col("reddit_id").alias("post"), F.col("id").alias("submission_row"), "subreddit_id")
+    comment_order = order if comment_order is None else comment_order
+    first = new_rows(comment_docs, stored_comments, by(comment_docs, comment_order)).withColumn("post", bare_id("link_id"))
+    placed = materialize(first.join(posts, "post", "left").drop("post"), "load-comments")
+    comments = placed.where("submission_row IS NOT NULL")
+    rejected = placed.where("submission_row IS NULL").drop("submission_row", "subreddit_id")
     queue = enqueue(submissions, "submission", as_of).unionByName(enqueue(comments, "comment", as_of))
     totals = submission_docs.agg(F.count("*").alias("submissions_found")).select(
         "submissions_found",
         submissions.agg(F.count("*")).scalar().alias("submissions_scraped"),
         comments.agg(F.count("*")).scalar().alias("comments_scraped"),
     )
-    return {"submissions": submissions, "comments": comments, "queue": queue, "rejected": rejected, "totals": totals}
+    at = as_of.cast("timestamp")
+    nothing, words = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    names = ["session_id", "seq", "at", "status", "submissions_found", "comments_scraped", "error_message"]
+    event = lambda *values: F.struct(*[v.alias(n) for v, n in zip(values, names[1:], strict=True)])
+    began = event(F.lit(1), at, F.lit("running"), nothing, nothing, words)
+    lost = rejected.agg(F.count("*")).scalar()
+    note = F.when(lost > 0, F.concat(lost.cast("string"), F.lit(" comments without a submission")))
+    ended = event(F.lit(2), at, F.lit("success"), F.col("submissions_found"), F.col("comments_scraped"), note)
+    events = totals.select(F.lit(session_id), F.inline(F.array(began, ended))).toDF(*names)
+    return {
+        "submissions": submissions, "comments": comments, "queue": queue, "rejected": rejected, "totals": totals, "events": events,
+    }

@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import materialize
 
 PAGE = 500
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _maps(df: DataFrame) -> set[str]:
+    """Columns that have no order or hash."""
+    return {f.name for f in df.schema if any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))}
 
 
 def top_per_group(
@@ -17,9 +23,16 @@ def top_per_group(
     """First ``k`` rows of every group.
 
     The filter on ``row_number`` lets Spark keep only ``k`` rows per group and
-    task before the shuffle, so the size of a group never reaches one task.
+    task before the shuffle, so the size of a group never reaches one task. Spark
+    does so up to a threshold of its own; a larger ``k`` takes exact positions,
+    which need no group in one task. Rows that tie in ``order`` are then told
+    apart by their content.
     """
     name = rank or "__rank"
+    if k > int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
+        content = F.xxhash64(*[F.col(c) for c in df.columns if c not in _maps(df)])
+        top = number_rows(df, keys, [*order, content], name).where(F.col(name) <= k)
+        return top if rank else top.drop(name)
     window = Window.partitionBy(*keys).orderBy(*order)
     top = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
     return top.withColumn(name, F.col(name).cast("bigint")) if rank else top.drop(name)

@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import like_pattern
-from .stats import comments_per_submission
+from .stats import comments_of, comments_per_submission
 from .views import in_subreddit, with_subreddit
 
 # Length of a listing's time filter.
@@ -77,7 +77,7 @@ def title_search(
 ) -> DataFrame:
     """Titles with the term by score, with community and comment count."""
     found = submissions.where(matches_any([term], ["title"], literal))
-    counted = comments_per_submission(found, comments)
+    counted = comments_per_submission(found, comments_of(found, comments))
     return with_subreddit(counted, subreddits).orderBy(F.desc_nulls_first("score"), F.asc("reddit_id"))
 
 

@@ -20,6 +20,12 @@ def comments_per_submission(submissions: DataFrame, comments: DataFrame) -> Data
     return joined.withColumn("comment_count", null_to_zero("comment_count"))
 
 
+def comments_of(submissions: DataFrame, comments: DataFrame) -> DataFrame:
+    """The comments of a few posts, before anything is counted."""
+    ids = submissions.select(F.col("reddit_id").alias("submission_id"))
+    return comments.join(ids, "submission_id", "left_semi")
+
+
 def submissions_with_comments(submissions: DataFrame, comments: DataFrame) -> DataFrame:
     """Submissions that have at least one comment."""
     ids = comments.select(F.col("submission_id").alias("reddit_id")).distinct()
@@ -66,8 +72,8 @@ def subreddit_stats(
         .groupBy("subreddit_id")
         .agg(F.count("*").alias("unique_authors"))
     )
-    replies = comments.groupBy("subreddit_id").agg(
-        F.count("*").alias("total_comments"), F.avg("score").alias("avg_comment_score")
+    replies = _placed(comments, submissions).agg(
+        F.sum("n").alias("total_comments"), (F.sum("total") / F.sum("scored")).alias("avg_comment_score")
     )
     base = wanted.select(F.col("id").alias("subreddit_id"), F.col("name").alias("subreddit"))
     joined = reduce(lambda a, b: a.join(b, "subreddit_id", "left"), [posts, authors, replies], base)
@@ -78,6 +84,22 @@ def subreddit_stats(
     return joined.select("subreddit", *[null_to_zero(c).alias(c) for c in names])
 
 
+def _placed(comments: DataFrame, submissions: DataFrame):
+    """Comments added up per post, then placed in the post's community: the join sees one row per post."""
+    per_post = comments.groupBy("submission_id").agg(
+        F.count("*").alias("n"), F.sum("score").alias("total"), F.count("score").alias("scored")
+    )
+    places = submissions.select(F.col("reddit_id").alias("submission_id"), "subreddit_id")
+    return per_post.join(places, "submission_id").groupBy("subreddit_id")
+
+
+def comments_per_subreddit(subreddits: DataFrame, submissions: DataFrame, comments: DataFrame) -> DataFrame:
+    """Comments per community, largest first; communities without any stay with 0."""
+    counts = _placed(comments, submissions).agg(F.sum("n").alias("comment_count"))
+    joined = subreddits.join(counts, subreddits["id"] == counts["subreddit_id"], "left")
+    return joined.select("name", null_to_zero("comment_count").alias("comment_count")).orderBy(F.desc("comment_count"), F.asc("name"))
+
+
 def per_subreddit(subreddits: DataFrame, content: DataFrame, count: str) -> DataFrame:
     """Rows per community, largest first; communities without rows stay with 0."""
     counts = content.groupBy("subreddit_id").agg(F.count("*").alias(count))
@@ -115,9 +137,9 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def latest_submissions_per_subreddit(submissions: DataFrame, comments: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` newest posts per community with their comment count."""
+    """The ``k`` newest posts per community with their comment count; only their comments are counted."""
     top = top_per_group(submissions, ["subreddit_id"], [F.desc("first_seen_at"), F.asc("reddit_id")], k, "position")
-    return comments_per_submission(top, comments)
+    return comments_per_submission(top, comments_of(top, comments))
 
 
 def top_comments_per_submission(comments: DataFrame, k: int) -> DataFrame:

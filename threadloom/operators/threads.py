@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import bare_id
 from ..session import materialize
-from .ranking import number_rows, top_per_group
+from .ranking import keep_first, number_rows, top_per_group
 
 
 def thread_depth(comments: DataFrame, with_path: bool = True, carry: Sequence[str] = ()) -> DataFrame:
@@ -37,6 +37,8 @@ def thread_depth(comments: DataFrame, with_path: bool = True, carry: Sequence[st
         *carry,
     ).withColumn("state", F.when(F.col("up") == F.col("link"), "reached").otherwise("open"))
 
+    # One row per id: a repeated id would multiply the rows below it.
+    nodes = keep_first(nodes, ["link", "id"], [F.asc("ord"), F.asc("up")])
     current = materialize(nodes, "thread-round")
     finished: list[DataFrame] = []
     still_open, before = current.where("state = 'open'").count(), -1
@@ -77,6 +79,9 @@ def _take_over(open_rows: DataFrame, known: DataFrame, with_path: bool, carry: S
         F.col("state").alias("upper_state"),
         *([F.col("path").alias("upper_path")] if with_path else []),
     )
+    # Few open rows are left after some rounds; only what they point at has to move.
+    pointed = open_rows.select("link", "up").distinct()
+    upper = upper.join(pointed, ["link", "up"], "left_semi")
     found = F.col("upper_state").isNotNull()
     joined = open_rows.join(upper, ["link", "up"], "left")
     return joined.select(

@@ -64,17 +64,14 @@ def words_by_frequency(
 ) -> DataFrame:
     """Frequencies, most frequent first, ties by first appearance.
 
-    ``position`` numbers the documents of one group. A token index is below
-    2**31, so document and index fit one bigint: the minimum stays a hash
+    ``position`` numbers the documents of one group, in any bigint. A token index
+    is below 2**31, so document and index fit one decimal: the minimum stays a hash
     aggregate, where a struct would force a sort of every token.
     """
-    small = F.col(position) < F.lit(1 << 32)
-    base = F.when(small, F.shiftleft(F.col(position).cast("bigint"), 31)).otherwise(
-        F.raise_error(F.lit("document positions of one group must stay below 2**32"))
-    )
+    base = F.col(position).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)")
     pieces = df.select(*by, base.alias("base"), F.posexplode(raw_tokens(*fields)).alias("index", "piece"))
     seen = pieces.where("piece <> ''").groupBy(*by, "piece").agg(
-        F.count("*").alias("n"), F.min(F.col("base") + F.col("index")).alias("at")
+        F.count("*").alias("n"), F.min((F.col("base") + F.col("index")).cast("decimal(38,0)")).alias("at")
     )
     counted = (
         seen.select(*by, clean_word("piece").alias("word"), "n", "at")

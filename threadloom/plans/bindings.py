@@ -12,7 +12,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.ranking import keep_first
-from ..session import spread
 from ..sources.tables import parquet_table
 
 SUBREDDITS = [
@@ -67,6 +66,12 @@ COMMENTS = [
     "l_shipdate + INTERVAL 1 HOUR * (l_partkey % 72) AS first_seen_at",
     "CAST(l_linenumber AS BIGINT) AS ord",
 ]
+# The stored comments: an id that is unique in the table, so that reads need no dedupe.
+STORED_ID = (
+    "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || "
+    "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)"
+)
+STORED_COMMENTS = [f"'c' || {STORED_ID} AS id", f"{STORED_ID} AS reddit_id", *COMMENTS[2:]]
 # First of all copies of a comment id, in this order of the raw columns.
 FIRST_COPY = [
     "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax",
@@ -208,6 +213,7 @@ SQL_TABLES = {
     "submissions": _select(SUBMISSIONS, "orders JOIN customer ON o_custkey = c_custkey"),
     "comments": _select(COMMENTS, _FIRST),
     "raw_comments": _select(COMMENTS, "lineitem"),
+    "stored_comments": _select(STORED_COMMENTS, "lineitem"),
     "sessions": _select(SESSIONS, "events"),
     "queue": _select(QUEUE, "events"),
     "queue_log": _select(QUEUE_LOG, "events"),
@@ -263,16 +269,15 @@ class Tables:
         return self.stored("lineitem").selectExpr(*COMMENTS)
 
     @cached_property
-    def comments(self) -> DataFrame:
-        order = [F.asc(c) for c in FIRST_COPY]
-        lines = spread(self.stored("lineitem"), "l_orderkey", "l_partkey", "l_suppkey")
-        return keep_first(lines, ["l_orderkey", "l_linenumber"], order).selectExpr(*COMMENTS)
+    def stored_comments(self) -> DataFrame:
+        """Comments as a load has left them: unique by id, filters and limits reach the scan."""
+        return self.stored("lineitem").selectExpr(*STORED_COMMENTS)
 
     @cached_property
-    def placed_comments(self) -> DataFrame:
-        """Comments with the community of their post."""
-        places = self.submissions.select(F.col("reddit_id").alias("submission_id"), "subreddit_id")
-        return self.comments.join(places, "submission_id")
+    def comments(self) -> DataFrame:
+        """The raw feed with one row per comment id."""
+        order = [F.asc(c) for c in FIRST_COPY]
+        return keep_first(self.stored("lineitem"), ["l_orderkey", "l_linenumber"], order).selectExpr(*COMMENTS)
 
     def _bound(self, name: str, expressions: list[str]) -> DataFrame:
         return self.stored(name).selectExpr(*expressions)
@@ -323,7 +328,7 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return spread(self.stored("documents"), "doc_id")
+        return self.stored("documents")
 
 
 def newest(table: DataFrame, time: str) -> Column:

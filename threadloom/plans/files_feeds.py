@@ -583,10 +583,9 @@ def sink_stream_append(t: Tables) -> DataFrame:
 
 @query("sink_stream_console", "SELECT count(*) AS shown FROM events")
 def sink_stream_console(t: Tables) -> DataFrame:
-    running = feeds.show(live(t), scratch_path(t.spark, "console-checkpoint"), rows=0)
-    running.awaitTermination()
-    shown = sum(p["numInputRows"] for p in running.recentProgress)
-    return t.spark.range(1).select(F.lit(shown).cast("bigint").alias("shown"))
+    counts = scratch_path(t.spark, "console-counts")
+    feeds.show(live(t), scratch_path(t.spark, "console-checkpoint"), counts, rows=0).awaitTermination()
+    return t.spark.read.schema("shown BIGINT").parquet(counts).agg(F.sum("shown").alias("shown"))
 
 
 @query("stream_session_stats", f"""SELECT type, subreddit, {iso('min(created_utc)')} AS stream_start, {iso('max(created_utc)')} AS stream_end,

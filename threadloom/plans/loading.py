@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -52,7 +54,7 @@ def comments_without_submission(t: Tables) -> DataFrame:
 
 ASKED = """(SELECT 'NATION_' || (c_nationkey + CASE WHEN c_custkey % 10 = 0 THEN 20 ELSE 0 END) AS name,
       CAST(NULL AS STRING) AS display_name, CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS description,
-      CAST(c_custkey AS BIGINT) AS subscribers FROM customer)"""
+      CAST(c_custkey % 1000 AS BIGINT) AS subscribers, c_custkey AS seq FROM customer)"""
 
 
 def asked(t: Tables) -> DataFrame:
@@ -60,12 +62,16 @@ def asked(t: Tables) -> DataFrame:
         "'NATION_' || (c_nationkey + CASE WHEN c_custkey % 10 = 0 THEN 20 ELSE 0 END) AS name",
         "CAST(NULL AS STRING) AS display_name",
         "CASE WHEN c_acctbal > 0 THEN c_mktsegment END AS description",
-        "c_custkey AS subscribers",
+        "CAST(c_custkey % 1000 AS BIGINT) AS subscribers",
+        "c_custkey AS seq",
     )
 
 
 @query("get_or_create_subreddits", f"""
-    WITH wanted AS (SELECT name, max(description) AS d, max(subscribers) AS n FROM {ASKED} GROUP BY 1)
+    WITH asked AS (SELECT * FROM {ASKED}), names AS (SELECT DISTINCT name FROM asked),
+    described AS (SELECT name, description AS d FROM asked WHERE description IS NOT NULL QUALIFY row_number() OVER (PARTITION BY name ORDER BY seq DESC) = 1),
+    counted AS (SELECT name, subscribers AS n FROM asked WHERE subscribers IS NOT NULL QUALIFY row_number() OVER (PARTITION BY name ORDER BY seq DESC) = 1),
+    wanted AS (SELECT * FROM names LEFT JOIN described USING (name) LEFT JOIN counted USING (name))
     SELECT coalesce(CAST(r.id AS STRING), sha256(name)) AS id, name, coalesce(r.display_name, name) AS display_name,
       coalesce(d, r.description) AS description, coalesce(n, r.subscribers) AS subscribers, r.id IS NULL AS created
     FROM subreddits r FULL OUTER JOIN wanted w USING (name)""")
@@ -167,13 +173,21 @@ KNOWN_POST = "(SELECT reddit_id FROM submissions WHERE processing_status <> 'pen
 
 
 @query("ingest_batch", f"""
-    SELECT 'submissions' AS part, count(*) AS rows FROM submissions WHERE processing_status = 'processing'
-    UNION ALL SELECT 'comments', count(*) FROM comments WHERE NOT reddit_id IN (SELECT reddit_id FROM raw_comments WHERE is_submitter)
-      AND submission_id IN {KNOWN_POST}
-    UNION ALL SELECT 'rejected', count(*) FROM comments WHERE NOT reddit_id IN (SELECT reddit_id FROM raw_comments WHERE is_submitter)
-      AND submission_id NOT IN {KNOWN_POST}
-    UNION ALL SELECT 'queue', (SELECT count(*) FROM submissions WHERE processing_status = 'processing') + count(*)
-      FROM comments WHERE NOT reddit_id IN (SELECT reddit_id FROM raw_comments WHERE is_submitter) AND submission_id IN {KNOWN_POST}""")
+    WITH arrived AS (SELECT * FROM comments WHERE NOT reddit_id IN (SELECT reddit_id FROM raw_comments WHERE is_submitter)),
+    posted AS (SELECT * FROM submissions WHERE processing_status = 'processing'),
+    found AS (SELECT a.*, s.id AS submission_row, s.subreddit_id FROM arrived a
+      LEFT JOIN (SELECT * FROM submissions WHERE processing_status <> 'pending') s ON a.submission_id = s.reddit_id)
+    SELECT 'submissions' AS part, reddit_id, title AS text, score, id AS place, CAST(subreddit_id AS BIGINT) AS number FROM posted
+    UNION ALL SELECT 'comments', reddit_id, body, score, submission_row, subreddit_id FROM found WHERE submission_row IS NOT NULL
+    UNION ALL SELECT 'rejected', reddit_id, body, score, NULL, NULL FROM found WHERE submission_row IS NULL
+    UNION ALL SELECT 'queue', reddit_id, 'submission', 1, id, NULL FROM posted
+    UNION ALL SELECT 'queue', reddit_id, 'comment', 0, id, NULL FROM found WHERE submission_row IS NOT NULL
+    UNION ALL SELECT 'totals', 'found', NULL, NULL, NULL, count(*) FROM submissions WHERE processing_status <> 'pending'
+    UNION ALL SELECT 'totals', 'submissions', NULL, NULL, NULL, count(*) FROM posted
+    UNION ALL SELECT 'totals', 'comments', NULL, NULL, NULL, count(*) FROM found WHERE submission_row IS NOT NULL
+    UNION ALL SELECT 'events', 'load', 'running', 1, NULL, NULL
+    UNION ALL SELECT 'events', 'load', 'success', 2, (SELECT count(*) || ' comments without a submission' FROM found WHERE submission_row IS NULL),
+      (SELECT count(*) FROM found WHERE submission_row IS NOT NULL)""")
 def ingest_batch(t: Tables) -> DataFrame:
     """Finished posts are stored, running ones arrive, pending ones are unknown."""
     parts = ingest.ingest_batch(
@@ -182,24 +196,29 @@ def ingest_batch(t: Tables) -> DataFrame:
         t.submissions.where("processing_status = 'completed'"),
         t.raw_comments.where("is_submitter"),
         _last_event(t),
-        order=["created_utc"],
+        comment_order=FIRST_COPY,
     )
-    names = ["submissions", "comments", "rejected", "queue"]
-    counts = [parts[n].agg(F.count("*").alias("rows")).withColumn("part", F.lit(n)) for n in names]
-    result = counts[0]
-    for c in counts[1:]:
-        result = result.unionByName(c)
-    return result
+    number = "CAST(NULL AS BIGINT)"
+    totals = "stack(3, 'found', submissions_found, 'submissions', submissions_scraped, 'comments', comments_scraped) AS (reddit_id, number)"
+    rows = [
+        parts["submissions"].selectExpr("'submissions' AS part", "reddit_id", "title AS text", "score", "id AS place", "CAST(subreddit_id AS BIGINT) AS number"),
+        parts["comments"].selectExpr("'comments'", "reddit_id", "body", "score", "submission_row", "CAST(subreddit_id AS BIGINT)"),
+        parts["rejected"].selectExpr("'rejected'", "reddit_id", "body", "score", "CAST(NULL AS STRING)", number),
+        parts["queue"].selectExpr("'queue'", "reddit_id", "content_type", "priority", "content_id", number),
+        parts["totals"].selectExpr(totals).selectExpr("'totals'", "reddit_id", "CAST(NULL AS STRING)", "CAST(NULL AS INT)", "CAST(NULL AS STRING)", "number"),
+        parts["events"].selectExpr("'events'", "session_id", "status", "seq", "error_message", "comments_scraped"),
+    ]
+    return reduce(DataFrame.union, rows)
 
 
 @query("process_pending_with", """SELECT id AS item_id, 'complete' AS action, upper(reddit_id) || ':' || priority AS result
-    FROM queue WHERE processing_status = 'pending' ORDER BY priority DESC, queued_at, id LIMIT 100""")
+    FROM queue WHERE processing_status = 'pending'""")
 def process_pending_with(t: Tables) -> DataFrame:
     def process(batch: pd.DataFrame) -> pd.DataFrame:
         text = batch["reddit_id"].str.upper() + ":" + batch["priority"].astype(str)
         return pd.DataFrame({"item_id": batch["id"], "action": "complete", "result": text})
 
-    pending = reads.pending_queue(t.queue).select("id", "reddit_id", "priority")
+    pending = t.queue.where("processing_status = 'pending'").select("id", "reddit_id", "priority")
     return enrich.process_pending_with(pending, process, "item_id string, action string, result string")
 
 

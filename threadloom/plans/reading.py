@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import iso_time
@@ -40,13 +42,26 @@ def _last_event(t: Tables):
     return newest(t.stored("events"), "ts")
 
 
-@query("scan_tables", """SELECT l_returnflag, l_linestatus, count(*) AS row_count, max(l_quantity) AS largest
-    FROM lineitem WHERE l_quantity >= 45 GROUP BY ALL""")
+# Each stored table with its first key.
+KEYED = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+    "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "embeddings": "vec_id",
+    "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
+}
+
+
+@query("scan_tables", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count, count({c}) AS keyed, min({c})::BIGINT AS least, max({c})::BIGINT AS largest FROM {n}"
+    for n, c in KEYED.items()))
 def scan_tables(t: Tables) -> DataFrame:
-    lines = t.stored("lineitem").where("l_quantity >= 45")
-    return lines.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("row_count"), F.max("l_quantity").alias("largest")
-    )
+    parts = [
+        t.stored(n).agg(
+            F.lit(n).alias("table_name"), F.count("*").alias("row_count"), F.count(c).alias("keyed"),
+            F.min(c).cast("bigint").alias("least"), F.max(c).cast("bigint").alias("largest"),
+        )
+        for n, c in KEYED.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("api_submission_view", f"SELECT {SUB_COLS} {SUB_FROM}")
@@ -54,9 +69,9 @@ def api_submission_view(t: Tables) -> DataFrame:
     return _posts(t, t.submissions)
 
 
-@query("api_comment_view", f"SELECT {COM_COLS} FROM comments c")
+@query("api_comment_view", f"SELECT {COM_COLS} FROM stored_comments c")
 def api_comment_view(t: Tables) -> DataFrame:
-    return views.comment_view(t.comments)
+    return views.comment_view(t.stored_comments)
 
 
 @query("api_session_view", f"""SELECT s.id, task_id, task_type, r.name AS subreddit, category, n_results, keywords,
@@ -89,9 +104,9 @@ def api_queue_view(t: Tables) -> DataFrame:
     FROM submissions
     UNION ALL
     SELECT reddit_id, 'body', substring(replace(body, chr(10), ' '), 1, 100) || '...',
-      CASE WHEN length(body) > 200 THEN substring(body, 1, 200) || '...' ELSE body END FROM comments""")
+      CASE WHEN length(body) > 200 THEN substring(body, 1, 200) || '...' ELSE body END FROM stored_comments""")
 def preview_text(t: Tables) -> DataFrame:
-    return views.previews(t.comments, t.submissions)
+    return views.previews(t.stored_comments, t.submissions)
 
 
 @query("content_flags", """SELECT reddit_id, concat_ws(', ',
@@ -132,10 +147,10 @@ def keyword_search(t: Tables) -> DataFrame:
 
 @query("title_search", f"""SELECT s.reddit_id, s.title, s.author, s.score, r.name AS subreddit,
       {iso('s.created_utc')} AS created_utc, coalesce(n, 0) AS comment_count
-    {SUB_FROM} LEFT JOIN (SELECT submission_id, count(*) AS n FROM comments GROUP BY 1) c ON c.submission_id = s.reddit_id
+    {SUB_FROM} LEFT JOIN (SELECT submission_id, count(*) AS n FROM stored_comments GROUP BY 1) c ON c.submission_id = s.reddit_id
     WHERE s.title ILIKE '%urgent%'""")
 def title_search(t: Tables) -> DataFrame:
-    found = reads.title_search(t.submissions, t.subreddits, t.comments, "urgent")
+    found = reads.title_search(t.submissions, t.subreddits, t.stored_comments, "urgent")
     return found.select("reddit_id", "title", "author", "score", "subreddit", iso_time("created_utc").alias("created_utc"), "comment_count")
 
 
@@ -145,20 +160,20 @@ def author_submissions(t: Tables) -> DataFrame:
     return _posts(t, reads.by_author(t.submissions, "u/7"))
 
 
-@query("author_comments", f"""SELECT {COM_COLS} FROM comments c WHERE author = 'u/7'
+@query("author_comments", f"""SELECT {COM_COLS} FROM stored_comments c WHERE author = 'u/7'
     ORDER BY c.created_utc DESC, c.reddit_id LIMIT 100""")
 def author_comments(t: Tables) -> DataFrame:
-    return views.comment_view(reads.by_author(t.comments, "u/7"))
+    return views.comment_view(reads.by_author(t.stored_comments, "u/7"))
 
 
 @query("author_activity_union", f"""
     (SELECT reddit_id, author, {iso('created_utc')} AS created_utc, score, 'submission' AS content_type FROM submissions x
      WHERE author = 'u/7' ORDER BY x.created_utc DESC, reddit_id LIMIT 100)
     UNION ALL
-    (SELECT reddit_id, author, {iso('created_utc')}, score, 'comment' FROM comments x
+    (SELECT reddit_id, author, {iso('created_utc')}, score, 'comment' FROM stored_comments x
      WHERE author = 'u/7' ORDER BY x.created_utc DESC, reddit_id LIMIT 100)""")
 def author_activity_union(t: Tables) -> DataFrame:
-    both = reads.author_activity(t.posts, t.comments, "u/7")
+    both = reads.author_activity(t.posts, t.stored_comments, "u/7")
     return both.withColumn("created_utc", iso_time("created_utc"))
 
 
@@ -181,9 +196,9 @@ def session_history(t: Tables) -> DataFrame:
     return rows.select("id", "status", iso_time("started_at").alias("started_at"))
 
 
-@query("exclude_deleted_authors", "SELECT reddit_id, author FROM comments WHERE author <> '[deleted]'")
+@query("exclude_deleted_authors", "SELECT reddit_id, author FROM stored_comments WHERE author <> '[deleted]'")
 def exclude_deleted_authors(t: Tables) -> DataFrame:
-    return reads.exclude_deleted(t.comments).select("reddit_id", "author")
+    return reads.exclude_deleted(t.stored_comments).select("reddit_id", "author")
 
 
 @query("top_submissions_by_score", f"""SELECT {SUB_COLS} {SUB_FROM}
@@ -205,10 +220,10 @@ def latest_submissions(t: Tables) -> DataFrame:
     return rows.select("reddit_id", views.preview("title", 50).alias("title"))
 
 
-@query("latest_comments", """SELECT reddit_id, substring(body, 1, 50) || '...' AS body FROM comments
+@query("latest_comments", """SELECT reddit_id, substring(body, 1, 50) || '...' AS body FROM stored_comments
     ORDER BY first_seen_at DESC, reddit_id LIMIT 3""")
 def latest_comments(t: Tables) -> DataFrame:
-    rows = reads.latest(t.comments, "first_seen_at", 3)
+    rows = reads.latest(t.stored_comments, "first_seen_at", 3)
     return rows.select("reddit_id", views.preview("body", 50).alias("body"))
 
 
@@ -264,7 +279,7 @@ def unique_subreddits(t: Tables) -> DataFrame:
 NESTED = """(SELECT submission_id, (rn - 1) // 4 AS page,
       string_agg(reddit_id || ':' || score, ' ' ORDER BY rn) AS comments
     FROM (SELECT submission_id, reddit_id, score,
-            row_number() OVER (PARTITION BY submission_id ORDER BY created_utc, reddit_id) AS rn FROM comments)
+            row_number() OVER (PARTITION BY submission_id ORDER BY created_utc, reddit_id) AS rn FROM stored_comments)
     GROUP BY ALL)"""
 
 
@@ -276,14 +291,14 @@ def _as_text(pages: DataFrame) -> DataFrame:
 @query("submission_with_comments", f"""SELECT s.reddit_id, coalesce(c.page, 0) AS page, coalesce(c.comments, '') AS comments
     FROM submissions s LEFT JOIN {NESTED} c ON s.reddit_id = c.submission_id""")
 def submission_with_comments(t: Tables) -> DataFrame:
-    pages = stats.nested_comments(t.posts.select("reddit_id"), t.comments, ["reddit_id", "score"], page_size=4)
+    pages = stats.nested_comments(t.posts.select("reddit_id"), t.stored_comments, ["reddit_id", "score"], page_size=4)
     return _as_text(pages)
 
 
 STATS = """(SELECT submission_id, count(*) AS total_comments, count(*) FILTER (score >= 10) AS high_score_comments,
       count(*) FILTER (score BETWEEN 1 AND 9) AS medium_score_comments, count(*) FILTER (score < 1) AS low_score_comments,
       max(score) AS highest_score, min(score) AS lowest_score, avg(score) AS average_score
-    FROM comments GROUP BY 1)"""
+    FROM stored_comments GROUP BY 1)"""
 STAT_COLS = """coalesce(total_comments, 0) AS total_comments, coalesce(high_score_comments, 0) AS high_score_comments,
     coalesce(medium_score_comments, 0) AS medium_score_comments, coalesce(low_score_comments, 0) AS low_score_comments,
     coalesce(highest_score, 0) AS highest_score, coalesce(lowest_score, 0) AS lowest_score,
@@ -298,7 +313,7 @@ STAT_NAMES = [
 @query("post_comment_stats", f"""SELECT s.reddit_id, {STAT_COLS} FROM submissions s
     LEFT JOIN {STATS} k ON s.reddit_id = k.submission_id""")
 def post_comment_stats(t: Tables) -> DataFrame:
-    rows = stats.post_comment_stats(t.posts, t.comments)
+    rows = stats.post_comment_stats(t.posts, t.stored_comments)
     return rows.withColumn("average_score", F.round("average_score", 6))
 
 
@@ -307,7 +322,7 @@ def post_comment_stats(t: Tables) -> DataFrame:
     {SUB_FROM} LEFT JOIN {STATS} k ON s.reddit_id = k.submission_id
     LEFT JOIN {NESTED} c ON s.reddit_id = c.submission_id""")
 def full_post(t: Tables) -> DataFrame:
-    pages = _as_text(stats.full_post(t.submissions, t.subreddits, t.comments, page_size=4))
+    pages = _as_text(stats.full_post(t.submissions, t.subreddits, t.stored_comments, page_size=4))
     numbers = [c for c in pages.columns if c in STAT_NAMES]
     return pages.withColumn("average_score", F.round("average_score", 6)).select(
         "reddit_id", "title", "author", "subreddit", *numbers, "page", "comments"
@@ -315,10 +330,9 @@ def full_post(t: Tables) -> DataFrame:
 
 
 @query("submissions_having_comments", """SELECT reddit_id, title FROM submissions
-    WHERE reddit_id IN (SELECT submission_id FROM comments)""")
+    WHERE reddit_id IN (SELECT submission_id FROM stored_comments)""")
 def submissions_having_comments(t: Tables) -> DataFrame:
-    # Copies of a comment cannot change which posts have one.
-    return stats.submissions_with_comments(t.posts, t.raw_comments).select("reddit_id", "title")
+    return stats.submissions_with_comments(t.posts, t.stored_comments).select("reddit_id", "title")
 
 
 @query("subreddit_stats", f"""SELECT r.name AS subreddit, coalesce(p.n, 0) AS total_submissions,
@@ -330,9 +344,9 @@ def submissions_having_comments(t: Tables) -> DataFrame:
         count(*) FILTER (created_utc >= {LAST_POST} - INTERVAL 7 DAY) AS w FROM submissions GROUP BY 1) p
       ON p.subreddit_id = r.id
     LEFT JOIN (SELECT s.subreddit_id, count(*) AS n, avg(c.score) AS a
-        FROM comments c JOIN submissions s ON c.submission_id = s.reddit_id GROUP BY 1) k ON k.subreddit_id = r.id""")
+        FROM stored_comments c JOIN submissions s ON c.submission_id = s.reddit_id GROUP BY 1) k ON k.subreddit_id = r.id""")
 def subreddit_stats(t: Tables) -> DataFrame:
-    rows = stats.subreddit_stats(t.subreddits, t.submissions, t.placed_comments, _last_post(t))
+    rows = stats.subreddit_stats(t.subreddits, t.submissions, t.stored_comments, _last_post(t))
     return rows.withColumn("avg_score", F.round("avg_score", 6)).withColumn("avg_comment_score", F.round("avg_comment_score", 6))
 
 
@@ -342,55 +356,55 @@ def submissions_per_subreddit(t: Tables) -> DataFrame:
     return stats.per_subreddit(t.subreddits, t.submissions, "submission_count")
 
 
-PLACED = "(SELECT c.*, s.subreddit_id FROM comments c JOIN submissions s ON c.submission_id = s.reddit_id)"
+PLACED = "(SELECT c.*, s.subreddit_id FROM stored_comments c JOIN submissions s ON c.submission_id = s.reddit_id)"
 
 
 @query("comments_per_subreddit", f"""SELECT r.name, count(c.reddit_id) AS comment_count
     FROM subreddits r LEFT JOIN {PLACED} c ON c.subreddit_id = r.id GROUP BY 1""")
 def comments_per_subreddit(t: Tables) -> DataFrame:
-    return stats.per_subreddit(t.subreddits, t.placed_comments, "comment_count")
+    return stats.comments_per_subreddit(t.subreddits, t.submissions, t.stored_comments)
 
 
 @query("ranked_listing", f"""SELECT row_number() OVER (ORDER BY comment_count DESC, author) AS position, author AS name, comment_count
-    FROM (SELECT author, count(*) AS comment_count FROM comments WHERE author <> '[deleted]' GROUP BY 1)""")
+    FROM (SELECT author, count(*) AS comment_count FROM stored_comments WHERE author <> '[deleted]' GROUP BY 1)""")
 def ranked_listing(t: Tables) -> DataFrame:
-    named = reads.exclude_deleted(t.comments)
+    named = reads.exclude_deleted(t.stored_comments)
     counts = named.groupBy(F.col("author").alias("name")).agg(F.count("*").alias("comment_count"))
     return stats.ranked_listing(counts, "comment_count")
 
 
 @query("comments_per_submission", """SELECT s.reddit_id, s.title, coalesce(n, 0) AS comment_count FROM submissions s
-    LEFT JOIN (SELECT submission_id, count(*) AS n FROM comments GROUP BY 1) c ON s.reddit_id = c.submission_id""")
+    LEFT JOIN (SELECT submission_id, count(*) AS n FROM stored_comments GROUP BY 1) c ON s.reddit_id = c.submission_id""")
 def comments_per_submission(t: Tables) -> DataFrame:
-    return stats.comments_per_submission(t.posts, t.comments).select("reddit_id", "title", "comment_count")
+    return stats.comments_per_submission(t.posts, t.stored_comments).select("reddit_id", "title", "comment_count")
 
 
-@query("top_comment_authors", """SELECT author, count(*) AS comment_count FROM comments WHERE author <> '[deleted]'
+@query("top_comment_authors", """SELECT author, count(*) AS comment_count FROM stored_comments WHERE author <> '[deleted]'
     GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""")
 def top_comment_authors(t: Tables) -> DataFrame:
-    return stats.top_comment_authors(t.comments)
+    return stats.top_comment_authors(t.stored_comments)
 
 
 @query("top_commenters_per_post", """SELECT * FROM (SELECT submission_id, author, count(*) AS comments,
       row_number() OVER (PARTITION BY submission_id ORDER BY count(*) DESC, author ASC NULLS FIRST) AS position
-    FROM comments WHERE author IS DISTINCT FROM '[deleted]' GROUP BY 1, 2) WHERE position <= 3""")
+    FROM stored_comments WHERE author IS DISTINCT FROM '[deleted]' GROUP BY 1, 2) WHERE position <= 3""")
 def top_commenters_per_post(t: Tables) -> DataFrame:
-    return stats.top_commenters_per_post(t.comments)
+    return stats.top_commenters_per_post(t.stored_comments)
 
 
 @query("global_average_scores", """SELECT 'submissions' AS kind, round(avg(score), 6) AS average_score FROM submissions
-    UNION ALL SELECT 'comments', round(avg(score), 6) FROM comments""")
+    UNION ALL SELECT 'comments', round(avg(score), 6) FROM stored_comments""")
 def global_average_scores(t: Tables) -> DataFrame:
-    rows = stats.global_average_scores(t.posts, t.comments)
+    rows = stats.global_average_scores(t.posts, t.stored_comments)
     return rows.withColumn("average_score", F.round("average_score", 6))
 
 
 @query("table_counts", """SELECT 'subreddits' AS table_name, count(*) AS rows FROM subreddits
-    UNION ALL SELECT 'submissions', count(*) FROM submissions UNION ALL SELECT 'comments', count(*) FROM comments
+    UNION ALL SELECT 'submissions', count(*) FROM submissions UNION ALL SELECT 'comments', count(*) FROM stored_comments
     UNION ALL SELECT 'sessions', count(*) FROM sessions UNION ALL SELECT 'queue', count(*) FROM queue""")
 def table_counts(t: Tables) -> DataFrame:
     return stats.table_counts(
-        {"subreddits": t.subreddits, "submissions": t.posts, "comments": t.comments, "sessions": t.sessions, "queue": t.queue}
+        {"subreddits": t.subreddits, "submissions": t.posts, "comments": t.stored_comments, "sessions": t.sessions, "queue": t.queue}
     )
 
 
@@ -398,48 +412,48 @@ def table_counts(t: Tables) -> DataFrame:
       coalesce(n, 0) AS comment_count
     FROM (SELECT *, row_number() OVER (PARTITION BY subreddit_id ORDER BY first_seen_at DESC, reddit_id) AS position
           FROM submissions) s
-    LEFT JOIN (SELECT submission_id, count(*) AS n FROM comments GROUP BY 1) c ON s.reddit_id = c.submission_id
+    LEFT JOIN (SELECT submission_id, count(*) AS n FROM stored_comments GROUP BY 1) c ON s.reddit_id = c.submission_id
     WHERE position <= 5""")
 def latest5_submissions_per_subreddit(t: Tables) -> DataFrame:
-    rows = stats.latest_submissions_per_subreddit(t.submissions, t.comments)
+    rows = stats.latest_submissions_per_subreddit(t.submissions, t.stored_comments)
     return rows.select("subreddit_id", "position", "reddit_id", "title", "comment_count")
 
 
 TOP = """SELECT submission_id, position, reddit_id, author, score,
       substring(replace(body, chr(10), ' '), 1, {n}) || '...' AS preview{more}
     FROM (SELECT *, row_number() OVER (PARTITION BY submission_id ORDER BY score DESC, reddit_id) AS position,
-            count(*) OVER (PARTITION BY submission_id) AS total FROM comments) WHERE position <= {k}"""
+            count(*) OVER (PARTITION BY submission_id) AS total FROM stored_comments) WHERE position <= {k}"""
 
 
 @query("top2_comments_per_submission", TOP.format(n=80, k=2, more=""))
 def top2_comments_per_submission(t: Tables) -> DataFrame:
-    rows = stats.top_comments_per_submission(t.comments, 2)
+    rows = stats.top_comments_per_submission(t.stored_comments, 2)
     return rows.select("submission_id", "position", "reddit_id", "author", "score",
                        views.preview(views.one_line("body"), 80).alias("preview"))
 
 
 @query("top5_comments_per_submission", TOP.format(n=100, k=5, more=", total AS total_comments"))
 def top5_comments_per_submission(t: Tables) -> DataFrame:
-    rows = stats.top_comments_with_total(t.comments, 5)
+    rows = stats.top_comments_with_total(t.stored_comments, 5)
     return rows.select("submission_id", "position", "reddit_id", "author", "score",
                        views.preview(views.one_line("body"), 100).alias("preview"), "total_comments")
 
 
 @query("banded_comment_preview", """SELECT submission_id, band, position, reddit_id, score FROM (
       SELECT *, row_number() OVER (PARTITION BY submission_id, band ORDER BY created_utc, reddit_id) AS position
-      FROM (SELECT *, CASE WHEN score >= 10 THEN 'high' WHEN score >= 1 THEN 'medium' ELSE 'low' END AS band FROM comments))
+      FROM (SELECT *, CASE WHEN score >= 10 THEN 'high' WHEN score >= 1 THEN 'medium' ELSE 'low' END AS band FROM stored_comments))
     WHERE position <= CASE band WHEN 'high' THEN 10 WHEN 'medium' THEN 5 ELSE 3 END""")
 def banded_comment_preview(t: Tables) -> DataFrame:
-    return stats.banded_comment_preview(t.comments).select("submission_id", "band", "position", "reddit_id", "score")
+    return stats.banded_comment_preview(t.stored_comments).select("submission_id", "band", "position", "reddit_id", "score")
 
 
 @query("comments_by_score", """SELECT submission_id, reddit_id, score,
-      row_number() OVER (PARTITION BY submission_id ORDER BY score DESC, reddit_id) AS position FROM comments""")
+      row_number() OVER (PARTITION BY submission_id ORDER BY score DESC, reddit_id) AS position FROM stored_comments""")
 def comments_by_score(t: Tables) -> DataFrame:
-    return stats.comments_by_score(t.comments.select("submission_id", "reddit_id", "score"))
+    return stats.comments_by_score(t.stored_comments.select("submission_id", "reddit_id", "score"))
 
 
-@query("comments_by_time", f"SELECT submission_id, reddit_id, {iso('created_utc')} AS created_utc FROM comments")
+@query("comments_by_time", f"SELECT submission_id, reddit_id, {iso('created_utc')} AS created_utc FROM stored_comments")
 def comments_by_time(t: Tables) -> DataFrame:
-    rows = stats.comments_by_time(t.comments.select("submission_id", "reddit_id", "created_utc"))
+    rows = stats.comments_by_time(t.stored_comments.select("submission_id", "reddit_id", "created_utc"))
     return rows.withColumn("created_utc", iso_time("created_utc"))

@@ -212,9 +212,10 @@ def wordcloud_weights(t: Tables) -> DataFrame:
 
 
 @query("words_by_frequency", counted(
-    TITLED, "source", "count(*) AS frequency, min(doc_id * 2147483648 + nth - 1) AS first_at"))
+    TITLED, "source", "count(*) AS frequency, CAST(min(doc_id * 2147483648 + nth - 1) AS VARCHAR) AS first_at"))
 def words_by_frequency(t: Tables) -> DataFrame:
-    return words.words_by_frequency(_titled(t), ["selftext", "title"], "doc_id", by=["source"])
+    rows = words.words_by_frequency(_titled(t), ["selftext", "title"], "doc_id", by=["source"])
+    return rows.withColumn("first_at", F.col("first_at").cast("string"))
 
 
 @query("token_union", f"""SELECT doc_id, len(string_split(text, ' ')) AS pieces FROM {TITLED}""")
@@ -237,32 +238,31 @@ SPOKEN = f"""spoken AS (SELECT doc_id AS post_id, unnest(regexp_split_to_array(t
     said AS (SELECT post_id, sentence_no, {sql_words('sentence')} AS w FROM spoken),
     forms AS (
       SELECT DISTINCT post_id, sentence_no, form FROM (
-        SELECT post_id, sentence_no, unnest(w) AS form FROM said
-        UNION ALL
-        SELECT post_id, sentence_no, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM said)),
-    first_words AS (SELECT item_id, {sql_words('text')} AS w FROM benchmark),
-    aliases AS (SELECT DISTINCT 'item-' || item_id AS canonical, lower(array_to_string(w[1:2], ' ')) AS alias_key
-      FROM first_words WHERE len(w) > 0),
-    perks AS (SELECT DISTINCT 'kind-' || (item_id % 4) AS canonical, lower(w[3]) AS alias_key FROM first_words WHERE len(w) > 2),
+        SELECT post_id, sentence_no, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS form
+        FROM said, (VALUES (1), (2), (3), (4), (5), (6)) AS v(n))),
+    item_words AS (SELECT item_id, item_id % 6 + 1 AS n, {sql_words('text')} AS w FROM benchmark),
+    aliases AS (SELECT DISTINCT 'item-' || item_id AS canonical, lower(array_to_string(w[i:i + n - 1], ' ')) AS alias_key
+      FROM (SELECT *, unnest(range(1, len(w) + 1, n)) AS i FROM item_words)),
+    perks AS (SELECT DISTINCT 'kind-' || (item_id % 4) AS canonical, lower(word) AS alias_key
+      FROM (SELECT item_id, unnest(w) AS word FROM item_words) WHERE length(word) >= 9),
     found AS (SELECT f.post_id, f.sentence_no, a.canonical, f.form FROM forms f JOIN aliases a ON lower(f.form) = a.alias_key)"""
 
 
-def _first_words(t: Tables) -> DataFrame:
+def _item_words(t: Tables) -> DataFrame:
     listed = F.filter(F.split("text", enrich.NOT_WORD), lambda w: w != "")
-    return t.stored("benchmark").select("item_id", listed.alias("w"))
+    return t.stored("benchmark").select("item_id", (F.col("item_id") % 6 + 1).cast("int").alias("n"), listed.alias("w"))
 
 
 def aliases(t: Tables) -> DataFrame:
-    """The first two words of every benchmark text name that text."""
-    return _first_words(t).where(F.size("w") > 0).select(
-        F.concat(F.lit("item-"), "item_id").alias("canonical"), F.array_join(F.slice("w", 1, 2), " ").alias("alias")
-    )
+    """Every benchmark text, cut into runs of one to six words, each of which names the text."""
+    starts = _item_words(t).where(F.size("w") > 0).select("*", F.explode(F.sequence(F.lit(1), F.size("w"), "n")).alias("i"))
+    return starts.select(F.concat(F.lit("item-"), "item_id").alias("canonical"), F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("alias"))
 
 
 def perks(t: Tables) -> DataFrame:
-    return _first_words(t).where(F.size("w") > 2).select(
-        F.concat(F.lit("kind-"), F.col("item_id") % 4).alias("benefit"), F.col("w")[2].alias("keyword")
-    )
+    """The long words of every benchmark text stand for a kind."""
+    words = _item_words(t).select("item_id", F.explode("w").alias("keyword")).where(F.length("keyword") >= 9)
+    return words.select(F.concat(F.lit("kind-"), F.col("item_id") % 4).alias("benefit"), "keyword")
 
 
 def _texts(t: Tables) -> DataFrame:
@@ -271,7 +271,7 @@ def _texts(t: Tables) -> DataFrame:
 
 @query("entity_mentions", f"WITH {SPOKEN} SELECT canonical, form, post_id, count(*) AS sentences FROM found GROUP BY ALL")
 def entity_mentions(t: Tables) -> DataFrame:
-    return enrich.entity_mentions(_texts(t), aliases(t), max_words=2)
+    return enrich.entity_mentions(_texts(t), aliases(t))
 
 
 @query("benefit_mentions", f"""WITH {SPOKEN},
@@ -281,7 +281,7 @@ def entity_mentions(t: Tables) -> DataFrame:
     SELECT DISTINCT f.post_id, CAST(f.sentence_no AS INTEGER) AS sentence_no, f.canonical, n.benefit FROM found f
     JOIN near n ON f.post_id = n.post_id AND f.sentence_no = n.sentence_no""")
 def benefit_mentions(t: Tables) -> DataFrame:
-    return enrich.benefit_mentions(_texts(t), aliases(t), perks(t), max_words=2)
+    return enrich.benefit_mentions(_texts(t), aliases(t), perks(t))
 
 
 @query("mask_numbers", r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text,

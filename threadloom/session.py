@@ -62,12 +62,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of an input that has fewer splits than cores.
-
-    A file with one row group is one task, however much work its rows need. An
-    input with at least as many splits as cores, so any large one, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -39,22 +39,34 @@ def record_columns(item: Column, ddl: str) -> list[Column]:
 def submission_scrapes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Submissions of scrape files.
 
-    A file is ``{scrape_settings, data: [...]}`` or a bare list. Items that are
-    not objects are dropped, and a malformed file gives no rows.
+    A file is ``{scrape_settings, data: [...]}``, a bare list, or bare records one per
+    line. Every object is a row, whatever fields it lacks; a field of another
+    type is null. Items that are no objects are dropped, and a malformed file gives no rows.
     """
-    bare = ", ".join(f"{n} {k}" for n, k in _fields(SUBMISSION_DOC))
-    raw = read_json(spark, path, f"{SUBREDDIT_FILE}, {bare}", multi_line).where("_corrupt_record IS NULL")
-    names = [n for n, _ in _fields(SUBMISSION_DOC)]
-    wrapped = (
-        raw.where("data IS NOT NULL")
-        .select("file", F.col("scrape_settings.subreddit").alias("subreddit"), F.posexplode("data").alias("pos", "item"))
-        .where(F.schema_of_variant("item").startswith("OBJECT"))
-        .select("file", "subreddit", "pos", *record_columns(F.col("item"), SUBMISSION_DOC))
+    raw = (
+        spark.read.option("singleVariantColumn", "document")
+        .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("recursiveFileLookup", True)
+        .json(path)
+        .select("document", F.col("_metadata.file_path").alias("file"))
     )
-    listed = raw.where("data IS NULL AND id IS NOT NULL").select(
-        "file", F.lit(None).cast("string").alias("subreddit"), F.lit(None).cast("int").alias("pos"), *names
+    document, shape = F.col("document"), F.schema_of_variant("document")
+    data = F.try_variant_get(document, "$.data", "array<variant>")
+    listed = F.try_variant_get(document, "$", "array<variant>")
+    is_file = F.try_variant_get(document, "$.data", "variant").isNotNull() | F.try_variant_get(
+        document, "$.scrape_settings", "variant"
+    ).isNotNull()
+    items = raw.select(
+        "file",
+        F.try_variant_get(document, "$.scrape_settings.subreddit", "string").alias("subreddit"),
+        F.when(shape.startswith("ARRAY"), listed).when(is_file, data).otherwise(F.array(document)).alias("items"),
+        (~shape.startswith("ARRAY") & ~is_file).alias("alone"),
+    ).select("file", "subreddit", "alone", F.posexplode("items").alias("at", "item"))
+    # A record on a line of its own has no position in a list.
+    return items.where(F.schema_of_variant("item").startswith("OBJECT")).select(
+        "file", "subreddit", F.when(~F.col("alone"), F.col("at")).alias("pos"), *record_columns(F.col("item"), SUBMISSION_DOC)
     )
-    return wrapped.unionByName(listed)
 
 
 def corrupt_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:

@@ -8,28 +8,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import duration_hms
-from ..functions.text import clean_word, raw_tokens
 from ..operators.ranking import keep_first
-from ..operators.words import mixed_words, only_records, record_text
-from ..session import materialize, spread
+from ..operators.words import mixed_words
+from ..session import materialize
 from ..sinks.writers import overwrite_batch
 
 
-def parquet_feed(spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int = 8) -> DataFrame:
-    """Files that arrive in a folder, a bounded number per micro-batch."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+def _reader(spark: SparkSession, schema, files_per_trigger: int | None):
+    reader = spark.readStream.schema(schema)
+    return reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
+
+
+def parquet_feed(
+    spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Files that arrive in a folder; with ``files_per_trigger``, at most so many per micro-batch."""
+    return _reader(spark, schema, files_per_trigger).option("pathGlobFilter", pattern).parquet(folder)
 
 
 def json_feed(
-    spark: SparkSession, folder: str, schema: str, clean: str | None = None, archive: str | None = None
+    spark: SparkSession, folder: str, schema: str, clean: str | None = None, archive: str | None = None,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Documents that arrive in a folder; processed files can be archived or deleted."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8)
+    reader = _reader(spark, schema, files_per_trigger)
     if clean:
         reader = reader.option("cleanSource", clean)
     if archive:
@@ -66,11 +68,19 @@ def append_to(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def show(feed: DataFrame, checkpoint: str, rows: int = 20) -> StreamingQuery:
-    """Display only."""
+def show(feed: DataFrame, checkpoint: str, counts: str, rows: int = 20) -> StreamingQuery:
+    """Display the first rows of each micro-batch; how many it has is stored below ``counts`` under its id.
+
+    Progress reports keep the last hundred batches only, so they cannot tell the total.
+    """
+
+    def display(batch: DataFrame, batch_id: int) -> None:
+        if rows:
+            batch.show(rows)
+        overwrite_batch(batch.agg(F.count("*").alias("shown")), counts, batch_id)
+
     return (
-        feed.writeStream.format("console")
-        .option("numRows", rows)
+        feed.writeStream.foreachBatch(display)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -86,19 +96,6 @@ def session_stats(items: DataFrame, keys: list[str], at: str = "seen_at") -> Dat
     return stats.withColumn("stream_duration", duration_hms(F.floor(micros / 1_000_000)))
 
 
-def feed_word_counts(feed: DataFrame) -> DataFrame:
-    """Running word frequencies of a mixed feed of VARIANT records, for display.
-
-    The state holds one row per word ever seen; see :func:`store_word_counts`
-    for a feed without end.
-    """
-    record = F.col("item")
-    fields = record_text(record, "submission") + record_text(record, "comment")
-    pieces = only_records(feed).select(F.explode(raw_tokens(*fields)).alias("piece"))
-    cleaned = pieces.select(clean_word("piece").alias("word")).where("word <> ''")
-    return cleaned.groupBy("word").agg(F.count("*").alias("frequency"))
-
-
 def store_word_counts(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Word frequencies of every micro-batch under its own folder, without state.
 
@@ -107,7 +104,7 @@ def store_word_counts(feed: DataFrame, path: str, checkpoint: str) -> StreamingQ
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        overwrite_batch(mixed_words(spread(batch)), path, batch_id)
+        overwrite_batch(mixed_words(batch), path, batch_id)
 
     return (
         feed.writeStream.foreachBatch(save)
@@ -121,28 +118,6 @@ def total_counts(stored: DataFrame) -> DataFrame:
     return stored.groupBy("word").agg(F.sum("frequency").alias("frequency"))
 
 
-def upsert_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Changed totals per micro-batch, each batch under its own folder.
-
-    The total of the newest batch per word is the current one.
-    """
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/part={batch_id}")
-
-    return (
-        counts.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(save)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def current_counts(saved: DataFrame) -> DataFrame:
-    return saved.groupBy("word").agg(F.max_by("frequency", "batch_id").alias("frequency"))
-
-
 def store_new_rows(path: str, order: list[Column]) -> Callable[[DataFrame, int], None]:
     """A ``load`` for :func:`ingest_stream`: rows whose id no earlier batch stored.
 
