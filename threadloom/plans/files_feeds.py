@@ -20,7 +20,7 @@ from .bindings import COMMENTS, FIRST_COPY, Tables
 from .loading import raw_batch
 from .reading import iso
 from .registry import query
-from .threads_words import MIXED, counted, feed
+from .threads_words import MIXED, TREE_FILE, counted, feed, walk
 
 # Records of one scrape document; ids are dense, so a block bounds the list.
 PER_DOCUMENT = 50
@@ -437,7 +437,7 @@ def sink_csv(t: Tables) -> DataFrame:
     return reader.option("lineSep", "\n").csv(path)
 
 
-@query("sink_structured_comments")
+@query("sink_structured_comments", walk("threads", TREE_FILE))
 def sink_structured_comments(t: Tables) -> DataFrame:
     """Lines of the written tree documents."""
     path = scratch_path(t.spark, "structured")
@@ -460,19 +460,38 @@ def sink_partitioned_layout(t: Tables) -> DataFrame:
     return t.spark.read.schema("doc_id BIGINT, text STRING, scrape_date STRING, scrape_type STRING").json(write_layout(t))
 
 
-@query("file_inventory")
+@query("file_inventory", "SELECT DISTINCT lang AS scrape_date, source AS scrape_type, true AS has_files, true AS complete FROM documents")
 def file_inventory(t: Tables) -> DataFrame:
-    return inventory.files_by_folder(files.dated_files(t.spark, write_layout(t)))
+    """The bytes listed for each date and kind are those of the lines in its files."""
+    path = write_layout(t)
+    listed = inventory.files_by_folder(files.dated_files(t.spark, path))
+    lines = t.spark.read.text(path).groupBy("scrape_date", "scrape_type").agg(F.sum(F.octet_length("value") + 1).alias("written"))
+    return listed.join(lines, ["scrape_date", "scrape_type"]).select(
+        "scrape_date", "scrape_type", (F.col("files") > 0).alias("has_files"), (F.col("bytes") == F.col("written")).alias("complete")
+    )
+
 
+# Names of written files are random, so the listings are compared by their folders and endings.
+FOLDERS = "SELECT DISTINCT lang AS scrape_date, 'scrape_type=' || source AS folder, 'json' AS ending FROM documents"
 
-@query("file_tree")
+
+@query("file_tree", FOLDERS)
 def file_tree(t: Tables) -> DataFrame:
-    return inventory.tree_listing(files.dated_files(t.spark, write_layout(t))).select("scrape_date", "depth", "relative_path", "length")
+    listed = inventory.tree_listing(files.dated_files(t.spark, write_layout(t)))
+    folder, ending = F.regexp_extract("relative_path", "^([^/]+)/", 1), F.regexp_extract("relative_path", r"\.([a-z]+)$", 1)
+    named = listed.select("scrape_date", folder.alias("folder"), ending.alias("ending"))
+    return named.where("folder <> '' AND ending <> ''").distinct()
 
 
-@query("scan_files_over_size")
+@query("scan_files_over_size", """SELECT lang AS scrape_date, source AS scrape_type, true AS over FROM documents
+    GROUP BY 1, 2 HAVING max(strlen(text)) > 100""")
 def scan_files_over_size(t: Tables) -> DataFrame:
-    return files.files_over_size(t.spark, write_layout(t))
+    over = files.files_over_size(t.spark, write_layout(t))
+    named = over.select(
+        F.regexp_extract("path", r"scrape_date=([^/]+)", 1).alias("scrape_date"),
+        F.regexp_extract("path", r"scrape_type=([^/]+)", 1).alias("scrape_type"), (F.col("length") > 100).alias("over"),
+    )
+    return named.distinct()
 
 
 @query("sink_frequencies", counted("(SELECT text FROM documents)").replace("SELECT word, count(*) AS frequency", "SELECT word AS words, count(*) AS frequencies", 1))

@@ -76,6 +76,8 @@ TREE = """, eldest AS (SELECT link, list_slice(spot, 1, len(spot) - 1) AS up_spo
       UNION ALL SELECT DISTINCT link, [-9223372036854775807], '[' FROM nodes
       UNION ALL SELECT DISTINCT link, [9223372036854775807], ']' FROM nodes)
     SELECT link, row_number() OVER (PARTITION BY link ORDER BY spot) AS line_no, fragment FROM lines"""
+# The same lines as they stand in the written files.
+TREE_FILE = TREE.replace("SELECT link, row_number() OVER (PARTITION BY link ORDER BY spot) AS line_no, fragment FROM lines", "SELECT fragment AS value FROM lines")
 
 
 @query("thread_tree_json", walk("threads", TREE))
@@ -85,14 +87,17 @@ def thread_tree_json(t: Tables) -> DataFrame:
 
 
 def nested_documents(t: Tables) -> DataFrame:
-    """A nested comment document per stored text: lines with their sentences as replies."""
+    """A nested comment document per stored text: lines, their sentences as replies, and the parts of those at commas."""
 
     def node(text, replies):
         return F.struct(text.alias("body"), replies.alias("replies"))
 
     none = F.array().cast("array<string>")
     lines = F.transform(
-        F.split("text", "\n"), lambda line: node(line, F.transform(F.split(line, r"\. "), lambda s: node(s, none)))
+        F.split("text", "\n"),
+        lambda line: node(
+            line, F.transform(F.split(line, r"\. "), lambda s: node(s, F.transform(F.split(s, ", "), lambda p: node(p, none))))
+        ),
     )
     return t.documents.select(
         "doc_id", F.from_json(F.to_json(lines), "array<variant>").alias("comments")
@@ -101,11 +106,13 @@ def nested_documents(t: Tables) -> DataFrame:
 
 LINES = """(SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"""
 SENTENCES = f"(SELECT doc_id, unnest(string_split(line, '. ')) AS body FROM {LINES})"
-NESTED_ROWS = f"""SELECT doc_id, 0 AS depth, line AS body FROM {LINES} UNION ALL SELECT doc_id, 1, body FROM {SENTENCES}"""
+PARTS = f"(SELECT doc_id, unnest(string_split(body, ', ')) AS body FROM {SENTENCES})"
+NESTED_ROWS = f"""SELECT doc_id, 0 AS depth, line AS body FROM {LINES} UNION ALL SELECT doc_id, 1, body FROM {SENTENCES}
+    UNION ALL SELECT doc_id, 2, body FROM {PARTS}"""
 
 
 def flat_bodies(t: Tables) -> DataFrame:
-    flat = threads.flatten_nested(nested_documents(t), levels_per_pass=3)
+    flat = threads.flatten_nested(nested_documents(t), levels_per_pass=2)
     return flat.select("doc_id", "depth", F.try_variant_get("comment", "$.body", "string").alias("body"))
 
 
