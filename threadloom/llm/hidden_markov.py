@@ -23,16 +23,18 @@ SLICE = 4 << 20
 #: Weight of the class frequencies in a state's emissions.
 PRIOR = 500.0
 END = np.uint64(0x5E4D0F7E1D)
+#: Slices that one task scores at once, so that a batch of them stays small.
+TOGETHER = 2
 #: Groups in which parameter counts are added before the last sum.
 SUMS = 64
 
 SLICES = (
     "slice bigint, doc_ids array<bigint>, held array<boolean>, lengths binary, low binary, high binary, classes binary, "
-    "words binary, train binary"
+    "buckets binary, words binary, train binary"
 )
 _SLICES = pa.schema([
     ("slice", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
-    *[(n, pa.binary()) for n in ("lengths", "low", "high", "classes", "words", "train")],
+    *[(n, pa.binary()) for n in ("lengths", "low", "high", "classes", "buckets", "words", "train")],
 ])
 _REQUESTS = pa.schema([("slice", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("train", pa.binary())])
 _COUNTS = pa.schema([("slice", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("task", pa.int32()), ("sums", pa.binary())])
@@ -44,12 +46,17 @@ _SCORES = pa.schema([
 ])
 
 
-def _bucket(words: np.ndarray, buckets: int) -> np.ndarray:
-    return ((words >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
+def _slice_rows(buckets: int):
+    """One row per run of whole texts: its distinct words, commonest first, and its tokens as places in that list."""
+    kind = "<u2" if buckets <= 1 << 16 else "<u4"
 
+    def run(batches) -> Iterator:
+        return _sliced(batches, buckets, kind)
 
-def _slice_rows(batches) -> Iterator:
-    """One row per run of whole texts: its distinct words, commonest first, and its tokens as places in that list."""
+    return run
+
+
+def _sliced(batches, buckets: int, kind: str) -> Iterator:
     number = TaskContext.get().partitionId() << 32
     for rows in batches:
         for texts in texts_of(rows["text"], SLICE):
@@ -70,25 +77,30 @@ def _slice_rows(batches) -> Iterator:
             yield batch(
                 _SLICES, [number], [rows["doc_id"].take(pa.array(texts.rows)).to_pylist()], [held.tolist()],
                 [lengths.astype("<i4").tobytes()], [(place & 0xFFFF).astype("<u2").tobytes()], [(place >> 16).astype("<u2").tobytes()],
-                [(distinct % np.uint64(CLASSES)).astype("<u2").tobytes()], [distinct.tobytes()], [train.astype("<u4").tobytes()],
+                [(distinct % np.uint64(CLASSES)).astype("<u2").tobytes()],
+                [((distinct >> np.uint64(24)) % np.uint64(buckets)).astype(kind).tobytes()], [distinct.tobytes()], [train.astype("<u4").tobytes()],
             )
             number += 1
 
 
-def _requests(buckets: int):
-    def run(batches) -> Iterator:
-        for rows in batches:
-            for k in range(rows.num_rows):
-                words = np.frombuffer(rows["words"][k].as_buffer(), np.uint64)
-                train = np.frombuffer(rows["train"][k].as_buffer(), "<u4")
-                bucket = _bucket(words, buckets)
-                order = np.argsort(bucket, kind="stable")
-                firsts = np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0))
-                ends = np.append(firsts[1:], len(order))
-                cut = lambda x: [x[order[a:b]].tobytes() for a, b in zip(firsts, ends, strict=True)]  # noqa: B023, E731
-                yield batch(_REQUESTS, [rows["slice"][k].as_py()] * len(firsts), bucket[order[firsts]], cut(words), cut(train))
+def _by_bucket(rows, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of a slice's words by bucket: all places, and where each bucket starts and ends among them."""
+    words = len(rows["classes"][k].as_buffer()) // 2
+    raw = rows["buckets"][k].as_buffer()
+    bucket = np.frombuffer(raw, f"<u{len(raw) // words}").astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    firsts = np.flatnonzero(np.append(True, np.diff(bucket[order]) > 0))
+    return bucket, order, np.append(firsts, len(order))
 
-    return run
+
+def _requests(batches) -> Iterator:
+    for rows in batches:
+        for k in range(rows.num_rows):
+            words = np.frombuffer(rows["words"][k].as_buffer(), np.uint64)
+            train = np.frombuffer(rows["train"][k].as_buffer(), "<u4")
+            bucket, order, edges = _by_bucket(rows, k)
+            cut = lambda x: [x[order[a:b]].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]  # noqa: B023, E731
+            yield batch(_REQUESTS, [rows["slice"][k].as_py()] * (len(edges) - 1), bucket[order[edges[:-1]]], cut(words), cut(train))
 
 
 def _counted(batches) -> Iterator:
@@ -234,16 +246,17 @@ def _expectation(model: Model):
     return run
 
 
-def _scored(model: Model, class_counts: np.ndarray, class_types: np.ndarray, buckets: int):
+def _scored(model: Model, class_counts: np.ndarray, class_types: np.ndarray):
     def run(batches) -> Iterator:
         for rows in batches:
             for k in range(rows.num_rows):
                 lengths, firsts, place, classes = _tokens(rows, k)
-                bucket = _bucket(np.frombuffer(rows["words"][k].as_buffer(), np.uint64), buckets)
+                bucket, order, edges = _by_bucket(rows, k)
+                replies = {r["bucket"]: r["counts"] for r in rows["replies"][k].as_py()}
                 counts = np.zeros(len(classes))
-                for reply in rows["replies"][k].as_py():
-                    at = np.flatnonzero(bucket == reply["bucket"])
-                    counts[at] = np.frombuffer(reply["counts"], f"<u{len(reply['counts']) // len(at)}")
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    raw = replies[bucket[order[a]]]
+                    counts[order[a:b]] = np.frombuffer(raw, f"<u{len(raw) // (b - a)}")
                 in_class = np.log10((counts + 1) / (class_counts[classes] + class_types[classes] + 1))
                 add = lambda x: np.add.reduceat(x[place], firsts)  # noqa: B023, E731
                 score, _, _ = Lanes(classes[place], firsts, lengths).forward(model)
@@ -273,9 +286,10 @@ def scores(docs: DataFrame, held: str, doc_id: str = "doc_id", text: str = "text
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(held), F.lit(True)).alias("held")
     )
-    slices = materialize(rows.mapInArrow(_slice_rows, SLICES), "hmm-slices")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    requests = slices.select("slice", "words", "train").mapInArrow(_requests(buckets), "slice bigint, bucket int, words binary, train binary")
+    slices = materialize(rows.mapInArrow(_slice_rows(buckets), SLICES), "hmm-slices")
+    asking = slices.select("slice", "classes", "buckets", "words", "train")
+    requests = asking.mapInArrow(_requests, "slice bigint, bucket int, words binary, train binary")
     counted = requests.repartition("bucket").mapInArrow(_counted, "slice bigint, bucket int, counts binary, task int, sums binary")
     counted = materialize(counted, "hmm-counts")
     sums = gathered(counted.where("slice = -1").select("task", "sums"))
@@ -290,9 +304,13 @@ def scores(docs: DataFrame, held: str, doc_id: str = "doc_id", text: str = "text
             break
         model = Model.of(expected, class_counts)
 
-    replies = counted.where("slice >= 0").groupBy("slice").agg(F.collect_list(F.struct("bucket", "counts")).alias("replies"))
-    joined = slices.drop("train").join(replies, "slice").select("doc_ids", "held", "lengths", "low", "high", "classes", "words", "replies")
-    found = joined.mapInArrow(_scored(model, class_counts, class_types, buckets), SCORES)
+    # So many partitions that each has about TOGETHER slices, whatever their number.
+    parts = -(-slices.count() // TOGETHER) or 1
+    replies = counted.where("slice >= 0").select("slice", "bucket", "counts").repartition(parts, "slice")
+    replies = replies.groupBy("slice").agg(F.collect_list(F.struct("bucket", "counts")).alias("replies"))
+    joined = slices.drop("words", "train").repartition(parts, "slice").join(replies, "slice")
+    joined = joined.select("doc_ids", "held", "lengths", "low", "high", "classes", "buckets", "replies")
+    found = joined.mapInArrow(_scored(model, class_counts, class_types), SCORES)
     n, v = float(class_counts.sum()), float(class_types.sum())
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("bigint").alias("train_tokens"),
