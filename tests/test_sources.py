@@ -83,9 +83,9 @@ def test_livestream_file(spark, tmp_path):
 @pytest.mark.parametrize(
     "path, expected",
     [
-        ("../scrapes/some_date/test/some_other_dir/some_file.json", ("some_date", "test")),
-        ("../scrapes/some_date/test/some_file.txt", None),
-        ("../scrapes/some_date/analytics/frequencies/subreddits/f.json", None),
+        ("/data/scrapes/05-06-2024/livestream/by_community/a.json", ("05-06-2024", "livestream")),
+        ("/data/scrapes/05-06-2024/livestream/a.txt", None),
+        ("/data/scrapes/05-06-2024/analytics/wordcloud/b.json", None),
         ("elsewhere/f.json", None),
     ],
 )

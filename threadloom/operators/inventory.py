@@ -98,16 +98,19 @@ def comment_files_containing(files: DataFrame, post_id: str) -> DataFrame:
 
 
 def archive_manifest(files: DataFrame, packed: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per archive: files, bytes, packed bytes, ratio.
+    """One row per archive: files, bytes, communities, packed bytes, ratio, and the metadata document.
 
-    ``files`` has ``length`` and ``packed`` has ``packed_bytes``, both with ``keys``.
+    ``files`` has ``length`` and ``subreddit``, ``packed`` has ``packed_bytes``, both with ``keys``.
     """
-    totals = files.groupBy(*keys).agg(F.count("*").alias("file_count"), F.sum("length").alias("original_size_bytes"))
+    names = F.array_join(F.sort_array(F.collect_set("subreddit")), ",")
+    totals = files.groupBy(*keys).agg(
+        F.count("*").alias("file_count"), F.sum("length").alias("original_size_bytes"), names.alias("subreddits")
+    )
     sizes = packed.groupBy(*keys).agg(F.sum("packed_bytes").alias("compressed_size_bytes"))
     joined = totals.join(sizes, keys, "left")
     return joined.withColumn(
         "compression_ratio", compression_ratio("original_size_bytes", "compressed_size_bytes")
-    )
+    ).withColumn("metadata", F.to_json(F.struct("file_count", "original_size_bytes", "subreddits")))
 
 
 def archive_record(manifests: DataFrame, as_of: Column) -> DataFrame:

@@ -536,17 +536,46 @@ def sink_post_json(t: Tables) -> DataFrame:
     return document.select(F.get_json_object("value", "$.reddit_id").alias("reddit_id"), F.get_json_object("value", "$.title").alias("title"))
 
 
-@query("archive_manifest", """SELECT lang AS scrape_date, count(*) AS file_count, CAST(sum(n_chars) AS BIGINT) AS original_size_bytes,
-    true AS packed FROM documents GROUP BY 1""")
-def archive_manifest(t: Tables) -> DataFrame:
+ARCHIVED = """SELECT lang AS scrape_date, count(*) AS file_count, CAST(sum(n_chars) AS BIGINT) AS original_size_bytes,
+    string_agg(DISTINCT source, ',' ORDER BY source) AS subreddits FROM documents GROUP BY 1"""
+METADATA = """'{"file_count":' || file_count || ',"original_size_bytes":' || original_size_bytes || ',"subreddits":"' || subreddits || '"}'"""
+
+
+def packed_manifest(t: Tables) -> DataFrame:
     """Documents stand for files; they are packed as columnar files per date."""
     path = scratch_path(t.spark, "archive")
     docs = t.documents.withColumnRenamed("lang", "scrape_date")
     writers.pack(docs, path, ["scrape_date"])
     packed = files.dated_files(t.spark, path).select("scrape_date", F.col("length").alias("packed_bytes"))
-    sizes = docs.select("scrape_date", F.col("n_chars").alias("length"))
-    manifest = inventory.archive_manifest(sizes, packed, ["scrape_date"])
-    return manifest.select("scrape_date", "file_count", "original_size_bytes", (F.col("compressed_size_bytes") > 0).alias("packed"))
+    sizes = docs.select("scrape_date", F.col("source").alias("subreddit"), F.col("n_chars").alias("length"))
+    return inventory.archive_manifest(sizes, packed, ["scrape_date"])
+
+
+@query("archive_manifest", f"SELECT *, true AS packed, true AS ratio_fits, {METADATA} AS metadata FROM ({ARCHIVED})")
+def archive_manifest(t: Tables) -> DataFrame:
+    whole, small = F.col("original_size_bytes"), F.col("compressed_size_bytes")
+    fits = F.abs(F.col("compression_ratio") - (1 - small / whole) * 100) < 0.01
+    return packed_manifest(t).select(
+        "scrape_date", "file_count", "original_size_bytes", "subreddits", (small > 0).alias("packed"), fits.alias("ratio_fits"), "metadata"
+    )
+
+
+@query("archive_record", f"""SELECT sha256(key) AS id, split_part(key, '/', -1) AS filename, 'daily' AS archive_type, key AS r2_object_key,
+      original_size_bytes, true AS is_packed, subreddits AS subreddits_included, 0 AS total_submissions, 0 AS total_comments,
+      true AS is_uploaded, {METADATA} AS upload_metadata
+    FROM (SELECT *, 'daily_scrapes/' || scrape_date || '/all.zip' AS key FROM ({ARCHIVED}))""")
+def archive_record(t: Tables) -> DataFrame:
+    """The record of each packed archive, made from its manifest."""
+    manifests = packed_manifest(t).select(
+        F.concat(F.lit("daily_scrapes/"), "scrape_date", F.lit("/all.zip")).alias("r2_object_key"),
+        F.lit("daily").alias("archive_type"), "original_size_bytes", "compressed_size_bytes", "file_count", "subreddits",
+        F.lit(None).cast("int").alias("total_submissions"), F.lit(None).cast("int").alias("total_comments_scraped"),
+    )
+    rows = inventory.archive_record(manifests, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return rows.select(
+        "id", "filename", "archive_type", "r2_object_key", "original_size_bytes", (F.col("compressed_size_bytes") > 0).alias("is_packed"),
+        "subreddits_included", "total_submissions", "total_comments", "is_uploaded", "upload_metadata",
+    )
 
 
 # --- streams ---------------------------------------------------------------

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import config_text, iso_time, short_hash
-from ..operators import enrich, ingest, inventory, quality, reads
+from ..operators import enrich, ingest, inventory, quality
 from .bindings import COMMENTS, FIRST_COPY, Tables, newest
 from .reading import LAST_EVENT, _last_event, iso
 from .registry import query
@@ -397,21 +397,3 @@ def active_scrape_stats(t: Tables) -> DataFrame:
     FROM metrics GROUP BY ALL""")
 def task_metric_rollup(t: Tables) -> DataFrame:
     return inventory.task_metric_rollup(t.metrics).withColumn("average", F.round("average", 4))
-
-
-@query("archive_record", f"""SELECT sha256(r2_object_key) AS id, split_part(r2_object_key, '/', -1) AS filename, r2_object_key,
-      size AS original_size_bytes, {iso(LAST_OBJECT)} AS uploaded_at, true AS is_uploaded
-    FROM archives JOIN objects ON key = r2_object_key""")
-def archive_record(t: Tables) -> DataFrame:
-    manifests = t.objects.select(
-        F.col("key").alias("r2_object_key"),
-        F.lit("daily").alias("archive_type"),
-        F.col("size").alias("original_size_bytes"),
-        F.lit(None).cast("bigint").alias("compressed_size_bytes"),
-        F.lit(1).alias("file_count"),
-        F.lit(None).cast("string").alias("subreddits"),
-        F.lit(None).cast("int").alias("total_submissions"),
-        F.lit(None).cast("int").alias("total_comments_scraped"),
-    )
-    rows = inventory.archive_record(manifests, _last_object(t))
-    return rows.select("id", "filename", "r2_object_key", "original_size_bytes", iso_time("uploaded_at").alias("uploaded_at"), "is_uploaded")

@@ -18,9 +18,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_partitioned(df: DataFrame, path: str, keys: tuple[str, ...] = ("scrape_date", "scrape_type")) -> None:
     """Documents under ``scrape_date=.../scrape_type=...``.
 
-    Not shuffled by key, so one dominant date or kind stays spread over the tasks.
+    Rows of a folder are brought together into files near the advisory partition size: a
+    dominant date or kind is split over many tasks, small ones do not leave a file per task.
     """
-    df.write.partitionBy(*keys).option("ignoreNullFields", False).json(path)
+    df.hint("rebalance", *keys).write.partitionBy(*keys).option("ignoreNullFields", False).json(path)
 
 
 def write_structured_comments(fragments: DataFrame, path: str) -> None:
@@ -55,6 +56,7 @@ def overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def pack(df: DataFrame, path: str, keys: list[str]) -> None:
     """Archive rows as compressed columnar files per key.
 
-    Rows are spread by key and a hash of the row, so a dominant key fills many files.
+    Adaptive execution cuts a dominant key into files near the advisory partition size and
+    puts a small one into one file.
     """
-    df.write.partitionBy(*keys).option("compression", "zstd").parquet(path)
+    df.hint("rebalance", *keys).write.partitionBy(*keys).option("compression", "zstd").parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..schemas import COMMENT_DOC, COMMENTS_FILE, LIVESTREAM_FILE, REDDITOR_FILE, SUBMISSION_DOC, SUBREDDIT_FILE
+from ..schemas import COMMENT_DOC, COMMENTS_FILE, LIVESTREAM_FILE, REDDITOR_FILE, SUBMISSION_DOC
 
 BAD = "_corrupt_record STRING"
 
