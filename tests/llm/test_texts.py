@@ -268,6 +268,22 @@ def test_licenses(spark, docs, none):
     assert mit and licenses.scan(docs).count() == len(odd_documents()) and licenses.scan(none).count() == 0
 
 
+def test_whole_license_texts(spark):
+    texts = {}
+    for name, text in licenses.whole_texts():
+        texts.setdefault(name, text)
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(texts)
+    names = sorted(texts)
+    ended = texts["Apache-2.0"].split("   END OF TERMS")[0]
+    rows = [*enumerate(texts[n] for n in names), (100, ended), (101, " ".join(texts["GPL-3.0"].split())), (102, "My own terms:\nbe kind.")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.scan(frame).collect()}
+    assert found == {**dict(enumerate(names)), 100: "Apache-2.0", 101: "GPL-3.0", 102: None}
+    own = spark.createDataFrame([("Kind", "My own terms: be kind"), ("Blank", "..")], "license string, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.scan(frame, licences=own).collect()}
+    assert found == {**dict.fromkeys([*range(len(names)), 100, 101]), 102: "Kind"}
+
+
 def test_hidden_markov(docs, none):
     found = hidden_markov.score(docs, "doc_id", "text").collect()
     rows = odd_documents()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from importlib.resources import files
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .frames import chosen
 
@@ -77,6 +79,10 @@ LICENCES = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 )
+#: Whole texts beside this module, one file per licence, named by its SPDX id.
+TEXTS = "license_texts"
+#: Lines after which a licence only says how to apply it; texts are listed with and without what follows.
+_LAST_LINES = ("END OF TERMS AND CONDITIONS", "ADDENDUM: How to use this License for your documents", "Exhibit A - ", "EXHIBIT A -")
 # Spellings that say the same in a licence, British to American as in the SPDX matching guidelines.
 SPELLINGS = (
     ("licence", "license"), ("organisation", "organization"), ("authoris", "authoriz"), ("favour", "favor"),
@@ -105,26 +111,46 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known(df: DataFrame) -> DataFrame:
-    """``license`` and ``digest``, one row per distinct canonical text: as many rows as texts are listed above."""
-    rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("__t")) for name, text in LICENCES])
-    listed = df.sparkSession.range(1).select(F.inline(rows))
-    return listed.select("license", digest(F.col("__t")).alias("digest")).groupBy("digest").agg(F.min("license").alias("license"))
+def whole_texts() -> list[tuple[str, str]]:
+    """(license, text) of the files in ``TEXTS``: whole, without the closing remarks, and each of these as one line."""
+    out = []
+    for file in sorted(files(__package__).joinpath(TEXTS).iterdir(), key=lambda f: f.name):
+        text = file.read_text(encoding="utf-8")
+        forms = [text]
+        for mark in _LAST_LINES:
+            if (at := text.rfind(mark)) > 0:
+                forms += [text[:at], text[: at + len(mark)]]
+        out += [(file.name.removesuffix(".txt"), form) for one in forms for form in (one, " ".join(one.split()))]
+    return out
+
+
+def default_licences(spark: SparkSession) -> DataFrame:
+    """``license`` and ``text`` of the texts and notices in this module and of the whole texts beside it."""
+    pairs = [*LICENCES, *whole_texts()]
+    rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in pairs])
+    return spark.range(1).select(F.inline(rows))
+
+
+def known(licences: DataFrame) -> DataFrame:
+    """``license`` and ``digest``, one row per distinct canonical text of a table of ``license`` and ``text``."""
+    listed = licences.select("license", digest(F.col("text")).alias("digest")).where(F.col("digest") != F.sha2(F.lit(""), 256))
+    return listed.groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences: DataFrame | None = None) -> DataFrame:
     """Each document with the digest of its whole text, the licence that it is, and the notices among its lines.
 
     ``license`` is null if the whole text is no known licence. ``notices`` are the
     distinct licences, in order and joined by commas, whose text is a whole line of the
-    document, else an empty string. The known digests are a fixed list, so they are broadcast; only
-    lines that match leave their task.
+    document, else an empty string. ``licences`` is a table of ``license`` and ``text``, by
+    default ``default_licences``; a licence may have many texts, and one text of several licences
+    counts for the first by name. Their digests are broadcast. Only lines that match leave their task.
 
     A null or empty text has the digest of an empty text and no licence. Rows with equal
     ids share their notices; a null ``doc_id`` counts as one id. An empty table gives none.
     """
     rows = chosen(docs, doc_id=doc_id, text=text)
-    table = F.broadcast(known(docs))
+    table = F.broadcast(known(default_licences(docs.sparkSession) if licences is None else licences))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("__line"))
     # Only lines that name a licence in some spelling can match.
     lines = lines.where(F.lower("__line").rlike("licen[cs]e|released under")).select("doc_id", digest(F.col("__line")).alias("digest"))
