@@ -284,6 +284,13 @@ def test_whole_license_texts(spark):
     assert found == {**dict.fromkeys([*range(len(names)), 100, 101]), 102: "Kind"}
 
 
+def test_license_lines_in_any_words(spark):
+    named = [(n, " ".join(t.split())) for n, t in licenses.LICENCES if n in ("ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause")]
+    named += [("CC0-1.0", "Released  under CC0 1.0."), ("CC0-1.0", "**Released** under CC0 1.0."), ("", "released underneath")]
+    frame = spark.createDataFrame([(k, f"before\n{t}\nafter") for k, (_, t) in enumerate(named)], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["notices"] for r in licenses.scan(frame).collect()} == {k: n for k, (n, _) in enumerate(named)}
+
+
 def test_hidden_markov(docs, none):
     found = hidden_markov.score(docs, "doc_id", "text").collect()
     rows = odd_documents()

@@ -152,8 +152,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences:
     rows = chosen(docs, doc_id=doc_id, text=text)
     table = F.broadcast(known(default_licences(docs.sparkSession) if licences is None else licences))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("__line"))
-    # Only lines that name a licence in some spelling can match.
-    lines = lines.where(F.lower("__line").rlike("licen[cs]e|released under")).select("doc_id", digest(F.col("__line")).alias("digest"))
+    lines = lines.select("doc_id", digest(F.col("__line")).alias("digest"))
     notices = lines.join(table, "digest").groupBy("doc_id").agg(
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("notices")
     )
