@@ -291,6 +291,29 @@ def test_license_lines_in_any_words(spark):
     assert {r["doc_id"]: r["notices"] for r in licenses.scan(frame).collect()} == {k: n for k, (n, _) in enumerate(named)}
 
 
+def test_licenses_with_typographic_marks(spark):
+    import textwrap
+
+    mit = licenses.LICENCES[0][1]
+    curly = mit.replace('"AS', "\u201cAS").replace('IS"', "IS\u201d").replace("(the", "\u2014 (the").replace(" to deal", "\u00a0to deal")
+    apache = dict(licenses.whole_texts())["Apache-2.0"]
+    texts = [
+        ("MIT", curly), ("MIT", "Copyright Foo Inc.\n" + mit), ("MIT", "(c) Foo Inc.\n" + mit), ("MIT", "\u2022 Copyright \u2013 B\u00e4r GmbH\n\n" + curly),
+        ("MIT", "\u00a9 Foo\n" + mit), (None, "Copyright holders be liable.\n" + mit),
+    ]
+    # Wherever the lines break, none that belongs to a licence may go.
+    whole = {name: text for name, text in licenses.whole_texts()[::-1]}
+    texts += [(name, textwrap.fill(" ".join(text.split()), w)) for name, text in licenses.LICENCES[:1] + licenses.LICENCES[5:9] for w in range(38, 100, 7)]
+    frame = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["license"] for r in licenses.scan(frame).collect()} == {k: n for k, (n, _) in enumerate(texts)}
+    flat = [(n, textwrap.fill(" ".join(t.split()), w, break_long_words=False)) for n, t in whole.items() if n in ("Apache-2.0", "CC0-1.0", "MPL-2.0") for w in (60, 72, 79, 95)]
+    frame = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(flat)], "doc_id bigint, text string")
+    assert apache and {r["doc_id"]: r["license"] for r in licenses.scan(frame).collect()} == {k: n for k, (n, _) in enumerate(flat)}
+    lines = [(0, "\u2022\u00a0Released under the \u201cMIT License\u201d"), (1, "\u2013 Licensed under CC\u00a0BY 4.0 \u2013")]
+    frame = spark.createDataFrame(lines, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["notices"] for r in licenses.scan(frame).collect()} == {0: "MIT", 1: "CC-BY-4.0"}
+
+
 def test_hidden_markov(docs, none):
     found = hidden_markov.score(docs, "doc_id", "text").collect()
     rows = odd_documents()

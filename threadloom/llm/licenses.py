@@ -94,6 +94,19 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_LINE = r"(?m)^[ \t*#/;-]*((copyright[ \t]+)?(\(c\)|©)|copyright[ \t]+([0-9]|by[ \t]))[^\n]*$"
 RESERVED_LINE = r"(?m)^[ \t*#/;-]*all rights reserved\.?[ \t\r]*$"
 MARKS = r"[\x01-\x2F\x3A-\x60\x7B-\x7F]+"
+# What follows on lines of a licence that happen to begin with "copyright" or "(c)", as a text may be wrapped anywhere.
+_WORDING = (
+    "licen[cs]e|permi|notice|warrant|liab|provided|redistribut|holder|owner|law|treat|statement|infring|disclaim|interest|"
+    "doctrine|prohibit|program|software"
+)
+_NEXT = "(?:and|or|on|in|to|of|if|is|are|the|for|as|that|under|resulting|you|your|any|must|may|accompany|state|convey)\\b"
+#: Lines that name a holder, in lower case: with a sign or year as above, or without, if they have no words of a licence.
+HOLDER_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n(©]*(?:(?:copyright[^\p{L}\p{N}\n(©]*)?©|copyright[^\p{L}\p{N}\n(]*\(c\)|copyright[^\p{L}\p{N}\n]+(?:[0-9]|by\s)"
+    r"|\(c\)[^\n]*[0-9]{4}|(?:copyright[^\p{L}\p{N}\n]+|\(c\)[^\p{L}\p{N}\n]*)(?=[\p{L}\p{N}])(?!" + _NEXT + r")(?![^\n]*(?:" + _WORDING + r")))[^\n]*$"
+)
+HOLDER_RESERVED = r"(?m)^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
+NO_WORD = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
@@ -111,6 +124,22 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
+def plain(text: Column) -> Column:
+    """``canonical`` for any script: lower case, no holder lines, one space for each run of other than letters and digits."""
+    out = F.lower(F.coalesce(text, F.lit("")))
+    out = F.regexp_replace(out, HOLDER_LINE, " ")
+    out = F.regexp_replace(out, HOLDER_RESERVED, " ")
+    out = F.regexp_replace(out, NO_WORD, " ")
+    for one, other in SPELLINGS:
+        out = F.replace(out, F.lit(one), F.lit(other))
+    return F.trim(out)
+
+
+def key(text: Column) -> Column:
+    """What licences are joined by."""
+    return F.sha2(plain(text), 256)
+
+
 def whole_texts() -> list[tuple[str, str]]:
     """(license, text) of the files in ``TEXTS``: whole, without the closing remarks, and each of these as one line."""
     out = []
@@ -132,14 +161,17 @@ def default_licences(spark: SparkSession) -> DataFrame:
 
 
 def known(licences: DataFrame) -> DataFrame:
-    """``license`` and ``digest``, one row per distinct canonical text of a table of ``license`` and ``text``."""
-    listed = licences.select("license", digest(F.col("text")).alias("digest")).where(F.col("digest") != F.sha2(F.lit(""), 256))
-    return listed.groupBy("digest").agg(F.min("license").alias("license"))
+    """``license`` and ``__key``, one row per distinct plain text of a table of ``license`` and ``text``."""
+    listed = licences.select("license", key(F.col("text")).alias("__key")).where(F.col("__key") != F.sha2(F.lit(""), 256))
+    return listed.groupBy("__key").agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences: DataFrame | None = None) -> DataFrame:
     """Each document with the digest of its whole text, the licence that it is, and the notices among its lines.
 
+    ``digest`` is of the ``canonical`` text; licences are found by the digest of the ``plain`` one, in which
+    typographic marks and any holder line go too.
+
     ``license`` is null if the whole text is no known licence. ``notices`` are the
     distinct licences, in order and joined by commas, whose text is a whole line of the
     document, else an empty string. ``licences`` is a table of ``license`` and ``text``, by
@@ -152,18 +184,18 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences:
     rows = chosen(docs, doc_id=doc_id, text=text)
     table = F.broadcast(known(default_licences(docs.sparkSession) if licences is None else licences))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("__line"))
-    lines = lines.select("doc_id", digest(F.col("__line")).alias("digest"))
-    notices = lines.join(table, "digest").groupBy("doc_id").agg(
+    lines = lines.select("doc_id", key(F.col("__line")).alias("__key"))
+    notices = lines.join(table, "__key").groupBy("doc_id").agg(
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("notices")
     )
-    whole = rows.select("doc_id", digest(F.col("text")).alias("digest")).join(table, "digest", "left")
+    whole = rows.select("doc_id", digest(F.col("text")).alias("digest"), key(F.col("text")).alias("__key")).join(table, "__key", "left")
     return whole.join(notices, whole["doc_id"].eqNullSafe(notices["doc_id"]), "left").select(
         whole["doc_id"], "digest", "license", F.coalesce("notices", F.lit("")).alias("notices")
     )
 
 
 def sql(table: str = "documents") -> str:
-    """The same result in DuckDB's SQL."""
+    """The result in DuckDB's SQL, by ``canonical`` and ``LICENCES`` alone: it lacks what ``plain`` and ``whole_texts`` find."""
     quote = lambda x: "'" + x.replace("'", "''") + "'"
 
     def normal(x: str) -> str:
