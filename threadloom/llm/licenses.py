@@ -6,6 +6,7 @@ from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import materialize
 from .frames import chosen
 
 # Public licence texts and notices, as their authors publish them, without the copyright lines.
@@ -136,8 +137,13 @@ def plain(text: Column) -> Column:
 
 
 def key(text: Column) -> Column:
-    """What licences are joined by."""
-    return F.sha2(plain(text), 256)
+    """What licences are joined by. Not nullable, as a join would else compute it twice."""
+    return F.coalesce(F.sha2(plain(text), 256), F.lit(""))
+
+
+def head(text: Column) -> Column:
+    """Up to three letters or digits that a line begins with; ``plain`` keeps them, as ``SPELLINGS`` change later ones only."""
+    return F.regexp_extract(F.lower(F.coalesce(text, F.lit(""))), r"[\p{L}\p{N}]{1,3}", 0)
 
 
 def whole_texts() -> list[tuple[str, str]]:
@@ -161,9 +167,9 @@ def default_licences(spark: SparkSession) -> DataFrame:
 
 
 def known(licences: DataFrame) -> DataFrame:
-    """``license`` and ``__key``, one row per distinct plain text of a table of ``license`` and ``text``."""
-    listed = licences.select("license", key(F.col("text")).alias("__key")).where(F.col("__key") != F.sha2(F.lit(""), 256))
-    return listed.groupBy("__key").agg(F.min("license").alias("license"))
+    """``license`` and ``__key``, one row per distinct plain text, and its ``__head``, of a table of ``license`` and ``text``."""
+    listed = licences.select("license", key(F.col("text")).alias("__key"), head(plain(F.col("text"))).alias("__head"))
+    return listed.where("__head <> ''").groupBy("__key", "__head").agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences: DataFrame | None = None) -> DataFrame:
@@ -182,8 +188,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences:
     ids share their notices; a null ``doc_id`` counts as one id. An empty table gives none.
     """
     rows = chosen(docs, doc_id=doc_id, text=text)
-    table = F.broadcast(known(default_licences(docs.sparkSession) if licences is None else licences))
+    listed = materialize(known(default_licences(docs.sparkSession) if licences is None else licences), "licences")
+    table = F.broadcast(listed.drop("__head"))
     lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("__line"))
+    # A line can only match if it begins as a listed text does.
+    lines = lines.withColumn("__head", head(F.col("__line"))).join(F.broadcast(listed.select("__head").distinct()), "__head", "left_semi")
     lines = lines.select("doc_id", key(F.col("__line")).alias("__key"))
     notices = lines.join(table, "__key").groupBy("doc_id").agg(
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("notices")
