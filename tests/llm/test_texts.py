@@ -183,6 +183,23 @@ def test_token_files(spark, docs, none, tmp_path):
     assert token_files.read_digests(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_token_files_without_ids(spark, docs, tmp_path):
+    token_files.write_tokens(docs, str(tmp_path / "a"))
+    found = token_files.read_digests(spark, str(tmp_path / "a")).collect()
+    crc = lambda t: zlib.crc32(ids_of(t, 2).tobytes())
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in found) == Counter((r[0], crc(r[1])) for r in odd_documents())
+    assert any(r["doc_id"] is None for r in found)
+    at = 0
+    for r in sorted(found, key=lambda r: r["start"]):
+        assert r["start"] == at
+        at += r["n_tokens"]
+    ordered = [r["doc_id"] for r in sorted(found, key=lambda r: r["start"])]
+    assert ordered == sorted(ordered, key=lambda i: (i is None, i or 0))
+    only = docs.where("doc_id IS NULL")
+    token_files.write_tokens(only, str(tmp_path / "b"))
+    assert token_files.read_digests(spark, str(tmp_path / "b")).where("doc_id IS NULL").count() == only.count()
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(1)
     for n, top in ((0, 1), (1, 1), (1, 10**12), (500, 3), (2000, 10**6), (3000, 2**40)):

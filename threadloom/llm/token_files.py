@@ -87,10 +87,11 @@ class EliasFano:
         return upper << self.low_bits | low
 
 
-def _segment(shard: int, number: int, shard_start: int, parts: list[np.ndarray], names: list[int]) -> tuple:
+def _segment(shard: int, number: int, shard_start: int, parts: list[np.ndarray], names: list) -> tuple:
     ends = EliasFano.of(np.cumsum([len(p) for p in parts]))
     first = names[0]
-    docs = EliasFano.of(np.array([n - first for n in names], np.uint64))
+    # Documents without an id have segments of their own, whose first_doc is null.
+    docs = EliasFano.of(np.array([] if first is None else [n - first for n in names], np.uint64))
     ids = np.concatenate(parts)
     width = 2 if int(ids.max(initial=0)) < 1 << 16 else 4
     return (
@@ -104,11 +105,14 @@ def _segments(path: str, end_id: int):
     def run(batches) -> Iterator:
         shard, number, shard_start = TaskContext.get().partitionId(), 0, 0
         parts: list[np.ndarray] = []
-        names: list[int] = []
+        names: list[int | None] = []
         held = 0
         for rows in batches:
             for at, ids, offsets in encoder(path)(rows["text"]):
                 for name, a, b in zip(rows["doc_id"].take(pa.array(at)).to_pylist(), offsets[:-1], offsets[1:], strict=True):
+                    if names and name is None and names[-1] is not None:
+                        yield batch(_SEGMENTS, *zip(_segment(shard, number, shard_start, parts, names), strict=True))
+                        number, shard_start, held, parts, names = number + 1, shard_start + held, 0, [], []
                     parts.append(np.append(ids[a:b], np.uint32(end_id)))
                     names.append(name)
                     held += len(parts[-1])
@@ -134,13 +138,14 @@ def write_tokens(
     tasks, so a lost executor leaves no half shard.
 
     A null text is a document of the end id alone. Documents with equal ids lie side by side.
-    A null ``doc_id`` is an error, as the file is addressed by it.
+    Documents with a null ``doc_id`` come last, in segments whose ``first_doc`` is null; they are dealt by a
+    hash of their text, so that many of them do not meet in one task.
     """
     rows = chosen(docs, doc_id=doc_id, text=text)
-    rows = rows.withColumn(
-        "doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.raise_error(F.lit("doc_id is null")).cast("bigint"))
-    )
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows = rows.withColumn("__h", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("__h").asc()]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(_segments(vocabulary_path or vocabulary(), end_id), SEGMENTS).write.parquet(path)
 
 
@@ -150,7 +155,9 @@ def bounds_of(row: dict) -> EliasFano:
 
 
 def names_of(row: dict) -> EliasFano:
-    """The ids of a segment's documents, less the first."""
+    """The ids of a segment's documents, less the first; none if ``first_doc`` is null."""
+    if row["first_doc"] is None:
+        return EliasFano(0, 0, b"", b"", b"")
     return EliasFano(row["documents"], row["doc_low_bits"], row["doc_low"], row["doc_high"], row["doc_samples"])
 
 
@@ -171,8 +178,10 @@ def _digests(batches) -> Iterator:
             ids = np.frombuffer(row["ids"], f"<u{row['id_bytes']}").astype("<u4")
             raw = memoryview(ids.tobytes())
             crcs = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            first = row["first_doc"]
+            names = pa.nulls(len(ends), pa.int64()) if first is None else names_of(row).values() + first
             yield batch(
-                _READ, np.full(len(ends), row["shard"]), names_of(row).values() + row["first_doc"],
+                _READ, np.full(len(ends), row["shard"]), names,
                 row["shard_start"] + starts, ends - starts, crcs,
             )
 
