@@ -44,6 +44,19 @@ def test_bare_lists_keep_every_object(spark, tmp_path):
     assert {r["id"]: r["pos"] for r in found}["e"] == 2
 
 
+def test_wrapped_files_beyond_one_variant(spark, tmp_path):
+    # 135 MiB of items in one file, more than Spark allows for one VARIANT.
+    filler = "x" * (5 << 20)
+    items = [{"id": f"i{k}", "selftext": filler} for k in range(27)]
+    (tmp_path / "large.json").write_text(json.dumps({"scrape_settings": {"subreddit": "s"}, "data": items}))
+    (tmp_path / "wide.json").write_text(json.dumps({"data": [{"id": "w"}]}), encoding="utf-16")
+    (tmp_path / "record.json").write_text(json.dumps({"id": "alone"}))
+    (tmp_path / "other.json").write_text(json.dumps({"data": {"id": "no list"}}))
+    found = documents.submission_scrapes(spark, str(tmp_path)).select("id", "subreddit", "pos", F.length("selftext").alias("n")).collect()
+    expected = [("alone", None, None, None), *((f"i{k}", "s", k, 5 << 20) for k in range(27)), ("w", None, 0, None)]
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
 def test_large_top_k_needs_no_group_in_one_task(spark):
     rows = spark.range(5000).select(F.lit("hot").alias("k"), (F.col("id") % 50).alias("score"), F.col("id"))
     top = ranking.top_per_group(rows, ["k"], [F.desc("score"), F.asc("id")], 1001, "position")

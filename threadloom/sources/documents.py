@@ -36,6 +36,17 @@ def record_columns(item: Column, ddl: str) -> list[Column]:
     return [F.try_variant_get(item, f"$.{name}", kind).alias(name) for name, kind in _fields(ddl)]
 
 
+def _decoded(value: Column, whole: bool) -> Column:
+    """The text of a document without leading space; a whole file may be UTF-16, as for Spark's JSON reader."""
+    if whole:
+        raw = value.cast("binary")
+        mark = F.hex(F.substring(raw, 1, 2))
+        wide = mark.isin("FEFF", "FFFE") | mark.rlike("^(00..|..00)$")
+        charset = F.when(mark.startswith("00"), "UTF-16BE").when(mark.endswith("00"), "UTF-16LE").otherwise("UTF-16")
+        value = F.when(wide, F.call_function("decode", raw, charset)).otherwise(value)
+    return F.ltrim(value, F.lit("\ufeff \t\r\n"))
+
+
 def submission_scrapes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Submissions of scrape files.
 
@@ -44,24 +55,25 @@ def submission_scrapes(spark: SparkSession, path: str, multi_line: bool = True)
     type is null. Items that are no objects are dropped, and a malformed file gives no rows.
     """
     raw = (
-        spark.read.option("singleVariantColumn", "document")
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", True)
-        .json(path)
-        .select("document", F.col("_metadata.file_path").alias("file"))
+        spark.read.option("recursiveFileLookup", True)
+        .text(path, wholetext=multi_line)
+        .select(_decoded(F.col("value"), multi_line).alias("text"), F.col("_metadata.file_path").alias("file"))
     )
-    document, shape = F.col("document"), F.schema_of_variant("document")
-    data = F.try_variant_get(document, "$.data", "array<variant>")
-    listed = F.try_variant_get(document, "$", "array<variant>")
-    is_file = F.try_variant_get(document, "$.data", "variant").isNotNull() | F.try_variant_get(
-        document, "$.scrape_settings", "variant"
-    ).isNotNull()
+    # Spark bounds one VARIANT at 128 MiB, so items are parsed one by one, and only a record alone as a whole.
+    listed = F.col("text").startswith("[")
+    document = F.when(F.col("parsed.data").isNull() & F.col("parsed.scrape_settings").isNull() & ~listed, F.try_parse_json("text"))
+    is_file = F.try_variant_get("document", "$.data", "variant").isNotNull()
+    raw = raw.select(
+        "file",
+        F.when(~listed, F.from_json("text", "scrape_settings VARIANT, data ARRAY<VARIANT>")).alias("parsed"),
+        F.when(listed, F.from_json("text", "ARRAY<VARIANT>")).alias("list"),
+        "text",
+    ).withColumn("document", document)
     items = raw.select(
         "file",
-        F.try_variant_get(document, "$.scrape_settings.subreddit", "string").alias("subreddit"),
-        F.when(shape.startswith("ARRAY"), listed).when(is_file, data).otherwise(F.array(document)).alias("items"),
-        (~shape.startswith("ARRAY") & ~is_file).alias("alone"),
+        F.try_variant_get("parsed.scrape_settings", "$.subreddit", "string").alias("subreddit"),
+        F.coalesce("list", "parsed.data", F.when(F.col("document").isNotNull() & ~is_file, F.array("document"))).alias("items"),
+        F.col("document").isNotNull().alias("alone"),
     ).select("file", "subreddit", "alone", F.posexplode("items").alias("at", "item"))
     # A record on a line of its own has no position in a list.
     return items.where(F.schema_of_variant("item").startswith("OBJECT")).select(
