@@ -33,3 +33,25 @@ def test_near_duplicates(spark):
     assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in result.collect()) == expected
     assert result.where("kept and vec_id <> component_id").count() == 0
     assert vector_links.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_audit_sees_isolated_links():
+    from threadloom.llm.small_world import BEAM, Graph
+
+    class Lossy(Graph):
+        def within(self, queries, least, beam):
+            q, n = np.nonzero(queries @ self.vectors.T >= least)
+            # Two of the thirteen pairs, and all from outside, are lost to narrow beams.
+            lost = (n >= 500) & (n < 504) & ((queries[q] != self.vectors[n]).any(axis=1)) & (beam < 2 * BEAM)
+            lost |= (n == 300) & ((queries[q] != self.vectors[n]).any(axis=1)) & (beam < 4 * BEAM)
+            return q[~lost], n[~lost]
+
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((526, 64))
+    vectors[501::2] = vectors[500::2] + 0.05 * rng.standard_normal((13, 64))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    graph = Lossy(vectors)
+    assert graph.audited_beam(0.9, 0.99, 526) == 2 * BEAM
+    outside = vectors[300:301] + np.float32(0.01)
+    assert graph.audited_beam(0.9, 0.99, 526, more=outside / np.linalg.norm(outside)) == 4 * BEAM
+    assert Lossy(vectors[:300]).audited_beam(0.9, 0.99) == BEAM

@@ -196,12 +196,44 @@ class Graph:
             queries_left, beam = np.concatenate(full), beam * 2
         return np.concatenate([np.zeros(0, np.int64), *out_q]), np.concatenate([np.zeros(0, np.int64), *out_n])
 
-    def audited_beam(self, least: float, wanted: float, audits: int = 256) -> int:
-        """The first beam, doubled each time, whose pairs are at least ``wanted`` of those that ``audits`` nodes have by brute force."""
+    def audited_beam(self, least: float, wanted: float, audits: int = 256, more: np.ndarray | None = None) -> int:
+        """The first beam, doubled each time, whose recall by brute force is at least ``wanted``.
+
+        Probes are ``audits`` nodes and the vectors in ``more``, which may be nodes too. A probe's recall is
+        the share of its pairs that are found, not counting itself; the mean is over probes that have a
+        pair, where probes that link with each other count as one.
+        """
         n = len(self.vectors)
-        sample = np.unique(np.linspace(0, n - 1, min(audits, n)).astype(np.int64))
-        true = sum(int((self.vectors[sample] @ self.vectors[a : a + 65536].T >= least).sum()) for a in range(0, n, 65536))
+        at = np.unique(np.linspace(0, n - 1, min(audits, n)).astype(np.int64))
+        probes = self.vectors[at] if more is None or not len(more) else np.concatenate([self.vectors[at], more])
+        true = np.zeros(len(probes), np.int64)
+        itself = np.full(len(probes), -1)
+        for a in range(0, n, 16384):
+            sims = probes @ self.vectors[a : a + 16384].T
+            true += (sims >= least).sum(axis=1)
+            # Nodes are distinct vectors, so a probe that is a node equals one of them.
+            row, column = np.nonzero(sims > 1 - 1e-5)
+            same = (probes[row] == self.vectors[a + column]).all(axis=1)
+            itself[row[same]] = a + column[same]
+        true -= itself >= 0
+        linked = probes @ probes.T >= least
+        np.fill_diagonal(linked, True)
+        group = np.arange(len(probes))
+        while True:
+            low = np.where(linked, group[None, :], len(probes)).min(axis=1)
+            if (low == group).all():
+                break
+            group = low
+        some = true > 0
+        if not some.any():
+            return BEAM
+        of = np.unique(group[some], return_inverse=True)[1]
         beam = BEAM
-        while beam < n and len(self.within(self.vectors[sample], least, beam)[0]) < wanted * true:
+        while beam < n:
+            q, node = self.within(probes, least, beam)
+            found = np.bincount(q[node != itself[q]], minlength=len(probes))
+            recall = np.minimum(found[some] / true[some], 1.0)
+            if (np.bincount(of, weights=recall) / np.bincount(of)).mean() >= wanted:
+                break
             beam *= 2
         return beam

@@ -18,6 +18,8 @@ LEAST = 0.9
 RECALL = 0.99
 #: Shards at least, and vectors in a shard at most, about.
 SHARDS, SHARD_ROWS = 8, 250_000
+#: Vectors of any shard, by hash, that every shard's audit asks for besides some of its own.
+PROBES = 1024
 #: Tasks that share the queries of a shard.
 SHARES = 4
 #: The search works in single precision; pairs this much below the threshold are looked at in double precision too.
@@ -53,7 +55,7 @@ def _runs(batches, keys: tuple[str, ...]) -> Iterator[tuple[tuple, pa.RecordBatc
             yield tuple(columns[:, a].tolist()), rows.slice(a, b - a)
 
 
-def _built(least: float, recall: float):
+def _built(least: float, recall: float, probes: list[bytes]):
     def done(shard: int, parts: list[pa.RecordBatch]) -> Iterator:
         names = np.concatenate([p["node"].to_numpy() for p in parts])
         copies = np.concatenate([p["copies"].to_numpy() for p in parts])
@@ -62,7 +64,9 @@ def _built(least: float, recall: float):
         order = np.lexsort((names, -levels))
         names, copies, raws = names[order], copies[order], [raws[i] for i in order]
         graph = Graph.build(_unit(_matrix(raws)).astype(np.float32), levels[order])
-        beam = graph.audited_beam(least, recall)
+        fitting = [p for p in probes if len(p) == len(raws[0])]
+        more = _unit(_matrix(fitting)).astype(np.float32) if fitting else None
+        beam = graph.audited_beam(least, recall, more=more)
         for a in range(0, len(names), 10_000):
             b = min(a + 10_000, len(names))
             links = [[level[i].astype("<i4").tobytes() for level in graph.links if i < len(level)] for i in range(a, b)]
@@ -162,8 +166,9 @@ def links(vectors: DataFrame, least: float = LEAST, recall: float = RECALL, vec_
     # The bytes of the floats, so that tasks need no lists of Python numbers.
     shard = F.size("__v") * F.lit(shards).cast("bigint") + F.pmod("node", F.lit(shards))
     nodes = nodes.withColumn("shard", shard).mapInArrow(_packed, "node bigint, copies bigint, vector binary, length int, shard bigint")
+    probes = [bytes(r["vector"]) for r in nodes.orderBy(F.xxhash64("node")).limit(PROBES).select("vector").collect()]
     dealt = nodes.repartition("shard").sortWithinPartitions("shard", "node")
-    index = materialize(dealt.select("shard", "node", "copies", "vector").mapInArrow(_built(least, recall), _INDEX), "small-worlds")
+    index = materialize(dealt.select("shard", "node", "copies", "vector").mapInArrow(_built(least, recall, probes), _INDEX), "small-worlds")
     share = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
     one = index.select("shard", share.alias("share"), F.lit(0).alias("kind"), "place", "node", "copies", "vector", "links", "beam")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint")))
