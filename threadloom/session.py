@@ -59,6 +59,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     that led here, and the parquet footer gives later joins a true size.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more.
+
+    Only for tables whose every reader has itself been written: a lost executor then never needs them again.
+    """
+    for df in stored:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
