@@ -44,7 +44,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "position"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    name: str = "position",
+    kept: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """1-based position of every row in its group, for groups of any size.
 
@@ -52,13 +56,15 @@ def number_rows(
     on keys and order splits a large group over many tasks; each task numbers
     its own slice, and the rows before a slice are added from the slice counts.
     ``order`` must end in a unique column. A null key is a group of its own.
+    ``kept`` names what goes on, the keys among it; columns that only the order
+    needs are then not written.
     """
     sort = [*[F.col(k) for k in keys], *order]
     sliced = (
         df.repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .select(
-            "*",
+            *(kept or ["*"]),
             F.spark_partition_id().alias("__slice"),
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__row"),
         )
@@ -81,7 +87,7 @@ def number_rows(
     for k in keys:
         same = same & sliced[k].eqNullSafe(starts[f"__key_{k}"])
     return sliced.join(starts, same).select(
-        *[sliced[c] for c in df.columns], (F.col("__row") + F.col("__shift")).alias(name)
+        *[sliced[c] for c in sliced.columns if c not in ("__slice", "__row")], (F.col("__row") + F.col("__shift")).alias(name)
     )
 
 
