@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -69,3 +71,38 @@ def measures(text):
     twice = {k for i in range(len(words) - 7) if runs[tuple(words[i : i + 8])] > 1 for k in range(i, i + 8)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(twice)
+
+
+def regrafted(rows):
+    """conv_id -> [(role, text)] of (conv_id, turn, role, text) rows, with the first turns of its stem."""
+    by = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            by[c].append(((0, 0) if turn is None else (1, turn), (role or "").encode(), (text or "").encode()))
+    own = {c: [(r.decode(), t.decode()) for _, r, t in sorted(x)] for c, x in by.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        out[c] = own.get(c - int(math.fmod(c, 100)), [])[:h] + turns[h:]
+    return out
+
+
+def trie(convs):
+    """Rows of the prefix trie of conv_id -> list of turns."""
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    inside = {node: [0, 0] for node in members}
+    kids = Counter(node[:-1] for node in members if node)
+    for node, names in members.items():
+        saved = (len(names) - 1) * len(node[-1][1]) if node else 0
+        for d in range(len(node) + 1):
+            inside[node[:d]][0] += not kids[node]
+            inside[node[:d]][1] += saved
+    out = Counter()
+    for node, names in members.items():
+        ends = ",".join(str(c) for c in sorted(names) if len(convs[c]) == len(node))
+        up = min(members[node[:-1]]) if node else None
+        out[(min(names), len(node), up, len(names), kids[node], *inside[node], hashlib.sha256(ends.encode()).hexdigest())] += 1
+    return out

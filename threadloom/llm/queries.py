@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, with production parameters, over whole tables."""
+"""The registered queries of the numbered operators, with production parameters, over whole tables."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 from . import (
+    conversation_trie,
     hidden_markov,
     licenses,
     mixing,
@@ -15,6 +16,7 @@ from . import (
     packing,
     quality,
     repeats,
+    slack_packing,
     token_files,
     toxicity,
     vector_links,
@@ -97,3 +99,14 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.learn(docs, labels.where(~held_out))
     found = toxicity.passages(docs, model)
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", F.size("first").alias("n_passages"))
+
+
+@query("op12_conversation_trie")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.positions(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return conversation_trie.trie(*conversation_trie.regrafted(turns))
+
+
+@query("op13_slack_packing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return slack_packing.pack(documents(spark, folder), capacity=1024, end_id=2)
