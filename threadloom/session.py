@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "threadloom", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -58,9 +60,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     A lost executor costs a re-read of one file, not a rerun of the rounds
     that led here, and the parquet footer gives later joins a true size.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, "false")
+    # With the table written, its shuffle files have no reader.
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    stored = spark.read.schema(df.schema).parquet(path)
     stored.scratch = path
     return stored
 
