@@ -106,3 +106,32 @@ def trie(convs):
         up = min(members[node[:-1]]) if node else None
         out[(min(names), len(node), up, len(names), kids[node], *inside[node], hashlib.sha256(ends.encode()).hexdigest())] += 1
     return out
+
+
+def collocations(rows, words, least, top):
+    """Rows of the best phrases of (lang, text) rows."""
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            found = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(found)
+            for m in range(1, words + 1):
+                counts[lang].update(tuple(found[i : i + m]) for i in range(len(found) - m + 1))
+    out = []
+    for lang, f in counts.items():
+        held = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        inside = Counter()
+        for p, a in held.items():
+            for i in range(len(p)):
+                for j in range(i + 2, len(p) + 1):
+                    if j - i < len(p):
+                        inside[p[i:j]] = max(inside[p[i:j]], a)
+        n, scored = totals[lang], []
+        for p, a in held.items():
+            if 100 * inside[p] < 100 * a:
+                score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                scored.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return out

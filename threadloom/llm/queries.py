@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 from . import (
+    collocations,
     conversation_trie,
     hidden_markov,
     licenses,
@@ -101,6 +102,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", F.size("first").alias("n_passages"))
 
 
+@query("op11_collocations")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.best(documents(spark, folder))
+
+
 @query("op12_conversation_trie")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     turns = conversation_trie.positions(spark.read.parquet(f"{folder}/conversations.parquet"))
