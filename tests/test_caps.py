@@ -1,6 +1,8 @@
 """Nothing is lost at sizes beyond the usual ones."""
 
 import json
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -19,6 +21,27 @@ def test_alias_of_six_words(spark):
     assert enrich.mentions(posts, names.limit(0)).count() == 0
 
 
+def test_aliases_of_any_size_against_plain_search(spark):
+    rng = random.Random(4)
+    spoken = rng.choices(["a", "B", "b", "c", "É", "x9"], k=4000)
+    posts = [(1, " ".join(spoken)), (2, "a, b! A b. c-c\nb"), (3, ""), (4, None)]
+    names = {tuple(w.lower() for w in spoken[i : i + n]) for n in (1, 2, 3, 4, 5, 7, 9, 30) for i in rng.sample(range(3900), 3)}
+    names |= {("a", "b", "c", "d"), ("nowhere",)}
+    aliases = spark.createDataFrame([(f"n{k % 7}", " ".join(n).upper()) for k, n in enumerate(sorted(names))], "canonical string, alias string")
+    expected = set()
+    for post, sentence, words in ((1, 0, spoken), (2, 0, ["a", "b"]), (2, 1, ["A", "b"]), (2, 2, ["c", "c"]), (2, 3, ["b"])):
+        for k, name in enumerate(sorted(names)):
+            for i in range(len(words) - len(name) + 1):
+                if tuple(w.lower() for w in words[i : i + len(name)]) == name:
+                    expected.add((post, sentence, f"n{k % 7}", " ".join(words[i : i + len(name)])))
+    frame = spark.createDataFrame(posts, "post_id int, body string")
+    found = [tuple(r) for r in enrich.mentions(frame, aliases).collect()]
+    assert set(found) == expected and len(found) == len(expected)
+    counted = {(r["canonical"], r["form"], r["post_id"]): r["sentences"] for r in enrich.entity_mentions(frame, aliases).collect()}
+    per_form = Counter((c, form, post) for post, _, c, form in expected)
+    assert counted == dict(per_form)
+
+
 def test_positions_beyond_32_bits(spark):
     rows = [(1 << 40, "b a"), ((1 << 40) + 1, "a c"), (5_000_000_000, "c d")]
     found = words.words_by_frequency(spark.createDataFrame(rows, "at bigint, text string"), ["text"], "at").collect()

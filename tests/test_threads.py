@@ -92,7 +92,7 @@ def test_tree_fragments_join_to_nested_json(spark):
         ("t3_p", "a", "t3_p", 0), ("t3_p", "b", "t1_a", 1), ("t3_p", "c", "t1_b", 2), ("t3_p", "d", "t3_p", 3),
         ("t3_p", "e", "t1_a", 4), ("t3_q", "z", "t1_gone", 0),
     ]
-    lines = threads.thread_tree_json(threads.thread_depth(frame(spark, rows)), ["id"]).orderBy("link", "line_no").collect()
+    lines = threads.thread_tree_json(frame(spark, rows), ["id"]).orderBy("link", "line_no").collect()
     text = {}
     for line in lines:
         text[line["link"]] = text.get(line["link"], "") + line["fragment"]
@@ -103,6 +103,61 @@ def test_tree_fragments_join_to_nested_json(spark):
     assert json.loads(text["q"]) == []
 
 
+def nested(rows):
+    """The places of a plain walk: (link, id) -> (depth, enter, leave)."""
+    reach, replies = walk(rows), {}
+    for link, i, up, at in sorted(rows, key=lambda r: (r[3], r[1])):
+        replies.setdefault((link.split("_")[-1], up.split("_")[-1]), []).append(i)
+    out = {}
+    for link in {r[0].split("_")[-1] for r in rows}:
+        step, stack = 0, [(i, 0, False) for i in reversed(replies.get((link, link), []))]
+        while stack:
+            i, depth, closes = stack.pop()
+            if closes:
+                out[(link, i)] = (depth, out[(link, i)], step)
+            else:
+                out[(link, i)] = step
+                stack.append((i, depth, True))
+                stack += [(x, depth + 1, False) for x in reversed(replies.get((link, i), []))]
+            step += 1
+    assert set(out) == {k for k, v in reach.items() if v}
+    return out
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_tour_against_a_plain_walk(spark, seed):
+    rnd = random.Random(seed)
+    rows = [("t3_cycle", "a", "t1_b", 0), ("t3_cycle", "b", "t1_a", 1), ("t3_cycle", "c", "t3_cycle", 2), ("t3_gone", "x", "t1_y", 0)]
+    for link in ("x", "y"):
+        ids = [f"{link}{i}" for i in range(90)]
+        rows += [(f"t3_{link}", i, f"t3_{link}" if n == 0 or rnd.random() < 0.1 else f"t1_{rnd.choice([*ids[:n], 'gone'])}", rnd.randint(0, 9)) for n, i in enumerate(ids)]
+    rows += [("t3_hot", f"h{i}", "t3_hot", i % 7) for i in range(300)]
+    rnd.shuffle(rows)
+    found = {(r["link"], r["id"]): (r["depth"], r["enter"], r["leave"]) for r in threads.thread_tour(frame(spark, rows)).collect()}
+    assert found == nested(rows)
+    assert all(r["size"] == (r["leave"] - r["enter"] + 1) // 2 for r in threads.thread_tour(frame(spark, rows)).collect())
+    assert threads.thread_tour(frame(spark, [])).count() == 0
+
+
+def chain_of(spark, n):
+    up = F.when(F.col("id") == 0, "t3_p").otherwise(F.concat(F.lit("t1_c"), F.col("id") - 1))
+    return spark.range(n).select(F.lit("t3_p").alias("link_id"), F.concat(F.lit("c"), "id").alias("reddit_id"), up.alias("parent_id"), F.col("id").alias("ord"))
+
+
+def test_one_chain_of_56107_comments(spark):
+    n = 56_107
+    tour = threads.thread_tour(chain_of(spark, n)).cache()
+    wrong = tour.where("id <> concat('c', depth) or enter <> depth or leave <> 2 * 56107 - 1 - depth or size <> 56107 - depth")
+    assert tour.count() == n and wrong.count() == 0
+
+
+def test_tree_of_a_deep_chain(spark):
+    n = 1500
+    lines = threads.thread_tree_json(chain_of(spark, n), ["id"]).orderBy("line_no").collect()
+    assert [r["line_no"] for r in lines] == list(range(1, 2 * n + 3))
+    assert "".join(r["fragment"] for r in lines) == "[" + "".join(f'{{"id":"c{i}","replies":[' for i in range(n)) + "]}" * n + "]"
+
+
 @pytest.mark.parametrize("levels", [1, 3, 8])
 def test_flatten_nested_of_any_depth(spark, levels):
     node = None

@@ -33,33 +33,66 @@ def alias_table(aliases: DataFrame) -> DataFrame:
     ).where("alias_size > 0").distinct()
 
 
+def _beginnings(table: DataFrame, length: int) -> DataFrame:
+    """First ``length`` words of the aliases that have so many, and the sizes below twice that which begin so."""
+    begun = table.where(F.col("alias_size") >= length).select(
+        F.substring_index("alias_key", " ", length).alias(f"__key{length}"), "alias_size"
+    )
+    sizes = F.collect_set(F.when(F.col("alias_size") < 2 * length, F.col("alias_size")))
+    return begun.groupBy(f"__key{length}").agg(sizes.alias(f"__sizes{length}"))
+
+
+def _forms(posts: DataFrame, table: DataFrame, text: str) -> DataFrame:
+    """Distinct word runs of each sentence that may be in ``table``, as ``form`` and its ``alias_key``.
+
+    From each word on, the text is followed along the dictionary's beginnings of 1, 2,
+    4, ... words, each an equi-join that only keeps places where an alias goes on; only
+    there are runs built, of the sizes that begin so. A place carries as many words as
+    the longest alias has, so the work grows with the text, not with the length of a
+    sentence.
+    """
+    longest = table.agg(F.max("alias_size")).first()[0] or 0
+    spoken = sentences(posts, text).select("post_id", "sentence_no", _words(F.col("sentence")).alias("__words"))
+    # Dealt by sentence before anything grows, as the distinct forms of a sentence meet in the end.
+    spoken = spoken.repartition("post_id", "sentence_no")
+    ahead = F.transform("__words", lambda _, i: F.slice("__words", i + 1, longest or 1))
+    places = spoken.select("post_id", "sentence_no", F.explode(ahead).alias("__run"))
+    length, sizes = 1, []
+    while length <= longest:
+        begun = _beginnings(table, length)
+        run = F.array_join(F.slice("__run", 1, length), " ") if length > 1 else F.col("__run")[0]
+        key = F.when(F.size("__run") >= length, F.lower(run))
+        places = places.withColumn(f"__at{length}", key)
+        places = places.join(begun, places[f"__at{length}"] == begun[f"__key{length}"], "left" if sizes else "inner")
+        sizes.append(F.coalesce(f"__sizes{length}", F.array().cast("array<int>")))
+        length *= 2
+    fitting = F.filter(F.concat(*sizes), lambda n: n <= F.size("__run")) if sizes else F.array().cast("array<int>")
+    forms = F.transform(fitting, lambda n: F.array_join(F.slice("__run", 1, n), " "))
+    # A form counts once per sentence, so repeats go before the lookup.
+    spelled = places.select("post_id", "sentence_no", F.explode(forms).alias("form")).distinct()
+    return spelled.withColumn("alias_key", F.lower("form"))
+
+
 def mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
     """Occurrences of aliases as whole words, case-insensitive, the surface form kept.
 
-    Dictionary: ``alias`` and any label columns, which come out as they are.
-    Word runs are looked up by equality, so the dictionary may have any size and
-    no post meets an alias it does not contain. Runs are built for the numbers of
-    words that aliases have, whatever the longest. Equal forms in one sentence count once.
+    Dictionary: ``alias`` and any label columns, which come out as they are. It may
+    have any size, and no post meets an alias it does not contain. Equal forms in
+    one sentence count once.
     """
-    table = alias_table(aliases)
-    spoken = sentences(posts, text).select("post_id", "sentence_no", _words(F.col("sentence")).alias("words"))
-    sizes = table.agg(F.sort_array(F.collect_set("alias_size")).alias("sizes")).scalar()
-    spelled = spoken.select("post_id", "sentence_no", "words", sizes.alias("sizes"), F.posexplode("words").alias("word_no", "word"))
-    fitting = F.filter("sizes", lambda n: F.col("word_no") + n <= F.size("words"))
-    runs = spelled.select("post_id", "sentence_no", "words", "word_no", F.explode(fitting).alias("n"))
-    form = F.array_join(F.slice("words", F.col("word_no") + 1, F.col("n")), " ")
-    # A form counts once per sentence, so repeats go before the lookup.
-    forms = runs.select("post_id", "sentence_no", form.alias("form")).distinct()
-    keyed = forms.withColumn("alias_key", F.lower("form"))
+    table = materialize(alias_table(aliases), "aliases")
     labels = [c for c in aliases.columns if c != "alias"]
-    found = keyed.join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
-    return found.distinct()
+    return _forms(posts, table, text).join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
 
 
 def entity_mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
-    """Distinct surface forms per entity and post: the evidence, one row each."""
-    found = mentions(posts, aliases, text)
-    return found.groupBy("canonical", "form", "post_id").agg(F.count("*").alias("sentences"))
+    """Distinct surface forms per entity and post: the evidence, one row each.
+
+    Sentences are counted per form, and only then does a form meet its entities.
+    """
+    table = materialize(alias_table(aliases.select("canonical", "alias")), "aliases")
+    counted = _forms(posts, table, text).groupBy("post_id", "form", "alias_key").agg(F.count("*").alias("sentences"))
+    return counted.join(table, "alias_key").select("canonical", "form", "post_id", "sentences")
 
 
 def benefit_mentions(

@@ -128,51 +128,124 @@ def thread_limit(threads: DataFrame, n: int, style: str = "structured") -> DataF
     return reached.join(kept, ["link", "root_comment_id"], "left_semi")
 
 
-# Sorts after every real input order.
-_LAST = (1 << 63) - 1
+def thread_tour(comments: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Reached comments with their place in a walk through the thread, as longs.
+
+    Input as for ``thread_depth``. The walk opens a comment, walks its replies by
+    ``ord`` and id, and closes it: ``enter`` and ``leave`` count the steps of
+    its thread before either. So ``enter`` is reading order, the replies of a
+    comment lie between its two steps, and ``size`` is their number and itself.
+    ``first`` is true for the eldest of its siblings.
+
+    Every step knows the next one, and ranks come by pointer jumping: a
+    round adds the steps up to the one pointed at and takes over its pointer, so n
+    steps take log2(n) + 1 equi-joins of rows of a fixed size, whatever the
+    depth. Comments without a path to the submission have no place and are left out.
+    """
+    nodes = comments.select(
+        bare_id("link_id").alias("link"),
+        F.col("reddit_id").alias("id"),
+        bare_id("parent_id").alias("up"),
+        F.col("ord").cast("bigint").alias("ord"),
+        *carry,
+    )
+    nodes = keep_first(nodes, ["link", "id"], [F.asc("ord"), F.asc("up")])
+    # One comment may have most replies, so siblings are numbered without a window over them.
+    nodes = materialize(number_rows(nodes, ["link", "up"], [F.asc("ord"), F.asc("id")], "place"), "tour-comments")
+    # A comment may have the id of its submission, whose replies are not its own.
+    eldest = nodes.where("place = 1 and up <> link").select("link", F.col("up").alias("id"), F.col("id").alias("to"))
+    younger = nodes.select("link", "up", (F.col("place") - 1).alias("place"), F.col("id").alias("to"))
+    opening = nodes.select("link", "id").join(eldest, ["link", "id"], "left").select(
+        "link", "id", F.lit(False).alias("closes"), F.coalesce("to", "id").alias("to"), F.col("to").isNull().alias("to_closes"), F.lit(False).alias("ends")
+    )
+    closing = nodes.select("link", "id", "up", "place").join(younger, ["link", "up", "place"], "left").select(
+        "link", "id", F.lit(True).alias("closes"), F.coalesce("to", "up").alias("to"), F.col("to").isNull().alias("to_closes"),
+        (F.col("to").isNull() & (F.col("up") == F.col("link"))).alias("ends"),
+    )
+    steps = opening.union(closing).select(
+        "link", "id", "closes", "to", "to_closes",
+        F.lit(1).cast("bigint").alias("steps"),
+        F.when(F.col("closes"), -1).otherwise(1).cast("bigint").alias("rise"),
+        F.when(F.col("ends"), "done").otherwise("open").alias("state"),
+    )
+    current = materialize(steps, "tour-round")
+    finished: list[DataFrame] = []
+    still_open, before = current.where("state = 'open'").count(), -1
+    # Every round finishes some step unless only cycles are left.
+    while still_open and still_open != before:
+        finished.append(current.where("state <> 'open'"))
+        known = current
+        for part in finished[:-1]:
+            known = known.unionByName(part)
+        current = materialize(_jumped(current.where("state = 'open'"), known), "tour-round")
+        before, still_open = still_open, current.where("state = 'open'").count()
+    ranked = current
+    for part in finished:
+        ranked = ranked.unionByName(part)
+    ranked = ranked.where("state = 'done'").select("link", "id", "closes", "steps", "rise")
+    total = ranked.groupBy("link").agg(F.max("steps").alias("total"))
+    left = ranked.where("closes").select("link", "id", F.col("steps").alias("after"))
+    placed = ranked.where("not closes").join(left, ["link", "id"]).join(total, "link")
+    return placed.join(nodes, ["link", "id"]).select(
+        "link", "id", "up", "ord", (-F.col("rise")).alias("depth"), (F.col("total") - F.col("steps")).alias("enter"),
+        (F.col("total") - F.col("after")).alias("leave"), ((F.col("steps") - F.col("after") + 1) / 2).cast("bigint").alias("size"),
+        (F.col("place") == 1).alias("first"), *carry,
+    )
+
+
+def _jumped(open_steps: DataFrame, known: DataFrame) -> DataFrame:
+    """One round: every open step takes over the count and the pointer of the step it points at."""
+    target = known.select(
+        "link", F.col("id").alias("to"), F.col("closes").alias("to_closes"), F.col("to").alias("next"), F.col("to_closes").alias("next_closes"),
+        F.col("steps").alias("more"), F.col("rise").alias("rises"), F.col("state").alias("found"),
+    )
+    pointed = open_steps.select("link", "to", "to_closes").distinct()
+    target = target.join(pointed, ["link", "to", "to_closes"], "left_semi")
+    joined = open_steps.join(target, ["link", "to", "to_closes"], "left")
+    return joined.select(
+        "link", "id", "closes", F.coalesce("next", "to").alias("to"), F.coalesce("next_closes", "to_closes").alias("to_closes"),
+        (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), (F.col("rise") + F.coalesce("rises", F.lit(0))).alias("rise"),
+        F.coalesce("found", F.lit("lost")).alias("state"),
+    )
 
 
-def tree_fragments(threads: DataFrame, fields: Sequence[str]) -> DataFrame:
+def tree_fragments(comments: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Nested reply JSON of every thread, as fragments in reading order.
 
-    Joining the fragments of a link by ``at`` gives one JSON array of comments
+    Joining the fragments of a link by ``at``, from 0 without a gap, gives one JSON array of comments
     with nested ``replies``. A comment gives an opening and a closing fragment,
-    so a thread of any size stays spread over rows and tasks.
+    so a thread of any size stays spread over rows and tasks, and a fragment's
+    place is one long.
     """
-    reached = threads.where("reached").withColumn("parent", F.slice("path", 1, F.size("path") - 1))
-    eldest = reached.groupBy("link", "parent").agg(F.min(F.element_at("path", -1)).alias("eldest"))
-    nodes = reached.join(eldest, ["link", "parent"])
-    last = F.struct(F.lit(_LAST).alias("ord"), F.lit("").alias("id"))
-    comma = F.when(F.element_at("path", -1) == F.col("eldest"), "").otherwise(",")
+    tour = materialize(thread_tour(comments, [f for f in fields if f not in ("link", "id", "up", "ord", "depth")]), "tour")
     record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    opening = F.concat(comma, F.substr(record, F.lit(1), F.length(record) - 1), F.lit(',"replies":['))
-    closing_at = F.concat(F.col("path"), F.array(last))
-    inner = nodes.select(
+    opening = F.concat(F.when(F.col("first"), "").otherwise(","), F.substr(record, F.lit(1), F.length(record) - 1), F.lit(',"replies":['))
+    inner = tour.select(
         "link",
         F.inline(
             F.array(
-                F.struct(F.col("path").alias("at"), opening.alias("fragment")),
-                F.struct(closing_at.alias("at"), F.lit("]}").alias("fragment")),
+                F.struct((F.col("enter") + 1).alias("at"), opening.alias("fragment")),
+                F.struct((F.col("leave") + 1).alias("at"), F.lit("]}").alias("fragment")),
             )
         ),
     )
-    first = F.struct(F.lit(-_LAST).alias("ord"), F.lit("").alias("id"))
-    frame = threads.select("link").distinct().select(
+    lengths = tour.groupBy("link").agg((F.max("leave") + 2).alias("end"))
+    links = comments.select(bare_id("link_id").alias("link")).distinct().join(lengths, "link", "left")
+    frame = links.select(
         "link",
         F.inline(
             F.array(
-                F.struct(F.array(first).alias("at"), F.lit("[").alias("fragment")),
-                F.struct(F.array(last).alias("at"), F.lit("]").alias("fragment")),
+                F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("[").alias("fragment")),
+                F.struct(F.coalesce("end", F.lit(1)).cast("bigint").alias("at"), F.lit("]").alias("fragment")),
             )
         ),
     )
     return inner.unionByName(frame)
 
 
-def thread_tree_json(threads: DataFrame, fields: Sequence[str]) -> DataFrame:
+def thread_tree_json(comments: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Tree fragments with their line number in the document of the thread."""
-    numbered = number_rows(tree_fragments(threads, fields), ["link"], [F.asc("at")], "line_no")
-    return numbered.select("link", "line_no", "fragment")
+    return tree_fragments(comments, fields).select("link", (F.col("at") + 1).alias("line_no"), "fragment")
 
 
 def flatten_nested(docs: DataFrame, comments: str = "comments", levels_per_pass: int = 8) -> DataFrame:

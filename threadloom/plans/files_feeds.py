@@ -441,8 +441,7 @@ def sink_csv(t: Tables) -> DataFrame:
 def sink_structured_comments(t: Tables) -> DataFrame:
     """Lines of the written tree documents."""
     path = scratch_path(t.spark, "structured")
-    placed = threads.thread_depth(t.threads, carry=["author", "body"])
-    writers.write_structured_comments(threads.tree_fragments(placed, ["id", "author", "body"]), path)
+    writers.write_structured_comments(threads.tree_fragments(t.threads, ["id", "author", "body"]), path)
     return t.spark.read.text(path)
 
 

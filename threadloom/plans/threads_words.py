@@ -82,8 +82,7 @@ TREE_FILE = TREE.replace("SELECT link, row_number() OVER (PARTITION BY link ORDE
 
 @query("thread_tree_json", walk("threads", TREE))
 def thread_tree_json(t: Tables) -> DataFrame:
-    placed = threads.thread_depth(t.threads, carry=["author", "body"])
-    return threads.thread_tree_json(placed, ["id", "author", "body"])
+    return threads.thread_tree_json(t.threads, ["id", "author", "body"])
 
 
 def nested_documents(t: Tables) -> DataFrame:
