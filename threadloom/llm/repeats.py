@@ -9,9 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from .frames import batch, chosen
-from .text import SpanHash, Texts, ragged, texts_of
+from .text import SLICE, SpanHash, Texts, ragged, texts_of
 
 #: Bytes that a repeated string has at least.
 LENGTH = 200
@@ -20,14 +20,16 @@ ANCHOR = 32
 #: Depth from which intervals are expanded, as the suffix sort passes it: a power of two.
 KNOWN = 128
 #: Bytes of segments under one transform, about; and distinct segments of one anchor that go into one.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 GROUP = 8192
+#: Entries of one shuffle partition that are looked through at once.
+HELD = 1 << 20
 
 _ANCHORS = pa.schema([("bucket", pa.int32()), *[(n, pa.binary()) for n in ("anchors", "segments", "docs", "starts", "counts")]])
 _FOUND = pa.schema([
     ("anchor", pa.int64()), ("segment", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("windows", pa.int32()),
 ])
-_TEXTS = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("copies", pa.int32()), ("bytes", pa.binary())])
+_TEXTS = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("copies", pa.int32()), ("blocks", pa.int32()), ("bytes", pa.binary())])
 _RANGES = pa.schema([("anchor", pa.int64()), ("segment", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
 
@@ -68,6 +70,16 @@ def segments_of(texts: Texts) -> tuple[np.ndarray, ...]:
     return text, starts, counts, spans(place, place + ANCHOR), spans(starts, starts + counts + LENGTH - 1)
 
 
+def windows_of(texts: Texts) -> Iterator[tuple[Texts, int]]:
+    """Texts, and where they start in their own; a long one in windows that overlap by all but one byte of a string."""
+    if len(texts.rows) > 1 or len(texts.data) <= 2 * SLICE:
+        yield texts, 0
+        return
+    for start in range(0, len(texts.data) - LENGTH + 1, SLICE):
+        data = texts.data[start : start + SLICE + LENGTH - 1]
+        yield Texts(texts.rows, data, np.array([0, len(data)])), start
+
+
 def _anchor_rows(buckets: int):
     """Runs leave a batch in one row per bucket of their anchors."""
 
@@ -75,9 +87,10 @@ def _anchor_rows(buckets: int):
         for rows in batches:
             parts = []
             docs = rows["doc"].to_numpy()
-            for texts in texts_of(rows["text"]):
-                text, starts, counts, anchors, segments = segments_of(texts)
-                parts.append((anchors, segments, docs[texts.rows[text]], starts - texts.offsets[text], counts))
+            for whole in texts_of(rows["text"], SLICE):
+                for texts, shift in windows_of(whole):
+                    text, starts, counts, anchors, segments = segments_of(texts)
+                    parts.append((anchors, segments, docs[texts.rows[text]], starts - texts.offsets[text] + shift, counts))
             if not parts:
                 continue
             anchors, segments, doc, starts, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -95,37 +108,57 @@ def _anchor_rows(buckets: int):
 
 
 def _repeated(batches) -> Iterator:
-    """Runs of one shuffle partition whose anchor stands at two places or more."""
+    """Runs of one shuffle partition whose anchor stands at two places or more.
+
+    Runs pass by in stretches. Of an anchor that has come once, its run is held; with the second one both go on, and
+    any later one goes on at once. So what is held grows with the anchors, not with the places of one.
+    """
     kinds = (np.uint64, np.int64, np.int64, "<i8", "<u2")
-    parts: list[tuple] = []
+    once = [np.zeros(0, kind) for kind in kinds]  # by anchor
+    twice = np.zeros(0, np.uint64)
+
+    def passed(parts: list[tuple]) -> Iterator:
+        nonlocal once, twice
+        runs = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        known = np.isin(runs[0], twice)
+        yield from out([r[known] for r in runs])
+        runs = [np.concatenate([o, r[~known]]) for o, r in zip(once, runs, strict=True)]
+        order = np.argsort(runs[0], kind="stable")
+        runs = [r[order] for r in runs]
+        same = runs[0][1:] == runs[0][:-1]
+        more = np.append(False, same) | np.append(same, False) if len(runs[0]) else same
+        once = [r[~more] for r in runs]
+        twice = np.union1d(twice, runs[0][more])
+        yield from out([r[more] for r in runs])
+
+    def out(runs: list[np.ndarray]) -> Iterator:
+        for a in range(0, len(runs[0]), 200_000):
+            at = slice(a, a + 200_000)
+            yield batch(_FOUND, runs[0][at].view(np.int64), *[r[at] for r in runs[1:]])
+
+    parts, held = [], 0
     for rows in batches:
         for k in range(rows.num_rows):
             parts.append(tuple(np.frombuffer(rows[name][k].as_buffer(), kind) for name, kind in zip(_ANCHORS.names[1:], kinds, strict=True)))
-    if not parts:
-        return
-    anchors, segments, docs, starts, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    parts.clear()
-    order = np.argsort(anchors, kind="stable")
-    same = anchors[order][1:] == anchors[order][:-1]
-    twice = np.zeros(len(order), bool)
-    twice[1:] |= same
-    twice[:-1] |= same
-    order = order[twice]
-    for a in range(0, len(order), 200_000):
-        at = order[a : a + 200_000]
-        yield batch(_FOUND, anchors[at].view(np.int64), segments[at], docs[at], starts[at], counts[at])
+            held += len(parts[-1][0])
+            if held >= HELD:
+                yield from passed(parts)
+                parts, held = [], 0
+    if parts:
+        yield from passed(parts)
 
 
 def _cut(batches) -> Iterator:
     """The bytes of the runs that a text stands for."""
     for rows in batches:
         for text, wanted in zip(rows["text"], rows["wanted"], strict=True):
-            raw = memoryview(text.as_buffer())
-            wanted = wanted.as_py()
-            yield batch(
-                _TEXTS, [w["anchor"] for w in wanted], [w["segment"] for w in wanted], [w["copies"] for w in wanted],
-                [bytes(raw[w["start"] : w["start"] + w["windows"] + LENGTH - 1]) for w in wanted],
-            )
+            raw, runs = memoryview(text.as_buffer()), wanted.values
+            names = [runs.field(n) for n in ("anchor", "segment", "copies", "blocks")]
+            starts, counts = (runs.field(n).to_numpy() for n in ("start", "windows"))
+            for a in range(0, len(runs), 4096):
+                at = slice(a, a + 4096)
+                cuts = [bytes(raw[x : x + n + LENGTH - 1]) for x, n in zip(starts[at].tolist(), counts[at].tolist(), strict=True)]
+                yield batch(_TEXTS, *[n[at] for n in names], cuts)
 
 
 def sort_suffixes(data: np.ndarray, depth: int, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +249,7 @@ def repeated_starts(segments: list[bytes], copies: np.ndarray, length: int = LEN
 
 
 def _expanded(batches) -> Iterator:
-    """Rows come sorted by anchor; whole anchors are put under one transform until it is large enough."""
+    """Rows come sorted by anchor and segment; whole anchors are put under one transform until it is large enough."""
 
     def done(held: list[tuple]) -> Iterator:
         segments = [bytes(h[2]) for h in held]
@@ -228,7 +261,7 @@ def _expanded(batches) -> Iterator:
         names = np.array([h[:2] for h in held], np.int64)[which]
         yield batch(_RANGES, names[:, 0], names[:, 1], starts - firsts[which], ends - firsts[which])
 
-    held, size, at = [], 0, None
+    held, size, at, last = [], 0, None, None
     for rows in batches:
         keys = zip(rows["anchor"].to_pylist(), rows["one"].to_pylist(), rows["other"].to_pylist(), strict=True)
         segments, copies = rows["segment"].to_pylist(), rows["copies"].to_pylist()
@@ -237,7 +270,10 @@ def _expanded(batches) -> Iterator:
             if at is not None and key != at and (size >= BLOCK or key[0] == at[0]):
                 yield from done(held)
                 held, size = [], 0
-            at = key
+            # Rows of one id and text have each given their runs.
+            if (at, last) == (key, segments[k]):
+                continue
+            at, last = key, segments[k]
             raw = rows["bytes"][k].as_py()
             held.append((key[0], segments[k], raw, copies[k]))
             size += len(raw) + 1
@@ -254,25 +290,23 @@ def spans(docs: DataFrame, doc: str = "doc", text: str = "text") -> DataFrame:
     found = anchors.repartition("bucket").mapInArrow(_repeated, "anchor bigint, segment bigint, doc bigint, start bigint, windows int")
     found = materialize(found, "repeats-anchors")
 
-    # One place of each distinct run, and on how many it stands: two will do, as for any repeat.
+    # One place of each distinct run, and on how many it stands: two will do, as for any repeat. An anchor
+    # with very many distinct runs is cut into blocks, and each pair of blocks has a transform of its own.
     distinct = found.groupBy("anchor", "segment").agg(
         F.min(F.struct("doc", "start", "windows")).alias("__p"), F.least(F.count("*"), F.lit(2)).cast("int").alias("copies")
     )
-    wanted = distinct.groupBy("__p.doc").agg(
-        F.collect_list(F.struct("anchor", "segment", "copies", F.col("__p.start").alias("start"), F.col("__p.windows").alias("windows"))).alias("wanted")
-    )
+    distinct = materialize(distinct.select("anchor", "segment", "copies", "__p.*"), "repeats-distinct")
+    large = distinct.groupBy("anchor").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("blocks")).where("blocks > 1")
+    placed = distinct.join(large, "anchor", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    wanted = placed.groupBy("doc").agg(F.collect_list(F.struct("anchor", "segment", "copies", "blocks", "start", "windows")).alias("wanted"))
     texts = docs.select(F.col(doc).alias("doc"), F.col(text).cast("binary").alias("text")).join(wanted, "doc")
-    cut = texts.select("text", "wanted").mapInArrow(_cut, "anchor bigint, segment bigint, copies int, bytes binary")
-    cut = materialize(cut.dropDuplicates(["anchor", "segment"]), "repeats-segments")
-
-    # An anchor with very many distinct runs is cut into blocks, and each pair of blocks has a transform of its own.
-    large = cut.groupBy("anchor").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("blocks")).where("blocks > 1")
-    dealt = cut.join(large, "anchor", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("__b", F.pmod(F.xxhash64("segment"), "blocks").cast("int"))
-    dealt = dealt.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = texts.select("text", "wanted").mapInArrow(_cut, "anchor bigint, segment bigint, copies int, blocks int, bytes binary")
+    cut = cut.withColumn("__b", F.pmod(F.xxhash64("segment"), "blocks").cast("int"))
+    dealt = cut.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("anchor", F.least("__b", "__o").alias("one"), F.greatest("__b", "__o").alias("other"), "segment", "copies", "bytes")
-    dealt = dealt.repartition("anchor", "one", "other").sortWithinPartitions("anchor", "one", "other")
-    ranges = dealt.mapInArrow(_expanded, "anchor bigint, segment bigint, first int, last int")
+    dealt = dealt.repartition("anchor", "one", "other").sortWithinPartitions("anchor", "one", "other", "segment")
+    ranges = materialize(dealt.mapInArrow(_expanded, "anchor bigint, segment bigint, first int, last int"), "repeats-ranges")
+    discard(distinct)
     return found.join(ranges, ["anchor", "segment"]).select(
         "doc", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last")
     )

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from .text import SpanHash, Texts, ragged, texts_of
 
 #: A worker's store of encoded pieces is emptied at this many; that costs time, never a result.
-STORED = 3_000_000
+STORED = 600_000
 _MARK, _LETTER, _PLAIN, _LEAD = (np.zeros(256, bool) for _ in range(4))
 _MARK[list(b".,!?;:")] = True
 _LETTER[65:91] = _LETTER[97:123] = True
