@@ -153,14 +153,43 @@ def test_packing(docs, none):
     assert packing.pack(none).count() == 0
 
 
-def test_general_lengths_share_bins():
+def test_classes_fill_whole_bins():
     bins = packing.HarmonicBins(100, 0)
-    for k in range(10):
-        bins.add(33, k)
+    for k in range(9):
+        bins.add(bytes([k]) * 4 * 33, k)
+    done = bins.take()
+    # Three of 33 make a bin; the one token that it lacks is the head of the next.
+    assert [d[0] for d in done[:4]] == [0, 1, 2, 3] and [d[2] for d in done[:4]] == [33, 33, 33, 1]
+    bins.finish()
+    done += bins.take()
+    assert sum(d[2] for d in done) == 9 * 33
+    assert Counter(Counter(d[4] for d in done).values())[4] >= 2
+
+
+@pytest.mark.parametrize("capacity", [1024, 96, 1])
+def test_sequences_are_full_and_cuts_few(capacity):
+    rng = np.random.default_rng(3)
+    bins = packing.HarmonicBins(capacity, 7)
+    documents = [rng.integers(0, 50_000, n).astype("<u4").tobytes() for n in (rng.lognormal(5, 1.3, 3000) + 1).astype(int)]
+    for k, ids in enumerate(documents):
+        bins.add(ids, k)
     bins.finish()
     done = bins.take()
-    assert sorted(d[0] for d in done) == list(range(10))
-    assert max(Counter(d[1] for d in done).values()) == 3
+    parts, lengths = defaultdict(list), Counter()
+    for name, start, length, crc, sequence, offset in done:
+        assert crc == zlib.crc32(documents[name][4 * start : 4 * (start + length)])
+        assert offset == lengths[sequence]
+        lengths[sequence] += length
+        parts[name].append((start, length))
+    for name, ids in enumerate(documents):
+        end = 0
+        for start, length in sorted(parts[name]):
+            assert start == end
+            end += length
+        assert end == len(ids) // 4
+    short = [n for n in lengths.values() if n != capacity]
+    assert all(n & (n - 1) == 0 for n in short) and len(short) == len(set(short))
+    assert len(done) <= len(documents) + 2 * len(lengths) + 12
 
 
 def test_token_files(spark, docs, none, tmp_path):

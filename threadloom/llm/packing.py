@@ -17,47 +17,78 @@ PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_toke
 _SCHEMA = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 
 
-def piece_lengths(tokens: int, capacity: int) -> list[int]:
-    """Cuts of one document: full sequences, then one piece for each binary digit of the rest, longest first."""
-    rest = tokens % capacity
-    return [capacity] * (tokens // capacity) + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
-
-
 class HarmonicBins:
     """Open bins of one task.
 
-    A piece of length l belongs to class k = capacity // l, the lengths in
-    (capacity / (k + 1), capacity / k]. A bin of class k closes when it holds k
-    pieces. So a bin needs no search and classes need no exchange; a task holds at
-    most one open bin for each class.
+    A rest of length l belongs to class k = capacity // l, the lengths in (capacity / (k + 1), capacity / k]. A
+    bin of class k is ready when it holds k rests, so a bin needs no search and classes need no exchange; a task
+    holds at most one open bin for each class. What a ready bin lacks, less than one more rest of its class, is cut from the head of
+    the rest that comes next, whatever its class. So there is about one cut for each sequence, and no padding.
     """
 
     def __init__(self, capacity: int, first_sequence: int):
         self.capacity, self.sequence = capacity, first_sequence
         self.open: dict[int, list[tuple]] = defaultdict(list)
+        self.ready: list[tuple] = []  # the bin that waits for its last tokens
+        self.lacks = 0
         self.done: list[tuple] = []
 
-    def add(self, length: int, *piece) -> None:
-        count = self.capacity // length
+    def add(self, ids: bytes, *document) -> None:
+        """All of a document: ``ids`` holds four bytes a token."""
+        size, total = 4 * self.capacity, len(ids)
+        whole = total // size * size
+        for at in range(0, whole, size):
+            self._close([(document, at, ids[at : at + size])])
+        self._rest(document, whole, ids[whole:])
+
+    def _rest(self, document: tuple, start: int, ids: bytes) -> None:
+        if self.ready:
+            head = ids[: 4 * self.lacks]
+            self.ready.append((document, start, head))
+            self.lacks -= len(head) // 4
+            if self.lacks:
+                return
+            self._close(self.ready)
+            self.ready, start, ids = [], start + len(head), ids[len(head) :]
+        if not ids:
+            return
+        count = 4 * self.capacity // len(ids)
         held = self.open[count]
-        held.append((length, piece))
+        held.append((document, start, ids))
         if len(held) == count:
-            self._close(self.open.pop(count))
+            del self.open[count]
+            self.lacks = self.capacity - sum(len(p[2]) for p in held) // 4
+            if self.lacks:
+                self.ready = held
+            else:
+                self._close(held)
 
     def _close(self, held: list[tuple]) -> None:
         offset = 0
-        for length, piece in held:
-            self.done.append((*piece, self.sequence, offset))
-            offset += length
+        for document, start, ids in held:
+            self.done.append((*document, start // 4, len(ids) // 4, zlib.crc32(ids), self.sequence, offset))
+            offset += len(ids) // 4
         self.sequence += 1
 
     def finish(self) -> None:
-        """Close the open bins, cut into runs of 2**i pieces: runs of power-of-two pieces then need no padding."""
-        for held in self.open.values():
-            while held:
-                run = 1 << (len(held).bit_length() - 1)
-                self._close(held[:run])
-                held = held[run:]
+        """Close what is open: full sequences, and one for each binary digit of the rest, which need no padding."""
+        held = [*self.ready, *[piece for bin_ in self.open.values() for piece in bin_]]
+        left = sum(len(p[2]) for p in held) // 4
+        sizes = [self.capacity] * (left // self.capacity)
+        left %= self.capacity
+        sizes += [1 << k for k in range(left.bit_length() - 1, -1, -1) if left >> k & 1]
+        held.reverse()
+        for size in sizes:
+            bin_, lacks = [], 4 * size
+            while lacks:
+                document, start, ids = held.pop()
+                if len(ids) > lacks:
+                    held.append((document, start + lacks, ids[lacks:]))
+                    ids = ids[:lacks]
+                bin_.append((document, start, ids))
+                lacks -= len(ids)
+            self._close(bin_)
+        self.ready, self.lacks = [], 0
         self.open.clear()
 
     def take(self) -> list[tuple]:
@@ -71,18 +102,15 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents, and the sequence and offset at which each lies.
 
-    Each document is its ids and then ``end_id``. It is cut into full sequences and, for the
-    rest, into pieces whose lengths are powers of two; capacity, a power of two itself, is
-    a whole multiple of each, so a closed bin has no padding, and bins that stay open at the end of a task
-    become sequences whose length is a power of two. Tasks fill their bins on their
-    own: there is no shuffle.
+    Each document is its ids and then ``end_id``. It is cut into full sequences, and its rest goes into a bin of its reciprocal-capacity
+    class (``HarmonicBins``). Sequences are full; bins that stay open at the end of a task become full ones and at
+    most one for each binary digit of ``capacity``, whose lengths are powers of two. Tasks fill their bins on
+    their own: there is no shuffle.
 
     Sequence ids are unique; they follow the input split and the order within, so a task that runs
     again gives the same rows. A null or empty text is a document of one id. A null
-    ``doc_id`` stays null; repeated rows are packed each. An empty table gives no row.
+    ``doc_id`` stays null; repeated rows are packed each. An empty table gives no row. Other columns are not read.
     """
-    if capacity & (capacity - 1):
-        raise ValueError("capacity must be a power of two")
     path = vocabulary_path or vocabulary()
 
     def run(batches):
@@ -92,15 +120,15 @@ def pack(
             for at, ids, offsets in encoder(path)(rows["text"]):
                 for name, a, b in zip(rows["doc_id"].take(pa.array(at)).to_pylist(), offsets[:-1], offsets[1:], strict=True):
                     raw = np.append(ids[a:b], np.uint32(end_id)).astype("<u4").tobytes()
-                    total, start = len(raw) // 4, 0
-                    for length in piece_lengths(total, capacity):
-                        crc = zlib.crc32(raw[4 * start : 4 * (start + length)])
-                        bins.add(length, name, start, length, crc, total)
-                        start += length
+                    bins.add(raw, name, len(raw) // 4)
                 if done := bins.take():
-                    yield batch(_SCHEMA, *zip(*done, strict=True))
+                    yield rows_of(done)
         bins.finish()
         if done := bins.take():
-            yield batch(_SCHEMA, *zip(*done, strict=True))
+            yield rows_of(done)
+
+    def rows_of(done):
+        name, total, start, length, crc, sequence, offset = zip(*done, strict=True)
+        return batch(_SCHEMA, name, start, length, crc, total, sequence, offset)
 
     return chosen(docs, doc_id=doc_id, text=text).mapInArrow(run, PIECES)
