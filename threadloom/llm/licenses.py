@@ -182,25 +182,25 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences:
     distinct licences, in order and joined by commas, whose text is a whole line of the
     document, else an empty string. ``licences`` is a table of ``license`` and ``text``, by
     default ``default_licences``; a licence may have many texts, and one text of several licences
-    counts for the first by name. Their digests are broadcast. Only lines that match leave their task.
+    counts for the first by name. Spark joins their digests by the size that they have. Only lines that match are grouped.
 
-    A null or empty text has the digest of an empty text and no licence. Rows with equal
-    ids share their notices; a null ``doc_id`` counts as one id. An empty table gives none.
+    A null or empty text has the digest of an empty text and no licence. Rows that repeat, or share an id or have
+    none, each get the notices of their own text. An empty table gives none.
     """
+    # Notices depend on the text alone, so rows meet them by their text, whatever their ids.
+    body = [F.xxhash64("text").alias("__h1"), F.xxhash64(F.lit("2"), "text").alias("__h2")]
     rows = chosen(docs, doc_id=doc_id, text=text)
     listed = materialize(known(default_licences(docs.sparkSession) if licences is None else licences), "licences")
-    table = F.broadcast(listed.drop("__head"))
-    lines = rows.select("doc_id", F.explode(F.split("text", "\n")).alias("__line"))
+    table = listed.drop("__head")
+    lines = rows.select(*body, F.explode(F.split("text", "\n")).alias("__line"))
     # A line can only match if it begins as a listed text does.
-    lines = lines.withColumn("__head", head(F.col("__line"))).join(F.broadcast(listed.select("__head").distinct()), "__head", "left_semi")
-    lines = lines.select("doc_id", key(F.col("__line")).alias("__key"))
-    notices = lines.join(table, "__key").groupBy("doc_id").agg(
+    lines = lines.withColumn("__head", head(F.col("__line"))).join(listed.select("__head").distinct(), "__head", "left_semi")
+    lines = lines.select("__h1", "__h2", key(F.col("__line")).alias("__key"))
+    notices = lines.join(table, "__key").groupBy("__h1", "__h2").agg(
         F.array_join(F.sort_array(F.collect_set("license")), ",").alias("notices")
     )
-    whole = rows.select("doc_id", digest(F.col("text")).alias("digest"), key(F.col("text")).alias("__key")).join(table, "__key", "left")
-    return whole.join(notices, whole["doc_id"].eqNullSafe(notices["doc_id"]), "left").select(
-        whole["doc_id"], "digest", "license", F.coalesce("notices", F.lit("")).alias("notices")
-    )
+    whole = rows.select("doc_id", *body, digest(F.col("text")).alias("digest"), key(F.col("text")).alias("__key")).join(table, "__key", "left")
+    return whole.join(notices, ["__h1", "__h2"], "left").select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"))
 
 
 def sql(table: str = "documents") -> str:
