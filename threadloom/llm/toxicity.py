@@ -9,13 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialize
 from .frames import batch, chosen
 from .text import SpanHash, Texts, Words, sorted_distinct, texts_of, words_of
 
 #: Labelled rows that the model is fitted on at most, those least by a hash of their id.
 LABELLED = 20_000
-#: Features in the table at most, the most certain first.
-TABLE = 20_000
 #: The prior that the corpus as a whole adds to either side, as a share of all counts.
 PRIOR = 0.1
 #: Bytes of the beginnings of longer words that are features as well as whole words, for words that are inflected.
@@ -172,14 +171,16 @@ def learn(
     """The table of words and beginnings, and the calibration, from labelled documents.
 
     ``labels`` has an id and a 0/1 label; null labels and ids are left out, an id with several labels has the largest.
-    At most ``labelled`` of them are used, so the sample that is broadcast, the word table and the calibration
-    rows that reach the driver are all bounded. Scores are log-odds of the number of toxic against clean texts with the
+    At most ``labelled`` of them are used, and of an id with several texts the first by a hash, so the sample that is broadcast, the word
+    table and the calibration rows that reach the driver are all bounded by it. Scores are log-odds of the number of toxic against clean texts with the
     feature, either side smoothed by a Dirichlet prior in proportion to its frequency in both. Without any labelled row of one kind, no word is listed.
     """
     named = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.col(label) > 0).alias("toxic"))
     named = named.dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sample = named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    rows = chosen(docs, doc_id=doc_id, text=text).join(F.broadcast(sample), "doc_id").select("text", "toxic")
+    rows = chosen(docs, doc_id=doc_id, text=text).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
+    first = F.min(F.struct(F.xxhash64("text"), "text", "toxic")).alias("__r")
+    rows = materialize(rows.groupBy("doc_id").agg(first).select("__r.text", "__r.toxic"), "labelled")
 
     counts = rows.mapInArrow(_count_words, "word bigint, toxic boolean, n bigint").groupBy("word").agg(
         F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(~F.col("toxic"), F.col("n")).otherwise(0)).alias("c")
@@ -191,7 +192,7 @@ def learn(
     odds = lambda y, n: F.log((F.col(y) + prior) / (F.lit(n + PRIOR * every) - F.col(y) - prior))
     listed = counts.withColumn("gain", odds("t", n_toxic) - odds("c", n_clean))
     listed = listed.withColumn("z", F.col("gain") / F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior)))
-    listed = listed.where((F.col("gain") >= ODDS) & (F.col("z") >= CERTAIN)).orderBy(F.desc("z"), "word").limit(TABLE)
+    listed = listed.where((F.col("gain") >= ODDS) & (F.col("z") >= CERTAIN))
     table = listed.select("word", "gain", "c").collect() if n_toxic and n_clean else []
     words = np.array([r["word"] for r in table], np.int64).view(np.uint64)
     order = np.argsort(words)
