@@ -55,3 +55,34 @@ def test_audit_sees_isolated_links():
     outside = vectors[300:301] + np.float32(0.01)
     assert graph.audited_beam(0.9, 0.99, 526, more=outside / np.linalg.norm(outside)) == 4 * BEAM
     assert Lossy(vectors[:300]).audited_beam(0.9, 0.99) == BEAM
+
+
+def test_double_columns_lose_no_link(spark):
+    rows = [(1, [1e300, 0.0]), (2, [2e300, 0.0]), (3, [1.0, 0.0]), (4, [1e-60, 0.0]), (5, [1.0, 1e-9]), (6, [0.0, 1.0])]
+    out = vector_links.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted(map(tuple, out)) == [(k, 4, 1, k == 1) for k in range(1, 6)] + [(6, 0, 6, True)]
+    # Cosines to either side of the threshold by less than single precision tells.
+    near = [[1.0, 0.0], [0.9 + 1e-12, (1 - (0.9 + 1e-12) ** 2) ** 0.5], [-0.9 + 1e-12, (1 - (0.9 - 1e-12) ** 2) ** 0.5]]
+    rows = [(k, v) for k, v in enumerate(near)] + [(9, [-1.0, 0.0])]
+    out = vector_links.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"]) for r in out) == [(0, 1), (1, 1), (2, 0), (9, 0)]
+
+
+def test_recall_of_thousands_a_shard(spark, monkeypatch):
+    """Shards far larger than a beam: links found against brute force, none below the threshold."""
+    monkeypatch.setattr(vector_links, "SHARDS", 2)
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((4000, 64))
+    near = base[rng.integers(0, 4000, 2000)] + 0.3 * rng.standard_normal((2000, 64))
+    vectors = np.concatenate([base, near]).astype(np.float32)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    true = linked.sum(axis=1)
+    out = {r["vec_id"]: r for r in vector_links.near_duplicates(frame).collect()}
+    found = np.array([out[k]["n_links"] for k in range(len(vectors))])
+    assert true.sum() > 3000 and (found <= true).all()
+    assert found.sum() >= 0.99 * true.sum()
+    known = brute.classes(np.argwhere(np.triu(linked)).tolist(), len(vectors))
+    assert np.mean([out[k]["component_id"] == known[k] for k in range(len(vectors))]) >= 0.99

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from ..session import materialize
 from .frames import batch, chosen
@@ -16,8 +17,8 @@ from .small_world import Graph, levels_of
 LEAST = 0.9
 #: Recall that the audits of each shard ask for.
 RECALL = 0.99
-#: Shards at least, and vectors in a shard at most, about.
-SHARDS, SHARD_ROWS = 8, 250_000
+#: Shards at least, and bytes of the components in a shard at most, about, as a search task holds them in double precision.
+SHARDS, SHARD_BYTES = 8, 128 << 20
 #: Vectors of any shard, by hash, that every shard's audit asks for besides some of its own.
 PROBES = 1024
 #: Tasks that share the queries of a shard.
@@ -34,7 +35,8 @@ _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_links", pa.int64()
 
 
 def _matrix(raws: list[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(r, "<f4") for r in raws])
+    """Stored vectors of one shard: the first byte tells the bytes of a component, the same for all rows of a column."""
+    return np.stack([np.frombuffer(r, f"<f{r[0]}", offset=1) for r in raws])
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -151,21 +153,24 @@ def links(vectors: DataFrame, least: float = LEAST, recall: float = RECALL, vec_
     """Rows with their ``node`` (null if they link with nothing), the nodes, and what the search found.
 
     Equal vectors are one node. Nodes are dealt to shards by hash, ``SHARDS`` or as many as keep a shard near
-    ``SHARD_ROWS``; vectors of different lengths never meet. A shard's graph and the beam that its
+    ``SHARD_BYTES``; vectors of different lengths never meet. A shard's graph and the beam that its
     audit asks for are kept as one row per node. Every node is then a query in every shard of its length:
     the rows of a graph come first in a task and the queries stream past it.
     """
     rows = chosen(vectors, vec_id=vec_id, embedding=embedding)
-    rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>").alias("__v"))
+    kind = vectors.schema[embedding].dataType
+    single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
+    rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("__v"))
     finite = F.forall("__v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.col("__v").isNotNull() & finite & F.exists("__v", lambda x: x != 0)
     rows = rows.withColumn("node", F.when(usable, F.xxhash64("__v")))
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("__v").alias("__v"), F.count("*").alias("copies"))
     nodes = materialize(nodes, "vectors")
-    shards = max(SHARDS, -(-nodes.count() // SHARD_ROWS))
+    numbers = nodes.agg(F.sum(F.size("__v").cast("bigint"))).first()[0] or 0
+    shards = max(SHARDS, -(-8 * numbers // SHARD_BYTES))
     # The bytes of the floats, so that tasks need no lists of Python numbers.
     shard = F.size("__v") * F.lit(shards).cast("bigint") + F.pmod("node", F.lit(shards))
-    nodes = nodes.withColumn("shard", shard).mapInArrow(_packed, "node bigint, copies bigint, vector binary, length int, shard bigint")
+    nodes = nodes.withColumn("shard", shard).mapInArrow(_packed(4 if single else 8), "node bigint, copies bigint, vector binary, length int, shard bigint")
     probes = [bytes(r["vector"]) for r in nodes.orderBy(F.xxhash64("node")).limit(PROBES).select("vector").collect()]
     dealt = nodes.repartition("shard").sortWithinPartitions("shard", "node")
     index = materialize(dealt.select("shard", "node", "copies", "vector").mapInArrow(_built(least, recall, probes), _INDEX), "small-worlds")
@@ -184,14 +189,20 @@ def links(vectors: DataFrame, least: float = LEAST, recall: float = RECALL, vec_
     return rows.drop("__v"), nodes, found
 
 
-def _packed(batches) -> Iterator:
+def _packed(width: int):
+    """Vectors as bytes in the precision of their column, so that searches, hashes and cosines lose nothing."""
     schema = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("vector", pa.binary()), ("length", pa.int32()), ("shard", pa.int64())])
-    for rows in batches:
-        lists = rows["__v"]
-        values = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), "<f4")
-        ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
-        raw = [values[a:b].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)]
-        yield batch(schema, rows["node"], rows["copies"], raw, np.diff(lists.offsets.to_numpy()), rows["shard"])
+    mark = bytes([width])
+
+    def run(batches) -> Iterator:
+        for rows in batches:
+            lists = rows["__v"]
+            values = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), f"<f{width}")
+            ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
+            raw = [mark + values[a:b].tobytes() for a, b in zip(np.append(0, ends[:-1]), ends, strict=True)]
+            yield batch(schema, rows["node"], rows["copies"], raw, np.diff(lists.offsets.to_numpy()), rows["shard"])
+
+    return run
 
 
 def near_duplicates(
