@@ -406,7 +406,72 @@ def test_forward_recursion_sums_over_paths():
     s = hidden_markov.STATES
     assert expected[:s] == pytest.approx(starts)
     assert expected[s : s + s * s] == pytest.approx(moves.ravel())
-    assert expected[s + s * s :].sum() == pytest.approx(lengths.sum())
+    assert expected[s + s * s : -2].sum() == pytest.approx(lengths.sum())
+    assert expected[-2:] == pytest.approx([score.sum(), lengths.sum()])
+
+
+def test_hidden_markov_end_to_end(spark):
+    """Scores against plain recursions, word by word, over the same first model and rounds."""
+    from threadloom.llm.text import texts_of, words_of
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(rng.choice(["a", "b", "c", "D", "e.", "ff"], rng.integers(0, 12)))) for k in range(60)]
+    held = [zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in rows]
+    lists = [[*brute.WORD.findall(t.translate(brute.LOWER)), None] for _, t in rows]
+    names = sorted({w for ws in lists for w in ws if w})
+    (texts,) = texts_of(pa.array([" ".join(names)]))
+    hashes = dict(zip(names, words_of(texts, lower=True).hashes.tolist(), strict=True)) | {None: int(hidden_markov.END)}
+    size = hidden_markov.CLASSES
+    of = {w: (h & 0xFFFFFFFF) % size for w, h in hashes.items()}
+    counts = Counter(w for ws, out in zip(lists, held, strict=True) if not out for w in ws)
+    class_counts, class_types = np.zeros(size), np.zeros(size)
+    for w, n in counts.items():
+        class_counts[of[w]] += n
+        class_types[of[w]] += 1
+
+    def recursions(model, ws):
+        alphas, log = [], 0.0
+        for t, w in enumerate(ws):
+            a = (model.start if t == 0 else alphas[-1] @ model.move) * model.emit[of[w]]
+            log += np.log10(a.sum())
+            alphas.append(a / a.sum())
+        return alphas, log
+
+    model, before, rounds = hidden_markov.Model.first(class_counts), None, 0
+    while True:
+        starts, moves, emits, log, tokens = np.zeros(6), np.zeros((6, 6)), np.zeros((size, 6)), 0.0, 0
+        for ws, out in zip(lists, held, strict=True):
+            if out:
+                continue
+            alphas, one = recursions(model, ws)
+            log, tokens, beta = log + one, tokens + len(ws), np.ones(6)
+            for t in range(len(ws) - 1, -1, -1):
+                odds = alphas[t] * beta / (alphas[t] @ beta)
+                emits[of[ws[t]]] += odds
+                if t:
+                    pairs = alphas[t - 1][:, None] * model.move * (model.emit[of[ws[t]]] * beta)[None, :]
+                    moves += pairs / pairs.sum()
+                    beta = model.move @ (model.emit[of[ws[t]]] * beta)
+                    beta /= beta.sum()
+                else:
+                    starts += odds
+        model, rounds = hidden_markov.Model.of(np.concatenate([starts, moves.ravel(), emits.ravel(), [0, 0]]), class_counts), rounds + 1
+        if before is not None and log / tokens - before < hidden_markov.TOLERANCE:
+            break
+        before = log / tokens
+    found = {r["doc_id"]: r["score"] for r in hidden_markov.score(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    for (k, _), ws in zip(rows, lists, strict=True):
+        within = sum(np.log10((counts[w] + 1) / (class_counts[of[w]] + class_types[of[w]] + 1)) for w in ws)
+        assert found[k] == pytest.approx(recursions(model, ws)[1] + within, abs=1e-6)
+    assert rounds >= 2
+
+
+def test_hidden_markov_beats_word_frequencies(spark):
+    found = hidden_markov.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out")
+    sums = found.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
+    assert sums["score"] / sums["n"] > sums["base"] / sums["n"] + 0.02
 
 
 def test_toxic_passages(spark, docs, none):

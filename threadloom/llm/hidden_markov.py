@@ -15,18 +15,19 @@ from .frames import batch, chosen
 from .text import texts_of, words_of
 
 STATES = 6
-#: Word classes, by hash: the size of the emission table, whatever the corpus.
-CLASSES = 4096
-ROUNDS = 4
+#: Word classes, by hash, at least; there are CLASS_ROOT times the square root of the vocabulary, as a power of two.
+CLASSES, CLASS_ROOT = 4096, 8
+#: Baum-Welch ends with the round that gains less of log10 likelihood a training token.
+TOLERANCE = 0.005
 #: Bytes of text whose tokens make one row; words are looked up once for each row.
 SLICE = 4 << 20
 #: Weight of the class frequencies in a state's emissions.
 PRIOR = 500.0
 END = np.uint64(0x5E4D0F7E1D)
-#: Slices that one task scores at once, so that a batch of them stays small.
-TOGETHER = 2
-#: Groups in which parameter counts are added before the last sum.
-SUMS = 64
+#: Groups in which parameter counts are added before the last sum, at most, and the bytes of all of them.
+SUMS, SUM_BYTES = 64, 32 << 20
+#: Words of one row of a vocabulary.
+LISTED = 250_000
 
 SLICES = (
     "slice bigint, doc_ids array<bigint>, held array<boolean>, lengths binary, low binary, high binary, classes binary, "
@@ -37,8 +38,8 @@ _SLICES = pa.schema([
     *[(n, pa.binary()) for n in ("lengths", "low", "high", "classes", "buckets", "words", "train")],
 ])
 _REQUESTS = pa.schema([("slice", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("train", pa.binary())])
-_COUNTS = pa.schema([("slice", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("task", pa.int32()), ("sums", pa.binary())])
-_SUMS = pa.schema([("sums", pa.binary())])
+_COUNTS = pa.schema([("slice", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("words", pa.binary())])
+_PART = pa.schema([("task", pa.int32()), ("sums", pa.binary())])
 SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, known_log double, class_score double, word_score double"
 _SCORES = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -77,7 +78,7 @@ def _sliced(batches, buckets: int, kind: str) -> Iterator:
             yield batch(
                 _SLICES, [number], [rows["doc_id"].take(pa.array(texts.rows)).to_pylist()], [held.tolist()],
                 [lengths.astype("<i4").tobytes()], [(place & 0xFFFF).astype("<u2").tobytes()], [(place >> 16).astype("<u2").tobytes()],
-                [(distinct % np.uint64(CLASSES)).astype("<u2").tobytes()],
+                [(distinct & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()],
                 [((distinct >> np.uint64(24)) % np.uint64(buckets)).astype(kind).tobytes()], [distinct.tobytes()], [train.astype("<u4").tobytes()],
             )
             number += 1
@@ -85,7 +86,7 @@ def _sliced(batches, buckets: int, kind: str) -> Iterator:
 
 def _by_bucket(rows, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The places of a slice's words by bucket: all places, and where each bucket starts and ends among them."""
-    words = len(rows["classes"][k].as_buffer()) // 2
+    words = len(rows["classes"][k].as_buffer()) // 4
     raw = rows["buckets"][k].as_buffer()
     bucket = np.frombuffer(raw, f"<u{len(raw) // words}").astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -104,7 +105,7 @@ def _requests(batches) -> Iterator:
 
 
 def _counted(batches) -> Iterator:
-    """Corpus counts of the words of one shuffle partition, sent back to each slice that asks; and the sums by class."""
+    """Corpus counts of the words of one shuffle partition, sent back to each slice that asks; and its part of the vocabulary."""
     asked: list[tuple] = []
     for rows in batches:
         for k in range(rows.num_rows):
@@ -114,30 +115,48 @@ def _counted(batches) -> Iterator:
         return
     distinct, place = np.unique(np.concatenate([a[2] for a in asked]), return_inverse=True)
     total = np.bincount(place, weights=np.concatenate([a[3] for a in asked]), minlength=len(distinct)).astype(np.int64)
-    seen = total > 0
-    by_class = (distinct[seen] % np.uint64(CLASSES)).astype(np.int64)
-    sums = np.concatenate([np.bincount(by_class, weights=total[seen], minlength=CLASSES), np.bincount(by_class, minlength=CLASSES)])
-    yield batch(_COUNTS, [-1], [0], [b""], [TaskContext.get().partitionId() % SUMS], [sums.astype("<f8").tobytes()])
+    seen = np.flatnonzero(total)
+    for a in range(0, len(seen), LISTED):
+        at = seen[a : a + LISTED]
+        yield batch(_COUNTS, [-1], [len(at)], [total[at].astype("<i8").tobytes()], [(distinct[at] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()])
     kind = "<u4" if total.max(initial=0) < 1 << 32 else "<u8"
     ends = np.cumsum([len(a[2]) for a in asked])
     for (name, bucket, words, _), end in zip(asked, ends, strict=True):
         counts = total[place[end - len(words) : end]].astype(kind).tobytes()
-        yield batch(_COUNTS, [name], [bucket], [counts], [0], [b""])
+        yield batch(_COUNTS, [name], [bucket], [counts], [b""])
+
+
+def _class_sums(classes: int):
+    """Training tokens and distinct training words of each class, from parts of the vocabulary."""
+
+    def run(batches) -> Iterator:
+        sums = np.zeros(2 * classes)
+        for rows in batches:
+            for k in range(rows.num_rows):
+                of = np.frombuffer(rows["words"][k].as_buffer(), "<u4").astype(np.int64) % classes
+                sums[:classes] += np.bincount(of, weights=np.frombuffer(rows["counts"][k].as_buffer(), "<i8"), minlength=classes)
+                sums[classes:] += np.bincount(of, minlength=classes)
+        yield batch(_PART, [TaskContext.get().partitionId()], [sums.astype("<f8").tobytes()])
+
+    return run
 
 
 def _added(batches) -> Iterator:
-    sums = None
+    sums, task = None, 0
     for rows in batches:
-        for raw in rows["sums"]:
+        for task, raw in zip(rows["task"].to_pylist(), rows["sums"], strict=True):
             one = np.frombuffer(raw.as_buffer(), "<f8")
             sums = one.copy() if sums is None else sums + one
     if sums is not None:
-        yield batch(_SUMS, [sums.tobytes()])
+        yield batch(_PART, [task], [sums.tobytes()])
 
 
-def gathered(df: DataFrame) -> np.ndarray | None:
-    """The sum of all vectors in ``sums``. Their length is that of the model's tables; ``SUMS`` of them at most reach the driver."""
-    parts = df.repartition(SUMS, "task").mapInArrow(_added, "sums binary").collect()
+def gathered(df: DataFrame, length: int) -> np.ndarray | None:
+    """The sum of all vectors in ``sums``, ``length`` numbers each. So many reach the driver as fit in ``SUM_BYTES``, ``SUMS`` at most."""
+    groups = max(1, min(SUMS, SUM_BYTES // (8 * length)))
+    for many in (groups * 16, groups):
+        df = df.withColumn("task", F.pmod("task", F.lit(many))).repartition("task").mapInArrow(_added, "task int, sums binary")
+    parts = df.collect()
     return sum(np.frombuffer(p["sums"], "<f8") for p in parts) if parts else None
 
 
@@ -151,7 +170,7 @@ class Model:
     def first(cls, class_counts: np.ndarray) -> Model:
         """Every state near the class frequencies, each off in its own way, and prone to stay."""
         rng = np.random.Generator(np.random.PCG64(5))
-        emit = _frequencies(class_counts)[:, None] * np.exp(0.7 * rng.standard_normal((CLASSES, STATES)))
+        emit = _frequencies(class_counts)[:, None] * np.exp(0.7 * rng.standard_normal((len(class_counts), STATES)))
         move = np.full((STATES, STATES), 0.1 / STATES) + 0.9 * np.eye(STATES)
         return cls(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
 
@@ -159,7 +178,7 @@ class Model:
     def of(cls, sums: np.ndarray, class_counts: np.ndarray) -> Model:
         """The model of the expected counts, with a little of every class and move."""
         start, move = sums[:STATES] + 1.0, sums[STATES : STATES + STATES**2].reshape(STATES, STATES) + 1.0
-        emit = sums[STATES + STATES**2 :].reshape(CLASSES, STATES) + PRIOR * _frequencies(class_counts)[:, None]
+        emit = sums[STATES + STATES**2 : -2].reshape(-1, STATES) + PRIOR * _frequencies(class_counts)[:, None]
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
@@ -201,8 +220,8 @@ class Lanes:
         return out, alphas, scales
 
     def expected(self, model: Model) -> np.ndarray:
-        """Expected numbers of starts, moves and emissions, by the forward and backward recursions."""
-        _, alphas, scales = self.forward(model, keep=True)
+        """Expected numbers of starts, moves and emissions, by the forward and backward recursions; last the log10 likelihood and the tokens."""
+        scores, alphas, scales = self.forward(model, keep=True)
         moves = np.zeros((STATES, STATES))
         beta = np.ones((0, STATES))
         for t in range(len(self.active) - 1, -1, -1):
@@ -216,16 +235,16 @@ class Lanes:
                 # Not yet multiplied: step t - 1 comes next.
                 moves += alphas[before : before + b - a].T @ weighted
                 beta = weighted @ model.move.T
-        emitted = [np.bincount(self.symbols, weights=alphas[:, k], minlength=CLASSES) for k in range(STATES)]
+        emitted = [np.bincount(self.symbols, weights=alphas[:, k], minlength=len(model.emit)) for k in range(STATES)]
         start = alphas[: self.offsets[1]].sum(axis=0) if len(self.active) else np.zeros(STATES)
-        return np.concatenate([start, (moves * model.move).ravel(), np.stack(emitted, axis=1).ravel()])
+        return np.concatenate([start, (moves * model.move).ravel(), np.stack(emitted, axis=1).ravel(), [scores.sum(), len(self.symbols)]])
 
 
-def _tokens(rows, k: int):
+def _tokens(rows, k: int, n_classes: int):
     lengths = np.frombuffer(rows["lengths"][k].as_buffer(), "<i4").astype(np.int64)
     low = np.frombuffer(rows["low"][k].as_buffer(), "<u2").astype(np.int64)
     place = low | np.frombuffer(rows["high"][k].as_buffer(), "<u2").astype(np.int64) << 16
-    classes = np.frombuffer(rows["classes"][k].as_buffer(), "<u2").astype(np.int64)
+    classes = np.frombuffer(rows["classes"][k].as_buffer(), "<u4").astype(np.int64) % n_classes
     return lengths, np.cumsum(lengths) - lengths, place, classes
 
 
@@ -234,14 +253,13 @@ def _expectation(model: Model):
         sums = None
         for rows in batches:
             for k in range(rows.num_rows):
-                lengths, firsts, place, classes = _tokens(rows, k)
+                lengths, firsts, place, classes = _tokens(rows, k, len(model.emit))
                 train = ~np.array(rows["held"][k].as_py(), bool)
                 if train.any():
                     found = Lanes(classes[place], firsts[train], lengths[train]).expected(model)
                     sums = found if sums is None else sums + found
         if sums is not None:
-            schema = pa.schema([("task", pa.int32()), ("sums", pa.binary())])
-            yield batch(schema, [TaskContext.get().partitionId() % SUMS], [sums.astype("<f8").tobytes()])
+            yield batch(_PART, [TaskContext.get().partitionId()], [sums.astype("<f8").tobytes()])
 
     return run
 
@@ -250,7 +268,7 @@ def _scored(model: Model, class_counts: np.ndarray, class_types: np.ndarray):
     def run(batches) -> Iterator:
         for rows in batches:
             for k in range(rows.num_rows):
-                lengths, firsts, place, classes = _tokens(rows, k)
+                lengths, firsts, place, classes = _tokens(rows, k, len(model.emit))
                 bucket, order, edges = _by_bucket(rows, k)
                 replies = {r["bucket"]: r["counts"] for r in rows["replies"][k].as_py()}
                 counts = np.zeros(len(classes))
@@ -268,15 +286,28 @@ def _scored(model: Model, class_counts: np.ndarray, class_types: np.ndarray):
     return run
 
 
-def scores(docs: DataFrame, held: str, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def trained(tokens: DataFrame, class_counts: np.ndarray) -> Model:
+    """The model after rounds of Baum-Welch over all training texts, until one gains less than ``TOLERANCE`` a token."""
+    model, length, before = Model.first(class_counts), STATES + STATES**2 + STATES * len(class_counts) + 2, None
+    while True:
+        expected = gathered(tokens.mapInArrow(_expectation(model), "task int, sums binary"), length)
+        if expected is None:
+            return model
+        model, now = Model.of(expected, class_counts), expected[-2] / max(expected[-1], 1.0)
+        if before is not None and now - before < TOLERANCE:
+            return model
+        before = now
+
+
+def scores(docs: DataFrame, held: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each row's log10 likelihood under the model, and under add-one word frequencies (``base_score``).
 
-    A word is emitted by its class, one of ``CLASSES`` by hash: P(word) = P(class given state) *
-    (count + 1) / (count of class + types of class + 1), counted over all training texts. Each slice of the corpus asks
-    for the counts of its distinct words, which meet by a hash of the word, once per slice however
-    common. Baum-Welch adds the expected counts of all training texts over the tasks, ``rounds`` times; the
-    tables it keeps are of fixed size. The forward recursion is scaled at each token, so it is
-    exact for texts of any length.
+    A word is emitted by its class: P(word) = P(class given state) *
+    (count + 1) / (count of class + types of class + 1), counted over all training texts. Words fall into classes by hash, and the classes
+    grow with the square root of the vocabulary, so that a state's emissions tell more words apart in a larger corpus while the table stays
+    small. Each slice of the corpus asks for the counts of its distinct words, which meet by a hash of the word, once per slice however
+    common. Baum-Welch adds the expected counts of all training texts over the tasks until the likelihood of the training
+    texts has settled (``trained``). The forward recursion is scaled at each token, so it is exact for texts of any length.
 
     ``held`` is a boolean column: rows where it is true or null are scored only. A text ends
     with one end token; null and empty texts are that token alone. Null ids and repeated rows are
@@ -290,25 +321,19 @@ def scores(docs: DataFrame, held: str, doc_id: str = "doc_id", text: str = "text
     slices = materialize(rows.mapInArrow(_slice_rows(buckets), SLICES), "hmm-slices")
     asking = slices.select("slice", "classes", "buckets", "words", "train")
     requests = asking.mapInArrow(_requests, "slice bigint, bucket int, words binary, train binary")
-    counted = requests.repartition("bucket").mapInArrow(_counted, "slice bigint, bucket int, counts binary, task int, sums binary")
+    counted = requests.repartition("bucket").mapInArrow(_counted, "slice bigint, bucket int, counts binary, words binary")
     counted = materialize(counted, "hmm-counts")
-    sums = gathered(counted.where("slice = -1").select("task", "sums"))
-    sums = np.zeros(2 * CLASSES) if sums is None else sums
-    class_counts, class_types = sums[:CLASSES], sums[CLASSES:]
-
-    model = Model.first(class_counts)
-    for _ in range(rounds):
-        tokens = slices.select("held", "lengths", "low", "high", "classes")
-        expected = gathered(tokens.mapInArrow(_expectation(model), "task int, sums binary"))
-        if expected is None:
-            break
-        model = Model.of(expected, class_counts)
-
-    # So many partitions that each has about TOGETHER slices, whatever their number.
-    parts = -(-slices.count() // TOGETHER) or 1
-    replies = counted.where("slice >= 0").select("slice", "bucket", "counts").repartition(parts, "slice")
+    vocabulary = counted.where("slice = -1")
+    types = vocabulary.agg(F.sum(F.col("bucket").cast("bigint"))).first()[0] or 0
+    classes = max(CLASSES, 1 << int(CLASS_ROOT * types**0.5).bit_length())
+    sums = gathered(vocabulary.select("counts", "words").mapInArrow(_class_sums(classes), "task int, sums binary"), 2 * classes)
+    sums = np.zeros(2 * classes) if sums is None else sums
+    class_counts, class_types = sums[:classes], sums[classes:]
+    model = trained(slices.select("held", "lengths", "low", "high", "classes"), class_counts)
+
+    replies = counted.where("slice >= 0").select("slice", "bucket", "counts").repartition("slice")
     replies = replies.groupBy("slice").agg(F.collect_list(F.struct("bucket", "counts")).alias("replies"))
-    joined = slices.drop("words", "train").repartition(parts, "slice").join(replies, "slice")
+    joined = slices.drop("words", "train").join(replies, "slice")
     joined = joined.select("doc_ids", "held", "lengths", "low", "high", "classes", "buckets", "replies")
     found = joined.mapInArrow(_scored(model, class_counts, class_types), SCORES)
     n, v = float(class_counts.sum()), float(class_types.sum())
