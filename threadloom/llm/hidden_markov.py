@@ -26,6 +26,8 @@ PRIOR = 500.0
 END = np.uint64(0x5E4D0F7E1D)
 #: Groups in which parameter counts are added before the last sum, at most, and the bytes of all of them.
 SUMS, SUM_BYTES = 64, 32 << 20
+#: Tokens whose states a task follows at once.
+TOGETHER = 2_000_000
 #: Words of one row of a vocabulary.
 LISTED = 250_000
 
@@ -250,14 +252,27 @@ def _tokens(rows, k: int, n_classes: int):
 
 def _expectation(model: Model):
     def run(batches) -> Iterator:
-        sums = None
+        sums, held, size = None, [], 0
+
+        def add() -> np.ndarray:
+            symbols, lengths = (np.concatenate(x) for x in zip(*held, strict=True))
+            found = Lanes(symbols, np.cumsum(lengths) - lengths, lengths).expected(model)
+            return found if sums is None else sums + found
+
         for rows in batches:
             for k in range(rows.num_rows):
-                lengths, firsts, place, classes = _tokens(rows, k, len(model.emit))
+                lengths, _, place, classes = _tokens(rows, k, len(model.emit))
                 train = ~np.array(rows["held"][k].as_py(), bool)
-                if train.any():
-                    found = Lanes(classes[place], firsts[train], lengths[train]).expected(model)
-                    sums = found if sums is None else sums + found
+                if not train.any():
+                    continue
+                symbols = classes[place[np.repeat(train, lengths)]]
+                held.append((symbols, lengths[train]))
+                size += len(symbols)
+                # Few steps are as long as the longest text; slices together share them.
+                if size >= TOGETHER:
+                    sums, held, size = add(), [], 0
+        if held:
+            sums = add()
         if sums is not None:
             yield batch(_PART, [TaskContext.get().partitionId()], [sums.astype("<f8").tobytes()])
 
