@@ -99,3 +99,53 @@ def test_request_rules(spark):
     zero = spark.createDataFrame([(1, "0"), (2, "1e"), (3, "5")], "request_id int, n_results string")
     assert sorted(r["request_id"] for r in quality.redditor_request_violations(zero).collect()) == [1, 2]
     assert sorted(r["request_id"] for r in quality.comment_request_violations(zero).collect()) == [2]
+
+
+def test_retention_rewrites_touched_folders_only(spark, tmp_path):
+    from threadloom.sinks import writers
+
+    path = str(tmp_path / "queue")
+    rows = [(k, f"2024-01-0{k % 4 + 1}") for k in range(40)]
+    spark.createDataFrame(rows, "id bigint, day string").write.partitionBy("day").parquet(path)
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "queue").rglob("*.parquet")}
+
+    gone = spark.createDataFrame([(0,), (4,), (999,), *[(k,) for k in range(3, 40, 4)]], "id bigint")
+    before = files()
+    assert writers.remove_rows(gone, path, "id", "day") == 2
+    after = files()
+    untouched = {f for f in before if "day=2024-01-02" in f or "day=2024-01-03" in f}
+    assert untouched and all(after.get(f) == before[f] for f in untouched)
+    assert not any("day=2024-01-04" in f for f in after)
+    left = sorted(r["id"] for r in spark.read.parquet(path).collect())
+    assert left == [k for k in range(40) if k % 4 != 3 and k not in (0, 4)]
+    assert writers.remove_rows(gone, path, "id", "day") == 0
+    assert files() == after
+
+
+def test_config_sets_do_not_depend_on_order(spark):
+    from threadloom.operators import quality
+
+    shape = "run int, name string, category string, time_filter string, n_results int, keywords string"
+    one = [(1, "b", "h", None, 5, None), (1, "a", "t", "day", 5, None), (1, "a", "t", "day", 5, None)]
+    many = [(2, f"a_rather_long_name_{k}", "h", None, 1, None) for k in range(4)]
+    found = {r["run"]: r for r in quality.config_sets(spark.createDataFrame(one + many, shape), ["run"]).collect()}
+    again = {r["run"]: r for r in quality.config_sets(spark.createDataFrame(many[::-1] + one[::-1], shape), ["run"]).collect()}
+    assert found == again
+    assert (found[1]["subjects"], found[1]["configs"]) == ("a_b", 3)
+    assert len(found[2]["subjects"]) == len("multi_") + 8
+    changed = quality.config_sets(spark.createDataFrame([*one[:2], (1, "a", "t", "week", 5, None)], shape), ["run"]).first()
+    assert changed["signature"] != found[1]["signature"]
+
+
+def test_scratch_goes_when_asked(spark, tmp_path):
+    from pathlib import Path
+
+    from threadloom import session
+
+    stored = session.materialize(spark.range(5), "going")
+    folder = Path(stored.scratch.removeprefix("file:"))
+    assert stored.count() == 5 and folder.exists()
+    session.discard(stored)
+    assert not folder.exists()

@@ -72,3 +72,44 @@ def test_session_stats(spark):
     df = spark.createDataFrame([("r/x", "2024-01-01 00:00:00"), ("r/x", "2024-01-01 01:02:03")], "source string, t string")
     row = feeds.session_stats(df.withColumn("seen_at", F.col("t").cast("timestamp")), ["source"]).first()
     assert (row["items"], row["stream_duration"]) == (2, "01:02:03")
+
+
+POST = "reddit_id string, id string, subreddit_id int, arrived timestamp"
+COMMENT = "reddit_id string, id string, link_id string, arrived timestamp"
+
+
+def load_parents(spark, tmp_path):
+    feed = lambda name, schema: feeds.json_feed(spark, str(tmp_path / name), schema, files_per_trigger=1)
+    query = feeds.ingest_with_parents(
+        feed("posts", POST), feed("comments", COMMENT), str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+        F.lit("2024-01-05").cast("timestamp"), [F.asc("id")], wait="1 day",
+    )
+    query.awaitTermination()
+    read = lambda name, schema: sorted(tuple(r)[:-1] for r in spark.read.schema(schema).parquet(str(tmp_path / "out" / name)).collect())
+    placed = read("comments", "reddit_id string, submission_row string, subreddit_id int")
+    queue = read("queue/comments", "reddit_id string") + read("queue/submissions", "reddit_id string")
+    return placed, [r[0] for r in read("rejected", "reddit_id string")], sorted(r[0] for r in queue)
+
+
+def test_comments_wait_for_their_posts(spark, tmp_path):
+    day = lambda d, h=0: f"2024-01-{d:02d} {h:02d}:00:00"
+    post = lambda i, at: {"reddit_id": i, "id": f"s{i}", "subreddit_id": 7, "arrived": at}
+    comment = lambda i, up, at: {"reddit_id": i, "id": f"c{i}", "link_id": f"t3_{up}", "arrived": at}
+    land(tmp_path / "posts", "1.json", [post("p", day(1)), post("p", day(1))])
+    land(tmp_path / "comments", "1.json", [comment("a", "p", day(1)), comment("b", "q", day(1, 1)), comment("x", "none", day(1, 1)), comment("a", "p", day(1))])
+    assert load_parents(spark, tmp_path) == ([("a", "sp", 7)], [], ["a", "p"])
+    # A restart; the post of b comes two batches after its comment.
+    land(tmp_path / "comments", "2.json", [comment("a", "p", day(1, 2)), comment("c", "p", day(1, 2))])
+    assert load_parents(spark, tmp_path)[0] == [("a", "sp", 7), ("c", "sp", 7)]
+    land(tmp_path / "posts", "2.json", [post("q", day(1, 3)), post("p", day(1, 3))])
+    assert load_parents(spark, tmp_path) == ([("a", "sp", 7), ("b", "sq", 7), ("c", "sp", 7)], [], ["a", "b", "c", "p", "q"])
+    # Days later the wait of x is over; d belongs to a post that is no longer in the join's state, only stored.
+    for k, d in enumerate((4, 7)):
+        land(tmp_path / "posts", f"{3 + k}.json", [post(f"late{d}", day(d))])
+        land(tmp_path / "comments", f"{3 + k}.json", [comment(f"d{d}", "p", day(d))])
+    land(tmp_path / "posts", "5.json", [post("end", day(12))])
+    land(tmp_path / "comments", "5.json", [comment("e", "end", day(12))])
+    placed, rejected, queue = load_parents(spark, tmp_path)
+    assert rejected == ["x"]
+    assert {"a", "b", "c", "d4", "e"} <= {p[0] for p in placed} and len(placed) == len({p[0] for p in placed})
+    assert dict((p[0], p[1]) for p in placed)["d4"] == "sp" and queue.count("p") == 1

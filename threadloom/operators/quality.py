@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import CATEGORY_NAMES, FILTERABLE, TIME_FILTERS
+from ..functions.scalars import CATEGORY_NAMES, FILTERABLE, TIME_FILTERS, config_text, short_hash
 
 # Allowed values of the enumerated columns.
 ENUMS = {
@@ -105,3 +105,19 @@ def enum_violations(table: DataFrame, key: str, columns: list[str]) -> DataFrame
         )
     )
     return table.select(F.col(key).alias("row_id"), F.inline(found))
+
+
+# The longest list of names that stands as it is.
+LONGEST_NAMES = 50
+
+
+def config_sets(configs: DataFrame, keys: list[str], name: str = "name", fields: tuple[str, ...] = ("name", "category", "time_filter", "n_results", "keywords")) -> DataFrame:
+    """Each run's set of configs: a signature that no order of them changes, and its subjects, hashed where the list is long.
+
+    ``keys`` name a run, whose configs are few.
+    """
+    texts = F.sort_array(F.collect_list(config_text(*fields)))
+    names = F.array_join(F.sort_array(F.collect_set(name)), "_")
+    sets = configs.groupBy(*keys).agg(short_hash(F.array_join(texts, "\n")).alias("signature"), names.alias("__names"), F.count("*").alias("configs"))
+    subjects = F.when(F.length("__names") > LONGEST_NAMES, F.concat(F.lit("multi_"), short_hash("__names"))).otherwise(F.col("__names"))
+    return sets.select(*keys, "signature", subjects.alias("subjects"), "configs")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import config_text, iso_time, short_hash
 from ..operators import enrich, ingest, inventory, quality
+from ..session import scratch_path
+from ..sinks import writers
 from .bindings import COMMENTS, FIRST_COPY, Tables, newest
 from .reading import LAST_EVENT, _last_event, iso
 from .registry import query
@@ -169,6 +171,18 @@ def retention_cleanup(t: Tables) -> DataFrame:
     return ingest.expired(t.queue, t.metrics, t.sessions, later)
 
 
+@query("retention_rewrite", f"""SELECT id, processing_status, strftime(queued_at, '%Y-%m-%d') AS day FROM queue
+    WHERE NOT coalesce(processing_status = 'completed' AND completed_at < {LAST_EVENT} + INTERVAL 12 DAY - INTERVAL 30 DAY, FALSE)""")
+def retention_rewrite(t: Tables) -> DataFrame:
+    """The stored queue, by day, without the items past their retention."""
+    path = scratch_path(t.spark, "queue")
+    t.queue.withColumn("day", F.date_format("queued_at", "yyyy-MM-dd")).hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    later = _last_event(t) + F.expr("INTERVAL 12 DAYS")
+    gone = ingest.expired(t.queue, t.metrics, t.sessions, later).where("table_name = 'processing_queue'")
+    writers.remove_rows(gone, path, "id", "day")
+    return t.spark.read.parquet(path).select("id", "processing_status", F.col("day").cast("string").alias("day"))
+
+
 KNOWN_POST = "(SELECT reddit_id FROM submissions WHERE processing_status <> 'pending')"
 
 
@@ -300,6 +314,20 @@ def config_signature(t: Tables) -> DataFrame:
     return t.configs.select("config_id", short_hash(text).alias("signature"))
 
 
+CONFIG_TEXT = """concat_ws('|', coalesce(name, ''), coalesce(category, ''), coalesce(time_filter, ''),
+      coalesce(CAST(n_results AS STRING), ''), coalesce(keywords, ''))"""
+
+
+@query("config_set_signature", f"""WITH runs AS (SELECT CAST(floor(config_id / 12) AS BIGINT) AS run, name, {CONFIG_TEXT} AS text FROM configs),
+    sets AS (SELECT run, substring(md5(string_agg(text, chr(10) ORDER BY text)), 1, 8) AS signature, count(*) AS configs,
+      array_to_string(list_sort(list_distinct(list(name))), '_') AS names FROM runs GROUP BY 1)
+    SELECT run, signature, configs, CASE WHEN length(names) > 50 THEN 'multi_' || substring(md5(names), 1, 8) ELSE names END AS subjects FROM sets""")
+def config_set_signature(t: Tables) -> DataFrame:
+    """A dozen configs make a run."""
+    runs = t.configs.withColumn("run", F.floor(F.col("config_id") / 12).cast("bigint"))
+    return quality.config_sets(runs, ["run"])
+
+
 # --- inventories and runs --------------------------------------------------
 
 LAST_OBJECT = "(SELECT max(last_modified) FROM objects)"

@@ -79,6 +79,15 @@ def discard(*stored: DataFrame) -> None:
     Only for tables whose every reader has itself been written: a lost executor then never needs them again.
     """
     for df in stored:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
-        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete_path(df.sparkSession, df.scratch)
 
+
+def delete_path(spark: SparkSession, name: str) -> None:
+    """Delete a file or folder wherever Spark can reach it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything that this application wrote below the shared folder, once its results have been read."""
+    delete_path(spark, f"{shared_dir(spark)}/threadloom/{spark.sparkContext.applicationId}")

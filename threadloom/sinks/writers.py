@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import delete_path, materialize
+
 
 def write_json(df: DataFrame, path: str) -> None:
     """One document per line; null fields are kept."""
@@ -48,6 +50,25 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def remove_rows(gone: DataFrame, path: str, key: str, partition: str) -> int:
+    """Take the rows whose ``key`` is in ``gone`` out of a table in folders by ``partition``; gives the number of folders touched.
+
+    Only folders that hold such a row are rewritten, from a staged copy of what stays; all other files keep their name and
+    time. A second run finds nothing to take out and changes nothing. A row without a partition value stays.
+    """
+    stored = gone.sparkSession.read.parquet(path)
+    ids = materialize(gone.select(key).distinct(), "gone")
+    touched = materialize(stored.join(ids, key, "left_semi").select(partition).dropna().distinct(), "touched")
+    if touched.isEmpty():
+        return 0
+    kept = materialize(stored.join(touched, partition, "left_semi").join(ids, key, "left_anti"), "kept")
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    # A folder without a row left is not among those written.
+    for row in touched.join(kept.select(partition).distinct(), partition, "left_anti").collect():
+        delete_path(gone.sparkSession, f"{path}/{partition}={row[0]}")
+    return touched.count()
+
+
 def overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """A batch under its own folder: a repeated batch replaces itself."""
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

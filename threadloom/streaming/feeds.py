@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.scalars import duration_hms
+from ..functions.scalars import bare_id, duration_hms
+from ..operators.ingest import enqueue
 from ..operators.ranking import keep_first
 from ..operators.words import mixed_words
 from ..session import materialize
 from ..sinks.writers import overwrite_batch
 
+# State of joins and dedupes: on the executors' disks, with its changes in the checkpoint.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def _reader(spark: SparkSession, schema, files_per_trigger: int | None):
     reader = spark.readStream.schema(schema)
@@ -126,19 +131,23 @@ def store_new_rows(path: str, order: list[Column]) -> Callable[[DataFrame, int],
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        candidates = keep_first(batch, ["reddit_id"], order)
-        if batch_id > 0:
-            candidates = materialize(candidates, "candidates")
-            stored = spark.read.schema("reddit_id STRING, batch INT").parquet(path).where(F.col("batch") < batch_id)
-            # The ids of a batch are few next to all stored ones: they filter the stored side in place.
-            seen = stored.select("reddit_id").join(candidates.select("reddit_id"), "reddit_id", "left_semi")
-            candidates = candidates.join(seen, "reddit_id", "left_anti")
-        overwrite_batch(candidates, path, batch_id)
+        overwrite_batch(_unseen(batch, path, batch_id, order), path, batch_id)
 
     return load
 
 
+def _unseen(batch: DataFrame, path: str, batch_id: int, order: list[Column]) -> DataFrame:
+    """Rows whose id is below ``path`` in no earlier batch, the first of each id."""
+    candidates = keep_first(batch, ["reddit_id"], order)
+    if batch_id <= 0:
+        return candidates
+    candidates = materialize(candidates, "candidates")
+    stored = batch.sparkSession.read.schema("reddit_id STRING, batch INT").parquet(path).where(F.col("batch") < batch_id)
+    # The ids of a batch are few next to all stored ones: they filter the stored side in place.
+    seen = stored.select("reddit_id").join(candidates.select("reddit_id"), "reddit_id", "left_semi")
+    return candidates.join(seen, "reddit_id", "left_anti")
+
+
 def ingest_stream(
     feed: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str, watermark: tuple[str, str] | None = None
 ) -> StreamingQuery:
@@ -157,3 +166,66 @@ def ingest_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def comments_with_posts(posts: DataFrame, comments: DataFrame, at: str = "arrived", wait: str = "1 day") -> DataFrame:
+    """The stream of comments, each with ``submission_row`` and ``subreddit_id`` of its post.
+
+    A stream-stream outer join: a comment waits for a post that arrives up to ``wait`` later (or
+    finds one that arrived up to ``wait`` before), and comes out with nulls once the watermark says that none
+    can come. Copies of a post or comment within ``wait`` count once. ``at`` is the arrival time; state on
+    either side is bounded by what arrives within ``wait``.
+    """
+    known = posts.withWatermark(at, wait).dropDuplicatesWithinWatermark(["reddit_id"]).select(
+        F.col("reddit_id").alias("__post"), F.col("id").alias("submission_row"), "subreddit_id", F.col(at).alias("__post_at")
+    )
+    asked = comments.withWatermark(at, wait).dropDuplicatesWithinWatermark(["reddit_id"]).withColumn("__link", bare_id("link_id"))
+    span = F.expr(f"INTERVAL {wait}")
+    near = F.col("__post_at").between(F.col(at) - span, F.col(at) + span)
+    joined = asked.join(known, (F.col("__link") == F.col("__post")) & near, "left_outer")
+    return joined.drop("__link", "__post", "__post_at")
+
+
+def ingest_with_parents(
+    posts: DataFrame, comments: DataFrame, folder: str, checkpoint: str, as_of: Column, order: list[Column],
+    at: str = "arrived", wait: str = "1 day",
+) -> StreamingQuery:
+    """Load posts and comments that arrive in any order.
+
+    Below ``folder``, each batch writes ``submissions``, ``comments``, ``rejected`` and their ``queue`` rows into folders of its
+    own, so a repeated batch replaces itself. Posts are stored first. Comments come from ``comments_with_posts``; one whose wait
+    has ended may still belong to a post that an earlier load stored, else it is rejected. Ids that any
+    earlier batch stored are left out. A restart goes on from ``checkpoint``, waiting comments included.
+    """
+    spark = posts.sparkSession
+    stored = f"{folder}/submissions"
+
+    def load_posts(batch: DataFrame, batch_id: int) -> None:
+        new = materialize(_unseen(batch, stored, batch_id, order), "posts")
+        overwrite_batch(new, stored, batch_id)
+        overwrite_batch(enqueue(new, "submission", as_of), f"{folder}/queue/submissions", batch_id)
+
+    def load_comments(batch: DataFrame, batch_id: int) -> None:
+        new = materialize(_unseen(batch, f"{folder}/comments", batch_id, order), "arrived")
+        kind = posts.schema["subreddit_id"].dataType.simpleString()
+        earlier = batch.sparkSession.read.schema(f"reddit_id STRING, id STRING, subreddit_id {kind}").parquet(stored)
+        earlier = earlier.select(F.col("reddit_id").alias("__post"), F.col("id").alias("__row"), F.col("subreddit_id").alias("__subreddit"))
+        waited = new.where("submission_row IS NULL").withColumn("__link", bare_id("link_id"))
+        waited = waited.join(earlier, F.col("__link") == F.col("__post"), "left").withColumns(
+            {"submission_row": F.col("__row"), "subreddit_id": F.col("__subreddit")}
+        )
+        placed = materialize(new.where("submission_row IS NOT NULL").unionByName(waited.select(new.columns)), "placed")
+        found = placed.where("submission_row IS NOT NULL")
+        overwrite_batch(found, f"{folder}/comments", batch_id)
+        overwrite_batch(placed.where("submission_row IS NULL").drop("submission_row", "subreddit_id"), f"{folder}/rejected", batch_id)
+        overwrite_batch(enqueue(found, "comment", as_of), f"{folder}/queue/comments", batch_id)
+
+    # A folder to look posts up in, even before the first one has come.
+    overwrite_batch(spark.createDataFrame([], posts.schema), stored, -1)
+    ingest_stream(posts, load_posts, f"{checkpoint}/submissions").awaitTermination()
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return ingest_stream(comments_with_posts(posts, comments, at, wait), load_comments, f"{checkpoint}/comments")
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
