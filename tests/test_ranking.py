@@ -77,3 +77,10 @@ def test_top_per_group_limits_before_the_shuffle(spark):
 def test_keep_first(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, v int")
     assert sorted(map(tuple, keep_first(df, ["k"], [F.asc("v")]).collect())) == [("a", 1), ("b", 3)]
+
+
+def test_ties_fall_alike_on_both_sides_of_the_threshold(spark):
+    rows = spark.range(3000).select(F.lit("g").alias("k"), (F.col("id") % 3).alias("score"), F.col("id"))
+    few = ranking.top_per_group(rows, ["k"], [F.desc("score")], 900, "position")
+    many = ranking.top_per_group(rows, ["k"], [F.desc("score")], 1500, "position").where("position <= 900")
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()}

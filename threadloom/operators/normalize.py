@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalars import DELETED, author_label, edited_at, edited_flag, epoch_to_time, null_to_zero
 from .ranking import in_pages
 
+# The fields of a community record.
 SUBREDDIT_FIELDS = [
     "can_assign_link_flair", "can_assign_user_flair", "created_utc", "description",
     "description_html", "display_name", "id", "name", "nsfw", "public_description",
@@ -83,6 +84,7 @@ def multireddit_record(raw: DataFrame) -> DataFrame:
     )
 
 
+# The fields of a trophy and of a profile.
 TROPHY_FIELDS = ["award_id", "description", "icon_40", "icon_70", "name", "url"]
 PROFILE_FIELDS = [
     "comment_karma", "created_utc", "fullname", "has_verified_email", "icon_img", "id",
@@ -164,6 +166,7 @@ def comment_row(documents: DataFrame) -> DataFrame:
     )
 
 
+# The fields of a post's metadata, and those a gallery has besides.
 METADATA_FIELDS = [
     "author", "created_utc", "distinguished", "edited", "is_original_content", "is_self",
     "link_flair_text", "locked", "nsfw", "num_comments", "permalink", "score", "selftext",

@@ -25,13 +25,13 @@ def top_per_group(
     The filter on ``row_number`` lets Spark keep only ``k`` rows per group and
     task before the shuffle, so the size of a group never reaches one task. Spark
     does so up to a threshold of its own; a larger ``k`` takes exact positions,
-    which need no group in one task. Rows that tie in ``order`` are then told
-    apart by their content.
+    which need no group in one task. Either way, rows that tie in ``order`` are told
+    apart by their content, so ``k`` alone never changes which rows come first.
     """
     name = rank or "__rank"
+    order = [*order, F.xxhash64(*[F.col(c) for c in df.columns if c not in _maps(df)])]
     if k > int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
-        content = F.xxhash64(*[F.col(c) for c in df.columns if c not in _maps(df)])
-        top = number_rows(df, keys, [*order, content], name).where(F.col(name) <= k)
+        top = number_rows(df, keys, order, name).where(F.col(name) <= k)
         return top if rank else top.drop(name)
     window = Window.partitionBy(*keys).orderBy(*order)
     top = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
