@@ -66,3 +66,27 @@ def test_run(spark, docs, tmp_path):
         assert r["offset"] == ends[r["sequence_id"]]
         ends[r["sequence_id"]] += r["length"]
     assert ends and max(ends.values()) <= 1024
+
+
+def test_mixing_and_packing_stages(spark, docs):
+    from threadloom.llm import mixing, packing
+
+    mixed = stage("pivotal_mixing")(spark, docs, "")
+    assert mixed.columns == docs.columns
+    plan = {(r["doc_id"], r["size"]): r["taken"] for r in mixing.mix(docs).where("doc_id is not null and doc_id <> 7").collect()}
+    words = Counter()
+    for r in mixed.where("doc_id is not null and doc_id <> 7").collect():
+        words[r["doc_id"]] += len(brute.WORD.findall(r["text"] or ""))
+    assert words == Counter({i: n for (i, _), n in plan.items() if n})
+    bag = lambda frame: Counter(tuple(r) for r in frame.select("doc_id", "start", "length", "ids_crc32").collect())
+    assert bag(stage("harmonic_packing")(spark, docs, "")) == bag(packing.pack(docs))
+
+
+def test_empty_tables_and_clashing_columns(spark, docs):
+    wide = docs.selectExpr("1 AS __c0", "doc_id", "'x' AS key", "text", "lang", "2 AS doc", "source", "n_chars", "3 AS size", "4 AS __k", "5 AS part")
+    for name, function in corpus_pipeline.STAGES:
+        assert function(spark, docs.limit(0), "").count() == 0
+        out = function(spark, wide, "")
+        assert out.count() == function(spark, docs, "").count()
+        if name != "harmonic_packing":
+            assert out.columns == wide.columns

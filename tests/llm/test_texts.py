@@ -513,3 +513,73 @@ def test_maximal_segments_by_definition():
 
         assert [(a, b) for a, b, _ in found] == [(a, b) for a, b, _ in split(0, n)]
         assert [s for *_, s in found] == pytest.approx([s for *_, s in split(0, n)])
+
+
+def test_long_texts_in_windows(monkeypatch):
+    """Windows of one text give each string once, under the anchor that it has in the whole."""
+    import pyarrow as pa
+
+    from threadloom.llm.text import texts_of
+
+    (whole,) = texts_of(pa.array([prose(40, 700) + "é" * 100 + prose(41, 300)]))
+    expected = {s + i: int(a) for _, s, n, a, _ in zip(*repeats.segments_of(whole), strict=True) for i in range(n)}
+    monkeypatch.setattr(repeats, "SLICE", 300)
+    found = []
+    for texts, shift in repeats.windows_of(whole):
+        assert len(texts.data) < 600
+        found += [(shift + s + i, int(a)) for _, s, n, a, _ in zip(*repeats.segments_of(texts), strict=True) for i in range(n)]
+    assert len(found) == len(expected) == len(whole.data) - repeats.LENGTH + 1 and dict(found) == expected
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    import pyarrow as pa
+
+    from threadloom.llm import collocations
+
+    rows = pa.RecordBatch.from_pydict({"lang": ["en", "fr", "en"], "text": [prose(42, 900), "un deux. trois", prose(43, 900) + " no end of a piece" * 200]})
+
+    def words():
+        out = Counter()
+        for part in collocations._encoded([rows]):
+            for names, place, breaks in collocations._slices([part]):
+                runs, at = [], part["lang"][0].as_py()
+                for k, w in enumerate(names[place].tolist()):
+                    if breaks[k]:
+                        runs.append([])
+                    runs[-1].append(w)
+                out.update((at, tuple(run)) for run in runs)
+        return out
+
+    expected = words()
+    monkeypatch.setattr(collocations, "SLICE", 100)
+    assert words() == expected
+
+
+def test_registered_queries_keep_their_contracts(spark):
+    from threadloom.llm import queries
+
+    folder = "/root/testdata/sf0.001"
+    stored = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert len(stored) == 200
+    packed = queries.QUERIES["op2_harmonic_packing"](spark, folder).collect()
+    ends = defaultdict(int)
+    for r in sorted(packed, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends[r["sequence_id"]]
+        ends[r["sequence_id"]] += r["length"]
+    pieces = defaultdict(list)
+    for r in packed:
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+    for name, text in stored.items():
+        ids, end = ids_of(text, 0), 0
+        for start, length in sorted(pieces[name]):
+            assert start == end
+            end += length
+        assert end == len(ids)
+    assert all(n == 1024 or n & (n - 1) == 0 for n in ends.values())
+    toxic = {r["doc_id"]: r for r in queries.QUERIES["op10_toxic_segments"](spark, folder).collect()}
+    assert set(toxic) == set(stored)
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and r["predicted"] == (r["score"] >= 0.5) for i, r in toxic.items())
+    removed = queries.QUERIES["op8_suffix_array_repeats"](spark, folder)
+    names = sorted(stored)
+    expected = Counter((i, *x) for i, x in zip(names, brute.repeats([stored[i] for i in names]), strict=True))
+    assert bag(removed, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == expected

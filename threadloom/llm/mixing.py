@@ -177,7 +177,11 @@ def take(
     docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, seed: int = 7,
     doc_id: str = "doc_id", text: str = "text", source: str = "source",
 ) -> DataFrame:
-    """The mix itself: each row of ``docs``, all columns, as often as it is taken, and the one cut row per source."""
+    """The mix itself: each row of ``docs``, all columns, as often as it is taken, and the one cut row per source.
+
+    A null source is a source of its own. A null or empty text has no words and is not taken. Null ids and repeated rows are
+    taken each by its own share. An empty table gives no row.
+    """
     columns = docs.columns
     flat = docs.toDF(*[f"__c{i}" for i in range(len(columns))])
     at = {name: f"__c{columns.index(column)}" for name, column in (("doc_id", doc_id), ("text", text), ("source", source))}

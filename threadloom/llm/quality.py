@@ -152,7 +152,11 @@ def ablation(stored: DataFrame, policies: Mapping[str, Policy]) -> DataFrame:
 
 
 def keep(docs: DataFrame, policy: Policy = STRICT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that the policy accepts: the measures are taken beside each row, without a join."""
+    """The rows of ``docs``, all columns, that the policy accepts: the measures are taken beside each row, without a join.
+
+    A null or empty text has no words, so a policy with a least number of words drops it. Null ids and repeated rows
+    are judged one by one. An empty table gives none.
+    """
     names = [f"__c{i}" for i in range(len(docs.columns))]
     columns = docs.columns
     flat = docs.toDF(*names)

@@ -381,7 +381,11 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 def strip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, all columns, without the repeated strings in their texts; characters stay whole."""
+    """``docs``, all columns, without the repeated strings in their texts; characters stay whole.
+
+    Every row stays, if need be with an empty text. A null text stays null; null ids and repeated rows are rows of their own, and
+    a repeated long row loses all of its text, as each copy repeats the other. An empty table gives none.
+    """
     columns = docs.columns
     flat = docs.toDF(*[f"__c{i}" for i in range(len(columns))])
     at = {"doc_id": columns.index(doc_id), "text": columns.index(text)}
