@@ -1,4 +1,9 @@
-"""A corpus pipeline of five stages, each written as Parquet and read again as the next one's documents."""
+"""A corpus pipeline of five stages, each written as Parquet and read again as the next one's documents.
+
+Null and empty texts go with the quality rules. A null id is kept through all stages; rows that repeat are judged one by one by the
+rules, and one of each group of copies is left by the n-gram join. A null source is a source of its own. An empty table gives no
+row. Extra columns are carried to the last stage under any name.
+"""
 
 from __future__ import annotations
 
