@@ -81,6 +81,6 @@ def test_keep_first(spark):
 
 def test_ties_fall_alike_on_both_sides_of_the_threshold(spark):
     rows = spark.range(3000).select(F.lit("g").alias("k"), (F.col("id") % 3).alias("score"), F.col("id"))
-    few = ranking.top_per_group(rows, ["k"], [F.desc("score")], 900, "position")
-    many = ranking.top_per_group(rows, ["k"], [F.desc("score")], 1500, "position").where("position <= 900")
+    few = top_per_group(rows, ["k"], [F.desc("score")], 900, "position")
+    many = top_per_group(rows, ["k"], [F.desc("score")], 1500, "position").where("position <= 900")
     assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()}
