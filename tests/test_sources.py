@@ -131,3 +131,14 @@ def test_record_shapes(spark):
         ("[deleted]", "2020-06-16 07:05:24", "false"), ("u/n", "2020-06-16 07:05:24", "2020-06-16 07:05:25"),
     ]
     assert len(rows[0]) == 12
+
+
+def test_nested_comments_of_thirty_levels(spark, tmp_path):
+    node = None
+    for k in reversed(range(30)):
+        node = {"id": f"c{k}", "parent_id": f"t1_c{k - 1}" if k else "t3_p", "link_id": "t3_p", "body": f"b{k}", "replies": [node] if node else []}
+    document = {"scrape_settings": {"style": "structured", "url": "u"}, "data": {"comments": [node, {"id": "x", "parent_id": "t3_p", "link_id": "t3_p", "replies": []}]}}
+    (tmp_path / "nested.json").write_text(json.dumps(document, indent=2))
+    rows = documents.nested_comment_scrapes(spark, str(tmp_path)).select("id", "depth", "parent_id").collect()
+    expected = [(f"c{k}", k, f"t1_c{k - 1}" if k else "t3_p") for k in range(30)] + [("x", 0, "t3_p")]
+    assert sorted(map(tuple, rows)) == sorted(expected)

@@ -150,8 +150,10 @@ def submission_row(documents: DataFrame) -> DataFrame:
 
 
 def comment_row(documents: DataFrame) -> DataFrame:
-    """Document to table row; the edit flag and time are kept, which the load once lost."""
+    """Document to table row; the edit flag and time are kept, which the load once lost, and a reply's depth where it is known."""
+    depth = ["depth"] if "depth" in documents.columns else []
     return documents.select(
+        *depth,
         F.col("id").alias("reddit_id"),
         "body", "body_html",
         F.coalesce("author", F.lit(DELETED)).alias("author"),

@@ -128,6 +128,32 @@ def load_comment_row(t: Tables) -> DataFrame:
     )
 
 
+def write_nested_scrapes(t: Tables) -> str:
+    """One nested comment document a thread."""
+    path = scratch_path(t.spark, "nested")
+    lines = threads.thread_tree_json(t.threads, ["id", "author", "body", "parent_id", "link_id"])
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "fragment"))), lambda x: x["fragment"]), "")
+    docs = lines.groupBy("link").agg(F.from_json(text, "array<variant>").alias("comments")).select(
+        F.struct(F.lit("structured").alias("style"), F.concat(F.lit("https://www.reddit.com/r/x/comments/"), "link").alias("url")).alias("scrape_settings"),
+        F.struct("comments").alias("data"),
+    )
+    writers.write_json(docs, path)
+    return path
+
+
+@query("load_nested_comments", walk("threads", """SELECT n.reddit_id, n.parent_id, w.depth, n.author, n.body, 's' || w.link AS submission_row
+    FROM walk w JOIN nodes n USING (link, id)"""))
+def load_nested_comments(t: Tables) -> DataFrame:
+    """Nested files loaded whole: replies of every level with their depth, under the post they belong to."""
+    rows = normalize.comment_row(documents.nested_comment_scrapes(t.spark, write_nested_scrapes(t), multi_line=False))
+    rows = rows.withColumn("id", F.col("reddit_id"))
+    link = F.split("link_id", "_")[1]
+    posts = t.threads.select(link.alias("reddit_id"), F.concat(F.lit("s"), link).alias("id"), F.lit(1).alias("subreddit_id"), F.lit(0).alias("created_utc")).distinct()
+    loaded = ingest.ingest_batch(posts, rows, posts.limit(0), rows.limit(0), F.lit("2024-05-06").cast("timestamp"), comment_order=["depth"])
+    comments = loaded["comments"]
+    return comments.select("reddit_id", "parent_id", F.col("depth").cast("bigint").alias("depth"), "author", "body", "submission_row")
+
+
 def write_redditor_scrapes(t: Tables) -> str:
     """User turns as comments, assistant turns as submissions, saved items forbidden."""
     path = scratch_path(t.spark, "redditors")

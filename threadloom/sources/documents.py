@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.threads import flatten_nested
 from ..schemas import COMMENT_DOC, COMMENTS_FILE, LIVESTREAM_FILE, REDDITOR_FILE, SUBMISSION_DOC
 
 BAD = "_corrupt_record STRING"
@@ -108,6 +109,13 @@ def comment_scrapes(spark: SparkSession, path: str, multi_line: bool = True) ->
     return items.select("file", "style", "url", "pos", *record_columns(F.col("item"), COMMENT_DOC))
 
 
+def nested_comment_scrapes(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Comments of nested comment files, the replies of every level, with their depth."""
+    nested = comment_documents(spark, path, multi_line).select("file", "style", "url", "comments")
+    flat = flatten_nested(nested)
+    return flat.select("file", "style", "url", "depth", *record_columns(F.col("comment"), COMMENT_DOC))
+
+
 def redditor_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     raw = read_json(spark, path, REDDITOR_FILE, multi_line).where("_corrupt_record IS NULL")
     return raw.select(
