@@ -361,3 +361,29 @@ def best(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     out = top_per_group(phrases, ["lang"], order, TOP, rank="rank").select(*columns)
     discard(growth.slices)
     return out
+
+
+def sql(table: str = "documents") -> str:
+    """The rows of ``best`` in DuckDB's SQL, from the counts of all phrases."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    sizes = ", ".join(f"({m})" for m in range(1, WORDS + 1))
+    return rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+      unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?
+-]')) AS piece FROM {table}),
+spoken AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+grams AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g
+    FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM spoken, (VALUES {sizes}) AS v(m))),
+f AS (SELECT lang, m, g, count(*) AS f FROM grams GROUP BY 1, 2, 3),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY 1),
+held AS (SELECT * FROM f WHERE m > 1 AND f >= {LEAST}),
+alone AS (SELECT * FROM held h WHERE NOT EXISTS (
+    SELECT 1 FROM held b WHERE b.lang = h.lang AND b.m > h.m AND 100 * b.f >= 100 * h.f AND contains(' ' || b.g || ' ', ' ' || h.g || ' '))),
+cuts AS (SELECT lang, m, g, f, string_split(g, ' ') AS w, unnest(range(1, m)) AS k FROM alone),
+cut AS (SELECT lang, g, f, k, array_to_string(w[1:k], ' ') AS lg, array_to_string(w[k + 1:m], ' ') AS rg FROM cuts),
+scored AS (SELECT c.lang, c.g, c.f AS a, x.f AS l, y.f AS r, n.n, c.k,
+      CAST((CAST(1000 AS HUGEINT) * c.f * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cut c JOIN f x ON x.lang = c.lang AND x.g = c.lg JOIN f y ON y.lang = c.lang AND y.g = c.rg JOIN n ON n.lang = c.lang),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM least WHERE o = 1)
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked WHERE rank <= {TOP}"""

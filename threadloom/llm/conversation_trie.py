@@ -215,3 +215,38 @@ def trie(rows: DataFrame, convs: DataFrame) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(nothing)).alias("ends_sha256"),
     )
+
+
+def sql(table: str = "conversations") -> str:
+    """The rows of ``trie`` over ``regrafted`` turns in DuckDB's SQL, CRC-32 by its table of 256 remainders."""
+    return f"""
+WITH RECURSIVE bits(i, v, k) AS (
+    SELECT CAST(i AS BIGINT), CAST(i AS BIGINT), 0 FROM range(256) AS t(i)
+    UNION ALL SELECT i, xor(v >> 1, 3988292384 * (v & 1)), k + 1 FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+ids AS (SELECT DISTINCT conv_id AS c FROM {table} WHERE conv_id IS NOT NULL),
+hs AS (SELECT c, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % {HEADS} AS h FROM ids, tab),
+own AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+    FROM {table} WHERE conv_id IS NOT NULL),
+n AS (SELECT c, count(*) AS n FROM own GROUP BY 1),
+turns AS (
+    SELECT hs.c, o.p AS d, o.role, o.text FROM hs JOIN own o ON o.c = hs.c - hs.c % {STEM} AND o.p <= hs.h
+    UNION ALL SELECT hs.c, o.p - hs.h + least(hs.h, coalesce(n.n, 0)), o.role, o.text
+    FROM hs JOIN own o ON o.c = hs.c AND o.p > hs.h LEFT JOIN n ON n.c = hs.c - hs.c % {STEM}),
+pre AS (SELECT c, d, length(text) AS points, string_agg(CAST(length(role) AS VARCHAR) || ':' || role || CAST(length(text) AS VARCHAR) || ':' || text, '')
+      OVER (PARTITION BY c ORDER BY d) AS k FROM turns),
+members AS (
+    SELECT c, 0 AS d, '' AS k, '' AS pk, 0 AS points FROM ids
+    UNION ALL SELECT c, d, k, coalesce(lag(k) OVER (PARTITION BY c ORDER BY d), ''), points FROM pre),
+nodes AS (SELECT d, k, min(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, min(points) AS points FROM members GROUP BY d, k),
+kids AS (SELECT pk AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+lens AS (SELECT c, max(d) AS d FROM members GROUP BY 1),
+ends AS (SELECT m.k, sha256(string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c)) AS e FROM members m JOIN lens l ON m.c = l.c AND m.d = l.d GROUP BY 1),
+sums AS (
+    SELECT m.k, sum(CASE WHEN q.n_children IS NULL THEN 1 ELSE 0 END) AS leaves, sum((b.n_convs - 1) * b.points) AS saved
+    FROM nodes b LEFT JOIN kids q ON q.k = b.k JOIN members m ON m.c = b.conv_id AND m.d <= b.d GROUP BY 1)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, a.n_convs, coalesce(q.n_children, 0) AS n_children,
+    CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.e, sha256('')) AS ends_sha256
+FROM nodes a JOIN sums s ON s.k = a.k LEFT JOIN kids q ON q.k = a.k LEFT JOIN ends e ON e.k = a.k LEFT JOIN nodes p ON a.d > 0 AND p.k = a.pk"""

@@ -102,12 +102,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted", F.size("first").alias("n_passages"))
 
 
-@query("op11_collocations")
+@query("op11_collocations", sql=collocations.sql())
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.best(documents(spark, folder))
 
 
-@query("op12_conversation_trie")
+@query("op12_conversation_trie", sql=conversation_trie.sql())
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     turns = conversation_trie.positions(spark.read.parquet(f"{folder}/conversations.parquet"))
     return conversation_trie.trie(*conversation_trie.regrafted(turns))
