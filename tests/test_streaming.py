@@ -113,3 +113,31 @@ def test_comments_wait_for_their_posts(spark, tmp_path):
     assert rejected == ["x"]
     assert {"a", "b", "c", "d4", "e"} <= {p[0] for p in placed} and len(placed) == len({p[0] for p in placed})
     assert dict((p[0], p[1]) for p in placed)["d4"] == "sp" and queue.count("p") == 1
+
+
+def test_session_windows_close_by_event_time(spark, tmp_path):
+    landing, out, checkpoint = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    at = lambda h, m=0: f"2024-01-01 {h:02d}:{m:02d}:00"
+    item = lambda who, t: {"who": who, "t": t}
+    late = feeds.LateRows()
+    spark.streams.addListener(late)
+
+    def closed():
+        arriving = feeds.json_feed(spark, str(landing), "who string, t timestamp", files_per_trigger=1)
+        windows = feeds.session_windows(arriving, ["who"], "t", "30 minutes", "10 minutes")
+        feeds.store_session_windows(windows, out, checkpoint).awaitTermination()
+        rows = spark.read.schema(windows.schema).parquet(out).collect()
+        return sorted((r["who"], r["stream_start"].hour, r["items"], r["stream_duration"]) for r in rows)
+
+    try:
+        # Items a whole gap apart still belong together; b's burst goes on in the next batch.
+        land(landing, "1.json", [item("a", at(1)), item("a", at(1, 30)), item("b", at(2)), item("a", at(2, 20))])
+        assert closed() == [("a", 1, 2, "00:30:00")]
+        land(landing, "2.json", [item("b", at(2, 15)), item("a", at(3, 30))])
+        assert closed() == [("a", 1, 2, "00:30:00"), ("a", 2, 1, "00:00:00"), ("b", 2, 2, "00:15:00")]
+        # Too late for its window, which has come out already.
+        land(landing, "3.json", [item("b", at(2, 20)), item("c", at(9))])
+        assert closed() == [("a", 1, 2, "00:30:00"), ("a", 2, 1, "00:00:00"), ("a", 3, 1, "00:00:00"), ("b", 2, 2, "00:15:00")]
+    finally:
+        spark.streams.removeListener(late)
+    assert late.dropped == 1

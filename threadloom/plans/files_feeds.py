@@ -670,6 +670,27 @@ def stream_session_stats(t: Tables) -> DataFrame:
     return rows.withColumn("stream_start", iso_time("stream_start")).withColumn("stream_end", iso_time("stream_end"))
 
 
+@query("stream_session_windows", f"""
+    WITH items AS (SELECT type, subreddit, created_utc AS seen, CASE WHEN created_utc > lag(created_utc) OVER w + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS starts
+      FROM {LIVE} WINDOW w AS (PARTITION BY type, subreddit ORDER BY created_utc)),
+    numbered AS (SELECT *, sum(starts) OVER (PARTITION BY type, subreddit ORDER BY seen) AS burst FROM items),
+    bursts AS (SELECT type, subreddit, min(seen) AS a, max(seen) AS b, count(*) AS items FROM numbered GROUP BY type, subreddit, burst)
+    SELECT type, subreddit, {iso('a')} AS stream_start, {iso('b')} AS stream_end, items,
+      strftime(make_timestamp((epoch_us(b) - epoch_us(a)) // 1000000 % 86400 * 1000000), '%H:%M:%S') AS stream_duration
+    FROM bursts WHERE b + INTERVAL 2 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 MINUTE""")
+def stream_session_windows(t: Tables) -> DataFrame:
+    """Bursts of the live feed by community; the feed lands in three parts, with a restart before each."""
+    landing, path, checkpoint = (scratch_path(t.spark, name) for name in ("live-landing", "bursts", "bursts-checkpoint"))
+    items = t.stored("events").selectExpr(*FEED).withColumn("created_utc", F.col("created_utc").cast("timestamp"))
+    for part in ("created_utc < '2024-01-11'", "created_utc >= '2024-01-11' AND created_utc < '2024-01-21'", "created_utc >= '2024-01-21'"):
+        items.where(part).hint("rebalance").write.mode("append").parquet(landing)
+        arriving = feeds.parquet_feed(t.spark, landing, "*.parquet", items.schema)
+        windows = feeds.session_windows(arriving, ["type", "subreddit"], "created_utc", "2 hours", "10 minutes")
+        feeds.store_session_windows(windows, path, checkpoint).awaitTermination()
+    rows = t.spark.read.schema(windows.schema).parquet(path)
+    return rows.withColumn("stream_start", iso_time("stream_start")).withColumn("stream_end", iso_time("stream_end"))
+
+
 @query("stream_word_counts", counted(MIXED))
 def stream_word_counts(t: Tables) -> DataFrame:
     schema = t.stored("documents").schema

@@ -11,6 +11,7 @@ from ..functions.scalars import config_text, iso_time, short_hash
 from ..operators import enrich, ingest, inventory, quality
 from ..session import scratch_path
 from ..sinks import writers
+from ..sources.tables import append_bucketed
 from .bindings import COMMENTS, FIRST_COPY, Tables, newest
 from .reading import LAST_EVENT, _last_event, iso
 from .registry import query
@@ -32,14 +33,28 @@ def dedupe_new_submissions(t: Tables) -> DataFrame:
     return rows.select("reddit_id", "title", "score")
 
 
-@query("dedupe_new_comments", """SELECT reddit_id, author, score FROM comments
-    WHERE reddit_id NOT IN (SELECT reddit_id FROM raw_comments WHERE is_submitter)""")
+NEW_COMMENTS = """SELECT reddit_id, author, score FROM comments
+    WHERE reddit_id NOT IN (SELECT reddit_id FROM raw_comments WHERE is_submitter)"""
+
+
+@query("dedupe_new_comments", NEW_COMMENTS)
 def dedupe_new_comments(t: Tables) -> DataFrame:
     stored = t.raw_comments.where("is_submitter").select("reddit_id")
     rows = ingest.new_rows(raw_batch(t), stored, [F.asc(c) for c in FIRST_COPY])
     return rows.select("reddit_id", "author", "score")
 
 
+@query("dedupe_stored_buckets", NEW_COMMENTS)
+def dedupe_stored_buckets(t: Tables) -> DataFrame:
+    """The same load against ids that are kept in buckets, so the stored side is not exchanged."""
+    path = scratch_path(t.spark, "known")
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = t.raw_comments.where("is_submitter").select("reddit_id")
+    stored = append_bucketed(ids, f"known_{path[-32:]}", path, "reddit_id", buckets)
+    rows = ingest.new_rows(raw_batch(t), stored, [F.asc(c) for c in FIRST_COPY])
+    return rows.select("reddit_id", "author", "score")
+
+
 @query("comment_to_submission", """SELECT c.reddit_id, s.id AS submission_row, s.subreddit_id
     FROM comments c JOIN submissions s ON split_part(c.link_id, '_', -1) = s.reddit_id""")
 def comment_to_submission(t: Tables) -> DataFrame:

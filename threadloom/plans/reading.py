@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import iso_time
-from ..operators import reads, stats, views
+from ..operators import reads, stats, substring_index, views
+from ..session import scratch_path
 from .bindings import Tables, newest
 from .registry import query
 
@@ -42,6 +43,13 @@ def _last_event(t: Tables):
     return newest(t.stored("events"), "ts")
 
 
+def _candidates(t: Tables, keywords: list[str], fields: list[str]) -> DataFrame:
+    """Submissions of the blocks that a trigram index names."""
+    path, schema = scratch_path(t.spark, "indexed"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.submissions.schema)
+    substring_index.write_indexed(t.submissions, path, ["title", "selftext"])
+    return substring_index.candidates(t.spark, path, schema, keywords, fields)
+
+
 # Each stored table with its first key.
 KEYED = {
     "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
@@ -136,24 +144,45 @@ def submission_with_subreddit(t: Tables) -> DataFrame:
     return views.with_subreddit(t.submissions, t.subreddits).select("reddit_id", "title", "subreddit")
 
 
-@query("keyword_search", f"""SELECT {SUB_COLS} {SUB_FROM}
+KEYWORD_SQL = f"""SELECT {SUB_COLS} {SUB_FROM}
     WHERE s.title ILIKE '%urgent f%' OR s.selftext ILIKE '%urgent f%' OR s.title ILIKE '%total 1_00%'
       OR s.selftext ILIKE '%total 1_00%'
-    ORDER BY s.score DESC, s.reddit_id LIMIT 100""")
+    ORDER BY s.score DESC, s.reddit_id LIMIT 100"""
+KEYWORDS = ["Urgent F", "total 1_00"]
+
+
+@query("keyword_search", KEYWORD_SQL)
 def keyword_search(t: Tables) -> DataFrame:
-    rows = reads.keyword_search(t.submissions, t.subreddits, ["Urgent F", "total 1_00"])
-    return _posts(t, rows)
+    return _posts(t, reads.keyword_search(t.submissions, t.subreddits, KEYWORDS))
+
+
+@query("keyword_search_indexed", KEYWORD_SQL)
+def keyword_search_indexed(t: Tables) -> DataFrame:
+    found = _candidates(t, KEYWORDS, ["title", "selftext"])
+    return _posts(t, reads.keyword_search(found, t.subreddits, KEYWORDS))
 
 
-@query("title_search", f"""SELECT s.reddit_id, s.title, s.author, s.score, r.name AS subreddit,
+TITLE_SQL = f"""SELECT s.reddit_id, s.title, s.author, s.score, r.name AS subreddit,
       {iso('s.created_utc')} AS created_utc, coalesce(n, 0) AS comment_count
     {SUB_FROM} LEFT JOIN (SELECT submission_id, count(*) AS n FROM stored_comments GROUP BY 1) c ON c.submission_id = s.reddit_id
-    WHERE s.title ILIKE '%urgent%'""")
-def title_search(t: Tables) -> DataFrame:
-    found = reads.title_search(t.submissions, t.subreddits, t.stored_comments, "urgent")
+    WHERE s.title ILIKE '%urgent%'"""
+
+
+def _titles(t: Tables, posts: DataFrame) -> DataFrame:
+    found = reads.title_search(posts, t.subreddits, t.stored_comments, "urgent")
     return found.select("reddit_id", "title", "author", "score", "subreddit", iso_time("created_utc").alias("created_utc"), "comment_count")
 
 
+@query("title_search", TITLE_SQL)
+def title_search(t: Tables) -> DataFrame:
+    return _titles(t, t.submissions)
+
+
+@query("title_search_indexed", TITLE_SQL)
+def title_search_indexed(t: Tables) -> DataFrame:
+    return _titles(t, _candidates(t, ["urgent"], ["title"]))
+
+
 @query("author_submissions", f"""SELECT {SUB_COLS} {SUB_FROM} WHERE s.author = 'u/7'
     ORDER BY s.created_utc DESC, s.reddit_id LIMIT 100""")
 def author_submissions(t: Tables) -> DataFrame:

@@ -50,6 +50,19 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_lookup(df: DataFrame, path: str, order: str, keys: dict[str, int]) -> None:
+    """Rows for point reads: in files sorted by ``order``, with a Bloom filter of each column in ``keys``.
+
+    Bounds of ``order`` skip files and row groups for it; the filters do so for the other keys. ``keys`` gives the distinct
+    values to expect in a row group, which sets a filter's size.
+    """
+    writer = df.repartitionByRange(order).sortWithinPartitions(order).write.option("compression", "zstd")
+    for key, distinct in keys.items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key}", str(distinct))
+    writer.parquet(path)
+
+
 def remove_rows(gone: DataFrame, path: str, key: str, partition: str) -> int:
     """Take the rows whose ``key`` is in ``gone`` out of a table in folders by ``partition``; gives the number of folders touched.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.scalars import bare_id, duration_hms
 from ..operators.ingest import enqueue
@@ -18,6 +18,8 @@ from ..sinks.writers import overwrite_batch
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
 
 def _reader(spark: SparkSession, schema, files_per_trigger: int | None):
     reader = spark.readStream.schema(schema)
@@ -101,6 +103,51 @@ def session_stats(items: DataFrame, keys: list[str], at: str = "seen_at") -> Dat
     return stats.withColumn("stream_duration", duration_hms(F.floor(micros / 1_000_000)))
 
 
+def session_windows(feed: DataFrame, keys: list[str], at: str, gap: str, late: str) -> DataFrame:
+    """Bursts of activity per key: a window ends ``gap`` after its last item by event time.
+
+    Items may come up to ``late`` after the newest one. In append output a window comes out once, when the watermark
+    has passed its end; a window that is still open stays in the state.
+    """
+    windows = feed.withWatermark(at, late).groupBy(*keys, F.session_window(at, gap).alias("session")).agg(
+        F.max(at).alias("stream_end"), F.count("*").alias("items")
+    )
+    micros = F.unix_micros("stream_end") - F.unix_micros("session.start")
+    return windows.select(
+        *keys, F.col("session.start").alias("stream_start"), "stream_end", "items",
+        duration_hms(F.floor(micros / 1_000_000)).alias("stream_duration"),
+    )
+
+
+def store_session_windows(windows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Store the windows that have ended. Items of one key are merged before the shuffle, so a busy key is a few rows in its task."""
+    spark = windows.sparkSession
+    before = {name: spark.conf.get(name, None) for name in (STATE_STORE, MERGE_SESSIONS)}
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    spark.conf.set(MERGE_SESSIONS, "true")
+    try:
+        return append_to(windows, path, checkpoint)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts what stateful steps dropped as too late, over all batches; items merged before the shuffle count once."""
+
+    def __init__(self) -> None:
+        self.dropped = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped += sum(step.numRowsDroppedByWatermark for step in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def store_word_counts(feed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Word frequencies of every micro-batch under its own folder, without state.
 
