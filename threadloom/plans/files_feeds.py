@@ -291,43 +291,52 @@ def clock(seconds: str) -> str:
 @query("normalize_submission", f"""SELECT CASE WHEN o_custkey % 50 > 0 THEN 'u/' || o_custkey ELSE '[deleted]' END AS author,
     {clock('o_orderkey * 1000')} AS created_utc,
     CASE WHEN o_orderkey % 3 = 0 THEN 'false' ELSE {clock('o_orderkey * 1000 + 77')} END AS edited,
-    CAST(o_orderkey AS STRING) AS id, 't3_' || o_orderkey AS name, o_orderkey % 7 = 0 AS nsfw, o_orderpriority AS title FROM orders""")
+    CAST(NULL AS STRING) AS distinguished, CAST(o_orderkey AS STRING) AS id, o_orderkey % 19 = 0 AS is_original_content, true AS is_self,
+    o_orderpriority AS link_flair_text, false AS locked, 't3_' || o_orderkey AS name, o_orderkey % 7 = 0 AS nsfw,
+    CAST(o_orderkey % 50 AS INTEGER) AS num_comments, '/p/' || o_orderkey AS permalink, CAST(floor(o_totalprice) AS INTEGER) AS score,
+    o_orderstatus AS selftext, false AS spoiler, false AS stickied, o_orderpriority AS title, CAST(0.5 AS DOUBLE) AS upvote_ratio,
+    '/p/' || o_orderkey AS url FROM orders""")
 def normalize_submission(t: Tables) -> DataFrame:
-    rows = normalize.submission_record(raw_submissions(t))
-    return rows.select("author", "created_utc", "edited", "id", "name", "nsfw", "title")
+    return normalize.submission_record(raw_submissions(t))
 
 
 @query("normalize_comment", f"""SELECT CASE WHEN l_suppkey % 20 > 0 THEN 'u/' || l_suppkey ELSE '[deleted]' END AS author,
-    l_returnflag AS body, {clock('l_partkey * 1000')} AS created_utc,
+    l_returnflag AS body, '<p>' || l_returnflag AS body_html, {clock('l_partkey * 1000')} AS created_utc,
+    CASE WHEN l_tax = 0.08 THEN 'moderator' END AS distinguished,
     CASE WHEN l_discount = 0 THEN 'false' ELSE {clock('l_partkey * 1000 + 77')} END AS edited,
-    l_orderkey || '-' || l_linenumber AS id, 't3_' || l_orderkey AS link_id, 'comment' AS type FROM lineitem""")
+    l_orderkey || '-' || l_linenumber AS id, l_suppkey % 10 = 1 AS is_submitter, 't3_' || l_orderkey AS link_id,
+    't1_' || l_linenumber AS parent_id, CAST(l_quantity AS INTEGER) - 25 AS score, l_linenumber = 7 AS stickied,
+    l_orderkey AS submission_id, 't5_' || l_suppkey AS subreddit_id, 'comment' AS type FROM lineitem""")
 def normalize_comment(t: Tables) -> DataFrame:
     raw = t.stored("lineitem").selectExpr(
         "CASE WHEN l_suppkey % 20 > 0 THEN CAST(l_suppkey AS STRING) END AS author_name", "l_returnflag AS body",
-        "CAST(NULL AS STRING) AS body_html", "CAST(l_partkey * 1000 AS DOUBLE) AS created_utc", "CAST(NULL AS STRING) AS distinguished",
+        "'<p>' || l_returnflag AS body_html", "CAST(l_partkey * 1000 AS DOUBLE) AS created_utc",
+        "CASE WHEN l_tax = 0.08 THEN 'moderator' END AS distinguished",
         "parse_json(CASE WHEN l_discount = 0 THEN 'false' ELSE CAST(l_partkey * 1000 + 77 AS STRING) END) AS edited",
-        "l_orderkey || '-' || l_linenumber AS id", "false AS is_submitter", "'t3_' || l_orderkey AS link_id",
-        "'t3_' || l_orderkey AS parent_id", "1 AS score", "false AS stickied",
-        "named_struct('id', l_orderkey) AS submission", "'t5_x' AS subreddit_id",
+        "l_orderkey || '-' || l_linenumber AS id", "l_suppkey % 10 = 1 AS is_submitter", "'t3_' || l_orderkey AS link_id",
+        "'t1_' || l_linenumber AS parent_id", "CAST(l_quantity AS INTEGER) - 25 AS score", "l_linenumber = 7 AS stickied",
+        "named_struct('id', l_orderkey) AS submission", "'t5_' || l_suppkey AS subreddit_id",
     )
     rows = normalize.comment_record(raw, include_all=True)
-    return rows.select("author", "body", "created_utc", "edited", "id", "link_id", "type")
+    return rows.withColumn("submission_id", F.col("submission.id")).drop("submission")
 
 
 RAW_SUBREDDIT = [
-    "false AS can_assign_link_flair", "false AS can_assign_user_flair", "CAST(c_custkey * 60 AS DOUBLE) AS created_utc",
-    "c_mktsegment AS description", "'' AS description_html", "c_name AS display_name", "CAST(c_custkey AS STRING) AS id",
-    "'t5_' || c_custkey AS name", "c_custkey % 3 = 0 AS over18", "c_mktsegment AS public_description",
-    "true AS spoilers_enabled", "CAST(c_custkey AS BIGINT) AS subscribers", "false AS user_is_banned",
-    "false AS user_is_moderator", "false AS user_is_subscriber",
+    "c_custkey % 2 = 0 AS can_assign_link_flair", "c_custkey % 5 = 0 AS can_assign_user_flair", "CAST(c_custkey * 60 AS DOUBLE) AS created_utc",
+    "c_mktsegment AS description", "'<p>' || c_mktsegment AS description_html", "c_name AS display_name", "CAST(c_custkey AS STRING) AS id",
+    "'t5_' || c_custkey AS name", "c_custkey % 3 = 0 AS over18", "lower(c_mktsegment) AS public_description",
+    "c_custkey % 7 > 0 AS spoilers_enabled", "CAST(c_custkey AS BIGINT) AS subscribers", "c_custkey % 11 = 0 AS user_is_banned",
+    "c_custkey % 13 = 0 AS user_is_moderator", "c_custkey % 17 = 0 AS user_is_subscriber",
 ]
 
 
-@query("normalize_subreddit", f"""SELECT {clock('c_custkey * 60')} AS created_utc, c_name AS display_name,
-    't5_' || c_custkey AS name, c_custkey % 3 = 0 AS nsfw, c_custkey AS subscribers FROM customer""")
+@query("normalize_subreddit", f"""SELECT c_custkey % 2 = 0 AS can_assign_link_flair, c_custkey % 5 = 0 AS can_assign_user_flair,
+    {clock('c_custkey * 60')} AS created_utc, c_mktsegment AS description, '<p>' || c_mktsegment AS description_html, c_name AS display_name,
+    CAST(c_custkey AS STRING) AS id, 't5_' || c_custkey AS name, c_custkey % 3 = 0 AS nsfw, lower(c_mktsegment) AS public_description,
+    c_custkey % 7 > 0 AS spoilers_enabled, c_custkey AS subscribers, c_custkey % 11 = 0 AS user_is_banned,
+    c_custkey % 13 = 0 AS user_is_moderator, c_custkey % 17 = 0 AS user_is_subscriber FROM customer""")
 def normalize_subreddit(t: Tables) -> DataFrame:
-    rows = normalize.subreddit_record(t.stored("customer").selectExpr(*RAW_SUBREDDIT))
-    return rows.select("created_utc", "display_name", "name", "nsfw", "subscribers")
+    return normalize.subreddit_record(t.stored("customer").selectExpr(*RAW_SUBREDDIT))
 
 
 @query("normalize_multireddit", f"""SELECT 'm' || c_custkey AS name, {clock('c_custkey * 60')} AS created_utc, c_custkey % 4 = 0 AS nsfw,
