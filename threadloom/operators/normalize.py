@@ -95,13 +95,16 @@ PROFILE_FIELDS = [
 def redditor_information(raw: DataFrame) -> DataFrame:
     """Profile as JSON: two fields for a suspended account, fourteen otherwise.
 
-    ``is_suspended`` is null for a normal account. An empty trophy list is null.
+    ``is_suspended`` is null for a normal account. An empty trophy list is null. The account's own community
+    keeps its creation time as a number.
     """
     trophies = F.when(
         F.size("trophies") > 0,
         F.transform("trophies", lambda t: F.struct(*[t[f].alias(f) for f in TROPHY_FIELDS])),
     )
-    fields = {"created_utc": epoch_to_time("created_utc"), "trophies": trophies}
+    named = {f: F.col("subreddit.over18" if f == "nsfw" else f"subreddit.{f}") for f in SUBREDDIT_FIELDS}
+    own = F.when(F.col("subreddit").isNotNull(), F.struct(*[c.alias(f) for f, c in named.items()]))
+    fields = {"created_utc": epoch_to_time("created_utc"), "subreddit": own, "trophies": trophies}
     profile = F.struct(*[fields.get(f, F.col(f)).alias(f) for f in PROFILE_FIELDS])
     options = {"ignoreNullFields": "false"}
     information = F.when(

@@ -18,7 +18,7 @@ from ..sources import documents, files
 from ..streaming import feeds
 from .bindings import COMMENTS, FIRST_COPY, Tables
 from .loading import raw_batch
-from .reading import iso
+from .reading import FULL_POST, full_post_text, iso
 from .registry import query
 from .threads_words import MIXED, TREE_FILE, counted, feed, walk
 
@@ -355,40 +355,51 @@ def normalize_multireddit(t: Tables) -> DataFrame:
     return rows.select("name", "created_utc", "nsfw", F.array_join(inner, ",").alias("nested"))
 
 
+# Fields of a profile that is not suspended, as the SQL gives their text; the trophy's and the community's are below.
+PROFILE = {
+    "comment_karma": "c_custkey % 10", "created_utc": clock("c_custkey * 60"), "fullname": "'t2_' || c_custkey",
+    "has_verified_email": "c_custkey % 3 = 0", "icon_img": "''", "id": "c_custkey", "is_employee": "c_custkey % 5 = 0",
+    "is_friend": "c_custkey % 7 = 0", "is_mod": "c_custkey % 11 = 0", "is_gold": "c_custkey % 13 = 0", "link_karma": "c_custkey",
+}
+TROPHY = {
+    "award_id": "NULL", "description": "'for ' || c_name", "icon_40": "'a'", "icon_70": "'b'", "name": "c_mktsegment", "url": "NULL",
+}
+OWN = {name.replace("over18", "nsfw"): e for e, name in (field.split(" AS ") for field in RAW_SUBREDDIT if "CAST(" not in field)}
+OWN |= {"id": "c_custkey", "subscribers": "c_custkey", "created_utc": "c_custkey * 60"}
+
+
 @query("redditor_information", f"""SELECT c_name AS name, CASE WHEN c_acctbal < 0 THEN 'true' END AS is_suspended,
-    CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey AS STRING) END AS link_karma,
-    CASE WHEN c_acctbal >= 0 THEN {clock('c_custkey * 60')} END AS created_utc,
-    CASE WHEN c_acctbal >= 0 AND c_custkey % 2 = 0 THEN c_mktsegment END AS trophy,
-    CASE WHEN c_acctbal >= 0 THEN 't5_' || c_custkey END AS subreddit FROM customer""")
+    {', '.join(f"CASE WHEN c_acctbal >= 0 THEN CAST({e} AS STRING) END AS {n}" for n, e in PROFILE.items())},
+    {', '.join(f"CASE WHEN c_acctbal >= 0 AND c_custkey % 2 = 0 THEN CAST({e} AS STRING) END AS trophy_{n}" for n, e in TROPHY.items())},
+    {', '.join(f"CASE WHEN c_acctbal >= 0 THEN CAST({e} AS STRING) END AS subreddit_{n}" for n, e in OWN.items() if n != 'created_utc')},
+    CASE WHEN c_acctbal >= 0 THEN c_custkey * 60 END AS subreddit_created_utc FROM customer""")
 def redditor_information(t: Tables) -> DataFrame:
-    trophy = F.struct(
-        F.lit(None).cast("string").alias("award_id"), F.lit(None).cast("string").alias("description"), F.lit("a").alias("icon_40"),
-        F.lit("b").alias("icon_70"), F.col("c_mktsegment").alias("name"), F.lit(None).cast("string").alias("url"),
-    )
     key = F.col("c_custkey")
+    trophy = F.struct(*[F.expr(e).cast("string").alias(n) for n, e in TROPHY.items()])
     raw = t.stored("customer").select(
         F.when(F.col("c_acctbal") < 0, True).alias("is_suspended"), F.col("c_name").alias("name"),
-        (key % 10).alias("comment_karma"), (key * 60).cast("double").alias("created_utc"), F.lit("f").alias("fullname"),
-        F.lit(True).alias("has_verified_email"), F.lit("").alias("icon_img"), key.cast("string").alias("id"),
-        F.lit(False).alias("is_employee"), F.lit(False).alias("is_friend"), F.lit(False).alias("is_mod"),
-        F.lit(False).alias("is_gold"), key.alias("link_karma"),
+        (key * 60).cast("double").alias("created_utc"),
+        *[F.expr(e).alias(n) for n, e in PROFILE.items() if n != "created_utc"],
         F.struct(*[F.expr(e) for e in RAW_SUBREDDIT]).alias("subreddit"),
         F.when(key % 2 == 0, F.array(trophy)).otherwise(F.array().cast("array<" + _TROPHY + ">")).alias("trophies"),
     )
     info = normalize.redditor_information(raw)
-    paths = {
-        "is_suspended": "$.is_suspended", "link_karma": "$.link_karma", "created_utc": "$.created_utc",
-        "trophy": "$.trophies[0].name", "subreddit": "$.subreddit.name",
-    }
-    return info.select("name", *[F.get_json_object("information", p).alias(n) for n, p in paths.items()])
+    paths = {"is_suspended": "$.is_suspended", **{n: f"$.{n}" for n in PROFILE}, **{f"trophy_{n}": f"$.trophies[0].{n}" for n in TROPHY}}
+    paths |= {f"subreddit_{n}": f"$.subreddit.{n}" for n in OWN}
+    rows = info.select("name", *[F.get_json_object("information", p).alias(n) for n, p in paths.items()])
+    return rows.withColumn("subreddit_created_utc", F.col("subreddit_created_utc").cast("double").cast("bigint"))
 
 
 _TROPHY = "struct<award_id: string, description: string, icon_40: string, icon_70: string, name: string, url: string>"
 
 
 @query("submission_metadata", f"""SELECT CASE WHEN o_custkey % 50 > 0 THEN 'u/' || o_custkey ELSE '[deleted]' END AS author,
-    {clock('o_orderkey * 1000')} AS created_utc, o_orderkey % 7 = 0 AS nsfw, '/p/' || o_orderkey AS permalink,
-    'n' || o_custkey AS subreddit, o_orderpriority AS title,
+    {clock('o_orderkey * 1000')} AS created_utc, CAST(NULL AS STRING) AS distinguished,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'false' ELSE {clock('o_orderkey * 1000 + 77')} END AS edited,
+    o_orderkey % 19 = 0 AS is_original_content, true AS is_self, o_orderpriority AS link_flair_text, false AS locked,
+    o_orderkey % 7 = 0 AS nsfw, CAST(o_orderkey % 50 AS INTEGER) AS num_comments, '/p/' || o_orderkey AS permalink,
+    CAST(floor(o_totalprice) AS INTEGER) AS score, o_orderstatus AS selftext, false AS spoiler, false AS stickied,
+    'n' || o_custkey AS subreddit, o_orderpriority AS title, CAST(0.5 AS DOUBLE) AS upvote_ratio,
     CASE WHEN o_orderkey % 5 = 0 THEN 'g' || o_orderkey END AS gallery_data FROM orders""")
 def submission_metadata(t: Tables) -> DataFrame:
     docs = normalize.submission_record(raw_submissions(t)).withColumn(
@@ -397,8 +408,7 @@ def submission_metadata(t: Tables) -> DataFrame:
     gallery = F.when(F.col("id").cast("bigint") % 5 == 0, F.concat(F.lit("g"), "id"))
     # The community name needs the customer key, which a deleted author hides.
     keys = t.stored("orders").select(F.col("o_orderkey").cast("string").alias("id"), F.concat(F.lit("n"), "o_custkey").alias("subreddit"))
-    rows = normalize.submission_metadata(docs.drop("subreddit").join(keys, "id").withColumn("gallery_data", gallery))
-    return rows.select("author", "created_utc", "nsfw", "permalink", "subreddit", "title", "gallery_data")
+    return normalize.submission_metadata(docs.drop("subreddit").join(keys, "id").withColumn("gallery_data", gallery))
 
 
 @query("subreddit_rules", f"""SELECT c_name AS subreddit, {clock('c_custkey * 60')} AS created_utc, 'link' AS kind, p AS priority,
@@ -561,13 +571,13 @@ def sink_tables(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(path).select("reddit_id", "author", "score")
 
 
-@query("sink_post_json", "SELECT CAST(o_orderkey AS STRING) AS reddit_id, o_orderpriority || ' ' || o_orderstatus AS title FROM orders")
+@query("sink_post_json", FULL_POST)
 def sink_post_json(t: Tables) -> DataFrame:
+    """Full posts written as documents and read back, statistics and comments included."""
     path = scratch_path(t.spark, "posts")
-    pages = stats.full_post(t.submissions, t.subreddits, t.comments)
-    pages.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
-    document = t.spark.read.text(path)
-    return document.select(F.get_json_object("value", "$.reddit_id").alias("reddit_id"), F.get_json_object("value", "$.title").alias("title"))
+    pages = stats.full_post(t.submissions, t.subreddits, t.stored_comments, page_size=4)
+    writers.write_json(pages, path)
+    return full_post_text(t.spark.read.schema(pages.schema).json(path))
 
 
 ARCHIVED = """SELECT lang AS scrape_date, count(*) AS file_count, CAST(sum(n_chars) AS BIGINT) AS original_size_bytes,

@@ -346,18 +346,26 @@ def post_comment_stats(t: Tables) -> DataFrame:
     return rows.withColumn("average_score", F.round("average_score", 6))
 
 
-@query("full_post", f"""SELECT s.reddit_id, s.title, s.author, coalesce(r.name, 'Unknown') AS subreddit, {STAT_COLS},
+FULL_POST = f"""SELECT s.reddit_id, s.title, s.author, coalesce(r.name, 'Unknown') AS subreddit, {STAT_COLS},
       coalesce(c.page, 0) AS page, coalesce(c.comments, '') AS comments
     {SUB_FROM} LEFT JOIN {STATS} k ON s.reddit_id = k.submission_id
-    LEFT JOIN {NESTED} c ON s.reddit_id = c.submission_id""")
-def full_post(t: Tables) -> DataFrame:
-    pages = _as_text(stats.full_post(t.submissions, t.subreddits, t.stored_comments, page_size=4))
+    LEFT JOIN {NESTED} c ON s.reddit_id = c.submission_id"""
+
+
+def full_post_text(pages: DataFrame) -> DataFrame:
+    """Pages of full posts as rows that can be compared."""
+    pages = _as_text(pages)
     numbers = [c for c in pages.columns if c in STAT_NAMES]
     return pages.withColumn("average_score", F.round("average_score", 6)).select(
         "reddit_id", "title", "author", "subreddit", *numbers, "page", "comments"
     )
 
 
+@query("full_post", FULL_POST)
+def full_post(t: Tables) -> DataFrame:
+    return full_post_text(stats.full_post(t.submissions, t.subreddits, t.stored_comments, page_size=4))
+
+
 @query("submissions_having_comments", """SELECT reddit_id, title FROM submissions
     WHERE reddit_id IN (SELECT submission_id FROM stored_comments)""")
 def submissions_having_comments(t: Tables) -> DataFrame:
