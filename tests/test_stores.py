@@ -115,3 +115,23 @@ def test_point_reads_skip_row_groups(spark, tmp_path):
     assert scanned(stored.where(F.col("reddit_id") == "8" + "0" * 63)) == 0
     assert 0 < scanned(stored.where(F.col("author") == "u0000007")) < 100_000
     assert reads.by_author(stored.withColumn("created_utc", F.lit(1)), "u0000007").count() == 1
+
+
+def test_upsert_rewrites_touched_folders_only(spark, tmp_path):
+    path, shape = str(tmp_path / "table"), "id string, n int, day string"
+    rows = [("a", 1, "x"), ("b", 2, "x"), ("c", 3, "y"), ("d", 4, "z"), ("e", None, None), ("f", 6, None)]
+    spark.createDataFrame(rows, shape).write.partitionBy("day").parquet(path)
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    stored = lambda: sorted(map(tuple, spark.read.schema(shape).parquet(path).collect()), key=str)
+    before = files()
+    # One as it is, one changed, one that moves and leaves its folder empty, one new, one without a day.
+    given = spark.createDataFrame([("c", 3, "y"), ("a", 9, "x"), ("d", 4, "x"), ("g", 7, "w"), ("e", 5, None)], shape)
+    assert writers.upsert_rows(given, path, "id", "day") == 4
+    after = sorted([("a", 9, "x"), ("b", 2, "x"), ("c", 3, "y"), ("d", 4, "x"), ("e", 5, None), ("f", 6, None), ("g", 7, "w")], key=str)
+    assert stored() == after
+    assert {f for f in before if "day=y" in f} == {f for f in files() if "day=y" in f and files()[f] == before.get(f)}
+    assert not (tmp_path / "table" / "day=z").exists()
+    unchanged = files()
+    assert writers.upsert_rows(given, path, "id", "day") == 0
+    assert writers.upsert_rows(given.limit(0), path, "id", "day") == 0
+    assert files() == unchanged

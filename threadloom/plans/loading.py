@@ -198,6 +198,22 @@ def retention_rewrite(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).select("id", "processing_status", F.col("day").cast("string").alias("day"))
 
 
+@query("complete_item_rewrite", """WITH done AS (SELECT item_id, arg_max(result, seq) FILTER (result IS NOT NULL) AS r
+      FROM queue_log x WHERE action = 'complete' GROUP BY 1)
+    SELECT id, CASE WHEN item_id IS NULL THEN processing_status ELSE 'completed' END AS processing_status,
+      coalesce(r, processing_result) AS processing_result, strftime(queued_at, '%Y-%m-%d') AS day
+    FROM queue LEFT JOIN done ON id = item_id""")
+def complete_item_rewrite(t: Tables) -> DataFrame:
+    """The stored queue, by day, with the completed items in place of the stored ones."""
+    path = scratch_path(t.spark, "queue")
+    stored = t.queue.select("id", "processing_status", "processing_result", F.date_format("queued_at", "yyyy-MM-dd").alias("day"))
+    stored.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    done = ingest.complete_items(t.queue, t.queue_log).withColumnRenamed("item_id", "id")
+    done = done.select("id", "processing_status", "processing_result").join(stored.select("id", "day"), "id")
+    writers.upsert_rows(done, path, "id", "day")
+    return t.spark.read.parquet(path).withColumn("day", F.col("day").cast("string"))
+
+
 KNOWN_POST = "(SELECT reddit_id FROM submissions WHERE processing_status <> 'pending')"
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import delete_path, materialize
 
@@ -82,6 +85,39 @@ def remove_rows(gone: DataFrame, path: str, key: str, partition: str) -> int:
     return touched.count()
 
 
+def upsert_rows(rows: DataFrame, path: str, key: str, partition: str) -> int:
+    """Put ``rows``, one per ``key``, into a table in folders by ``partition``; gives the number of folders touched.
+
+    A row replaces the stored one of its key, in whichever folder that lies; a new key is added. Rows that are stored already as they are
+    touch nothing, so a second run changes nothing. Only touched folders are rewritten, from a staged copy. A null
+    partition value is a folder like the others.
+    """
+    stored = rows.sparkSession.read.parquet(path)
+    rows = materialize(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.schema]), "given")
+    earlier = materialize(stored.join(rows.select(key), key, "left_semi").select(*rows.columns), "earlier")
+    new = materialize(rows.join(earlier, _same(rows, earlier, rows.columns), "left_anti"), "new")
+    old = earlier.join(new.select(key), key, "left_semi")
+    touched = materialize(new.select(partition).unionByName(old.select(partition)).distinct(), "touched")
+    if touched.isEmpty():
+        return 0
+    beside = stored.join(touched, _same(stored, touched, [partition]), "left_semi").join(new.select(key), key, "left_anti")
+    whole = materialize(beside.select(*new.columns).unionByName(new), "whole")
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    # A folder whose rows have all moved is not among those written.
+    left = whole.select(partition).distinct()
+    for row in touched.join(left, _same(touched, left, [partition]), "left_anti").collect():
+        delete_path(rows.sparkSession, f"{path}/{partition}={NO_VALUE if row[0] is None else row[0]}")
+    return touched.count()
+
+
+# Fixed value: Spark's folder of rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
 def overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """A batch under its own folder: a repeated batch replaces itself."""
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
