@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from threadloom.operators import ranking
 from threadloom.operators.ranking import in_pages, keep_first, number_rows, top_per_group
 
 
@@ -65,6 +66,26 @@ def test_pages_are_whole_ordered_and_bounded(spark):
     assert dict(joined) == dict(expected)
 
 
+def test_pages_of_small_groups_take_one_shuffle_of_the_rows(spark):
+    _, df = skewed(spark)
+    pages = in_pages(df, ["k"], [F.asc("id")], F.col("id"), "ids", page_size=100)
+    text = pages._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in text
+
+
+def test_pages_of_large_small_and_null_groups(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "WHOLE", 50)
+    rows = [("hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 40}", i) for i in range(1200)]
+    df = spark.createDataFrame(rows, "k string, id bigint").repartition(8)
+    pages = in_pages(df, ["k"], [F.desc("id")], F.col("id"), "ids", page_size=30).collect()
+    found = {(p["k"], p["page"]): p["ids"] for p in pages}
+    groups = defaultdict(list)
+    for k, i in sorted(rows, key=lambda r: -r[1]):
+        groups[k].append(i)
+    expected = {(k, at // 30): ids[at : at + 30] for k, ids in groups.items() for at in range(0, len(ids), 30)}
+    assert len(pages) == len(found) and found == expected
+
+
 def test_top_per_group_limits_before_the_shuffle(spark):
     rows, df = skewed(spark)
     top = top_per_group(df, ["k"], [F.desc("score"), F.asc("id")], 2)

@@ -189,10 +189,10 @@ def comments_by_time(comments: DataFrame) -> DataFrame:
 def nested_comments(submissions: DataFrame, comments: DataFrame, fields: list[str], page_size: int) -> DataFrame:
     """Comments of every post as pages of an ordered array; posts without any stay, with page 0."""
     pages = in_pages(
-        comments.select("submission_id", "created_utc", "reddit_id", F.struct(*fields).alias("comment")),
+        comments.select(*dict.fromkeys(["submission_id", "created_utc", "reddit_id", *fields])),
         ["submission_id"],
         [F.asc("created_utc"), F.asc("reddit_id")],
-        F.col("comment"),
+        F.struct(*fields),
         "comments",
         page_size,
     )
