@@ -111,6 +111,15 @@ def test_frequency_files(spark, tmp_path):
     assert doc["raw_file"] == "f.json" and doc["data"] == {"test": 1, "testing": 2}
 
 
+def test_compressed_documents_are_read_back(spark, tmp_path):
+    rows = spark.range(500).select("id", F.lit("the same text " * 20).alias("text"))
+    writers.write_json(rows, str(tmp_path / "plain"))
+    writers.write_json(rows, str(tmp_path / "packed"), compression="gzip")
+    size = lambda name: sum(p.stat().st_size for p in (tmp_path / name).glob("part-*"))
+    assert size("packed") * 10 < size("plain")
+    assert spark.read.schema("id bigint, text string").json(str(tmp_path / "packed")).exceptAll(rows).isEmpty()
+
+
 def test_files_over_size(spark, tmp_path):
     put(tmp_path, "small.json", "{}")
     put(tmp_path, "deep/large.json", "x" * 101)

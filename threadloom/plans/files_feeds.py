@@ -576,7 +576,7 @@ def sink_post_json(t: Tables) -> DataFrame:
     """Full posts written as documents and read back, statistics and comments included."""
     path = scratch_path(t.spark, "posts")
     pages = stats.full_post(t.submissions, t.subreddits, t.stored_comments, page_size=4)
-    writers.write_json(pages, path)
+    writers.write_json(pages, path, compression="gzip")
     return full_post_text(t.spark.read.schema(pages.schema).json(path))
 
 

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import delete_path, materialize
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """One document per line; null fields are kept."""
-    df.write.option("ignoreNullFields", False).json(path)
+def write_json(df: DataFrame, path: str, compression: str = "none") -> None:
+    """One document per line; null fields are kept. Spark reads compressed files back as they are."""
+    df.write.option("ignoreNullFields", False).option("compression", compression).json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
