@@ -60,6 +60,20 @@ def test_word_counts_over_batches(spark, tmp_path):
     assert streamed == {r["word"]: r["frequency"] for r in batch.collect()} == {"a": 2, "b": 2, "c": 1}
 
 
+def test_stored_tables_feed_as_a_file_or_a_folder(spark, tmp_path):
+    folder = tmp_path / "folder"
+    spark.range(10).repartition(3).write.parquet(str(folder / "items.parquet"))
+    part = next((folder / "items.parquet").glob("part-*"))
+    (tmp_path / "file").mkdir()
+    (tmp_path / "file" / "items.parquet").write_bytes(part.read_bytes())
+    expected = {"folder": spark.range(10), "file": spark.read.parquet(str(part))}
+    for kind, rows in expected.items():
+        out = str(tmp_path / f"out-{kind}")
+        feed = feeds.table_feed(spark, str(tmp_path / kind), "items", "id bigint")
+        feeds.append_to(feed, out, str(tmp_path / f"checkpoint-{kind}")).awaitTermination()
+        assert sorted(r[0] for r in spark.read.schema("id bigint").parquet(out).collect()) == sorted(r[0] for r in rows.collect())
+
+
 def test_selection(spark):
     df = spark.createDataFrame([("submission", "s", "u/a", 1), ("comment", "s", "u/b", 5)], "type string, subreddit string, author string, created_utc int")
     assert feeds.only(df, "comment").count() == 1

@@ -634,7 +634,7 @@ LIVE = f"(SELECT {', '.join(FEED)} FROM events)"
 
 def live(t: Tables) -> DataFrame:
     schema = t.stored("events").schema
-    return feeds.parquet_feed(t.spark, t.folder, "events.parquet", schema).selectExpr(*FEED)
+    return feeds.table_feed(t.spark, t.folder, "events", schema).selectExpr(*FEED)
 
 
 def stored_feed(t: Tables, stream: DataFrame, name: str) -> DataFrame:
@@ -713,7 +713,7 @@ def stream_session_windows(t: Tables) -> DataFrame:
 @query("stream_word_counts", counted(MIXED))
 def stream_word_counts(t: Tables) -> DataFrame:
     schema = t.stored("documents").schema
-    texts = feeds.parquet_feed(t.spark, t.folder, "documents.parquet", schema)
+    texts = feeds.table_feed(t.spark, t.folder, "documents", schema)
     submission = F.struct(F.lit("submission").alias("type"), F.col("text").alias("selftext"), F.concat_ws(" ", "lang", "source").alias("title"))
     comment = F.struct(F.lit("comment").alias("type"), F.col("text").alias("body"))
     item = F.when(F.col("lang") == "en", F.to_json(submission)).when(F.col("lang") == "fr", F.to_json(comment)).otherwise(F.lit('"FORBIDDEN"'))
@@ -726,7 +726,7 @@ def stream_word_counts(t: Tables) -> DataFrame:
 @query("stream_incremental_ingest", "SELECT reddit_id, author, score FROM comments")
 def stream_incremental_ingest(t: Tables) -> DataFrame:
     schema = t.stored("lineitem").schema
-    arriving = feeds.parquet_feed(t.spark, t.folder, "lineitem.parquet", schema).selectExpr(*COMMENTS, *FIRST_COPY)
+    arriving = feeds.table_feed(t.spark, t.folder, "lineitem", schema).selectExpr(*COMMENTS, *FIRST_COPY)
     path, checkpoint = scratch_path(t.spark, "ingested"), scratch_path(t.spark, "ingested-checkpoint")
     load = feeds.store_new_rows(path, [F.asc(c) for c in FIRST_COPY])
     feeds.ingest_stream(arriving, load, checkpoint).awaitTermination()
