@@ -74,6 +74,15 @@ def test_stored_tables_feed_as_a_file_or_a_folder(spark, tmp_path):
         assert sorted(r[0] for r in spark.read.schema("id bigint").parquet(out).collect()) == sorted(r[0] for r in rows.collect())
 
 
+def test_small_files_share_a_batch(spark, tmp_path):
+    rows = spark.range(40)
+    rows.repartition(12).write.parquet(str(tmp_path / "landing"))
+    feed = feeds.parquet_feed(spark, str(tmp_path / "landing"), "*.parquet", rows.schema, bytes_per_trigger=1 << 20)
+    feeds.show(feed, str(tmp_path / "checkpoint"), str(tmp_path / "counts"), rows=0).awaitTermination()
+    counts = spark.read.schema("shown bigint, batch int").parquet(str(tmp_path / "counts"))
+    assert counts.agg(F.sum("shown"), F.count("*")).first() == (40, 1)
+
+
 def test_selection(spark):
     df = spark.createDataFrame([("submission", "s", "u/a", 1), ("comment", "s", "u/b", 5)], "type string, subreddit string, author string, created_utc int")
     assert feeds.only(df, "comment").count() == 1

@@ -733,12 +733,10 @@ def stream_incremental_ingest(t: Tables) -> DataFrame:
     return t.spark.read.schema(arriving.schema).parquet(path).select("reddit_id", "author", "score")
 
 
-def land_by_hour(rows: DataFrame, hour: Column, path: str) -> None:
-    """Rows in files that arrive hour by hour."""
-    arrived = F.expr("TIMESTAMP '2024-01-01 00:00:00'") + F.make_interval(hours="__hour")
-    rows = rows.withColumn("__hour", hour)
-    for k in range(3):
-        rows.where(F.col("__hour") == k).withColumn("arrived", arrived).drop("__hour").hint("rebalance").write.mode("append").parquet(path)
+def land_hour(rows: DataFrame, hour: Column, k: int, path: str) -> None:
+    """The rows of hour ``k``, in files that have just arrived."""
+    arrived = F.lit(f"2024-01-01 {k:02d}:00:00").cast("timestamp")
+    rows.where(hour == k).withColumn("arrived", arrived).hint("rebalance").write.mode("append").parquet(path)
 
 
 @query("stream_ingest_parents", """WITH known AS (SELECT * FROM submissions WHERE processing_status <> 'pending')
@@ -747,19 +745,22 @@ def land_by_hour(rows: DataFrame, hour: Column, path: str) -> None:
     UNION ALL SELECT 'queue', k.reddit_id, k.id, NULL FROM known k
     UNION ALL SELECT 'queue', c.reddit_id, c.id, NULL FROM comments c JOIN known k ON c.submission_id = k.reddit_id""")
 def stream_ingest_parents(t: Tables) -> DataFrame:
-    """Posts and comments that arrive hour by hour, a post before, with or after its comments; pending posts never come."""
-    landing, folder = scratch_path(t.spark, "landing"), scratch_path(t.spark, "loaded")
+    """Posts and comments that arrive hour by hour, a post before, with or after its comments; pending posts never come.
+
+    The load is started again for each hour and goes on from its checkpoint.
+    """
+    landing, folder, checkpoint = (scratch_path(t.spark, name) for name in ("landing", "loaded", "loaded-checkpoint"))
     posts = t.submissions.where("processing_status <> 'pending'").select("reddit_id", "id", "subreddit_id")
     comments = raw_batch(t).select("reddit_id", "id", "link_id", "ord")
-    land_by_hour(posts, F.col("reddit_id").cast("bigint") % 3, f"{landing}/posts")
-    land_by_hour(comments, (F.split("reddit_id", "-")[0].cast("bigint") + F.col("ord")) % 3, f"{landing}/comments")
-    arriving = [
-        feeds.parquet_feed(t.spark, f"{landing}/{name}", "*.parquet", t.spark.read.parquet(f"{landing}/{name}").schema, files_per_trigger=1)
-        for name in ("posts", "comments")
-    ]
     as_of = F.lit("2024-02-01").cast("timestamp")
-    query = feeds.ingest_with_parents(*arriving, folder, scratch_path(t.spark, "loaded-checkpoint"), as_of, [F.asc("id")])
-    query.awaitTermination()
+    for k in range(3):
+        land_hour(posts, F.col("reddit_id").cast("bigint") % 3, k, f"{landing}/posts")
+        land_hour(comments, (F.split("reddit_id", "-")[0].cast("bigint") + F.col("ord")) % 3, k, f"{landing}/comments")
+        arriving = [
+            feeds.parquet_feed(t.spark, f"{landing}/{name}", "*.parquet", t.spark.read.parquet(f"{landing}/{name}").schema, bytes_per_trigger=512 << 20)
+            for name in ("posts", "comments")
+        ]
+        feeds.ingest_with_parents(*arriving, folder, checkpoint, as_of, [F.asc("id")]).awaitTermination()
     read = lambda name, schema: t.spark.read.schema(schema).parquet(f"{folder}/{name}")
     subreddit = posts.schema["subreddit_id"].dataType.simpleString()
     stored = read("submissions", f"reddit_id string, id string, subreddit_id {subreddit}")
