@@ -50,6 +50,12 @@ def test_comment_statistics_read_few_columns_and_combine_early(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in text
 
 
+@needs_tables
+def test_profiles_are_parsed_once_in_many_tasks(spark):
+    text = plan(QUERIES["redditor_information"](spark, FOLDER))
+    assert "get_json_object" not in text and "Exchange hashpartitioning(c_custkey" in text
+
+
 def test_hot_key_is_split_in_a_join(spark):
     """A third of the rows under one key: adaptive execution cuts that partition."""
     settings = {

@@ -376,7 +376,9 @@ OWN |= {"id": "c_custkey", "subscribers": "c_custkey", "created_utc": "c_custkey
 def redditor_information(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     trophy = F.struct(*[F.expr(e).cast("string").alias(n) for n, e in TROPHY.items()])
-    raw = t.stored("customer").select(
+    # A few MB of accounts are one split of a file; the documents they grow into are work for all tasks.
+    accounts = t.stored("customer").repartition("c_custkey")
+    raw = accounts.select(
         F.when(F.col("c_acctbal") < 0, True).alias("is_suspended"), F.col("c_name").alias("name"),
         (key * 60).cast("double").alias("created_utc"),
         *[F.expr(e).alias(n) for n, e in PROFILE.items() if n != "created_utc"],
@@ -384,9 +386,14 @@ def redditor_information(t: Tables) -> DataFrame:
         F.when(key % 2 == 0, F.array(trophy)).otherwise(F.array().cast("array<" + _TROPHY + ">")).alias("trophies"),
     )
     info = normalize.redditor_information(raw)
-    paths = {"is_suspended": "$.is_suspended", **{n: f"$.{n}" for n in PROFILE}, **{f"trophy_{n}": f"$.trophies[0].{n}" for n in TROPHY}}
-    paths |= {f"subreddit_{n}": f"$.subreddit.{n}" for n in OWN}
-    rows = info.select("name", *[F.get_json_object("information", p).alias(n) for n, p in paths.items()])
+    texts = lambda names: ", ".join(f"{n} STRING" for n in names)
+    document = f"is_suspended STRING, {texts(PROFILE)}, trophies ARRAY<STRUCT<{texts(TROPHY)}>>, subreddit STRUCT<{texts(OWN)}>"
+    # Every document is parsed once for all its fields.
+    parsed = info.select("name", F.from_json("information", document).alias("d"))
+    fields = {n: F.col(f"d.{n}") for n in ["is_suspended", *PROFILE]}
+    fields |= {f"trophy_{n}": F.get(F.col("d.trophies"), F.lit(0))[n] for n in TROPHY}
+    fields |= {f"subreddit_{n}": F.col(f"d.subreddit.{n}") for n in OWN}
+    rows = parsed.select("name", *[c.alias(n) for n, c in fields.items()])
     return rows.withColumn("subreddit_created_utc", F.col("subreddit_created_utc").cast("double").cast("bigint"))
 
 
