@@ -149,3 +149,27 @@ def test_scratch_goes_when_asked(spark, tmp_path):
     assert stored.count() == 5 and folder.exists()
     session.discard(stored)
     assert not folder.exists()
+
+
+def test_a_repeated_load_moves_new_rows_only(spark):
+    batch = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("c", 5)], "reddit_id string, v int")
+    stored = spark.createDataFrame([("a",), ("c",)], "reddit_id string")
+    assert sorted(r["v"] for r in ingest.unstored(batch, stored).collect()) == [2, 3, 4]
+    again = ingest.unstored(batch.where("reddit_id IN ('a', 'c')"), stored)
+    assert again.isEmpty()
+    # Rows are only exchanged where new ones may be many: they meet the few new keys where they lie.
+    assert "SortMergeJoin" not in again._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loads_exchange_what_arrived_not_what_is_stored(spark):
+    from threadloom.plans.bindings import FIRST_COPY, Tables
+    from threadloom.plans.loading import arrivals, comment_rows, raw_batch
+    from threadloom.operators.ranking import keep_first
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    order = [F.asc(c) for c in FIRST_COPY]
+    rows = comment_rows(keep_first(arrivals(t.stored("lineitem")), ["reddit_id"], order))
+    whole = keep_first(raw_batch(t), ["reddit_id"], order)
+    assert rows.schema == whole.schema and rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("AS body") < plan.index("Window")

@@ -25,6 +25,16 @@ def new_rows(batch: DataFrame, stored: DataFrame, order: Sequence[Column], key:
     return first.join(stored.select(key), key, "left_anti")
 
 
+def unstored(batch: DataFrame, stored: DataFrame, key: str = "reddit_id") -> DataFrame:
+    """Rows whose key is not stored yet, copies included.
+
+    Only keys meet the stored ones, so a load that mostly repeats earlier ones moves the few new rows.
+    """
+    keys = batch.select(key).distinct().join(stored.select(key), key, "left_anti")
+    new = materialize(keys.withColumnRenamed(key, "__new"), "new-keys")
+    return batch.join(new, batch[key].eqNullSafe(new["__new"]), "left_semi")
+
+
 def comment_to_submission(comments: DataFrame, submissions: DataFrame) -> DataFrame:
     """Take over the post and its community; comments of unknown posts go."""
     posts = submissions.select(

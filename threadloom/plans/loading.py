@@ -23,6 +23,20 @@ def raw_batch(t: Tables) -> DataFrame:
     return t.stored("lineitem").selectExpr(*COMMENTS, *FIRST_COPY)
 
 
+# What a load tells comments apart and places them by.
+KEYS = [e for e in COMMENTS if e.endswith((" AS id", " AS reddit_id", " AS link_id"))]
+
+
+def arrivals(lines: DataFrame) -> DataFrame:
+    """Rows of the comment feed as they arrive, with their keys: half as wide as the rows they become."""
+    return lines.selectExpr("*", *KEYS)
+
+
+def comment_rows(arrived: DataFrame) -> DataFrame:
+    """The rows that are stored, as in ``raw_batch``: made once copies and known ones are gone."""
+    return arrived.selectExpr(*COMMENTS, *FIRST_COPY)
+
+
 @query("dedupe_new_submissions", """SELECT reddit_id, title, score FROM submissions
     WHERE reddit_id NOT IN (SELECT CAST(o_orderkey AS STRING) FROM orders WHERE o_orderstatus = 'F')""")
 def dedupe_new_submissions(t: Tables) -> DataFrame:
@@ -237,7 +251,7 @@ def ingest_batch(t: Tables) -> DataFrame:
     """Finished posts are stored, running ones arrive, pending ones are unknown."""
     parts = ingest.ingest_batch(
         t.submissions.where("processing_status <> 'pending'"),
-        raw_batch(t),
+        arrivals(t.stored("lineitem")),
         t.submissions.where("processing_status = 'completed'"),
         t.raw_comments.where("is_submitter"),
         _last_event(t),
@@ -245,10 +259,13 @@ def ingest_batch(t: Tables) -> DataFrame:
     )
     number = "CAST(NULL AS BIGINT)"
     totals = "stack(3, 'found', submissions_found, 'submissions', submissions_scraped, 'comments', comments_scraped) AS (reddit_id, number)"
+    # The text and score of a comment are made from what arrived.
+    shown = [e for e in COMMENTS if e.endswith((" AS body", " AS score"))]
+    placed, rejected = (parts[name].selectExpr("*", *shown) for name in ("comments", "rejected"))
     rows = [
         parts["submissions"].selectExpr("'submissions' AS part", "reddit_id", "title AS text", "score", "id AS place", "CAST(subreddit_id AS BIGINT) AS number"),
-        parts["comments"].selectExpr("'comments'", "reddit_id", "body", "score", "submission_row", "CAST(subreddit_id AS BIGINT)"),
-        parts["rejected"].selectExpr("'rejected'", "reddit_id", "body", "score", "CAST(NULL AS STRING)", number),
+        placed.selectExpr("'comments'", "reddit_id", "body", "score", "submission_row", "CAST(subreddit_id AS BIGINT)"),
+        rejected.selectExpr("'rejected'", "reddit_id", "body", "score", "CAST(NULL AS STRING)", number),
         parts["queue"].selectExpr("'queue'", "reddit_id", "content_type", "priority", "content_id", number),
         parts["totals"].selectExpr(totals).selectExpr("'totals'", "reddit_id", "CAST(NULL AS STRING)", "CAST(NULL AS INT)", "CAST(NULL AS STRING)", "number"),
         parts["events"].selectExpr("'events'", "session_id", "status", "seq", "error_message", "comments_scraped"),
