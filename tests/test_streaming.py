@@ -83,6 +83,16 @@ def test_small_files_share_a_batch(spark, tmp_path):
     assert counts.agg(F.sum("shown"), F.count("*")).first() == (40, 1)
 
 
+def test_new_rows_take_their_stored_form_after_the_dedupe(spark, tmp_path):
+    land(tmp_path / "landing", "1.json", [{"reddit_id": "a", "score": 2}, {"reddit_id": "a", "score": 1}, {"reddit_id": "b", "score": 5}])
+    feed = feeds.json_feed(spark, str(tmp_path / "landing"), "reddit_id string, score int")
+    out = str(tmp_path / "out")
+    load = feeds.store_new_rows(out, [F.asc("score")], lambda rows: rows.select("reddit_id", (F.col("score") * 10).alias("tens")))
+    feeds.ingest_stream(feed, load, str(tmp_path / "checkpoint")).awaitTermination()
+    rows = spark.read.schema("reddit_id string, tens int").parquet(out).select("reddit_id", "tens")
+    assert sorted(map(tuple, rows.collect())) == [("a", 10), ("b", 50)]
+
+
 def test_selection(spark):
     df = spark.createDataFrame([("submission", "s", "u/a", 1), ("comment", "s", "u/b", 5)], "type string, subreddit string, author string, created_utc int")
     assert feeds.only(df, "comment").count() == 1
