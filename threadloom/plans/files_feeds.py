@@ -10,14 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import iso_time, post_url
 from ..operators import ingest, inventory, normalize, stats, threads, views, words
-from ..operators.ranking import in_pages
+from ..operators.ranking import in_pages, keep_first
 from ..schemas import LIVESTREAM_FILE, SUBREDDIT_FILE
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources import documents, files
 from ..streaming import feeds
-from .bindings import COMMENTS, FIRST_COPY, Tables
-from .loading import raw_batch
+from .bindings import FIRST_COPY, Tables
+from .loading import arrivals, comment_rows, raw_batch
 from .reading import FULL_POST, full_post_text, iso
 from .registry import query
 from .threads_words import MIXED, TREE_FILE, counted, feed, walk
@@ -568,14 +568,12 @@ def sink_frequencies_json(t: Tables) -> DataFrame:
 def sink_tables(t: Tables) -> DataFrame:
     """Two loads of the same rows store every row once."""
     path = scratch_path(t.spark, "stored")
-    batch = raw_batch(t)
+    batch = arrivals(t.stored("lineitem"))
     order = [F.asc(c) for c in FIRST_COPY]
-    schema = batch.schema
-    nothing = t.spark.createDataFrame([], schema)
-    writers.append_table(ingest.new_rows(batch, nothing, order).select(batch.columns), path)
-    stored = t.spark.read.schema(schema).parquet(path)
-    writers.append_table(ingest.new_rows(batch, stored, order).select(batch.columns), path)
-    return t.spark.read.schema(schema).parquet(path).select("reddit_id", "author", "score")
+    writers.append_table(comment_rows(keep_first(batch, ["reddit_id"], order)), path)
+    stored = t.spark.read.schema(comment_rows(batch).schema).parquet(path)
+    writers.append_table(comment_rows(keep_first(ingest.unstored(batch, stored), ["reddit_id"], order)), path)
+    return t.spark.read.schema(stored.schema).parquet(path).select("reddit_id", "author", "score")
 
 
 @query("sink_post_json", FULL_POST)
@@ -733,11 +731,11 @@ def stream_word_counts(t: Tables) -> DataFrame:
 @query("stream_incremental_ingest", "SELECT reddit_id, author, score FROM comments")
 def stream_incremental_ingest(t: Tables) -> DataFrame:
     schema = t.stored("lineitem").schema
-    arriving = feeds.table_feed(t.spark, t.folder, "lineitem", schema).selectExpr(*COMMENTS, *FIRST_COPY)
+    arriving = arrivals(feeds.table_feed(t.spark, t.folder, "lineitem", schema))
     path, checkpoint = scratch_path(t.spark, "ingested"), scratch_path(t.spark, "ingested-checkpoint")
-    load = feeds.store_new_rows(path, [F.asc(c) for c in FIRST_COPY])
+    load = feeds.store_new_rows(path, [F.asc(c) for c in FIRST_COPY], comment_rows)
     feeds.ingest_stream(arriving, load, checkpoint).awaitTermination()
-    return t.spark.read.schema(arriving.schema).parquet(path).select("reddit_id", "author", "score")
+    return t.spark.read.schema("reddit_id STRING, author STRING, score INT").parquet(path).select("reddit_id", "author", "score")
 
 
 def land_hour(rows: DataFrame, hour: Column, k: int, path: str) -> None:
