@@ -170,3 +170,11 @@ def test_flatten_nested_of_any_depth(spark, levels):
         "doc", "depth", F.try_variant_get("comment", "$.body", "string").alias("body")
     )
     assert sorted(map(tuple, flat.collect())) == sorted([(1, i, f"b{i}") for i in range(20)] + [(1, 0, "x")])
+
+
+def test_flatten_takes_only_what_is_asked_for(spark):
+    nested = '[{"body":"a","replies":[{"body":"b","replies":[{"body":"c","replies":[]}]}]},{"body":null}]'
+    docs = spark.createDataFrame([(1, nested)], "doc int, j string").select("doc", F.from_json("j", "array<variant>").alias("comments"))
+    flat = threads.flatten_nested(docs, levels_per_pass=2, take=lambda c: F.try_variant_get(c, "$.body", "string"))
+    assert flat.schema["comment"].dataType.simpleString() == "string"
+    assert sorted(map(tuple, flat.collect()), key=str) == [(1, 0, "a"), (1, 0, None), (1, 1, "b"), (1, 2, "c")]

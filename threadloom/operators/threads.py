@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -248,12 +248,15 @@ def thread_tree_json(comments: DataFrame, fields: Sequence[str]) -> DataFrame:
     return tree_fragments(comments, fields).select("link", (F.col("at") + 1).alias("line_no"), "fragment")
 
 
-def flatten_nested(docs: DataFrame, comments: str = "comments", levels_per_pass: int = 8) -> DataFrame:
+def flatten_nested(
+    docs: DataFrame, comments: str = "comments", levels_per_pass: int = 8, take: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """All comments of nested comment documents, with their depth.
 
     ``comments`` is an array of VARIANT. One pass unfolds several levels inside
     the row, without a shuffle; a further pass runs only over what is left of
-    deeper documents.
+    deeper documents. ``take`` picks what ``comment`` holds, so that a row need not
+    carry the replies below it.
     """
     keys = [c for c in docs.columns if c != comments]
     frontier = docs.withColumnRenamed(comments, "__level")
@@ -263,7 +266,7 @@ def flatten_nested(docs: DataFrame, comments: str = "comments", levels_per_pass:
         unfolded = frontier.withColumnRenamed("__level", names[0])
         for above, below in zip(names, names[1:]):
             unfolded = unfolded.withColumn(below, _replies_of(F.col(above)))
-        tagged = [_with_depth(F.col(n), base + i) for i, n in enumerate(names[:-1])]
+        tagged = [_with_depth(F.col(n), base + i, take) for i, n in enumerate(names[:-1])]
         parts.append(unfolded.select(*keys, F.inline(F.concat(*tagged))))
         rest = unfolded.where(F.size(names[-1]) > 0).select(*keys, F.col(names[-1]).alias("__level"))
         rest = materialize(rest, "deeper")
@@ -276,8 +279,8 @@ def flatten_nested(docs: DataFrame, comments: str = "comments", levels_per_pass:
     return result
 
 
-def _with_depth(level: Column, depth: int) -> Column:
-    return F.transform(level, lambda c: F.struct(F.lit(depth).alias("depth"), c.alias("comment")))
+def _with_depth(level: Column, depth: int, take: Callable[[Column], Column] | None) -> Column:
+    return F.transform(level, lambda c: F.struct(F.lit(depth).alias("depth"), (take(c) if take else c).alias("comment")))
 
 
 def _replies_of(level: Column) -> Column:

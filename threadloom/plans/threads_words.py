@@ -111,8 +111,9 @@ NESTED_ROWS = f"""SELECT doc_id, 0 AS depth, line AS body FROM {LINES} UNION ALL
 
 
 def flat_bodies(t: Tables) -> DataFrame:
-    flat = threads.flatten_nested(nested_documents(t), levels_per_pass=2)
-    return flat.select("doc_id", "depth", F.try_variant_get("comment", "$.body", "string").alias("body"))
+    body = lambda comment: F.try_variant_get(comment, "$.body", "string")
+    flat = threads.flatten_nested(nested_documents(t), levels_per_pass=2, take=body)
+    return flat.withColumnRenamed("comment", "body")
 
 
 @query("thread_flatten_nested", NESTED_ROWS)
