@@ -41,14 +41,14 @@ def thread_depth(comments: DataFrame, with_path: bool = True, carry: Sequence[st
     nodes = keep_first(nodes, ["link", "id"], [F.asc("ord"), F.asc("up")])
     current = materialize(nodes, "thread-round")
     finished: list[DataFrame] = []
-    still_open, before = current.where("state = 'open'").count(), -1
+    total, still_open, before = current.count(), current.where("state = 'open'").count(), -1
     # Every round finishes some comment unless only cycles are left.
     while still_open and still_open != before:
         finished.append(current.where("state <> 'open'"))
         known = current
         for part in finished[:-1]:
             known = known.unionByName(part)
-        current = materialize(_take_over(current.where("state = 'open'"), known, with_path, carry), "thread-round")
+        current = materialize(_take_over(current.where("state = 'open'"), known, with_path, carry, 2 * still_open < total), "thread-round")
         before, still_open = still_open, current.where("state = 'open'").count()
 
     result = current
@@ -67,9 +67,10 @@ def thread_depth(comments: DataFrame, with_path: bool = True, carry: Sequence[st
     )
 
 
-def _take_over(open_rows: DataFrame, known: DataFrame, with_path: bool, carry: Sequence[str]) -> DataFrame:
+def _take_over(open_rows: DataFrame, known: DataFrame, with_path: bool, carry: Sequence[str], few: bool) -> DataFrame:
     """One doubling round. ``known`` is unique on (link, id), so no row multiplies;
-    where many comments hang on one id, adaptive execution splits that side."""
+    where many comments hang on one id, adaptive execution splits that side. With ``few``
+    open rows, ``known`` is cut to what they point at first."""
     upper = known.select(
         "link",
         F.col("id").alias("up"),
@@ -79,9 +80,8 @@ def _take_over(open_rows: DataFrame, known: DataFrame, with_path: bool, carry: S
         F.col("state").alias("upper_state"),
         *([F.col("path").alias("upper_path")] if with_path else []),
     )
-    # Few open rows are left after some rounds; only what they point at has to move.
-    pointed = open_rows.select("link", "up").distinct()
-    upper = upper.join(pointed, ["link", "up"], "left_semi")
+    if few:
+        upper = upper.join(open_rows.select("link", "up").distinct(), ["link", "up"], "left_semi")
     found = F.col("upper_state").isNotNull()
     joined = open_rows.join(upper, ["link", "up"], "left")
     return joined.select(
