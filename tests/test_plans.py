@@ -56,6 +56,17 @@ def test_profiles_are_parsed_once_in_many_tasks(spark):
     assert "get_json_object" not in text and "Exchange hashpartitioning(c_custkey" in text
 
 
+@needs_tables
+def test_thread_links_come_from_the_raw_feed(spark):
+    from threadloom.plans.threads_words import LINKS
+
+    t = Tables(spark, FOLDER)
+    links = t.raw_comments.select(*LINKS)
+    assert set(map(tuple, links.collect())) == set(map(tuple, t.comments.select(*LINKS).collect()))
+    # No copies are told apart by the other columns on the way to the threads.
+    assert "l_shipdate" not in plan(links)
+
+
 def test_hot_key_is_split_in_a_join(spark):
     """A third of the rows under one key: adaptive execution cuts that partition."""
     settings = {

@@ -26,12 +26,13 @@ def walk(table: str, body: str) -> str:
     return f"WITH RECURSIVE {WALK.format(table=table)} {body}"
 
 
+# Alike in all copies of a comment, and ``thread_depth`` keeps one row per id: the raw feed serves as it is.
 LINKS = ["link_id", "reddit_id", "parent_id", "ord"]
 
 
 @query("thread_depth", walk("comments", "SELECT link, id, depth, root_comment_id, path FROM walk"))
 def thread_depth(t: Tables) -> DataFrame:
-    placed = threads.thread_depth(t.comments.select(*LINKS)).where("reached")
+    placed = threads.thread_depth(t.raw_comments.select(*LINKS)).where("reached")
     return placed.select("link", "id", "depth", "root_comment_id", threads.path_ids().alias("path"))
 
 
@@ -44,7 +45,7 @@ def thread_orphans(t: Tables) -> DataFrame:
 @query("thread_raw_order", walk("comments", """, flat AS (SELECT w.*, n.ord FROM walk w JOIN nodes n USING (link, id))
     SELECT link, id, depth, row_number() OVER (PARTITION BY link ORDER BY depth, ord, id) AS position FROM flat"""))
 def thread_raw_order(t: Tables) -> DataFrame:
-    placed = threads.thread_depth(t.comments.select(*LINKS), with_path=False)
+    placed = threads.thread_depth(t.raw_comments.select(*LINKS), with_path=False)
     return threads.thread_raw_order(placed).select("link", "id", "depth", "position")
 
 
@@ -53,7 +54,7 @@ def thread_raw_order(t: Tables) -> DataFrame:
       FROM walk w JOIN nodes n USING (link, id) WHERE w.depth = 0)
     SELECT link, id, depth, root_comment_id FROM walk WHERE (link, root_comment_id) IN (SELECT (link, id) FROM roots WHERE r <= 1)"""))
 def thread_limit(t: Tables) -> DataFrame:
-    placed = threads.thread_depth(t.comments.select(*LINKS), with_path=False)
+    placed = threads.thread_depth(t.raw_comments.select(*LINKS), with_path=False)
     return threads.thread_limit(placed, 1).select("link", "id", "depth", "root_comment_id")
 
 
@@ -128,7 +129,7 @@ def thread_flatten_nested(t: Tables) -> DataFrame:
     SELECT 't1_' || n.id, n.parent_id, w.depth + 1, n.author, {iso('n.created_utc')}, n.body, n.score
     FROM walk w JOIN nodes n USING (link, id)"""))
 def thread_posts(t: Tables) -> DataFrame:
-    placed = threads.thread_depth(t.comments.select(*LINKS), with_path=False)
+    placed = threads.thread_depth(t.raw_comments.select(*LINKS), with_path=False)
     posts = threads.thread_posts(t.posts, t.comments, placed)
     return posts.withColumn("created_utc", iso_time("created_utc"))
 
