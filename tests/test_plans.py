@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from threadloom.operators import reads, stats
+from threadloom.operators import enrich, reads, stats
 from threadloom.plans.bindings import Tables
 from threadloom.plans.catalog import QUERIES
 
@@ -67,6 +67,16 @@ def test_thread_links_come_from_the_raw_feed(spark):
     assert "l_shipdate" not in plan(links)
 
 
+def test_runs_are_built_only_where_an_alias_goes_on(spark):
+    posts = spark.createDataFrame([(1, "The North Sea Gold card. Gold!")], "post_id int, body string")
+    names = spark.createDataFrame([("card", "north sea gold"), ("other", "gold")], "canonical string, alias string")
+    text = plan(enrich.entity_mentions(posts, names))
+    # No run for each word, places meet the dictionary by a long, and no filter cuts a sentence into words a second time.
+    assert "explode(transform(__words" not in text
+    assert re.search(r"\[__at2#\d+L\]", text)
+    assert not re.search(r"Filter .*split\(sentence", text)
+
+
 def test_hot_key_is_split_in_a_join(spark):
     """A third of the rows under one key: adaptive execution cuts that partition."""
     settings = {

@@ -36,41 +36,61 @@ def alias_table(aliases: DataFrame) -> DataFrame:
 def _beginnings(table: DataFrame, length: int) -> DataFrame:
     """First ``length`` words of the aliases that have so many, and the sizes below twice that which begin so."""
     begun = table.where(F.col("alias_size") >= length).select(
-        F.substring_index("alias_key", " ", length).alias(f"__key{length}"), "alias_size"
+        F.xxhash64(F.substring_index("alias_key", " ", length)).alias(f"__key{length}"), "alias_size"
     )
     sizes = F.collect_set(F.when(F.col("alias_size") < 2 * length, F.col("alias_size")))
     return begun.groupBy(f"__key{length}").agg(sizes.alias(f"__sizes{length}"))
 
 
-def _forms(posts: DataFrame, table: DataFrame, text: str) -> DataFrame:
-    """Distinct word runs of each sentence that may be in ``table``, as ``form`` and its ``alias_key``.
+def _single_forms(spoken: DataFrame, table: DataFrame) -> DataFrame:
+    """Words that may be an alias of their own: they need nothing beside them for that."""
+    known = table.where("alias_size = 1").select(F.xxhash64("alias_key").alias("__known"))
+    # Of a plain column, explode would test the size before the exchange, which cuts each sentence into words twice.
+    said = spoken.select("post_id", "sentence_no", F.explode(F.array_distinct("__words")).alias("form"))
+    return said.join(known, F.xxhash64(F.lower("form")) == F.col("__known"), "left_semi")
 
-    From each word on, the text is followed along the dictionary's beginnings of 1, 2,
-    4, ... words, each an equi-join that only keeps places where an alias goes on; only
+
+def _longer_forms(spoken: DataFrame, table: DataFrame, longest: int) -> DataFrame:
+    """Word runs that may be an alias of two words or more.
+
+    From each pair of words on, the text is followed along the dictionary's beginnings of
+    2, 4, ... words, each an equi-join that only keeps places where an alias goes on; only
     there are runs built, of the sizes that begin so. A place carries as many words as
     the longest alias has, so the work grows with the text, not with the length of a
     sentence.
     """
-    longest = table.agg(F.max("alias_size")).first()[0] or 0
-    spoken = sentences(posts, text).select("post_id", "sentence_no", _words(F.col("sentence")).alias("__words"))
-    # Dealt by sentence before anything grows, as the distinct forms of a sentence meet in the end.
-    spoken = spoken.repartition("post_id", "sentence_no")
-    ahead = F.transform("__words", lambda _, i: F.slice("__words", i + 1, longest or 1))
-    places = spoken.select("post_id", "sentence_no", F.explode(ahead).alias("__run"))
-    length, sizes = 1, []
+    seconds = F.posexplode(F.slice("__words", 2, F.size("__words"))).alias("__place", "__second")
+    pairs = spoken.select("post_id", "sentence_no", "__words", seconds)
+    pair = F.concat(F.get("__words", "__place"), F.lit(" "), "__second")
+    run = F.slice("__words", F.col("__place") + 1, longest)
+    places = pairs.select("post_id", "sentence_no", run.alias("__run"), F.xxhash64(F.lower(pair)).alias("__at2"))
+    length, sizes = 2, []
     while length <= longest:
         begun = _beginnings(table, length)
-        run = F.array_join(F.slice("__run", 1, length), " ") if length > 1 else F.col("__run")[0]
-        key = F.when(F.size("__run") >= length, F.lower(run))
-        places = places.withColumn(f"__at{length}", key)
+        if sizes:
+            begins = F.lower(F.array_join(F.slice("__run", 1, length), " "))
+            places = places.withColumn(f"__at{length}", F.when(F.size("__run") >= length, F.xxhash64(begins)))
         places = places.join(begun, places[f"__at{length}"] == begun[f"__key{length}"], "left" if sizes else "inner")
         sizes.append(F.coalesce(f"__sizes{length}", F.array().cast("array<int>")))
         length *= 2
-    fitting = F.filter(F.concat(*sizes), lambda n: n <= F.size("__run")) if sizes else F.array().cast("array<int>")
+    fitting = F.filter(F.concat(*sizes), lambda n: n <= F.size("__run"))
     forms = F.transform(fitting, lambda n: F.array_join(F.slice("__run", 1, n), " "))
+    return places.select("post_id", "sentence_no", F.explode(forms).alias("form"))
+
+
+def _forms(spoken: DataFrame, table: DataFrame) -> DataFrame:
+    """Distinct word runs of each sentence that may be in ``table``, as ``form``.
+
+    Single words and longer runs are searched apart, as most places begin no longer alias.
+    The search compares hashes; a form meets its alias by the words themselves afterwards.
+    """
+    longest = table.agg(F.max("alias_size")).first()[0] or 0
+    spoken = spoken.select("post_id", "sentence_no", _words(F.col("sentence")).alias("__words"))
+    # Dealt by sentence before anything grows, as the distinct forms of a sentence meet in the end.
+    spoken = spoken.repartition("post_id", "sentence_no")
     # A form counts once per sentence, so repeats go before the lookup.
-    spelled = places.select("post_id", "sentence_no", F.explode(forms).alias("form")).distinct()
-    return spelled.withColumn("alias_key", F.lower("form"))
+    found = _single_forms(spoken, table).distinct()
+    return found.unionByName(_longer_forms(spoken, table, longest).distinct()) if longest > 1 else found
 
 
 def mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
@@ -82,7 +102,8 @@ def mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFr
     """
     table = materialize(alias_table(aliases), "aliases")
     labels = [c for c in aliases.columns if c != "alias"]
-    return _forms(posts, table, text).join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
+    forms = _forms(sentences(posts, text), table).withColumn("alias_key", F.lower("form"))
+    return forms.join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
 
 
 def entity_mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
@@ -91,7 +112,8 @@ def entity_mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") ->
     Sentences are counted per form, and only then does a form meet its entities.
     """
     table = materialize(alias_table(aliases.select("canonical", "alias")), "aliases")
-    counted = _forms(posts, table, text).groupBy("post_id", "form", "alias_key").agg(F.count("*").alias("sentences"))
+    counted = _forms(sentences(posts, text), table).groupBy("post_id", "form").agg(F.count("*").alias("sentences"))
+    counted = counted.withColumn("alias_key", F.lower("form"))
     return counted.join(table, "alias_key").select("canonical", "form", "post_id", "sentences")
 
 
