@@ -42,6 +42,24 @@ def test_aliases_of_any_size_against_plain_search(spark):
     assert counted == dict(per_form)
 
 
+def test_only_sentences_beside_a_perk_are_searched_for_entities(spark, monkeypatch):
+    searched, search = [], enrich._forms
+    monkeypatch.setattr(enrich, "_forms", lambda *args: searched.append(args[0]) or search(*args))
+    told = ["A Gold card."] * 40
+    told[0] = told[20] = "Gold: Lounge access, lounge."
+    posts = [(1, " ".join(told)), (2, "Gold. Gold card."), (3, "Miles\nNone. Gold"), (3, "Silver"), (3, "Silver\nGold"), (None, "Gold lounge"), (4, None)]
+    names = spark.createDataFrame([("card", "gold card"), ("metal", "gold"), ("metal", "silver")], "canonical string, alias string")
+    perks = spark.createDataFrame([("rest", "lounge access"), ("air", "lounge"), ("air", "miles")], "benefit string, keyword string")
+    found = [tuple(r) for r in enrich.benefit_mentions(spark.createDataFrame(posts, "post_id int, body string"), names, perks).collect()]
+    expected = {(1, n, "metal", b) for n in (0, 1, 19, 20, 21) for b in ("rest", "air")}
+    expected |= {(1, n, "card", b) for n in (1, 19, 21) for b in ("rest", "air")}
+    # Rows of one post id are one post.
+    expected |= {(3, n, "metal", "air") for n in (0, 1)}
+    assert set(found) == expected and len(found) == len(expected)
+    # Of post 1 five sentences, of post 3 all but the last of its first row.
+    assert searched[-1].count() == 5 + 5
+
+
 def test_positions_beyond_32_bits(spark):
     rows = [(1 << 40, "b a"), ((1 << 40) + 1, "a c"), (5_000_000_000, "c d")]
     found = words.words_by_frequency(spark.createDataFrame(rows, "at bigint, text string"), ["text"], "at").collect()

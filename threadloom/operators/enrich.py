@@ -93,6 +93,13 @@ def _forms(spoken: DataFrame, table: DataFrame) -> DataFrame:
     return found.unionByName(_longer_forms(spoken, table, longest).distinct()) if longest > 1 else found
 
 
+def _mentions(spoken: DataFrame, aliases: DataFrame) -> DataFrame:
+    table = materialize(alias_table(aliases), "aliases")
+    labels = [c for c in aliases.columns if c != "alias"]
+    forms = _forms(spoken, table).withColumn("alias_key", F.lower("form"))
+    return forms.join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
+
+
 def mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
     """Occurrences of aliases as whole words, case-insensitive, the surface form kept.
 
@@ -100,10 +107,7 @@ def mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFr
     have any size, and no post meets an alias it does not contain. Equal forms in
     one sentence count once.
     """
-    table = materialize(alias_table(aliases), "aliases")
-    labels = [c for c in aliases.columns if c != "alias"]
-    forms = _forms(sentences(posts, text), table).withColumn("alias_key", F.lower("form"))
-    return forms.join(table, "alias_key").select("post_id", "sentence_no", *labels, "form")
+    return _mentions(sentences(posts, text), aliases)
 
 
 def entity_mentions(posts: DataFrame, aliases: DataFrame, text: str = "body") -> DataFrame:
@@ -122,23 +126,20 @@ def benefit_mentions(
 ) -> DataFrame:
     """Entities with a perk word in the same or a neighbouring sentence.
 
-    Perks: ``benefit, keyword``. The texts are searched once for both
-    dictionaries; the few mentions are stored and meet themselves. A perk is
-    listed under its own sentence and both neighbours, then one equi-join on
-    post and sentence finds the pairs.
+    Perks: ``benefit, keyword``. Perks are searched first and stored, each listed
+    under its own sentence and both neighbours. Only those sentences are searched
+    for entities, as no other can hold a pair; one equi-join on post and sentence
+    finds the pairs.
     """
-    both = aliases.select(F.lit("entity").alias("kind"), "canonical", "alias").unionByName(
-        perks.select(F.lit("perk").alias("kind"), F.col("benefit").alias("canonical"), F.col("keyword").alias("alias"))
-    )
-    found = mentions(posts, both, text).select("kind", "post_id", "sentence_no", "canonical").distinct()
-    found = materialize(found, "mentions")
+    found = mentions(posts, perks.select("benefit", F.col("keyword").alias("alias")), text)
     around = F.array(*[F.col("sentence_no") + d for d in (-1, 0, 1)])
-    near = (
-        found.where("kind = 'perk'")
-        .select("post_id", F.col("canonical").alias("benefit"), F.explode(around).alias("sentence_no"))
-        .distinct()
-    )
-    return found.where("kind = 'entity'").drop("kind").join(near, ["post_id", "sentence_no"])
+    near = found.select("post_id", F.explode(around).alias("sentence_no"), "benefit").distinct()
+    near = materialize(near, "perks")
+    # Posts without a perk are not cut into sentences again.
+    beside = posts.join(near.select("post_id").distinct(), "post_id", "left_semi")
+    beside = sentences(beside, text).join(near, ["post_id", "sentence_no"], "left_semi")
+    named = _mentions(beside, aliases.select("canonical", "alias")).select("post_id", "sentence_no", "canonical").distinct()
+    return named.join(near, ["post_id", "sentence_no"])
 
 
 def process_pending_with(
