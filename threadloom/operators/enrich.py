@@ -85,9 +85,10 @@ def _forms(spoken: DataFrame, table: DataFrame) -> DataFrame:
     The search compares hashes; a form meets its alias by the words themselves afterwards.
     """
     longest = table.agg(F.max("alias_size")).first()[0] or 0
-    spoken = spoken.select("post_id", "sentence_no", _words(F.col("sentence")).alias("__words"))
-    # Dealt by sentence before anything grows, as the distinct forms of a sentence meet in the end.
-    spoken = spoken.repartition("post_id", "sentence_no")
+    said = F.array_join(_words(F.col("sentence")), " ").alias("__said")
+    # Dealt by sentence before anything grows, as the distinct forms of a sentence meet in the end. Words go as one text.
+    spoken = spoken.select("post_id", "sentence_no", said).repartition("post_id", "sentence_no")
+    spoken = spoken.select("post_id", "sentence_no", F.split("__said", " ").alias("__words"))
     # A form counts once per sentence, so repeats go before the lookup.
     found = _single_forms(spoken, table).distinct()
     return found.unionByName(_longer_forms(spoken, table, longest).distinct()) if longest > 1 else found
