@@ -74,6 +74,31 @@ def test_many_members_of_a_key(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(brute.jaccard_classes(rows))
 
 
+def test_pairs_of_small_and_of_large_keys(spark, monkeypatch):
+    """Keys of up to three members give pairs, larger ones go on as keys, cut into blocks."""
+    monkeypatch.setattr(ngram_join, "SMALL", 3)
+    monkeypatch.setattr(ngram_join, "GROUP", 5)
+    rows = []
+    for k in range(60):
+        words = prose(20 + k % 4, 50 + 30 * (k % 4)).split()
+        for i in range(k % 9):
+            words[(7 * k + 11 * i) % len(words)] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    found = ngram_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, found.collect())) == sorted(brute.jaccard_classes(rows))
+
+
+def test_members_that_are_near_no_other_are_compared_once(spark, monkeypatch):
+    """Texts with a common passage share keys, but no two are alike: later rounds have nothing to compare."""
+    compared, rest = [], ngram_join._rest
+    monkeypatch.setattr(ngram_join, "_rest", lambda members, *more: compared.append(members.count()) or rest(members, *more))
+    passage = prose(12, 48)
+    rows = [(k, f"{passage} {' '.join(f'w{k}x{i}' for i in range(12))}") for k in range(40)]
+    found = ngram_join.classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, found.collect())) == sorted(brute.jaccard_classes(rows))
+    assert compared[0] > 0 and compared[1:] == [0]
+
+
 def test_repeats(docs, none):
     rows = odd_documents()
     expected = Counter((r[0], *m) for r, m in zip(rows, brute.repeats([r[1] for r in rows]), strict=True))

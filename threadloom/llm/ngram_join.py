@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..session import materialize
 from .frames import batch, chosen
 from .graph import components
-from .text import Texts, mix, shingles_of, sorted_distinct, texts_of, words_of
+from .text import Texts, mix, ragged, shingles_of, texts_of, words_of
 
 SHINGLE = 5
 #: 100 * shared >= PERCENT * all
@@ -25,14 +25,22 @@ SLACK = 1.3
 HELD = 500_000
 #: Members of a key that one task compares with each other at once.
 GROUP = 2048
-
-_SETS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("row_key", pa.int64())])
-_KEYS = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("sets", pa.binary()), ("sizes", pa.binary())])
-_MEMBERS = pa.schema([
-    ("key", pa.int64()), ("hub", pa.int64()), ("hub_size", pa.int32()), ("member", pa.int64()), ("size", pa.int32()),
+#: A key of at most so many members gives its pairs of sets, which are told apart over all keys before their sketches meet.
+SMALL = 16
+#: Words of sketches that are compared at once.
+WORK = 1 << 19
+
+#: Keys of a bucket (with their sets), or rows of the table (``nulls``: which of them have no id).
+_KEYS = pa.schema([
+    ("bucket", pa.int32()), ("keys", pa.binary()), ("sets", pa.binary()), ("sizes", pa.binary()), ("rows", pa.binary()), ("nulls", pa.binary()),
 ])
+ROW, HUB, PAIR, MEMBER = range(4)
+#: By kind: a row's doc_id, set, size and row key; a hub and a member; two other members of a small key; a large key and a member.
+_MET = pa.schema([("kind", pa.int32()), ("one", pa.int64()), ("other", pa.int64()), ("size", pa.int32()), ("row_key", pa.int64())])
 _CONTENT = pa.schema([("set_id", pa.int64()), ("size", pa.int32()), ("shingles", pa.binary())])
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_APART = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int32())])
+_ASKED = pa.schema([("key", pa.int64()), ("member", pa.int64()), ("other", pa.int64())])
 
 
 def _most_apart(a, b):
@@ -53,7 +61,15 @@ class Sets:
 
     def __init__(self, texts: Texts):
         value, owner, _ = shingles_of(words_of(texts, lower=True), SHINGLE, short=True)
-        self.owner, self.value = sorted_distinct(owner, value)
+        order = np.argsort(owner, kind="stable")
+        owner, value = owner[order], value[order]
+        ends = np.cumsum(np.bincount(owner, minlength=len(texts.rows)))
+        for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+            if b - a > 1:
+                value[a:b].sort()
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
+        self.owner, self.value = owner[new], value[new]
         self.sizes = np.bincount(self.owner, minlength=len(texts.rows))
         self.firsts = np.concatenate([[0], np.cumsum(self.sizes)])
         sums = np.zeros(len(self.value) + 1, np.uint64)
@@ -113,10 +129,20 @@ def sketch_keys(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
             count = np.concatenate([count, np.zeros((~have).sum(), np.int64)])
             block = np.concatenate([block, full_block[~have]])
         key = mix(bits ^ mix(block.astype(np.uint64) * np.uint64(1 << 20) + band[owner].astype(np.uint64) + np.uint64(1)))
-        order = np.lexsort((key, -count, owner))
-        owner, key = owner[order], key[order]
-        rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        taken = rank <= apart[owner]
+        # Most shingles first, then by key; no two blocks of a set are the same, so none tie.
+        place = (255 - np.minimum(count, 255)).astype(np.uint64) << np.uint64(56)
+        place |= (key >> np.uint64(40)) << np.uint64(32) | block.astype(np.uint64)
+        if len(short):
+            order = np.argsort(owner, kind="stable")
+            owner, key, place = owner[order], key[order], place[order]
+        last = np.full(len(sizes), np.iinfo(np.uint64).max, np.uint64)
+        ends = np.cumsum(np.bincount(owner, minlength=len(sizes)))
+        mine = np.flatnonzero(use)
+        starts_at = np.append(0, ends[:-1])[mine]
+        for k, a, b, most in zip(mine.tolist(), starts_at.tolist(), ends[mine].tolist(), apart[mine].tolist(), strict=True):
+            if b - a > most + 1:
+                last[k] = np.partition(place[a:b], most)[most]
+        taken = place <= last[owner]
         keys.append(key[taken])
         owners.append(owner[taken])
     if not keys:
@@ -124,70 +150,113 @@ def sketch_keys(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def _set_rows(batches) -> Iterator:
-    for rows in batches:
-        for texts in texts_of(rows["text"]):
-            sets = Sets(texts)
-            at = pa.array(texts.rows)
-            yield batch(_SETS, rows["doc_id"].take(at), sets.sizes, sets.ids, rows["row_key"].take(at))
-
-
 def _key_rows(buckets: int):
-    """Keys leave a batch in one row per bucket, equal sets once."""
+    """Keys leave a batch in one row per bucket, equal sets once; the batch's own rows follow in one more."""
 
-    def grouped(parts: list[tuple]) -> pa.RecordBatch:
-        key, ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((ids, key))
-        key, ids, sizes = key[order], ids[order], sizes[order].astype("<u4")
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-        key, ids, sizes = key[new], ids[new], sizes[new]
-        bucket = (key % np.uint64(buckets)).astype(np.int64)
+    def grouped(parts: list[tuple]) -> Iterator:
+        key, ids, sizes = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        bucket = (key % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
         order = np.argsort(bucket, kind="stable")
-        bucket, key, ids, sizes = bucket[order], key[order], ids[order], sizes[order]
+        bucket, key, ids, sizes = bucket[order], key[order], ids[order], sizes[order].astype("<u4")
         firsts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
         ends = np.append(firsts[1:], len(bucket))
         cut = lambda x: [x[a:b].tobytes() for a, b in zip(firsts, ends, strict=True)]
-        return batch(_KEYS, bucket[firsts], cut(key), cut(ids), cut(sizes))
+        none = [None] * len(firsts)
+        yield batch(_KEYS, bucket[firsts], cut(key), cut(ids), cut(sizes), none, none)
+        doc, sets, size, row, null = (np.concatenate([p[k] for p in parts]) for k in range(3, 8))
+        there = [[x.tobytes()] for x in (doc, sets, size.astype("<u4"), row, null)]
+        yield batch(_KEYS, [int(sets[0]) % buckets], *there)
 
     def run(batches) -> Iterator:
         for rows in batches:
             parts = []
+            null = rows["doc_id"].is_null().to_numpy(zero_copy_only=False)
+            doc, row = (rows[name].fill_null(0).to_numpy() for name in ("doc_id", "row_key"))
+            seen: set[int] = set()
             for texts in texts_of(rows["text"]):
                 sets = Sets(texts)
                 key, owner = sketch_keys(sets)
-                parts.append((key, sets.ids[owner], sets.sizes[owner]))
+                fresh = np.zeros(len(sets.ids), bool)
+                ids, firsts = np.unique(sets.ids, return_index=True)
+                fresh[[k for i, k in zip(ids.tolist(), firsts.tolist(), strict=True) if i not in seen]] = True
+                seen.update(ids.tolist())
+                key, owner = key[fresh[owner]], owner[fresh[owner]]
+                at = texts.rows
+                parts.append((key, sets.ids[owner], sets.sizes[owner], doc[at], sets.ids, sets.sizes, row[at], null[at]))
                 if sum(len(p[0]) for p in parts) > HELD:
-                    yield grouped(parts)
-                    parts = []
+                    yield from grouped(parts)
+                    parts, seen = [], set()
             if parts:
-                yield grouped(parts)
+                yield from grouped(parts)
 
     return run
 
 
-def _joined(batches) -> Iterator:
-    """Keys of one shuffle partition that two sets or more have: the least set is the hub of the others."""
-    parts: list[tuple] = []
-    for rows in batches:
-        for k in range(rows.num_rows):
-            get = lambda name: rows[name][k].as_buffer()  # noqa: B023, E731
-            parts.append((np.frombuffer(get("keys"), np.uint64), np.frombuffer(get("sets"), np.int64), np.frombuffer(get("sizes"), "<u4")))
-    if not parts:
-        return
-    key, ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-    parts.clear()
-    order = np.lexsort((ids, key))
-    key, ids, sizes = key[order], ids[order], sizes[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-    key, ids, sizes = key[new], ids[new], sizes[new]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    hub = np.repeat(first, np.diff(np.append(first, len(key))))
-    rest = np.flatnonzero(hub != np.arange(len(key)))
-    for a in range(0, len(rest), 200_000):
-        at = rest[a : a + 200_000]
-        yield batch(_MEMBERS, key[at].view(np.int64), ids[hub[at]], sizes[hub[at]], ids[at], sizes[at])
+def _met(kind: int, one, other) -> pa.RecordBatch:
+    none = pa.nulls(len(one))
+    return batch(_MET, np.full(len(one), kind), one, other, none, none)
+
+
+def _pairs(kind: int, ids: np.ndarray, sizes: np.ndarray, one: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
+    """The distinct pairs among those at places ``one`` and ``other`` whose sizes let them link."""
+    low, high = np.minimum(sizes[one], sizes[other]), np.maximum(sizes[one], sizes[other])
+    use = 100 * low >= PERCENT * high
+    a, b = ids[one[use]], ids[other[use]]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return _met(kind, a[new], b[new])
+
+
+def _joined(small: int):
+    """What meets in the keys of one shuffle partition; the table's rows go on as they are.
+
+    A key's least set is the hub of the others. The other pairs of a key come out if it has at most ``small`` members, else its members do.
+    """
+
+    def run(batches) -> Iterator:
+        parts: list[tuple] = []
+        for rows in batches:
+            for k in range(rows.num_rows):
+                get = lambda name, kind: np.frombuffer(rows[name][k].as_buffer(), kind)  # noqa: B023, E731
+                found = get("keys", np.uint64), get("sets", np.int64), get("sizes", "<u4")
+                if rows["rows"][k].is_valid:
+                    doc = pa.array(found[0].view(np.int64), mask=get("nulls", bool))
+                    yield batch(_MET, np.full(len(doc), ROW), doc, found[1], found[2], get("rows", np.int64))
+                else:
+                    parts.append(found)
+        if not parts:
+            return
+        key, ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        order = order[np.append(same, False) | np.append(False, same)]  # most keys have one member
+        key, ids, sizes = key[order], ids[order], sizes[order].astype(np.int64)
+        order = np.lexsort((ids, key))
+        key, ids, sizes = key[order], ids[order], sizes[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+        key, ids, sizes = key[new], ids[new], sizes[new]
+        firsts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        ends = np.append(firsts[1:], len(key))
+        for a in range(0, len(firsts), 50_000):
+            first, end = firsts[a : a + 50_000], ends[a : a + 50_000]
+            hub, stop = np.repeat(first, end - first), np.repeat(end, end - first)
+            at = np.arange(first[0], end[-1])
+            rest = at != hub
+            hub, stop, at = hub[rest], stop[rest], at[rest]
+            begin = stop - at - 1  # members after this one
+            yield _pairs(HUB, ids, sizes, hub, at)
+            few = np.flatnonzero((at - hub + begin < small) & (begin > 0))
+            yield _pairs(PAIR, ids, sizes, np.repeat(at[few], begin[few]), ragged(at[few] + 1, begin[few]))
+            big = end - first > small
+            at = ragged(first[big], (end - first)[big])
+            for b in range(0, len(at), 200_000):
+                yield _met(MEMBER, key[at[b : b + 200_000]].view(np.int64), ids[at[b : b + 200_000]])
+
+    return run
 
 
 def _contents(batches) -> Iterator:
@@ -245,11 +314,11 @@ def _fold(raw: bytes, bits: int) -> np.ndarray:
 
 
 def _sketch_rows(batches) -> Iterator:
-    schema = pa.schema([("set_id", pa.int64()), ("sketch", pa.binary())])
+    schema = pa.schema([("set_id", pa.int64()), ("size", pa.int32()), ("sketch", pa.binary())])
     for rows in batches:
         raws = [x.as_buffer() for x in rows["shingles"]]
         bits = [1 << max(6, (4 * n).bit_length()) for n in rows["size"].to_pylist()]
-        yield batch(schema, rows["set_id"], [np.packbits(_fold(r, b)).tobytes() for r, b in zip(raws, bits, strict=True)])
+        yield batch(schema, rows["set_id"], rows["size"], [np.packbits(_fold(r, b)).tobytes() for r, b in zip(raws, bits, strict=True)])
 
 
 def _halved(sketch: np.ndarray, length: int) -> np.ndarray:
@@ -261,85 +330,153 @@ def _halved(sketch: np.ndarray, length: int) -> np.ndarray:
     return sketch
 
 
+def _by_length(sketches: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The places of the sketches of each length, and these sketches as rows of words."""
+    sketches = sketches.cast(pa.large_binary())
+    _, offsets, data = sketches.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[sketches.offset : sketches.offset + len(sketches) + 1]
+    data = np.frombuffer(data, np.uint8)
+    lengths = np.diff(offsets)
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        if len(at) == at[-1] - at[0] + 1:
+            raw = data[offsets[at[0]] : offsets[at[-1] + 1]].reshape(len(at), n)
+        else:
+            raw = np.stack([data[a : a + n] for a in offsets[at].tolist()])
+        yield at, np.ascontiguousarray(raw).view(np.uint64)
+
+
+def _bits_apart(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    length = min(one.shape[1], other.shape[1])
+    return np.bitwise_count(_halved(one, length) ^ _halved(other, length)).sum(axis=1, dtype=np.int64)
+
+
+def _near_pairs(batches) -> Iterator:
+    """The pairs whose sketches are near enough."""
+    for rows in batches:
+        a, b = (rows[name].to_numpy() for name in ("a", "b"))
+        most = _most_apart(rows["size_a"].to_numpy().astype(np.int64), rows["size_b"].to_numpy().astype(np.int64))
+        apart = np.zeros(len(a), np.int64)
+        where = np.zeros(len(a), np.int64)
+        others = list(_by_length(rows["sketch_b"]))
+        for at_a, one in _by_length(rows["sketch_a"]):
+            where[at_a] = np.arange(len(at_a))
+            mine = np.zeros(len(a), bool)
+            mine[at_a] = True
+            for at_b, other in others:
+                both = np.flatnonzero(mine[at_b])
+                step = max(1, WORK // max(one.shape[1], other.shape[1]))
+                for k in range(0, len(both), step):
+                    at = at_b[both[k : k + step]]
+                    apart[at] = _bits_apart(one[where[at]], other[both[k : k + step]])
+        near = apart <= most
+        yield batch(_APART, a[near], b[near], apart[near])
+
+
 def _near(nearest: bool):
     """Pairs of different labels in one key, whose sketches are near enough, of the blocks of members dealt here.
 
-    With ``nearest``, only the nearest partner of each member.
+    With ``nearest``, the nearest partner of each member that has any; else each pair once.
     """
 
-    def pairs_of(group: list[dict], one: int, other: int) -> Iterator:
-        ids, sizes, labels, blocks = (np.array([g[k] for g in group]) for k in ("member", "size", "label", "block"))
-        lengths = np.array([len(g["sketch"]) for g in group])
-        kinds = []
-        for n in np.unique(lengths):
-            at = np.flatnonzero(lengths == n)
-            kinds.append((at, np.frombuffer(b"".join(group[i]["sketch"] for i in at), np.uint8).reshape(len(at), n)))
-        a, b = [], []
-        for i in range(len(group)):
-            best = None
-            for at, sketches in kinds:
-                use = (labels[at] != labels[i]) & ((at != i) if one == other else (blocks[at] != blocks[i]))
-                if not nearest:
-                    use &= (at > i) if one == other else (blocks[i] == one)
-                low, high = np.minimum(sizes[at], sizes[i]), np.maximum(sizes[at], sizes[i])
-                use &= 100 * low >= PERCENT * high
-                if not use.any():
-                    continue
-                mine = np.frombuffer(group[i]["sketch"], np.uint8)
-                length = min(sketches.shape[1], len(mine))
-                apart = np.bitwise_count(_halved(sketches[use], length) ^ _halved(mine, length)).sum(axis=1, dtype=np.int64)
-                near = apart <= _most_apart(sizes[at[use]], sizes[i])
-                found, apart = at[use][near], apart[near]
-                if nearest and len(found):
-                    k = int(apart.argmin())
-                    best = min(best or (apart[k], found[k]), (apart[k], found[k]))
-                elif not nearest:
-                    a.append(np.minimum(ids[found], ids[i]))
-                    b.append(np.maximum(ids[found], ids[i]))
-            if best:
-                a.append(np.minimum(ids[best[1]], ids[i])[None])
-                b.append(np.maximum(ids[best[1]], ids[i])[None])
-            if sum(map(len, a[-64:])) > 50_000 or len(a) > 20_000:
-                yield batch(_PAIRS, np.concatenate(a), np.concatenate(b))
-                a, b = [], []
-        if a:
-            yield batch(_PAIRS, np.concatenate(a), np.concatenate(b))
+    def pairs_of(group: pa.Table, key: int, one: int, other: int) -> Iterator:
+        ids, sizes, labels, blocks = (group[k].to_numpy() for k in ("member", "size", "label", "block"))
+        sizes = sizes.astype(np.int64)
+        kinds = list(_by_length(group["sketch"].combine_chunks()))
+        # Of two members of different labels, one at least is not of the commonest.
+        values, counts = np.unique(labels, return_counts=True)
+        minor = labels != values[counts.argmax()]
+        best, partner = np.full(len(ids), np.iinfo(np.int64).max), np.full(len(ids), -1)
+        for rows, mine in kinds:
+            picked = np.flatnonzero(minor[rows])
+            for columns, theirs in kinds:
+                length = min(mine.shape[1], theirs.shape[1])
+                x, y = _halved(mine[picked], length), _halved(theirs, length)
+                step = max(1, WORK // (len(columns) * length))
+                for k in range(0, len(picked), step):
+                    i, j = rows[picked[k : k + step]][:, None], columns[None, :]
+                    use = (labels[i] != labels[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= PERCENT * np.maximum(sizes[i], sizes[j]))
+                    use &= ~minor[j] | (i < j)
+                    if one != other:
+                        use &= blocks[i] != blocks[j]
+                    p, q = np.nonzero(use)
+                    apart = _bits_apart(x[k + p], y[q])
+                    i, j = i[p, 0], columns[q]
+                    near = apart <= _most_apart(sizes[i], sizes[j])
+                    i, j, apart = i[near], j[near], apart[near]
+                    if not len(i):
+                        continue
+                    if not nearest:
+                        yield batch(_ASKED, np.full(len(i), key), ids[i], ids[j])
+                        continue
+                    i, j, apart = np.concatenate([i, j]), np.concatenate([j, i]), np.tile(apart, 2)
+                    order = np.lexsort((apart, i))
+                    order = order[np.append(True, i[order[1:]] != i[order[:-1]])]
+                    order = order[apart[order] < best[i[order]]]
+                    best[i[order]], partner[i[order]] = apart[order], j[order]
+        has = np.flatnonzero(partner >= 0)
+        if len(has):
+            yield batch(_ASKED, np.full(len(has), key), ids[has], ids[partner[has]])
 
     def run(batches) -> Iterator:
-        at, group = None, []
+        at, held = None, []
         for rows in batches:
-            for start in range(0, rows.num_rows, 1000):
-                for row in rows.slice(start, 1000).to_pylist():
-                    now = (row["key"], row["one"], row["other"])
-                    if now != at:
-                        if group:
-                            yield from pairs_of(group, *at[1:])
-                        at, group = now, []
-                    group.append(row)
-        if group:
-            yield from pairs_of(group, *at[1:])
+            if not rows.num_rows:
+                continue
+            group = [rows[name].to_numpy() for name in ("key", "one", "other")]
+            new = np.flatnonzero(np.append(True, np.any([x[1:] != x[:-1] for x in group], axis=0)))
+            for a, b in zip(new.tolist(), np.append(new[1:], rows.num_rows).tolist(), strict=True):
+                now = tuple(int(x[a]) for x in group)
+                if held and now != at:
+                    yield from pairs_of(pa.Table.from_batches(held), *at)
+                    held = []
+                at = now
+                held.append(rows.slice(a, b - a))
+        if held:
+            yield from pairs_of(pa.Table.from_batches(held), *at)
 
     return run
 
 
+def _labelled(rows: DataFrame, labels: DataFrame, member: str, name: str) -> DataFrame:
+    label = labels.select(F.col("node").alias(member), F.col("component").alias("__c"))
+    return rows.join(label, member, "left").withColumn(name, F.coalesce("__c", member)).drop("__c")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not connected yet."""
+    return _labelled(_labelled(pairs, labels, "a", "__a"), labels, "b", "__b").where("__a <> __b").drop("__a", "__b")
+
+
+def _compared(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches are near enough, and the bits between these."""
+    for name in ("a", "b"):
+        pairs = pairs.join(sketches.toDF(name, f"size_{name}", f"sketch_{name}"), name)
+    return pairs.mapInArrow(_near_pairs, "a bigint, b bigint, apart int")
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """The pair of each member that is least apart."""
+    asked = [pairs.select(F.col(x).alias("member"), F.struct("apart", F.col(y).alias("other")).alias("__p")) for x, y in ("ab", "ba")]
+    best = asked[0].union(asked[1]).groupBy("member").agg(F.min("__p").alias("__p"))
+    return best.select("member", F.col("__p.other").alias("other"))
+
+
 def _rest(members: DataFrame, labels: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs that share a key, are not connected yet, and are near by their sketches.
+    """Pairs that share a large key, are not connected yet, and are near by their sketches, each with the key.
 
     Only keys whose members have different labels are left. Very large ones are
     cut into blocks of ``GROUP`` members, and each pair of blocks is a group of its own.
     """
-    hubs = members.select("key", F.col("hub").alias("member"), F.col("hub_size").alias("size")).distinct()
-    members = members.select("key", "member", "size").union(hubs)
-    label = labels.select(F.col("node").alias("member"), F.col("component"))
-    rows = members.join(label, "member", "left").withColumn("label", F.coalesce("component", "member"))
+    rows = _labelled(members, labels, "member", "label")
     mixed = rows.groupBy("key").agg(F.min("label").alias("__a"), F.max("label").alias("__b"), F.count("*").alias("__n"))
     mixed = mixed.where("__a <> __b").select("key", F.ceil(F.col("__n") / GROUP).cast("int").alias("__blocks"))
     rows = rows.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("member"), F.col("__blocks")).cast("int"))
-    rows = rows.select("key", "member", "size", "label", "block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__o"))
+    rows = rows.select("key", "member", "label", "block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__o"))
     rows = rows.withColumns({"one": F.least("block", "__o"), "other": F.greatest("block", "__o")})
     rows = rows.join(sketches, rows["member"] == sketches["set_id"]).select("key", "one", "other", "block", "member", "size", "label", "sketch")
-    rows = rows.repartition("key", "one", "other").sortWithinPartitions("key", "one", "other")
-    return rows.mapInArrow(_near(nearest), "a bigint, b bigint").distinct()
+    rows = rows.repartition("key", "one", "other").sortWithinPartitions("key", "one", "other", "size")
+    return rows.mapInArrow(_near(nearest), "key bigint, member bigint, other bigint")
 
 
 def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -349,34 +486,46 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
     partition at a time. A key's least set is its hub: hubs are verified against their members first. Then
     members of a key that are still apart are compared by their sketches: the nearest are verified, round by round, until
     they connect no more, and in the end all that are left. So every pair of unequal sets that shares a
-    key has been verified, lies too far apart by its sketch, or was connected already.
+    key has been verified, lies too far apart by its sketch, or was connected already. The pairs of small keys are compared once; of a
+    large key, a member that is near no other one of another label takes no part in later rounds, as labels only merge.
     """
     spark = docs.sparkSession
     rows = chosen(docs, doc_id=doc_id, text=text)
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     # A row without an id is found again by its text; other rows of that key are told apart by their sets.
     rows = rows.withColumn("row_key", F.coalesce("doc_id", F.xxhash64("text")))
-    sets = materialize(rows.mapInArrow(_set_rows, "doc_id bigint, n_shingles bigint, set_id bigint, row_key bigint"), "ngram-sets")
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = rows.mapInArrow(_key_rows(buckets), "bucket int, keys binary, sets binary, sizes binary").repartition("bucket")
-    members = materialize(keys.mapInArrow(_joined, "key bigint, hub bigint, hub_size int, member bigint, size int"), "ngram-members")
-    pairs = members.where(f"100 * least(hub_size, size) >= {PERCENT} * greatest(hub_size, size)").select("hub", "member").distinct()
-    pairs = materialize(pairs, "ngram-pairs")
+    keys = rows.mapInArrow(_key_rows(buckets), "bucket int, keys binary, sets binary, sizes binary, rows binary, nulls binary").repartition("bucket")
+    met = materialize(keys.mapInArrow(_joined(SMALL), "kind int, one bigint, other bigint, size int, row_key bigint"), "ngram-met")
+    of = lambda kind: met.where(F.col("kind") == kind)
+    sets = of(ROW).select(
+        F.col("one").alias("doc_id"), F.col("size").cast("bigint").alias("n_shingles"), F.col("other").alias("set_id"), "row_key"
+    )
+    large = of(MEMBER).select(F.col("one").alias("key"), F.col("other").alias("member"))
+    pairs = materialize(of(HUB).select(F.col("one").alias("hub"), F.col("other").alias("member")).distinct(), "ngram-pairs")
 
-    wanted = members.select(F.explode(F.array("hub", "member")).alias("set_id")).distinct()
-    first = sets.groupBy("set_id").agg(F.min("row_key").alias("row_key")).join(wanted, "set_id", "left_semi")
+    paired = met.where(F.col("kind").isin(HUB, PAIR)).select(F.explode(F.array("one", "other")).alias("set_id"))
+    wanted = paired.union(large.select("member")).distinct()
+    first = sets.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("row_key").alias("row_key"))
     texts = rows.select("row_key", "text").join(first, "row_key").select("set_id", "text")
     contents = texts.mapInArrow(_contents, "set_id bigint, size int, shingles binary").dropDuplicates(["set_id"])
     contents = materialize(contents, "ngram-contents")
 
     found = materialize(verify(pairs, contents), "ngram-links")
     labels = components(found)
-    sketches = contents.select("set_id", "size", "shingles").mapInArrow(_sketch_rows, "set_id bigint, sketch binary")
+    sketches = contents.select("set_id", "size", "shingles").mapInArrow(_sketch_rows, "set_id bigint, size int, sketch binary")
     sketches = materialize(sketches, "ngram-sketches")
-    tested = pairs.select(F.least("hub", "member").alias("a"), F.greatest("hub", "member").alias("b"))
+    tested = pairs.toDF("a", "b")  # a hub is the least of its key
+    close = of(PAIR).select(F.col("one").alias("a"), F.col("other").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    close = materialize(_compared(_apart(close, labels), sketches), "ngram-close")
     nearest = True
     while True:
-        more = _rest(members, labels, sketches, nearest).join(tested, ["a", "b"], "left_anti")
+        asked = materialize(_rest(large, labels, sketches, nearest), "ngram-near")
+        few = _apart(close, labels)
+        few = _nearest(few) if nearest else few.select(F.col("a").alias("member"), F.col("b").alias("other"))
+        more = asked.select("member", "other").union(few)
+        more = more.select(F.least("member", "other").alias("a"), F.greatest("member", "other").alias("b")).distinct()
+        more = more.join(tested, ["a", "b"], "left_anti")
         more = materialize(more.select(F.col("a").alias("hub"), F.col("b").alias("member")), "ngram-pairs")
         linked = materialize(verify(more, contents), "ngram-links")
         found = found.union(linked)
@@ -384,6 +533,7 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[
             return sets, found
         # While the nearest ones still connect something, few pairs do; then all that are left.
         tested = tested.union(more.toDF("a", "b"))
+        large = asked.select("key", "member").distinct()
         nearest = linked.take(1) != []
         if nearest:
             labels = components(found)
