@@ -148,6 +148,21 @@ def test_comments_wait_for_their_posts(spark, tmp_path):
     assert dict((p[0], p[1]) for p in placed)["d4"] == "sp" and queue.count("p") == 1
 
 
+def test_waiting_comments_lie_in_one_store_a_task(spark, tmp_path):
+    land(tmp_path / "posts", "1.json", [{"reddit_id": "p", "id": "sp", "subreddit_id": 7, "arrived": "2024-01-01 00:00:00"}])
+    land(tmp_path / "comments", "1.json", [{"reddit_id": "a", "id": "ca", "link_id": "t3_p", "arrived": "2024-01-01 00:00:00"}])
+    feed = lambda name, schema: feeds.json_feed(spark, str(tmp_path / name), schema)
+    before = spark.conf.get(feeds.JOIN_FORMAT)
+    query = feeds.ingest_with_parents(
+        feed("posts", POST), feed("comments", COMMENT), str(tmp_path / "out"), str(tmp_path / "checkpoint"),
+        F.lit("2024-01-05").cast("timestamp"), [F.asc("id")],
+    )
+    query.awaitTermination()
+    stores = [s["numStateStoreInstances"] for p in query.recentProgress for s in p["stateOperators"] if s["operatorName"] == "symmetricHashJoin"]
+    assert stores and set(stores) == {int(spark.conf.get("spark.sql.shuffle.partitions"))}
+    assert spark.conf.get(feeds.JOIN_FORMAT) == before
+
+
 def test_session_windows_close_by_event_time(spark, tmp_path):
     landing, out, checkpoint = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "checkpoint")
     at = lambda h, m=0: f"2024-01-01 {h:02d}:{m:02d}:00"
